@@ -1,34 +1,13 @@
-"""The shared scratch folder, and connected components."""
+"""Connected components, and the shared scratch folder."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cladeframe.scratch import new_path, shared_dir, stash
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir, as a URI that every executor can open. Only where it is unset (local
-    tests) a temporary folder is made and set."""
-    sc = spark.sparkContext
-    path = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if path is None:
-        path = tempfile.mkdtemp(prefix="spark-")
-        sc.setCheckpointDir(path)
-    return path.rstrip("/") if "://" in path or path.startswith("file:") else f"file://{path.rstrip('/')}"
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def stash(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it again: it cuts the lineage and outlives lost executors."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["components", "new_path", "shared_dir", "stash"]
 
 
 def components(edges: DataFrame) -> DataFrame:
