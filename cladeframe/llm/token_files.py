@@ -9,8 +9,10 @@ it without a copy. A second file of the same kind beside it holds the documents
 A task names its files by its attempt, and only the names of tasks that ended well reach the written index, so attempts
 that were lost or ran twice do no harm.
 
-Encoding: the text is cut at single spaces between other characters, where the byte-level pattern cuts as well; each
-distinct cut is encoded by the tokenizers library once and then kept in a bounded memory of the worker.
+Encoding: a text is cut at single spaces between other characters, where the byte-level pattern cuts as well, and a cut
+into the pattern's pieces. Pieces are independent of each other: those that a worker has not met are encoded by the
+tokenizers library, many in one call, and a bounded memory keeps the ids of pieces and cuts. Texts with other blanks, and
+cuts with characters beyond Latin letters, go to the library as they are.
 
 Edge cases: a null text is an empty one and has only the end id; an empty table has no files and no rows; a null doc_id
 comes first; rows that share an id are ordered by a hash of their text.
@@ -18,12 +20,14 @@ comes first; rows that share an id are ordered by a hash of their text.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import pyarrow.ipc
 import regex
@@ -35,9 +39,11 @@ from cladeframe.llm.shared import new_path, stash
 
 LENGTH = 2048
 SEQUENCES = 256
-MEMORY = 400_000  # distinct cuts kept by a worker
-LONGEST = 64  # characters of a cut that is kept
-UNEVEN = regex.compile(r"\s | \s|^\s|\s$")
+MEMORY = 600_000  # cuts, and pieces, kept by a worker; those met first, which the frequent ones are among
+LONGEST = 48  # characters of a cut that is kept
+TOGETHER = 4096  # pieces in one call
+PLAIN = re.compile(r"[\x21-\x7e\n\u00a1-\u024f]+")
+BLANKS = re.compile(r"^\s|\s$|[^\S\n]|^$")
 
 
 class Encoder:
@@ -48,34 +54,76 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.pieces = regex.compile(pattern).findall
+        self.pieces_of = regex.compile(pattern).findall
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.memory: dict[str, bytes] = {}
-
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
-            out.append(np.array(e.ids, dtype=self.dtype).tobytes())
+        self.cuts: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def plain(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
+
+    def together(self, pieces: list[str], between: str) -> dict[str, bytes]:
+        """Pieces that stay apart when joined by `between`, in one call: the library numbers the pieces of each id."""
+        e = self.tokenizer.encode(between.join(pieces), add_special_tokens=False)
+        words = np.array(e.word_ids)
+        first = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
+        ids, size = np.array(e.ids, dtype=self.dtype).tobytes(), self.dtype.itemsize
+        edges = (np.append(first, len(words)) * size).tolist()
+        step = 2 if between else 1
+        if len(first) != step * len(pieces) - (step - 1):
+            return {p: self.plain(p) for p in pieces}
+        return {p: ids[edges[step * k] : edges[step * k + 1]] for k, p in enumerate(pieces)}
+
+    def learn(self, new: set[str]) -> dict[str, bytes]:
+        """Ids of new pieces."""
+        spaced, bare, out = [], [], {}
+        for p in new:
+            if p[0] == " " and p[1:].isalpha():
+                spaced.append(p)
+            elif p.isalpha() and len(p) > 2:
+                bare.append(p)
+            else:
+                out[p] = self.plain(p)
+        for group, between in ((spaced, ""), (bare, "\n")):
+            for at in range(0, len(group), TOGETHER):
+                out |= self.together(group[at : at + TOGETHER], between)
         return out
 
-    def cuts(self, text: str) -> list[str]:
-        if UNEVEN.search(text):
-            return self.pieces(text)
-        first, *rest = text.split(" ")
-        return [first, *(" " + x for x in rest)] if text else []
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.memory) > MEMORY:
-            self.memory = {}
-        cuts = [self.cuts(t) for t in texts]
-        new = list(set().union(*cuts) - self.memory.keys())
-        known = dict(zip(new, self.encode_all(new), strict=True))
-        brief = {k: v for k, v in known.items() if len(k) <= LONGEST}
-        self.memory |= brief
-        if len(brief) == len(known):
-            get = self.memory.__getitem__
-            return [b"".join(map(get, c)) for c in cuts]
-        return [b"".join(self.memory[x] if x in self.memory else known[x] for x in c) for c in cuts]
+    def cut_ids(self, cuts: list[str]) -> list[bytes]:
+        """Ids of new cuts, each with what stands before it."""
+        split = [self.pieces_of(c) if PLAIN.fullmatch(c, 1 if c[0] == " " else 0) else None for c in cuts]
+        new = self.learn({p for ps in split if ps for p in ps} - self.pieces.keys())
+        if len(self.pieces) < MEMORY:
+            self.pieces |= new
+            new = {}
+        old = self.pieces.get
+        return [b"".join([old(p) or new[p] for p in ps]) if ps else self.plain(c) for c, ps in zip(cuts, split, strict=True)]
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """texts: without nulls. Each distinct cut of them is looked up once."""
+        lists = pc.split_pattern(texts, " ")
+        flat, edges = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        coded = flat.dictionary_encode()
+        cuts, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        values: list[bytes | None] = list(map(self.cuts.get, cuts))
+        blank = np.zeros(len(cuts), dtype=bool)
+        new = [k for k, v in enumerate(values) if v is None]
+        for k in [k for k in new if BLANKS.search(cuts[k])]:
+            blank[k] = True
+        new = [k for k in new if not blank[k]]
+        for k, v in zip(new, self.cut_ids([" " + cuts[k] for k in new]), strict=True):
+            values[k] = v
+        if len(self.cuts) < MEMORY:
+            self.cuts |= {cuts[k]: values[k] for k in new if len(cuts[k]) <= LONGEST}
+        # texts with a blank cut go as they are; a text's first cut has no space before it
+        whole = np.flatnonzero(np.add.reduceat(blank[at], edges[:-1])) if len(texts) else []
+        firsts = sorted({cuts[k] for k in set(at[edges[:-1]].tolist()) if not blank[k]})
+        heads = dict(zip(firsts, self.cut_ids(firsts), strict=True))
+        places, get, out = at.tolist(), values.__getitem__, []
+        asis = set(whole.tolist()) if len(texts) else set()
+        for d, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)):
+            out.append(self.plain(texts[d].as_py()) if d in asis else heads[cuts[places[a]]] + b"".join(map(get, places[a + 1 : b])))
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -83,17 +131,14 @@ def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(path, pattern)
 
 
-def groups(batch: pa.RecordBatch, chars: int = 4 << 20) -> Iterator[list[tuple]]:
-    """Rows of a batch in groups of about so many characters."""
-    group, n = [], 0
-    for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-        group.append(row)
-        n += len(row[1])
-        if n >= chars:
-            yield group
-            group, n = [], 0
-    if group:
-        yield group
+def groups(batch: pa.RecordBatch, size: int = 12 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about so many bytes of text."""
+    ends = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(batch):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, side="right")))
+        yield batch.slice(at, to - at)
+        at = to
 
 
 class SequenceFile:
@@ -154,13 +199,13 @@ def write_tokens(docs: DataFrame, path: str, pattern: str, end_id: int, length:
                     out = SequenceFile(sink, coder.dtype, length, sequences)
                     listing = fs.open_output_stream(f"{place}/{name}.docs.arrow")
                     index = pa.ipc.new_file(listing, pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())]))
-                encoded = [np.frombuffer(x + end, dtype=coder.dtype) for x in coder.encode([t for _, t in group])]
+                encoded = [np.frombuffer(x + end, dtype=coder.dtype) for x in coder.encode(group.column(1))]
                 for x in encoded:
                     out.put(x)
                 n = np.array([len(x) for x in encoded], dtype=np.int64)
                 start = at + np.cumsum(n) - n
                 at += int(n.sum())
-                table = pa.RecordBatch.from_arrays([pa.array([d for d, _ in group], pa.int64()), pa.array(start), pa.array(n)], names=["doc_id", "start", "n_tokens"])
+                table = pa.RecordBatch.from_arrays([group.column(0), pa.array(start), pa.array(n)], names=["doc_id", "start", "n_tokens"])
                 index.write_batch(table)
         if out is not None:
             out.close()
