@@ -6,8 +6,10 @@ over the text's size, (bad - good) / bytes, is the measure, and a logistic curve
 the probability of a good text. The curve sees the measure in robust standard deviations from the median good text, cut
 at -4 and 1, so that the worst texts do not flatten it where the classes meet.
 
-Fitted on at most SAMPLE labelled documents outside the held-out fold, of whose texts at most TEXT_BYTES are used each:
-half of them (by a hash of the text) for the dictionaries, half for the curve, in their natural proportion. Text is the only input of a score.
+Fitted on at most SAMPLE labelled documents outside the held-out fold: half of them (by a hash of the text) make the
+dictionaries, with at most PIECES pieces of each, spread evenly over the whole text; the whole texts of the other half, in
+their natural proportion, make the curve. Pieces and measures come to the driver, not texts. Text is the only input of a
+score.
 
 Edge cases: a null or empty text has measure 0 and so the score of the curve there; with labels of one kind the fit is
 refused; all texts are scored whole.
@@ -26,8 +28,9 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from cladeframe.llm.labelled import HELD_OUT, fold, sample
+from cladeframe.llm.shared import stash
 
-SAMPLE, TEXT_BYTES = 8_000, 16_384
+SAMPLE, PIECES = 8_000, 8
 PIECE, DICTIONARY, LEVEL, CLASS_BYTES = 512, 64 << 10, 3, 4 << 20
 CUT = 0.3
 
@@ -67,14 +70,17 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * standing(measures, self.middle, self.spread) + self.base, -40, 40)))
 
 
-def dictionary(texts: list[bytes]) -> bytes:
-    """A zstandard dictionary from pieces of the texts, CLASS_BYTES at most."""
-    pieces, n = [], 0
-    for t in texts:
-        for at in range(0, len(t), PIECE):
-            if n < CLASS_BYTES:
-                pieces.append(t[at : at + PIECE])
-                n += len(pieces[-1])
+def spread(text: bytes) -> list[bytes]:
+    """At most PIECES pieces from all over a text."""
+    if len(text) <= PIECES * PIECE:
+        return [text[at : at + PIECE] for at in range(0, len(text), PIECE)]
+    return [text[at : at + PIECE] for at in (k * (len(text) - PIECE) // (PIECES - 1) for k in range(PIECES))]
+
+
+def dictionary(pieces: list[bytes]) -> bytes:
+    """A zstandard dictionary from CLASS_BYTES of pieces at most."""
+    ends = np.cumsum([len(p) for p in pieces])
+    pieces = pieces[: int(np.searchsorted(ends, CLASS_BYTES)) + 1]
     try:
         return zstandard.train_dictionary(DICTIONARY, pieces, k=256, d=8, f=18, steps=1, accel=1).as_bytes()
     except zstandard.ZstdError:  # too few pieces to choose from: the dictionary is their plain content
@@ -98,22 +104,41 @@ def curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float, float]:
     return float(middle), float(spread), float(w[0]), float(w[1])
 
 
-def fit(texts: list[bytes], y: np.ndarray) -> Model:
-    first = np.array([xxh64_intdigest(t, 7) % 2 == 0 for t in texts], dtype=bool)
-    halves = [[t for t, f, v in zip(texts, first, y, strict=True) if f and (v > 0) == good] for good in (True, False)]
+def for_dictionary(text: bytes) -> bool:
+    return xxh64_intdigest(text, 7) % 2 == 0
+
+
+def dictionaries(pieces: list[list[bytes]], y: list[int]) -> tuple[bytes, bytes]:
+    halves = [[p for ps, v in zip(pieces, y, strict=True) if (v > 0) == good for p in ps] for good in (True, False)]
     if not all(halves):
         raise ValueError("texts of both labels are needed")
-    good, bad = map(dictionary, halves)
-    measure = Measure(good, bad)
-    rest = ~first if len(set(y[~first].tolist())) > 1 else np.ones(len(y), dtype=bool)
-    shape = curve(np.array([measure(t) for t, r in zip(texts, rest, strict=True) if r]), (y[rest] > 0).astype(float))
-    return Model(good, bad, *shape)
+    return dictionary(halves[0]), dictionary(halves[1])
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model:
-    some = sample(docs, labels, "quality", most)
-    table = some.select("doc_id", F.substring(F.col("text").cast("binary"), 1, TEXT_BYTES).alias("text"), F.col("y").cast("int").alias("y")).toArrow().sort_by("doc_id")
-    return fit(table["text"].to_pylist(), table["y"].to_numpy())
+    some = stash(sample(docs, labels, "quality", most).select("doc_id", F.col("text").cast("binary").alias("text"), F.col("y").cast("int").alias("y")), "labelled")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(d, spread(t), y) for d, t, y in zip(*(c.to_pylist() for c in batch.columns), strict=True) if for_dictionary(t)]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int64(), pa.list_(pa.binary()), pa.int32()), strict=True)], names=["doc_id", "pieces", "y"])
+
+    pieces = some.mapInArrow(cut, "doc_id long, pieces array<binary>, y int").toArrow().sort_by("doc_id")
+    good, bad = dictionaries(pieces["pieces"].to_pylist(), pieces["y"].to_pylist())
+
+    def gauge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        measure = Measure(good, bad)
+        for batch in batches:
+            rows = [(d, measure(t), y, for_dictionary(t)) for d, t, y in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+            if not rows:
+                continue
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int64(), pa.float64(), pa.int32(), pa.bool_()), strict=True)], names=["doc_id", "x", "y", "used"])
+
+    measures = some.mapInArrow(gauge, "doc_id long, x double, y int, used boolean").toArrow().sort_by("doc_id")
+    x, y, used = (measures[c].to_numpy() for c in ("x", "y", "used"))
+    rest = ~used if len(set((y[~used] > 0).tolist())) > 1 else np.ones(len(y), dtype=bool)
+    return Model(good, bad, *curve(x[rest], (y[rest] > 0).astype(float)))
 
 
 def quality_scores(docs: DataFrame, model: Model, cut: float = CUT) -> DataFrame:

@@ -212,13 +212,22 @@ def test_quality_on_held_out_texts(spark, small):
     assert sum(p != q for _, p, q, _ in got) <= 0.02 * len(got)
 
 
-def test_quality_edge_cases(odd, empty):
-    model = quality.fit([b"plain words go here and there %d" % i for i in range(40)] + [b"@@@ ### !!! $$$ %d" % i for i in range(40)], np.repeat([1, 0], 40))
+def test_pieces_are_from_all_over_a_text():
+    text = "".join(f"{i:07d} " for i in range(20_000)).encode()
+    pieces = quality.spread(text)
+    assert len(pieces) == quality.PIECES and pieces[0].startswith(b"0000000 ") and pieces[-1].endswith(b"0019999 ")
+    assert quality.spread(b"short") == [b"short"] and quality.spread(b"") == []
+
+
+def test_quality_edge_cases(odd, empty, spark):
+    texts = [f"plain words go here and there {i}" for i in range(40)] + [f"@@@ ### !!! $$$ {i}" for i in range(40)]
+    d = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    model = quality.train(d, d.select("doc_id", (F.col("doc_id") < 40).cast("int").alias("quality")))
     got = quality.quality_scores(odd, model).collect()
     assert len(got) == odd.count() and all(0 <= r.score <= 1 for r in got)
     assert quality.quality_scores(empty, model).count() == 0
     with pytest.raises(ValueError):
-        quality.fit([b"a"], np.array([1]))
+        quality.train(d, d.select("doc_id", F.lit(1).alias("quality")))
 
 
 # tokens
