@@ -101,14 +101,73 @@ def test_near_pairs_are_complete(spark):
 
 
 def test_simhash_keeps_the_first_of_each_group(odd, empty):
-    kept = simhash.keep_first(odd)
-    assert kept.columns == odd.columns
-    groups = {r.doc_id: r.component_id for r in simhash.simhash_groups(odd).collect()}
-    assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == sorted({c for d, c in groups.items() if d is not None})
-    assert kept.where("doc_id is null").count() == 2
+    for groups in (simhash.simhash_groups(odd), None):
+        kept = simhash.keep_first(odd, groups)
+        assert kept.columns == odd.columns
+        groups = {r.doc_id: r.component_id for r in (groups or simhash.similar_groups(odd)).collect()}
+        assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == sorted({c for d, c in groups.items() if d is not None})
+        assert kept.where("doc_id is null").count() == 2
     assert simhash.keep_first(empty).count() == 0
 
 
+def plain_similar(pairs):
+    """{doc_id: smallest doc_id that similar texts reach}, by all pairs of texts."""
+    sets = {}
+    for d, t in pairs:
+        w = tuple((t or "").lower().split())
+        n = min(5, len(w))
+        sets.setdefault(frozenset(w[i : i + n] for i in range(len(w) - n + 1)) if w else frozenset(), []).append(d)
+    root = {d: d for d, _ in pairs if d is not None}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    def link(x, y):
+        x, y = find(x), find(y)
+        root[max(x, y)] = min(x, y)
+
+    alike = [(s, ids) for s, ids in ((s, [d for d in ids if d is not None]) for s, ids in sets.items()) if ids]
+    for k, (s, ids) in enumerate(alike):
+        for d in ids:
+            link(ids[0], d)
+        for other, theirs in alike[:k]:
+            if 0.8 * max(len(s), len(other)) <= min(len(s), len(other)):
+                shared = len(s & other)
+                if shared and shared >= 0.8 * (len(s) + len(other) - shared) - 1e-9:
+                    link(ids[0], theirs[0])
+    return {d: find(d) for d in root}
+
+
+def test_similar_groups(spark, docs, odd):
+    rng = np.random.default_rng(8)
+    made = []
+    for k, n in enumerate([9, 25, 60, 150, 400] * 8):
+        words = [f"w{x}" for x in rng.integers(0, 500, size=n)]
+        for copy in range(12):
+            changed = list(words)
+            for at in rng.choice(n, size=int(copy * n * 0.004), replace=False):
+                changed[at] = f"x{rng.integers(0, 99)}"
+            made.append((len(made) * 7 % 480, " ".join(changed[: n - copy % 3])))
+    for table in (docs, odd, spark.createDataFrame(made, "doc_id long, text string")):
+        assert dict(rows(simhash.similar_groups(table))) == plain_similar(rows(table.select("doc_id", "text")))
+
+
+def test_similar_groups_of_a_crowd(spark):
+    """Hundreds of near copies of one text, each with a change of its own, and a passage that all others share."""
+    rng = np.random.default_rng(9)
+    base, passage = ([f"w{x}" for x in rng.integers(0, 500, size=120)] for _ in range(2))
+    made = []
+    for k in range(300):
+        changed = list(base)
+        for at in rng.choice(120, size=2, replace=False):
+            changed[at] = f"x{k}"
+        made += [(2 * k, " ".join(changed)), (2 * k + 1, " ".join([f"y{x}" for x in rng.integers(0, 500, size=90)] + passage))]
+    table = spark.createDataFrame(made, "doc_id long, text string").repartition(8)
+    assert dict(rows(simhash.similar_groups(table))) == plain_similar(made)
+
+
 # mixing
 
 
@@ -491,8 +550,8 @@ def test_pipeline_stages(spark, small):
             before = after
     rated = toxicity.severities(d, toxicity.train(d, spark.read.parquet(f"{sf}/labels.parquet")))
     assert {r.doc_id for r in seen["toxicity"].collect()} == {r.doc_id for r in rated.where("not toxic").collect()}
-    groups = plain_groups([(i, plain_fingerprint(t)) for i, t in rows(seen["toxicity"].select("doc_id", "text"))])
-    assert {r.doc_id for r in seen["near_duplicates"].collect()} == set(groups)
+    groups = plain_similar(rows(seen["toxicity"].select("doc_id", "text")))
+    assert {r.doc_id for r in seen["near_duplicates"].collect()} == set(groups.values())
     held = rows(decontamination.contaminated(seen["near_duplicates"], spark.read.parquet(f"{sf}/benchmark.parquet")).select("doc_id"))
     assert {r.doc_id for r in seen["decontamination"].collect()} == {r.doc_id for r in seen["near_duplicates"].collect()} - {h for (h,) in held}
     assert seen["token_files"].count() == seen["mixing"].count() and len(by_name) == 5
