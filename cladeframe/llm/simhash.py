@@ -162,6 +162,7 @@ def sketches(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                 sums = [signed([x.sum(dtype=np.uint64) for x in sets]), signed([mixed(x).sum(dtype=np.uint64) for x in sets])]
                 columns = [part.column(0), signed([majority(x) if len(x) else 0 for x in sets]), *sums, pa.array([len(x) for x in sets], pa.int32()), lists(map(segments, sets)), lists(sets)]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", "sum_a", "sum_b", "n", "segments", "shingles"])
+        pa.default_memory_pool().release_unused()  # the worker stays while the joins run
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).where("doc_id is not null")
     return rows.mapInArrow(make, "doc_id long, fp long, sum_a long, sum_b long, n int, segments array<long>, shingles array<long>")

@@ -37,7 +37,8 @@ from cladeframe.llm.shared import stash
 WORD = re.compile(r"\w+")
 SAMPLE, MIN_DOCS, MIN_Z, MOST, GRADES, STEPS, PENALTY = 10_000, 5, 6.0, 3000, 3, 400, 1e-4
 SHORTEST, LONGEST = 3, 8
-KEPT = 300_000  # words whose weights a worker remembers
+PART = 512  # rows whose copies a worker holds at once
+KEPT = 50_000  # words whose weights a worker remembers
 
 
 def words_of(text: str | None) -> list[str]:
@@ -204,7 +205,10 @@ def accepted(docs: DataFrame, model: Model) -> DataFrame:
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score_of = Scorer(shared.value)
         for batch in batches:
-            p = shared.value.grades(np.array([score_of(t.as_py()) for t in batch.column(place)], dtype=float))
-            yield batch.filter(pa.array(p[:, 0] < 0.5))
+            for at in range(0, len(batch), PART):
+                part = batch.slice(at, PART)
+                p = shared.value.grades(np.array([score_of(t.as_py()) for t in part.column(place)], dtype=float))
+                yield part.filter(pa.array(p[:, 0] < 0.5))
+        pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(keep, docs.schema)
