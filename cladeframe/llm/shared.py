@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cladeframe.scratch import new_path, shared_dir, stash
 
-__all__ = ["components", "new_path", "shared_dir", "stash"]
+__all__ = ["components", "new_path", "remove", "shared_dir", "stash"]
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -39,3 +39,11 @@ def components(edges: DataFrame) -> DataFrame:
         state = now
     roots = edges.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node")
     return roots.union(edges.select("b", "b").distinct())
+
+
+def remove(table: DataFrame) -> None:
+    """Delete a stashed table that nothing is to read any more."""
+    session = table.sparkSession
+    for folder in {f.rpartition("/")[0] for f in table.inputFiles()}:
+        path = session._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(session._jsc.hadoopConfiguration()).delete(path, True)

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from cladeframe.llm.decontamination import hashes_of
-from cladeframe.llm.shared import components, stash
+from cladeframe.llm.shared import components, remove, stash
 
 SEED = 42
 BLOCK = 1 << 16
@@ -211,7 +211,11 @@ def similar_links(rows: DataFrame, texts: DataFrame, least: float = LEAST) -> Da
 
 def similar_groups(docs: DataFrame, shingle: int = SHINGLE, least: float = LEAST) -> DataFrame:
     """(doc_id, component_id) for each doc_id: component_id is the smallest doc_id that similar texts reach from it."""
-    rows = stash(sketches(docs, shingle), "sketches")
+    return groups_of(stash(sketches(docs, shingle), "sketches"), least)
+
+
+def groups_of(rows: DataFrame, least: float = LEAST) -> DataFrame:
+    """similar_groups from sketches."""
     texts = rows.groupBy("sum_a", "sum_b", "n").agg(F.min(F.struct("doc_id", "fp", "segments")).alias("t"))
     texts = stash(texts.select("sum_a", "sum_b", F.col("t.doc_id").alias("node"), "t.fp", "n", "t.segments"), "texts")
     links = similar_links(rows, texts, least)
@@ -227,8 +231,11 @@ def keep_first(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """One document of each group (similar_groups, or other groups of docs): the one whose doc_id is the smallest. Rows
     that repeat a doc_id stay once; a group without any doc_id keeps none of its rows apart, so rows with a null doc_id
     all stay."""
-    groups = similar_groups(docs) if groups is None else groups
+    rows = stash(sketches(docs), "sketches") if groups is None else None
+    groups = groups_of(rows) if groups is None else groups
     firsts = stash(groups.where("doc_id = component_id").select("doc_id").distinct(), "first-documents")
+    if rows is not None:
+        remove(rows)  # they are larger than the texts
     kept = docs.join(firsts, "doc_id", "left_semi").select(docs.columns)
     if docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null").limit(1).count():
         kept = kept.dropDuplicates(["doc_id"])
