@@ -89,15 +89,25 @@ class Encoder:
                 out |= self.together(group[at : at + TOGETHER], between)
         return out
 
+    def known(self, piece: str) -> bytes | None:
+        """A piece that begins with a space has the ids of the cut behind the space, and is kept as that cut only."""
+        return (self.cuts.get(piece[1:]) if piece[0] == " " else None) or self.pieces.get(piece)
+
+    def keep(self, pieces: dict[str, bytes]) -> None:
+        for p, ids in pieces.items():
+            as_cut = p[0] == " " and p[1:].isalpha()
+            table = self.cuts if as_cut else self.pieces
+            if len(table) < MEMORY and len(p) <= LONGEST:
+                table[p[1:] if as_cut else p] = ids
+
     def cut_ids(self, cuts: list[str]) -> list[bytes]:
         """Ids of new cuts, each with what stands before it."""
         split = [self.pieces_of(c) if PLAIN.fullmatch(c, 1 if c[0] == " " else 0) else None for c in cuts]
-        new = self.learn({p for ps in split if ps for p in ps} - self.pieces.keys())
-        if len(self.pieces) < MEMORY:
-            self.pieces |= new
-            new = {}
-        old = self.pieces.get
-        return [b"".join([old(p) or new[p] for p in ps]) if ps else self.plain(c) for c, ps in zip(cuts, split, strict=True)]
+        new = self.learn({p for ps in split if ps for p in ps if self.known(p) is None})
+        get = new.get
+        out = [b"".join([get(p) or self.known(p) for p in ps]) if ps else self.plain(c) for c, ps in zip(cuts, split, strict=True)]
+        self.keep(new)
+        return out
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """texts: without nulls. Each distinct cut of them is looked up once."""
@@ -114,7 +124,7 @@ class Encoder:
         for k, v in zip(new, self.cut_ids([" " + cuts[k] for k in new]), strict=True):
             values[k] = v
         if len(self.cuts) < MEMORY:
-            self.cuts |= {cuts[k]: values[k] for k in new if len(cuts[k]) <= LONGEST}
+            self.cuts |= {cuts[k]: values[k] for k in new if len(cuts[k]) < LONGEST}
         # texts with a blank cut go as they are; a text's first cut has no space before it
         whole = np.flatnonzero(np.add.reduceat(blank[at], edges[:-1])) if len(texts) else []
         firsts = sorted({cuts[k] for k in set(at[edges[:-1]].tolist()) if not blank[k]})
@@ -131,7 +141,7 @@ def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(path, pattern)
 
 
-def groups(batch: pa.RecordBatch, size: int = 12 << 20) -> Iterator[pa.RecordBatch]:
+def groups(batch: pa.RecordBatch, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """A batch in slices of about so many bytes of text."""
     ends = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False))
     at = 0
