@@ -1,25 +1,31 @@
 """Masked pseudo-likelihood of texts under a bidirectional window network.
 
-Each token is hidden in turn and predicted from REACH tokens on either side: each neighbour has its own embedding table by
-position, their sum goes through tanh, and a softmax over the vocabulary follows. A text's score is the sum of the log
-probabilities of its tokens.
+Each word is hidden in turn and predicted from REACH words on either side: each neighbour's class has its own embedding table
+by position, their sum goes through tanh, and a softmax over the classes follows; a word's probability is its class's times
+its share of the class. A text's score is the sum of the log probabilities of its words, and no word goes unpredicted.
 
-Tokens are words in lower case; the vocabulary holds the commonest ones of the whole corpus, counted over all documents,
-besides an edge mark and one token for all other words; the same counts set the biases that training starts from. The
-network is trained in numpy over windows from all documents: one position in EVERY, chosen by a hash of the text and the position, at whatever size. Each task trains on its
-part of the windows, starting from the same network; the parts' networks are averaged, weighed by their windows, by an
-aggregation per parameter, ROUNDS times.
+Tokens are words in lower case, counted over all documents. The commonest have a class each, the others a class by their
+last two letters (one for rare endings). The vocabulary holds as many of the commonest words as fit TOKENS; words of one
+count are all in it or all out. The words beyond it are one class, and within it a word's probability is that of its
+spelling, byte by byte from the two before (hashed to CONTEXTS), counted over all words beyond the vocabulary, or over those
+that occur once if it holds all. So memory is bounded at any size of the corpus. Class shares set the biases that training
+starts from.
+
+The network is trained in numpy on every position of all documents once, in ROUNDS parts chosen by a hash of the text and the
+position. Each task trains on its documents, starting from the same network; the tasks' networks are averaged, weighed by
+their positions, by an aggregation per parameter, after each part.
 
 Edge cases: null and empty texts, and those without words, have 0 tokens, score 0 and mean 0; an empty corpus gives an
-untrained network and no rows; ties among the commonest words go to the smaller word.
+untrained network and no rows.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, replace
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -30,18 +36,48 @@ from xxhash import xxh64_intdigest
 from cladeframe.llm.shared import stash
 
 WORD = re.compile(r"\w+")
-TOKENS, HIDDEN, REACH, EVERY, ROUNDS = 256, 24, 2, 32, 2
+TOKENS, CLASSES, HIDDEN, REACH, EVERY, ROUNDS = 1 << 18, 256, 24, 2, 1, 2
 EDGE, OTHER = 0, 1
 OFFSETS = [o for o in range(-REACH, REACH + 1) if o]
-BLOCK, BATCH, RATE = 2048, 64, 0.05
+BLOCK, BATCHES, RATE = 2048, (16, 1024), 0.1
+STREAM = 1 << 17
+CONTEXTS, NEW_BYTE = 4096, 0.1
 
 
 def words_of(text: str | None) -> list[str]:
     return WORD.findall(text.lower()) if text else []
 
 
-def vocabulary(docs: DataFrame, tokens: int = TOKENS) -> tuple[dict[str, int], np.ndarray]:
-    """The commonest words of all documents, and each token's share of all words; only these few come to the driver."""
+def spelled(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Each byte of the words and a zero after each word, as its place in a table of contexts and bytes; and its word's number."""
+    codes = np.frombuffer(("\0\0" + "".join(w + "\0\0" for w in words)).encode(), np.uint8).astype(np.int64)
+    at = np.flatnonzero((codes != 0) | (np.concatenate([[0], codes[:-1]]) != 0))
+    ends = codes[at] == 0
+    return ((codes[at - 2] << 4 ^ codes[at - 1]) % CONTEXTS) * 256 + codes[at], np.cumsum(ends) - ends
+
+
+@dataclass
+class Words:
+    """Each token's class and the log of its share of it; log probabilities of bytes after their contexts."""
+
+    classes: np.ndarray
+    within: np.ndarray
+    spelling: np.ndarray
+
+    @staticmethod
+    def new(tokens: int = TOKENS, classes: int = CLASSES) -> Words:
+        """Like words in like classes; edges and other words have their own."""
+        of = np.concatenate([[EDGE, OTHER], 2 + np.arange(tokens - 2) % (classes - 2)]).astype(np.uint16)
+        return Words(of, -np.log(np.bincount(of)[of]).astype(np.float32), Words.spelling_of(np.zeros(CONTEXTS * 256)))
+
+    @staticmethod
+    def spelling_of(counts: np.ndarray) -> np.ndarray:
+        table = counts.reshape(CONTEXTS, 256) + NEW_BYTE
+        return np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32).ravel()
+
+
+def vocabulary(docs: DataFrame, tokens: int = TOKENS) -> tuple[dict[str, int], Words, np.ndarray]:
+    """Tokens of the commonest words of all documents, what is known of them, and each class's share of all words; a bounded number of words comes to the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -50,155 +86,260 @@ def vocabulary(docs: DataFrame, tokens: int = TOKENS) -> tuple[dict[str, int], n
                 counts.update(words_of(t.as_py()))
             yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(CONTEXTS * 256)
+        for batch in batches:
+            if len(batch):
+                places, owner = spelled(batch.column(0).to_pylist())
+                counts += np.bincount(places, weights=batch.column(1).to_numpy()[owner], minlength=len(counts))
+        places = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(counts[places].astype(np.int64))], names=["at", "n"])
+
     counts = docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counts = stash(counts, "word-counts")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    top = counts.orderBy(F.desc("n"), "word").limit(tokens - 2).collect()
-    shares = np.zeros(tokens)
-    shares[2 : 2 + len(top)] = [r.n for r in top]
-    shares[OTHER] = total - shares.sum()
-    return {r.word: k + 2 for k, r in enumerate(top)}, shares / max(1, total)
-
-
-def encode(text: str | None, known: dict[str, int]) -> np.ndarray:
-    words = words_of(text)
-    return np.fromiter((known.get(w, OTHER) for w in words), dtype=np.int64, count=len(words))
-
-
-def windows_of(ids: np.ndarray) -> np.ndarray:
-    """One row a token: its neighbours by offset, then itself."""
-    padded = np.concatenate([np.full(REACH, EDGE), ids, np.full(REACH, EDGE)])
-    return np.stack([padded[REACH + o : REACH + o + len(ids)] for o in [*OFFSETS, 0]], axis=1)
+    sizes = sorted(((r.n, r.words) for r in counts.groupBy("n").agg(F.count("*").alias("words")).collect()), reverse=True)
+    total, held, least = sum(n * k for n, k in sizes), 0, 0
+    for n, k in sizes:
+        held += k
+        if held > tokens - 2:
+            least = n
+            break
+    top = counts.where(F.col("n") > least).toArrow()
+    top = sorted(zip((-n for n in top["n"].to_pylist()), top["word"].to_pylist(), strict=True))
+    singles, most = CLASSES // 2 - 2, CLASSES // 2 - 1
+    ends: Counter[str] = Counter()
+    for n, word in top[singles:]:
+        ends[word[-2:]] -= n
+    common = [e for _, e in sorted((-n, e) for e, n in ends.items())[:most]]
+    class_of = {e: 2 + min(singles, len(top)) + k for k, e in enumerate(common)}
+    rare = 2 + min(singles, len(top)) + len(common)
+    classes = np.array([EDGE, OTHER, *(2 + k if k < singles else class_of.get(w[-2:], rare) for k, (_, w) in enumerate(top))], np.uint16)
+    n = np.array([0, 0, *(-n for n, _ in top)], float)
+    n[OTHER] = total - n.sum()
+    sums = np.bincount(classes, weights=n)
+    within = np.zeros(len(n), np.float32)
+    within[2:] = np.log(n[2:] / sums[classes[2:]])
+    spellings = np.zeros(CONTEXTS * 256)
+    for r in counts.where(F.col("n") <= max(least, 1)).mapInArrow(spell, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
+        spellings[r["at"]] = r.n
+    return {w: k + 2 for k, (_, w) in enumerate(top)}, Words(classes, within, Words.spelling_of(spellings)), sums / max(1, total)
+
+
+def joined(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' classes one after the other with edges around each, and where each text starts."""
+    edge = np.full(REACH, EDGE, np.uint16)
+    starts = REACH + np.cumsum([0] + [len(t) + REACH for t in texts[:-1]])
+    return np.concatenate([edge, *(x for t in texts for x in (t, edge))]), starts
 
 
 @dataclass
 class Network:
-    tables: np.ndarray  # (offsets, tokens, hidden)
+    class_tables: np.ndarray  # (offsets, classes, hidden)
     bias: np.ndarray
-    out: np.ndarray  # (hidden, tokens)
-    out_bias: np.ndarray
+    class_out: np.ndarray  # (hidden, classes)
+    class_bias: np.ndarray
+    words: Words | None
 
     @staticmethod
-    def new(tokens: int = TOKENS, hidden: int = HIDDEN, seed: int = 5) -> Network:
+    def new(words: Words | None = None, hidden: int = HIDDEN, seed: int = 5) -> Network:
         rng = np.random.default_rng(seed)
+        words = words or Words.new()
+        classes = int(words.classes.max()) + 1
         make = lambda *shape: rng.normal(0, 0.1, shape).astype(np.float32)
-        return Network(make(len(OFFSETS), tokens, hidden), np.zeros(hidden, np.float32), make(hidden, tokens), np.zeros(tokens, np.float32))
+        return Network(make(len(OFFSETS), classes, hidden), np.zeros(hidden, np.float32), make(hidden, classes), np.zeros(classes, np.float32), words)
+
+    @cached_property
+    def tables(self) -> np.ndarray:
+        """Embeddings by token: (offsets, tokens, hidden)."""
+        return self.class_tables[:, self.words.classes]
+
+    @cached_property
+    def out(self) -> np.ndarray:
+        """Output weights by token: (hidden, tokens)."""
+        return self.class_out[:, self.words.classes]
+
+    @cached_property
+    def out_bias(self) -> np.ndarray:
+        return self.class_bias[self.words.classes] + self.words.within
+
+    def params(self) -> list[np.ndarray]:
+        return [self.class_tables, self.bias, self.class_out, self.class_bias]
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([x.ravel() for x in (self.tables, self.bias, self.out, self.out_bias)])
+        return np.concatenate([x.ravel() for x in self.params()])
 
     def like(self, flat: np.ndarray) -> Network:
         parts, at = [], 0
-        for x in (self.tables, self.bias, self.out, self.out_bias):
+        for x in self.params():
             parts.append(flat[at : at + x.size].reshape(x.shape).astype(np.float32))
             at += x.size
-        return Network(*parts)
-
-    def hidden(self, windows: np.ndarray) -> np.ndarray:
-        total = np.repeat(self.bias[None], len(windows), axis=0)
-        for k in range(len(OFFSETS)):
-            total += self.tables[k][windows[:, k]]
-        return np.tanh(total)
-
-    def log_probs(self, windows: np.ndarray) -> np.ndarray:
-        """Log probability of the last column's token in each row."""
-        logits = self.hidden(windows) @ self.out
-        logits += self.out_bias
+        return Network(*parts, self.words)
+
+    def hidden(self, flat: np.ndarray, at: np.ndarray) -> np.ndarray:
+        total = np.repeat(self.bias[None], len(at), axis=0)
+        for k, o in enumerate(OFFSETS):
+            total += self.class_tables[k].take(flat[at + o], axis=0)
+        return np.tanh(total, out=total)
+
+    def log_probs(self, flat: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Log probability of the class at each of the places."""
+        logits = self.hidden(flat, at) @ self.class_out
+        logits += self.class_bias
         logits -= logits.max(axis=1, keepdims=True)
-        own = logits[np.arange(len(windows)), windows[:, -1]]
+        own = logits[np.arange(len(at)), flat[at]]
         return own - np.log(np.exp(logits, out=logits).sum(axis=1))
 
-    def train(self, windows: np.ndarray, rate: float = RATE) -> Network:
-        """One pass of Adagrad over the windows in small batches; a new network."""
+    def train(self, streams: Iterable[tuple[np.ndarray, np.ndarray]], rate: float = RATE) -> tuple[Network, int]:
+        """One pass of Adagrad over the streams' places, in batches that grow; a new network and the number of places."""
         net = self.like(self.flat())
-        params = [net.tables, net.bias, net.out, net.out_bias]
-        past = [np.full(x.shape, 1e-6, np.float32) for x in params]
-        for at in range(0, len(windows), BATCH):
-            some = windows[at : at + BATCH]
-            h = net.hidden(some)
-            logits = h @ net.out + net.out_bias
-            p = np.exp(logits - logits.max(axis=1, keepdims=True))
-            p /= p.sum(axis=1, keepdims=True)
-            p[np.arange(len(some)), some[:, -1]] -= 1
-            p /= len(some)
-            inner = (p @ net.out.T) * (1 - h * h)
-            tables = np.zeros_like(net.tables)
-            for k in range(len(OFFSETS)):
-                np.add.at(tables[k], some[:, k], inner)
-            for x, g, s in zip(params, (tables, inner.sum(axis=0), h.T @ p, p.sum(axis=0)), past, strict=True):
-                s += g * g
-                x -= rate * g / np.sqrt(s)
-        return net
-
-
-def chosen_windows(docs: DataFrame, known: dict[str, int], every: int = EVERY) -> DataFrame:
-    """Windows of one position in `every` of each document, as packed rows."""
-
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        past = [np.full(x.shape, 1e-6, np.float32) for x in net.params()]
+        done = 0
+        for flat, places in streams:
+            first = 0
+            while first < len(places):
+                at = places[first : first + min(max(done // 64, BATCHES[0]), BATCHES[1])]
+                first += len(at)
+                done += len(at)
+                h = net.hidden(flat, at)
+                p = h @ net.class_out
+                p += net.class_bias
+                p -= p.max(axis=1, keepdims=True)
+                np.exp(p, out=p)
+                p *= 1 / (p.sum(axis=1, keepdims=True) * len(at))
+                p[np.arange(len(at)), flat[at]] -= np.float32(1 / len(at))
+                inner = (p @ net.class_out.T) * (1 - h * h)
+                tables = np.zeros_like(net.class_tables)
+                for k, o in enumerate(OFFSETS):
+                    near = flat[at + o]
+                    order = np.argsort(near, kind="stable")
+                    near = near[order]
+                    runs = np.flatnonzero(np.concatenate([[True], near[1:] != near[:-1]]))
+                    tables[k, near[runs]] = np.add.reduceat(inner[order], runs, axis=0)
+                for x, g, s in zip(net.params(), (tables, inner.sum(axis=0), h.T @ p, p.sum(axis=0)), past, strict=True):
+                    s += g * g
+                    x -= rate * g / np.sqrt(s)
+        return net, done
+
+
+def encoded(docs: DataFrame, known: dict[str, int], words: Words) -> DataFrame:
+    """doc_id, n_tokens, within (log probability of the words in their classes), classes (packed) for each row."""
+    shared = docs.sparkSession.sparkContext.broadcast((known, words))
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, words = shared.value
         for batch in batches:
-            some = []
-            for t in batch.column(0):
-                ids = encode(t.as_py(), known)
-                if len(ids):
-                    first = xxh64_intdigest(t.as_py().encode(), 3) % every
-                    some.append(windows_of(ids)[first::every])
-            if some:
-                packed = np.concatenate(some).astype("<u2")
-                yield pa.RecordBatch.from_arrays([pa.array([packed.tobytes()], pa.binary())], names=["windows"])
-
-    return docs.select("text").mapInArrow(choose, "windows binary")
-
-
-def train(docs: DataFrame, tokens: int = TOKENS, every: int = EVERY, rounds: int = ROUNDS) -> tuple[dict[str, int], Network]:
-    known, shares = vocabulary(docs, tokens)
-    windows, net = stash(chosen_windows(docs, known, every), "windows"), Network.new(tokens)
-    net.out_bias = np.log(np.maximum(shares, 1e-6)).astype(np.float32)
+            lengths, within, packed = [], [], []
+            for t in batch.column(1):
+                text = words_of(t.as_py())
+                ids = np.fromiter((known.get(w, OTHER) for w in text), dtype=np.int64, count=len(text))
+                rest = np.flatnonzero(ids == OTHER)
+                spelling = words.spelling[spelled([text[i] for i in rest])[0]].sum(dtype=float) if len(rest) else 0.0
+                lengths.append(len(ids))
+                within.append(words.within[ids].sum(dtype=float) + spelling)
+                packed.append(words.classes[ids].astype("<u2").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lengths, pa.int64()), pa.array(within, pa.float64()), pa.array(packed, pa.binary())], names=["doc_id", "n_tokens", "within", "classes"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(encode, "doc_id long, n_tokens long, within double, classes binary")
+
+
+def places_of(packed: bytes, n: int, every: int, rounds: int, round_: int) -> np.ndarray:
+    """A text's positions for a round: one in `every`, of which each belongs to one round."""
+    step = every * rounds
+    return np.arange((xxh64_intdigest(packed, 3) + round_ * every) % step, n, step)
+
+
+def streams(batches: Iterator[pa.RecordBatch], every: int, rounds: int, round_: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Joined texts of about STREAM words with their places for a round, in an order by lot."""
+    rng = np.random.default_rng(round_)
+    texts: list[np.ndarray] = []
+    places: list[np.ndarray] = []
+    waiting = 0
+
+    def shuffled() -> tuple[np.ndarray, np.ndarray]:
+        flat, starts = joined(texts)
+        return flat, rng.permutation(np.concatenate([p + s for p, s in zip(places, starts, strict=True)]))
+
+    for batch in batches:
+        for value in batch.column(0):
+            packed = value.as_py()
+            if packed:
+                texts.append(np.frombuffer(packed, "<u2"))
+                places.append(places_of(packed, len(texts[-1]), every, rounds, round_))
+                waiting += len(texts[-1])
+                if waiting >= STREAM:
+                    yield shuffled()
+                    texts.clear()
+                    places.clear()
+                    waiting = 0
+    if texts:
+        yield shuffled()
+
+
+def fit(table: DataFrame, words: Words, shares: np.ndarray, every: int = EVERY, rounds: int = ROUNDS) -> Network:
+    """The network after training on an encoded table."""
+    net = Network.new(words)
+    net.class_bias[: len(shares)] = np.log(np.maximum(shares, 1e-6))
     for round_ in range(rounds):
-        start = net
+        start = replace(net, words=None)
 
-        def fit(batches: Iterator[pa.RecordBatch], start=start, round_=round_) -> Iterator[pa.RecordBatch]:
-            rows = [np.frombuffer(w.as_py(), "<u2").reshape(-1, len(OFFSETS) + 1).astype(np.int64) for b in batches for w in b.column(0)]
-            if rows:
-                mine = np.concatenate(rows)
-                mine = mine[np.random.default_rng(round_).permutation(len(mine))]
-                fitted = start.train(mine).flat().astype(float)
-                yield pa.RecordBatch.from_arrays([pa.array([len(mine)], pa.int64()), pa.array([fitted], pa.list_(pa.float64()))], names=["n", "values"])
+        def part(batches: Iterator[pa.RecordBatch], start=start, round_=round_) -> Iterator[pa.RecordBatch]:
+            fitted, n = start.train(streams(batches, every, rounds, round_))
+            if n:
+                yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([fitted.flat().astype(float)], pa.list_(pa.float64()))], names=["n", "values"])
 
-        parts = windows.mapInArrow(fit, "n long, values array<double>").select("n", F.posexplode("values").alias("at", "value"))
+        parts = table.select("classes").mapInArrow(part, "n long, values array<double>").select("n", F.posexplode("values").alias("at", "value"))
         means = parts.groupBy("at").agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("value")).toArrow().sort_by("at")
         if len(means):
             net = net.like(means["value"].to_numpy())
-    return known, net
+    return net
 
 
-def pseudo_likelihoods(docs: DataFrame, known: dict[str, int], net: Network) -> DataFrame:
-    """doc_id, n_tokens, log_likelihood (the sum), mean_log_likelihood for each row."""
-    shared = docs.sparkSession.sparkContext.broadcast((known, net))
+def train(docs: DataFrame, tokens: int = TOKENS, every: int = EVERY, rounds: int = ROUNDS) -> tuple[dict[str, int], Network]:
+    known, words, shares = vocabulary(docs, tokens)
+    return known, fit(stash(encoded(docs, known, words), "classes"), words, shares, every, rounds)
+
+
+def scores(table: DataFrame, net: Network) -> DataFrame:
+    """doc_id, n_tokens, log_likelihood (the sum), mean_log_likelihood for each row of an encoded table."""
+    shared = table.sparkSession.sparkContext.broadcast(replace(net, words=None))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, model = shared.value
+        model = shared.value
         for batch in batches:
-            total, n = np.zeros(len(batch)), np.zeros(len(batch), dtype=np.int64)
+            n, total = batch.column(1).to_numpy(), batch.column(2).to_numpy().copy()
             held: list[tuple[int, np.ndarray]] = []
 
             def flush(total=total, held=held) -> None:
-                if held:
-                    logs = model.log_probs(np.concatenate([w for _, w in held]))
-                    owner = np.repeat([d for d, _ in held], [len(w) for _, w in held])
-                    total += np.bincount(owner, weights=logs, minlength=len(total))
-                    held.clear()
+                flat, _ = joined([t for _, t in held])
+                places = np.flatnonzero(flat)
+                owner = np.repeat([d for d, _ in held], [len(t) for _, t in held])
+                for at in range(0, len(places), BLOCK):
+                    mine = owner[at : at + BLOCK]
+                    total[mine[0] : mine[-1] + 1] += np.bincount(mine - mine[0], weights=model.log_probs(flat, places[at : at + BLOCK]))
+                held.clear()
 
             waiting = 0
-            for d, t in enumerate(batch.column(1)):
-                w = windows_of(encode(t.as_py(), words))
-                n[d] = len(w)
-                for at in range(0, len(w), BLOCK):
-                    held.append((d, w[at : at + BLOCK]))
-                    waiting += len(held[-1][1])
-                    if waiting >= BLOCK:
+            for d, t in enumerate(batch.column(3)):
+                if n[d]:
+                    held.append((d, np.frombuffer(t.as_py(), "<u2")))
+                    waiting += n[d]
+                    if waiting >= STREAM:
                         flush()
                         waiting = 0
-            flush()
+            if held:
+                flush()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(total), pa.array(total / np.maximum(n, 1))], names=["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(score, "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double")
+    return table.mapInArrow(score, "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double")
+
+
+def pseudo_likelihoods(docs: DataFrame, known: dict[str, int], net: Network) -> DataFrame:
+    """doc_id, n_tokens, log_likelihood (the sum), mean_log_likelihood for each row."""
+    return scores(encoded(docs, known, net.words), net)
+
+
+def trained_and_scored(docs: DataFrame) -> DataFrame:
+    """The scores of the documents that the network is trained on, which are encoded once."""
+    known, words, shares = vocabulary(docs)
+    table = stash(encoded(docs, known, words), "classes")
+    return scores(table, fit(table, words, shares))

@@ -57,8 +57,7 @@ def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def score_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return pseudo_likelihood.pseudo_likelihoods(docs, *pseudo_likelihood.train(docs))
+    return pseudo_likelihood.trained_and_scored(table(spark, sf_dir, "documents"))
 
 
 def dedup_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -531,6 +531,27 @@ def test_words_in_order_are_likelier_than_shuffled_ones(spark):
     assert a > b + 0.5
 
 
+def test_words_beyond_the_commonest_are_predicted(spark, docs):
+    known, net = pseudo_likelihood.train(docs)
+    prose = docs.where("lang = 'en' and n_chars > 2000").orderBy("doc_id").first().text
+    junk = ["Bever " * 300, "zqxv wvkk jjxq " * 100, "qqqq xxxxxxxxxx " * 150]
+    table = spark.createDataFrame(list(enumerate([prose, *junk])), "doc_id long, text string")
+    for tokens in (pseudo_likelihood.TOKENS, 300):
+        if tokens == 300:
+            known, net = pseudo_likelihood.train(docs, tokens=tokens)
+        means = [r.mean_log_likelihood for r in pseudo_likelihood.pseudo_likelihoods(table, known, net).orderBy("doc_id").collect()]
+        assert len({round(m, 6) for m in means}) == 4 and means[0] > max(means[1:]) and means[0] > max(means[2:]) + 10, (tokens, means)
+    total = np.bincount(net.words.classes, weights=np.exp(net.words.within.astype(float)))
+    assert total == pytest.approx(np.ones(len(total)), rel=1e-4) and len(known) <= 298
+    assert np.exp(net.words.spelling.astype(float)).reshape(-1, 256).sum(axis=1) == pytest.approx(1.0, rel=1e-4)
+
+
+def test_training_takes_every_position_once():
+    packed = np.arange(2, 1003, dtype="<u2").tobytes()
+    parts = [pseudo_likelihood.places_of(packed, 1001, pseudo_likelihood.EVERY, pseudo_likelihood.ROUNDS, k) for k in range(pseudo_likelihood.ROUNDS)]
+    assert sorted(np.concatenate(parts)) == list(range(1001))
+
+
 # the pipeline
 
 
