@@ -8,7 +8,8 @@ at -4 and 1, so that the worst texts do not flatten it where the classes meet.
 
 Fitted on at most SAMPLE labelled documents outside the held-out fold: half of them (by a hash of the text) make the
 dictionaries, with at most PIECES pieces of each, spread evenly over the whole text; the whole texts of the other half, in
-their natural proportion, make the curve. Pieces and measures come to the driver, not texts. Text is the only input of a
+their natural proportion, make the curve. Pieces (SAMPLE x PIECES x PIECE = 32 MB at most, all used) and measures come to
+the driver, not texts. Text is the only input of a
 score.
 
 Edge cases: a null or empty text has measure 0 and so the score of the curve there; with labels of one kind the fit is
@@ -31,7 +32,7 @@ from cladeframe.llm.labelled import HELD_OUT, fold, sample
 from cladeframe.llm.shared import stash
 
 SAMPLE, PIECES = 8_000, 8
-PIECE, DICTIONARY, LEVEL, CLASS_BYTES = 512, 64 << 10, 3, 4 << 20
+PIECE, DICTIONARY, LEVEL = 512, 64 << 10, 3
 CUT = 0.3
 
 
@@ -78,11 +79,11 @@ def spread(text: bytes) -> list[bytes]:
 
 
 def dictionary(pieces: list[bytes]) -> bytes:
-    """A zstandard dictionary from CLASS_BYTES of pieces at most."""
-    ends = np.cumsum([len(p) for p in pieces])
-    pieces = pieces[: int(np.searchsorted(ends, CLASS_BYTES)) + 1]
+    """A zstandard dictionary from all of the pieces, in an order by lot: the library stops where a run of them adds nothing,
+    and by itself keeps the last quarter only to try the dictionary on."""
+    pieces = [pieces[k] for k in np.random.default_rng(3).permutation(len(pieces))]
     try:
-        return zstandard.train_dictionary(DICTIONARY, pieces, k=256, d=8, f=18, steps=1, accel=1).as_bytes()
+        return zstandard.train_dictionary(DICTIONARY, pieces, k=256, d=8, f=18, split_point=1.0, steps=1, accel=1).as_bytes()
     except zstandard.ZstdError:  # too few pieces to choose from: the dictionary is their plain content
         return b"".join(pieces)[-DICTIONARY:].ljust(8, b" ")
 

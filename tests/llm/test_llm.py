@@ -278,6 +278,13 @@ def test_pieces_are_from_all_over_a_text():
     assert quality.spread(b"short") == [b"short"] and quality.spread(b"") == []
 
 
+def test_dictionary_sees_the_last_pieces():
+    rng = np.random.default_rng(2)
+    piece = lambda words: " ".join(words[k] for k in rng.integers(0, len(words), 80)).encode()[: quality.PIECE]
+    early, late = ([f"{x}{k}word" for k in range(300)] for x in ("early", "late"))
+    assert b"late" in quality.dictionary([piece(early) for _ in range(9000)] + [piece(late) for _ in range(4000)])
+
+
 def test_quality_edge_cases(odd, empty, spark):
     texts = [f"plain words go here and there {i}" for i in range(40)] + [f"@@@ ### !!! $$$ {i}" for i in range(40)]
     d = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
