@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cladeframe.functions import text
 
+ROWS_PER_BUCKET = 5_000
 
 def filter_by_ids(seqs: DataFrame, ids: DataFrame, inverse: bool = False) -> DataFrame:
     """Sequences whose gene_id is listed (column id), or is not."""
@@ -28,8 +29,18 @@ def rename_sequential(seqs: DataFrame) -> DataFrame:
 
 
 def numbered(seqs: DataFrame, *lead: str) -> DataFrame:
-    n = F.row_number().over(Window.partitionBy("genome_id").orderBy("gene_ord"))
-    return seqs.withColumn("gene_id", F.concat_ws("_", *lead, n))
+    """Numbers in two levels, so that no task sorts a whole genome: within ranges of gene_ord, and counts of the ranges before."""
+    spans = seqs.groupBy("genome_id").agg(F.min("gene_ord").alias("s_low"), F.max("gene_ord").alias("s_high"), F.count("*").alias("s_rows")).withColumnRenamed("genome_id", "s_genome")
+    share = (F.col("gene_ord") - F.col("s_low")) / (F.col("s_high") - F.col("s_low") + 1)
+    bucket = F.coalesce(F.floor(share * F.ceil(F.col("s_rows") / ROWS_PER_BUCKET)), F.lit(-1))  # null comes first
+    placed = seqs.join(spans, F.col("genome_id").eqNullSafe(F.col("s_genome"))).select(*seqs.columns, bucket.alias("s_bucket"))
+    running = Window.partitionBy("c_genome").orderBy("c_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy(F.col("genome_id").alias("c_genome"), F.col("s_bucket").alias("c_bucket")).agg(F.count("*").alias("c_rows"))
+    before = counts.select("c_genome", "c_bucket", F.coalesce(F.sum("c_rows").over(running), F.lit(0)).alias("c_before"))
+    within = placed.withColumn("s_nth", F.row_number().over(Window.partitionBy("genome_id", "s_bucket").orderBy("gene_ord")))
+    joined = within.join(before, F.col("genome_id").eqNullSafe(F.col("c_genome")) & (F.col("s_bucket") == F.col("c_bucket")))
+    named = joined.withColumn("gene_id", F.concat_ws("_", *lead, F.col("c_before") + F.col("s_nth")))
+    return named.drop("s_bucket", "s_nth", "c_genome", "c_bucket", "c_before")
 
 
 def prefix_headers(seqs: DataFrame, prefix: str) -> DataFrame:

@@ -219,3 +219,17 @@ def test_failures_of_groups_are_rows(spark):
     assert rows(out) == [("a", 0.5), ("a", 1.0)]
     [(k, error)] = rows(errors)
     assert k == "b" and "ZeroDivisionError" in error
+
+
+def test_sequences_are_numbered_in_ranges(spark, monkeypatch):
+    monkeypatch.setattr(sequences, "ROWS_PER_BUCKET", 10)
+    given = [(g, o * o, f"x{o}") for g in ("a", "b", None) for o in range(95)] + [("a", None, "none"), ("one", 7, "y")]
+    df = spark.createDataFrame(given, "genome_id string, gene_ord long, gene_id string")
+    got = {(r.genome_id, r.gene_ord): r.gene_id for r in sequences.prefix_headers(df.withColumn("p", F.lit("p")), "p").collect()}
+    assert len(got) == len(given)
+    for g, o, name in given:
+        n = sum(x == g and (-1 if y is None else y) <= (-1 if o is None else o) for x, y, _ in given)
+        assert got[g, o] == f"p_{name}_{n}"
+    assert sequences.rename_sequential(df).columns == df.columns
+    plan = sequences.rename_sequential(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert all("bucket" in line for line in plan.splitlines() if "row_number" in line and "Window" in line)
