@@ -18,12 +18,6 @@ def vocabulary_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def byte_pattern() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.PATTERN
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -43,7 +37,7 @@ def classify_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_and_read_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = token_files.write_tokens(table(spark, sf_dir, "documents"), vocabulary_file("byte_bpe_50k.json"), byte_pattern(), END_ID)
+    files = token_files.write_tokens(table(spark, sf_dir, "documents"), vocabulary_file("byte_bpe_50k.json"), END_ID)
     return token_files.read_tokens(files)
 
 

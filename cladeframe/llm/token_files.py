@@ -9,10 +9,11 @@ it without a copy. A second file of the same kind beside it holds the documents
 A task names its files by its attempt, and only the names of tasks that ended well reach the written index, so attempts
 that were lost or ran twice do no harm.
 
-Encoding: a text is cut at single spaces between other characters, where the byte-level pattern cuts as well, and a cut
-into the pattern's pieces. Pieces are independent of each other: those that a worker has not met are encoded by the
-tokenizers library, many in one call, and a bounded memory keeps the ids of pieces and cuts. Texts with other blanks, and
-cuts with characters beyond Latin letters, go to the library as they are.
+Encoding: a text is cut at single spaces between other characters, where the byte-level pattern cuts as well. Of each
+group of texts (some megabytes) every distinct cut is encoded once by the tokenizers library, thousands in one call:
+joined by spaces, and parted again at the tokens that begin with a space, of which a cut has one, its first. A bounded
+memory keeps the ids of frequent cuts. Texts with other blanks or with special tokens go to the library as they are.
+The string of a special token in a text is that token, as is the library's default.
 
 Edge cases: a null text is an empty one and has only the end id; an empty table has no files and no rows; a null doc_id
 comes first; rows that share an id are ordered by a hash of their text.
@@ -20,17 +21,17 @@ comes first; rows that share an id are ordered by a hash of their text.
 
 from __future__ import annotations
 
-import re
+import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs
 import pyarrow.ipc
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,109 +40,101 @@ from cladeframe.llm.shared import new_path, stash
 
 LENGTH = 2048
 SEQUENCES = 256
-MEMORY = 600_000  # cuts, and pieces, kept by a worker; those met first, which the frequent ones are among
-LONGEST = 48  # characters of a cut that is kept
-TOGETHER = 4096  # pieces in one call
-PLAIN = re.compile(r"[\x21-\x7e\n\u00a1-\u024f]+")
-BLANKS = re.compile(r"^\s|\s$|[^\S\n]|^$")
+GROUP_BYTES = 8 << 20  # of texts that are encoded together
+MEMORY = 200_000  # cuts whose ids a worker keeps: the first that occur twice in a group
+TOGETHER = 4096  # cuts in one string for the library
+WIDE = r"\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+ODD = rf"^$|^[\n{WIDE}]|[\n{WIDE}]$|[\t\v\f\r{WIDE}]"  # blanks, but for newlines inside
+
+
+def gathered(values: np.ndarray, starts: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Runs of values, one after the other."""
+    ends = np.cumsum(n)
+    return values[np.repeat(starts - ends + n, n) + np.arange(ends[-1] if len(n) else 0)]
 
 
 class Encoder:
-    """Texts to the bytes of their ids, by the tokenizers library."""
+    """Texts to ids, by the tokenizers library."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, end_id: int):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.pieces_of = regex.compile(pattern).findall
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.cuts: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def plain(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
-
-    def together(self, pieces: list[str], between: str) -> dict[str, bytes]:
-        """Pieces that stay apart when joined by `between`, in one call: the library numbers the pieces of each id."""
-        e = self.tokenizer.encode(between.join(pieces), add_special_tokens=False)
-        words = np.array(e.word_ids)
-        first = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
-        ids, size = np.array(e.ids, dtype=self.dtype).tobytes(), self.dtype.itemsize
-        edges = (np.append(first, len(words)) * size).tolist()
-        step = 2 if between else 1
-        if len(first) != step * len(pieces) - (step - 1):
-            return {p: self.plain(p) for p in pieces}
-        return {p: ids[edges[step * k] : edges[step * k + 1]] for k, p in enumerate(pieces)}
-
-    def learn(self, new: set[str]) -> dict[str, bytes]:
-        """Ids of new pieces."""
-        spaced, bare, out = [], [], {}
-        for p in new:
-            if p[0] == " " and p[1:].isalpha():
-                spaced.append(p)
-            elif p.isalpha() and len(p) > 2:
-                bare.append(p)
-            else:
-                out[p] = self.plain(p)
-        for group, between in ((spaced, ""), (bare, "\n")):
-            for at in range(0, len(group), TOGETHER):
-                out |= self.together(group[at : at + TOGETHER], between)
-        return out
-
-    def known(self, piece: str) -> bytes | None:
-        """A piece that begins with a space has the ids of the cut behind the space, and is kept as that cut only."""
-        return (self.cuts.get(piece[1:]) if piece[0] == " " else None) or self.pieces.get(piece)
-
-    def keep(self, pieces: dict[str, bytes]) -> None:
-        for p, ids in pieces.items():
-            as_cut = p[0] == " " and p[1:].isalpha()
-            table = self.cuts if as_cut else self.pieces
-            if len(table) < MEMORY and len(p) <= LONGEST:
-                table[p[1:] if as_cut else p] = ids
-
-    def cut_ids(self, cuts: list[str]) -> list[bytes]:
-        """Ids of new cuts, each with what stands before it."""
-        split = [self.pieces_of(c) if PLAIN.fullmatch(c, 1 if c[0] == " " else 0) else None for c in cuts]
-        new = self.learn({p for ps in split if ps for p in ps if self.known(p) is None})
-        get = new.get
-        out = [b"".join([get(p) or self.known(p) for p in ps]) if ps else self.plain(c) for c, ps in zip(cuts, split, strict=True)]
-        self.keep(new)
-        return out
-
-    def encode(self, texts: pa.Array) -> list[bytes]:
-        """texts: without nulls. Each distinct cut of them is looked up once."""
+        self.tokenizer, self.end_id = Tokenizer.from_file(path), end_id
+        size = self.tokenizer.get_vocab_size()
+        self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.spaced = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])  # the byte of a space
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.known: dict[str, int] = {}  # a cut's place among those kept
+        self.kept = np.zeros(0, dtype=self.dtype), np.zeros(0, dtype=np.int64)
+
+    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and how many each has."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        n = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        return np.concatenate([np.zeros(0, dtype=self.dtype), *(np.array(x, dtype=self.dtype) for x in found)]), n
+
+    def spaced_cuts(self, cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ids, for cuts with a space before each."""
+        parts = [cuts[at : at + TOGETHER] for at in range(0, len(cuts), TOGETHER)]
+        flat, n = self.ids([" " + " ".join(part) for part in parts])
+        first = np.flatnonzero(self.spaced[flat])
+        if len(first) == len(cuts) and (not len(flat) or first[0] == 0):
+            return flat, np.diff(np.append(first, len(flat)))
+        return self.ids([" " + c for c in cuts])
+
+    def odd(self, cuts: pa.Array) -> np.ndarray:
+        """Cuts that may not stand alone."""
+        found = pc.match_substring_regex(cuts, ODD)
+        for special in self.special:
+            found = pc.or_(found, pc.match_substring(cuts, special))
+        return found.to_numpy(zero_copy_only=False)
+
+    def keep(self, new: list[tuple[str, int]], often: np.ndarray, values: np.ndarray, starts: np.ndarray, n: np.ndarray) -> None:
+        """Keep the cuts that occur often, given with their places in values."""
+        chosen = [new[k] for k in np.flatnonzero(often)[: MEMORY - len(self.known)]]
+        if chosen:
+            self.known |= {c: len(self.known) + k for k, (c, _) in enumerate(chosen)}
+            places = np.array([s for _, s in chosen])
+            self.kept = np.concatenate([self.kept[0], gathered(values, starts[places], n[places])]), np.concatenate([self.kept[1], n[places]])
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts without nulls, the end id behind each, and how many each has with it."""
         lists = pc.split_pattern(texts, " ")
-        flat, edges = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        coded = flat.dictionary_encode()
-        cuts, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        values: list[bytes | None] = list(map(self.cuts.get, cuts))
-        blank = np.zeros(len(cuts), dtype=bool)
-        new = [k for k, v in enumerate(values) if v is None]
-        for k in [k for k in new if BLANKS.search(cuts[k])]:
-            blank[k] = True
-        new = [k for k in new if not blank[k]]
-        for k, v in zip(new, self.cut_ids([" " + cuts[k] for k in new]), strict=True):
-            values[k] = v
-        if len(self.cuts) < MEMORY:
-            self.cuts |= {cuts[k]: values[k] for k in new if len(cuts[k]) < LONGEST}
-        # texts with a blank cut go as they are; a text's first cut has no space before it
-        whole = np.flatnonzero(np.add.reduceat(blank[at], edges[:-1])) if len(texts) else []
-        firsts = sorted({cuts[k] for k in set(at[edges[:-1]].tolist()) if not blank[k]})
-        heads = dict(zip(firsts, self.cut_ids(firsts), strict=True))
-        places, get, out = at.tolist(), values.__getitem__, []
-        asis = set(whole.tolist()) if len(texts) else set()
-        for d, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)):
-            out.append(self.plain(texts[d].as_py()) if d in asis else heads[cuts[places[a]]] + b"".join(map(get, places[a + 1 : b])))
-        return out
+        coded = lists.flatten().dictionary_encode()
+        edges = lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()
+        at, begin = coded.indices.to_numpy(), edges[:-1]
+        odd = self.odd(coded.dictionary)
+        whole = np.add.reduceat(odd[at], begin, dtype=np.int64) > 0
+        plain = np.flatnonzero(~odd)
+        cuts = coded.dictionary.take(pa.array(plain)).to_pylist()
+        slots = np.fromiter(map(self.known.get, cuts, repeat(-1)), dtype=np.int64, count=len(cuts))
+        new = np.flatnonzero(slots < 0)
+        heads, head_of = np.unique(at[begin[~whole]], return_inverse=True)  # a text's first cut has no space before it
+        parts = [self.kept, self.spaced_cuts([cuts[k] for k in new]), self.ids(coded.dictionary.take(pa.array(heads)).to_pylist()), self.ids(texts.filter(pa.array(whole)).to_pylist())]
+        values, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        starts = np.cumsum(n) - n
+        first_new, first_head, first_whole, _ = np.cumsum([len(x[1]) for x in parts])
+        slots[new] = first_new + np.arange(len(new))
+        slot = np.zeros(len(odd), dtype=np.int64)
+        slot[plain] = slots
+        self.keep([(cuts[k], s) for k, s in zip(new.tolist(), slots[new].tolist(), strict=True)], np.bincount(at, minlength=len(odd))[plain[new]] > 1, values, starts, n)
+        slot = slot[at]
+        slot[begin[~whole]] = first_head + head_of
+        slot[begin[whole]] = first_whole + np.arange(int(whole.sum()))
+        rest = np.repeat(whole, np.diff(edges))
+        rest[begin[whole]] = False
+        length = np.where(rest, 0, n[slot])  # a text that went as a whole is in its first place
+        flat = gathered(values, starts[slot], length)
+        return np.insert(flat, np.cumsum(length)[edges[1:] - 1], self.end_id), np.add.reduceat(length, begin) + 1
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, pattern: str) -> Encoder:
-    return Encoder(path, pattern)
+def encoder(path: str, end_id: int) -> Encoder:
+    return Encoder(path, end_id)
 
 
-def groups(batch: pa.RecordBatch, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def groups(batch: pa.RecordBatch, size: int = GROUP_BYTES) -> Iterator[pa.RecordBatch]:
     """A batch in slices of about so many bytes of text."""
     ends = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False))
     at = 0
@@ -185,7 +178,7 @@ class SequenceFile:
         self.writer.close()
 
 
-def write_tokens(docs: DataFrame, path: str, pattern: str, end_id: int, length: int = LENGTH, sequences: int = SEQUENCES, folder: str | None = None) -> DataFrame:
+def write_tokens(docs: DataFrame, path: str, end_id: int, length: int = LENGTH, sequences: int = SEQUENCES, folder: str | None = None) -> DataFrame:
     """Write the files and return the index: one row a document with its file, in ascending doc_id order by file name."""
     spark = docs.sparkSession
     folder = folder or new_path(spark, "tokens")
@@ -198,8 +191,7 @@ def write_tokens(docs: DataFrame, path: str, pattern: str, end_id: int, length:
         name = f"part-{task.partitionId():06d}-{task.taskAttemptId()}"
         out = index = None
         at = 0
-        coder = encoder(path, pattern)
-        end = np.array([end_id], dtype=coder.dtype).tobytes()
+        coder = encoder(path, end_id)
         for batch in batches:
             for group in groups(batch):
                 if out is None:
@@ -209,10 +201,8 @@ def write_tokens(docs: DataFrame, path: str, pattern: str, end_id: int, length:
                     out = SequenceFile(sink, coder.dtype, length, sequences)
                     listing = fs.open_output_stream(f"{place}/{name}.docs.arrow")
                     index = pa.ipc.new_file(listing, pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())]))
-                encoded = [np.frombuffer(x + end, dtype=coder.dtype) for x in coder.encode(group.column(1))]
-                for x in encoded:
-                    out.put(x)
-                n = np.array([len(x) for x in encoded], dtype=np.int64)
+                ids, n = coder.encode(group.column(1))
+                out.put(ids)
                 start = at + np.cumsum(n) - n
                 at += int(n.sum())
                 table = pa.RecordBatch.from_arrays([group.column(0), pa.array(start), pa.array(n)], names=["doc_id", "start", "n_tokens"])

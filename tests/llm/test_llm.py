@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from cladeframe.llm import decontamination, labelled, mixing, neighbours, pseudo_likelihood, quality, simhash, suffix_dedup, token_counts, token_files, toxicity
-from cladeframe.llm.queries import byte_pattern, vocabulary_file
+from cladeframe.llm.queries import vocabulary_file
 from cladeframe.llm.shared import components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp long, size long, file string, y int"
@@ -300,14 +300,13 @@ def test_quality_edge_cases(odd, empty, spark):
 
 
 def write(table, **how):
-    return token_files.write_tokens(table, vocabulary_file("byte_bpe_50k.json"), byte_pattern(), 2, **how)
+    return token_files.write_tokens(table, vocabulary_file("byte_bpe_50k.json"), 2, **how)
 
 
 def test_token_files_round_trip(docs, odd):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(vocabulary_file("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     for table, how in ((docs, {}), (odd, {"length": 16, "sequences": 4}), (odd.where("doc_id = 3"), {"length": 2, "sequences": 1})):
         texts = sorted(rows(table.select("doc_id", F.coalesce("text", F.lit("")))), key=lambda r: (r[0] is not None, r[0] or 0))
         ids = [tokenizer.encode(t, add_special_tokens=False).ids + [2] for _, t in texts]
