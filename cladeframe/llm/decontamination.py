@@ -12,14 +12,13 @@ candidate is verified with the shingles themselves, not their hashes.
 The sketches go to the tasks in blocks of bounded size; a benchmark of one block takes one pass over the documents and
 no shuffle, a larger one a pass for each block.
 
-Words are runs of letters, digits and underscores in lower case. An item of fewer words than a shingle is one shingle of
+Words are runs of letters, marks, digits and underscores in lower case. An item of fewer words than a shingle is one shingle of
 all its words and is looked for as such; an item without words is held by nothing. Null texts are empty; a null doc_id
 stays null in the result; rows that repeat give the same rows again; a null item_id is an item like any other.
 """
 
 from __future__ import annotations
 
-import re
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import repeat
@@ -30,17 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-WORD = re.compile(r"\w+")
+from cladeframe.llm.shared import words_of
+
 SHINGLE, LEAST = 5, 0.8
 BLOCK_WORDS = 2_000_000  # of items that one pass holds
 SEED = 17
 FACTORS = (2 * np.random.default_rng(SEED).integers(1 << 62, size=64, dtype=np.uint64) + 1).astype(np.uint64)
 
 
-def words_of(text: str | None) -> list[str]:
-    return WORD.findall(text.lower()) if text else []
-
-
 def hashes_of(words: list[str], n: int) -> np.ndarray:
     """A 64-bit hash for each run of n words."""
     if len(words) < n:

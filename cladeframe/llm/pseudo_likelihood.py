@@ -21,7 +21,6 @@ untrained network and no rows.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
@@ -33,9 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from cladeframe.llm.shared import stash
+from cladeframe.llm.shared import stash, words_of
 
-WORD = re.compile(r"\w+")
 TOKENS, CLASSES, HIDDEN, REACH, EVERY, ROUNDS = 1 << 18, 256, 24, 2, 1, 2
 EDGE, OTHER = 0, 1
 OFFSETS = [o for o in range(-REACH, REACH + 1) if o]
@@ -44,10 +42,6 @@ STREAM = 1 << 17
 CONTEXTS, NEW_BYTE = 4096, 0.1
 
 
-def words_of(text: str | None) -> list[str]:
-    return WORD.findall(text.lower()) if text else []
-
-
 def spelled(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Each byte of the words and a zero after each word, as its place in a table of contexts and bytes; and its word's number."""
     codes = np.frombuffer(("\0\0" + "".join(w + "\0\0" for w in words)).encode(), np.uint8).astype(np.int64)

@@ -1,13 +1,27 @@
-"""Connected components, and the shared scratch folder."""
+"""Words, connected components, and the shared scratch folder."""
 
 from __future__ import annotations
 
+import re
+import sys
+import unicodedata
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cladeframe.scratch import new_path, shared_dir, stash
 
-__all__ = ["components", "new_path", "remove", "shared_dir", "stash"]
+__all__ = ["components", "new_path", "remove", "shared_dir", "stash", "words_of"]
+
+MARKS = "".join(re.escape(chr(c)) for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c))[0] == "M")
+REST = rf"(?![\x00-\x7f])[{MARKS}][\w{MARKS}]*"
+PLAIN, WIDE, MARKED = re.compile(r"\w+"), re.compile(r"[^\x00-\u02ff]"), re.compile(rf"\w++(?:{REST})?|{REST}")
+
+
+def words_of(text: str | None) -> list[str]:
+    """Runs of letters, marks, numbers and underscores, in lower case. (\\w has no combining marks; they begin at U+0300.)"""
+    text = text.lower() if text else ""
+    return (MARKED if WIDE.search(text) else PLAIN).findall(text)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -21,7 +35,8 @@ def components(edges: DataFrame) -> DataFrame:
         both = e.union(e.select("b", "a"))
         around = both.where("b < a") if small else both
         lowest = around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        moved = around.join(lowest, "a")
+        # by a key of its own: both sides are shuffled for the join, so that the planner can split the neighbours of a hub
+        moved = around.withColumn("key", F.bitwise_not("a")).join(lowest.select(F.bitwise_not("a").alias("key"), "m"), "key").drop("key")
         if small:
             out = moved.select(F.col("b").alias("a"), F.col("m").alias("b")).union(lowest.select("a", F.col("m").alias("b")))
         else:

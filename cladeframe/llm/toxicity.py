@@ -21,7 +21,6 @@ of one kind only, or none, the fit is refused.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,19 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cladeframe.llm.labelled import sample
-from cladeframe.llm.shared import stash
+from cladeframe.llm.shared import stash, words_of
 
-WORD = re.compile(r"\w+")
 SAMPLE, MIN_DOCS, MIN_Z, MOST, GRADES, STEPS, PENALTY = 10_000, 5, 6.0, 3000, 3, 400, 1e-4
 SHORTEST, LONGEST = 3, 8
 PART = 512  # rows whose copies a worker holds at once
 KEPT = 50_000  # words whose weights a worker remembers
 
 
-def words_of(text: str | None) -> list[str]:
-    return WORD.findall(text.lower()) if text else []
-
-
 def parts(word: str) -> list[str]:
     """A word's features: its beginnings, and the word itself behind a mark."""
     return [word[:n] for n in range(SHORTEST, min(len(word), LONGEST) + 1)] + ["=" + word]
