@@ -99,13 +99,15 @@ levels AS (
 settled AS (SELECT *, (SELECT min_by(lvl, cap_rate) FROM levels WHERE lvl <= cap_rate) AS final FROM levels),
 targets AS (SELECT source, source_size, least(2.0::DOUBLE * source_size, final * weight) AS target FROM settled),
 queued AS (
-  SELECT d.doc_id, d.source, d.size, t.source_size, t.target,
-         CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.ord, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) - d.size AS start
-  FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-       CAST(greatest(0, least(size, CAST(floor(target) AS BIGINT) - start)) + greatest(0, least(size, CAST(floor(target) AS BIGINT) - start - source_size)) AS BIGINT) AS taken,
-       source, CASE WHEN target > 0 THEN CAST(start + size AS DOUBLE) / target END AS virtual_finish
-FROM queued
+  SELECT d.doc_id, d.source, d.size, t.source_size, t.target, row_number() OVER () AS place,
+         CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.ord, d.doc_id NULLS FIRST, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) - d.size AS start
+  FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
+copies AS (SELECT *, start + size + turn * source_size AS ended, CAST(start + size + turn * source_size AS DOUBLE) / target AS finish FROM (SELECT *, unnest([0, 1]) AS turn FROM queued WHERE target > 0)),
+ranged AS (SELECT place, size, CAST(sum(size) OVER (ORDER BY finish, source NULLS LAST, ended ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) - size AS words_before FROM copies),
+budget AS (SELECT CAST(floor(1.5::DOUBLE * sum(size)) AS BIGINT) AS total FROM sized),
+takes AS (SELECT place, CAST(sum(greatest(0, least(size, total - words_before))) AS BIGINT) AS taken FROM ranged, budget GROUP BY place)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken, source, CASE WHEN target > 0 THEN CAST(start + size AS DOUBLE) / target END AS virtual_finish
+FROM queued LEFT JOIN takes USING (place)
 """
 
 NEIGHBOURS_SQL = """
