@@ -13,12 +13,22 @@ Every match found is verified by its full distance. All is done on distinct fing
 is one row here, and no pair within it is written out.
 
 Two bits find copies with next to no changes. Texts that share 0.8 of their shingles differ in 10 bits of 64 on average,
-and balls of that size hold most of the table; for them (`similar_links`) a fingerprint has, besides its 64 bits,
-SEGMENTS segments that are each made of a sample, the SAMPLED shingles that come first in an order of the segment's own.
-Texts are looked up by each segment as it is: two that share 0.8 of their shingles have a given segment in common with a
-chance of a half, so one in a million such pairs is missed (in texts of some nine words, one in 27,000). Matches are verified by their full distance, then by the
-shingles. It goes in two rounds, so that a group of near copies is not written out in pairs: first every text of a bucket
-with the bucket's smallest, then only those that the first round has not put together.
+and balls of that size hold most of the table; for them (`similar_links`) a fingerprint has, besides its 64 bits, keys
+that texts are looked up by as they are:
+
+* texts of more than SHORT shingles have SEGMENTS segments, each made of a sample, the SAMPLED shingles that come first in
+  an order of the segment's own. Two that share 0.8 of their shingles have a given segment in common with a chance of a
+  half, so one in a million such pairs is missed. Matches are verified by their full distance first; one in ten million
+  pairs differs in more than WITHIN bits;
+* shorter ones have their first shingles, so many that two similar ones have one of these in common; none is missed. Texts
+  somewhat longer than SHORT have both kinds, as they may be like shorter ones.
+
+What is left of the matches is verified by the shingles. Pairs within a crowd of near copies are not written out: first
+every text of a bucket is compared with the bucket's smallest. Then, in buckets whose texts that has not put together, the
+shingles are counted: one that no other text has can be shared with none, and texts with too many such shingles have
+no partner (texts that share a passage and nothing else go here). The text with the fewest of them, that in the middle of
+a crowd, is compared with the others. Last, texts of a bucket that are still apart are compared with each other, where the
+counts leave it possible that they are similar.
 
 Edge cases: a null text counts as empty; texts without words get fingerprint zero, which links like any other, and are
 all alike; rows with the same id and text give rows that are the same. A null doc_id is never the smallest of a group
@@ -44,7 +54,8 @@ SEED = 42
 BLOCK = 1 << 16
 SHINGLE, LEAST = 5, 0.8  # of near copies
 SEGMENTS, SAMPLED = 20, 3
-WITHIN = 24  # bits of 64; similarity 0.8 gives 9.7 with a standard deviation of 2.9, in texts of a few words 12 with 3.1
+SHORT = 32  # shingles
+WITHIN = 26  # bits of 64; similarity 0.8 gives 9.7 with a standard deviation of 2.9
 ODD = (2 * np.random.default_rng(SEED).integers(1 << 62, size=SEGMENTS + SAMPLED, dtype=np.uint64) + 1).astype(np.uint64)
 
 
@@ -148,94 +159,145 @@ def segments(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
+def first_shingles(shingles: np.ndarray, least: float = LEAST) -> np.ndarray:
+    """Of two sets that are similar, these share at least one."""
+    n = len(shingles)
+    return mixed(shingles[: n - int(np.ceil(least * n - 1e-9)) + 1] ^ ODD[0])
+
+
+def keys_of(shingles: np.ndarray) -> np.ndarray:
+    n = len(shingles)
+    parts = [first_shingles(shingles)] if n <= SHORT / LEAST else []
+    return np.concatenate([*parts, segments(shingles)]) if n > SHORT else parts[0]
+
+
+def signed(xs: list[int]) -> pa.Array:
+    return pa.array(np.array(xs, dtype="<u8").view("<i8"))
+
+
+def signed_lists(xs: list[np.ndarray]) -> pa.Array:
+    return pa.array([x.view("<i8") for x in xs], pa.list_(pa.int64()))
+
+
 def sketches(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """A row for each row with a doc_id: fp, the segments, the distinct shingles (as hashes) and two sums that are equal
-    where the shingles are."""
+    """A row for each row with a doc_id: fp, the number of distinct shingles, two sums of them that are equal where they
+    are, and the keys."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part = batch.slice(at, 256)
                 sets = [shingle_set(t.as_py(), shingle) for t in part.column(1)]
-                signed = lambda xs: pa.array(np.array(xs, dtype="<u8").view("<i8"))
-                lists = lambda xs: pa.array([x.view("<i8") for x in xs], pa.list_(pa.int64()))
                 sums = [signed([x.sum(dtype=np.uint64) for x in sets]), signed([mixed(x).sum(dtype=np.uint64) for x in sets])]
-                columns = [part.column(0), signed([majority(x) if len(x) else 0 for x in sets]), *sums, pa.array([len(x) for x in sets], pa.int32()), lists(map(segments, sets)), lists(sets)]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", "sum_a", "sum_b", "n", "segments", "shingles"])
+                columns = [part.column(0), signed([majority(x) if len(x) else 0 for x in sets]), *sums, pa.array([len(x) for x in sets], pa.int32()), signed_lists(list(map(keys_of, sets)))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", "sum_a", "sum_b", "n", "keys"])
         pa.default_memory_pool().release_unused()  # the worker stays while the joins run
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).where("doc_id is not null")
-    return rows.mapInArrow(make, "doc_id long, fp long, sum_a long, sum_b long, n int, segments array<long>, shingles array<long>")
+    return rows.mapInArrow(make, "doc_id long, fp long, sum_a long, sum_b long, n int, keys array<long>")
+
 
+def shingle_sets(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
+    """node, shingles (as hashes) of the documents whose doc_id is in nodes.node."""
 
-def verified(pairs: DataFrame, rows: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) whose shingles are similar. Only the shingles of texts in a pair are moved; tables of pairs that
-    are small as files are broadcast by the planner, larger ones are joined by shuffles."""
-    pairs = stash(pairs.distinct(), "candidates")
-    some = stash(pairs.select("a").union(pairs.select("b")).distinct(), "candidate-texts")
-    sets = rows.select("doc_id", "shingles").join(some, F.col("doc_id") == F.col("a"), "left_semi")
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 256):
+                part = batch.slice(at, 256)
+                yield pa.RecordBatch.from_arrays([part.column(0), signed_lists([shingle_set(t.as_py(), shingle) for t in part.column(1)])], names=["node", "shingles"])
+        pa.default_memory_pool().release_unused()
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("binary").alias("text"))
+    return rows.join(nodes, "node", "left_semi").mapInArrow(make, "node long, shingles array<long>")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) whose shingles are similar."""
+    x, y = (sets.select(F.col("node").alias(k), F.col("shingles").alias(v)) for k, v in (("a", "x"), ("b", "y")))
+    both = pairs.distinct().join(y, "b").join(x, "a")
     shared = both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("shared"), (F.size("x") + F.size("y")).alias("sizes"))
     return shared.where(F.col("shared") >= least * (F.col("sizes") - F.col("shared")) - 1e-9).select("a", "b").distinct()
 
 
-def similar_links(rows: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFrame:
+def similar_links(docs: DataFrame, texts: DataFrame, shingle: int = SHINGLE, least: float = LEAST) -> DataFrame:
     """Links (a, b) between texts with a similarity of `least` or more (0.8 at least); what links reach from a text is
-    what similar texts reach. rows: sketches; texts: node, fp, n, segments, one row for each distinct set of shingles."""
+    what similar texts reach. texts: node (a doc_id of docs), fp, n, keys, one row for each distinct set of shingles."""
     if least < LEAST:
-        raise ValueError(f"segments are made for similarities of {LEAST} or more")
-    member = F.struct("node", "fp", "n")
-    found = stash(texts.select(F.explode("segments").alias("key"), member.alias("m")), "segments")
-    buckets = found.groupBy("key").agg(F.min("m").alias("lead"), F.count("*").alias("size")).where("size > 1").drop("size")
-    found = stash(found.join(buckets, "key"), "buckets")
+        raise ValueError(f"keys are made for similarities of {LEAST} or more")
 
     def near(x: str, y: str):
-        bits = F.bit_count(F.col(f"{x}.fp").bitwiseXOR(F.col(f"{y}.fp")))
-        return (bits <= WITHIN) & (F.least(f"{x}.n", f"{y}.n") >= least * F.greatest(f"{x}.n", f"{y}.n") - 1e-9)
-
-    led = found.where((F.col("m.node") > F.col("lead.node")) & near("m", "lead")).select(F.col("lead.node").alias("a"), F.col("m.node").alias("b"))
-    first = stash(verified(led, rows, least), "links")
-    roots = components(first).withColumnsRenamed({"node": "r_node"})
-    placed = found.join(roots, F.col("m.node") == F.col("r_node"), "left").select("key", "m", F.coalesce("root", "m.node").alias("root"))
-    apart = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
+        xs, ys = F.col(f"{x}.n"), F.col(f"{y}.n")
+        bits = F.bit_count(F.col(f"{x}.fp").bitwiseXOR(F.col(f"{y}.fp"))) <= WITHIN
+        return (F.least(xs, ys) >= least * F.greatest(xs, ys) - 1e-9) & (bits | (F.least(xs, ys) <= SHORT))
+
+    def possible(x: str, y: str):
+        """As far as the counts of shingles that other texts have as well tell."""
+        return F.least(f"{x}.common", f"{y}.common") >= least / (1 + least) * (F.col(f"{x}.n") + F.col(f"{y}.n")) - 1e-9
+
+    def ordered(x, y):
+        return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
+
+    def apart(members: DataFrame, links: DataFrame) -> DataFrame:
+        """Members of the buckets that links have not put together as a whole, each with its root."""
+        roots = components(links).withColumnRenamed("node", "r_node")
+        placed = members.join(roots, F.col("m.node") == F.col("r_node"), "left").select("key", "m", F.coalesce("root", "m.node").alias("root"))
+        several = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
+        return placed.join(several, "key")
+
+    each = texts.select(F.explode("keys").alias("key"), F.struct("node", "fp", "n").alias("m"))
+    leads = each.groupBy("key").agg(F.min("m").alias("lead"), F.count("*").alias("size")).where("size > 1").drop("size")
+    found = stash(each.join(leads, "key"), "buckets")
+    sets = stash(shingle_sets(docs, found.select("m.node").distinct(), shingle), "bucket-shingles")
+
+    led = found.where((F.col("m.node") > F.col("lead.node")) & near("m", "lead"))
+    first = stash(verified(led.select(*ordered(F.col("m.node"), F.col("lead.node"))), sets, least), "links")
+
+    left_over = stash(apart(found.select("key", "m"), first), "left-over")
+    shingles = sets.join(left_over.select("m.node").distinct(), "node", "left_semi").select("node", F.explode("shingles").alias("s"))
+    lone = shingles.groupBy("s").agg(F.count("*").alias("texts"), F.min("node").alias("o_node")).where("texts = 1").groupBy("o_node").agg(F.count("*").alias("own"))
+    counted = left_over.join(lone, F.col("m.node") == F.col("o_node"), "left").withColumn("common", F.col("m.n") - F.coalesce("own", F.lit(0)))
+    counted = counted.where(F.col("common") >= least * F.col("m.n") - 1e-9)
+    counted = stash(counted.select("key", F.struct("m.node", "m.fp", "m.n", "common").alias("m"), "root"), "counted")
+    middle = counted.groupBy("key").agg(F.min(F.struct((F.col("m.n") - F.col("m.common")).alias("own"), "m", "root")).alias("c")).select("key", F.col("c.m").alias("c"), F.col("c.root").alias("c_root"))
+    around = counted.join(middle, "key").where((F.col("root") != F.col("c_root")) & possible("m", "c") & near("m", "c"))
+    second = stash(verified(around.select(*ordered(F.col("m.node"), F.col("c.node"))), sets, least), "links")
+
+    last = stash(apart(counted.select("key", "m"), first.union(second)), "left-over")
     # sizes in steps of a quarter: similar texts are of the same step or of neighbours
     step = F.floor(F.log(F.col("m.n")) / F.log(F.lit(1 / LEAST)) + 1e-9)
-    left_over = stash(placed.join(apart, "key").withColumn("step", step), "left-over")
-    left = left_over.select("key", "step", F.col("m").alias("x"), F.col("root").alias("x_root"))
-    right = left_over.select("key", F.explode(F.array(F.col("step"), F.col("step") - 1)).alias("step"), F.col("m").alias("y"), F.col("root").alias("y_root"))
+    left = last.select("key", step.alias("step"), F.col("m").alias("x"), F.col("root").alias("x_root"))
+    right = last.select("key", F.explode(F.array(step, step - 1)).alias("step"), F.col("m").alias("y"), F.col("root").alias("y_root"))
     in_order = F.struct("x.n", "x.node") < F.struct("y.n", "y.node")
-    across = left.join(right, ["key", "step"]).where((F.col("x_root") != F.col("y_root")) & in_order & near("x", "y"))
-    across = across.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
-    return first.union(stash(verified(across, rows, least), "links"))
+    across = left.join(right, ["key", "step"]).where((F.col("x_root") != F.col("y_root")) & in_order & possible("x", "y") & near("x", "y"))
+    third = stash(verified(across.select(*ordered(F.col("x.node"), F.col("y.node"))), sets, least), "links")
+    for table in (found, sets, left_over, counted, last):
+        remove(table)
+    return first.union(second).union(third)
 
 
 def similar_groups(docs: DataFrame, shingle: int = SHINGLE, least: float = LEAST) -> DataFrame:
     """(doc_id, component_id) for each doc_id: component_id is the smallest doc_id that similar texts reach from it."""
-    return groups_of(stash(sketches(docs, shingle), "sketches"), least)
-
-
-def groups_of(rows: DataFrame, least: float = LEAST) -> DataFrame:
-    """similar_groups from sketches."""
-    texts = rows.groupBy("sum_a", "sum_b", "n").agg(F.min(F.struct("doc_id", "fp", "segments")).alias("t"))
-    texts = stash(texts.select("sum_a", "sum_b", F.col("t.doc_id").alias("node"), "t.fp", "n", "t.segments"), "texts")
-    links = similar_links(rows, texts, least)
+    rows = stash(sketches(docs, shingle), "sketches")
+    texts = rows.groupBy("sum_a", "sum_b", "n").agg(F.min(F.struct("doc_id", "fp", "keys")).alias("t"))
+    texts = stash(texts.select("sum_a", "sum_b", F.col("t.doc_id").alias("node"), "t.fp", "n", "t.keys"), "texts")
+    links = similar_links(docs, texts, shingle, least)
     alike = texts.select("node", "sum_a", "sum_b")
     same = rows.select("doc_id", "sum_a", "sum_b").join(alike, ["sum_a", "sum_b"]).select("doc_id", "node").distinct()
     twice = same.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b")  # ids with several texts
-    roots = stash(components(links.union(twice.select("a", "b"))), "similar-texts")
+    roots = components(links.union(twice.select("a", "b")))
     named = same.groupBy("doc_id").agg(F.min("node").alias("node")).join(roots, "node", "left")
-    return named.select("doc_id", F.coalesce("root", "node").alias("component_id"))
+    named = stash(named.select("doc_id", F.coalesce("root", "node").alias("component_id")), "similar-texts")
+    remove(rows)
+    remove(texts)
+    return named
 
 
 def keep_first(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """One document of each group (similar_groups, or other groups of docs): the one whose doc_id is the smallest. Rows
     that repeat a doc_id stay once; a group without any doc_id keeps none of its rows apart, so rows with a null doc_id
     all stay."""
-    rows = stash(sketches(docs), "sketches") if groups is None else None
-    groups = groups_of(rows) if groups is None else groups
+    groups = similar_groups(docs) if groups is None else groups
     firsts = stash(groups.where("doc_id = component_id").select("doc_id").distinct(), "first-documents")
-    if rows is not None:
-        remove(rows)  # they are larger than the texts
     kept = docs.join(firsts, "doc_id", "left_semi").select(docs.columns)
     if docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null").limit(1).count():
         kept = kept.dropDuplicates(["doc_id"])

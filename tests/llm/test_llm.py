@@ -11,7 +11,7 @@ from xxhash import xxh64_intdigest
 
 from cladeframe.llm import decontamination, labelled, mixing, neighbours, pseudo_likelihood, quality, simhash, suffix_dedup, token_counts, token_files, toxicity
 from cladeframe.llm.queries import vocabulary_file
-from cladeframe.llm.shared import components
+from cladeframe.llm.shared import components, words_of
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp long, size long, file string, y int"
 ODD_TEXTS = [None, "", "   ", "a", "one two", "the same words twice over " * 3, "x" * 120, "é ß\t\nñ\x0b#2 <|endoftext|> 𝔘", "▁a  b▁ \n c "]
@@ -168,6 +168,19 @@ def test_similar_groups_of_a_crowd(spark):
     assert dict(rows(simhash.similar_groups(table))) == plain_similar(made)
 
 
+def test_short_similar_texts_are_all_found(spark):
+    rng = np.random.default_rng(10)
+    made = []
+    for _ in range(150):
+        words = [f"w{x}" for x in rng.integers(0, 9, size=int(rng.integers(4, 46)))]
+        for _ in range(4):
+            changed = list(words)
+            changed[int(rng.integers(len(words)))] = f"x{rng.integers(0, 3)}"
+            made.append((len(made), " ".join(changed[int(rng.integers(2)) : len(words) - int(rng.integers(2))])))
+    table = spark.createDataFrame(made, "doc_id long, text string")
+    assert dict(rows(simhash.similar_groups(table))) == plain_similar(made)
+
+
 # mixing
 
 
@@ -187,6 +200,24 @@ def plain_targets(sizes):
     return out
 
 
+def taken_by_queue(table, targets):
+    """The queue itself: sources' documents, twice, by finish time, until the budget is spent."""
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    docs = [(s, int(hashlib.md5(f"mix|{'' if d is None else d}".encode()).hexdigest()[:13], 16), d, size(t)) for d, s, t in rows(table.select("doc_id", "source", "text"))]
+    docs.sort(key=lambda x: (x[0] is None, x[0] or "", x[1], x[2] is not None, x[2] or 0, x[3]))
+    ends, queue, total = {}, [], {}
+    for s, _, _, n in docs:
+        total[s] = total.get(s, 0) + n
+    for k, (s, _, _, n) in enumerate(docs):
+        ends[s] = ends.get(s, 0) + n
+        queue += [((ends[s] + turn * total[s]) / targets[s], s is None, s or "", ends[s] + turn * total[s], k) for turn in (0, 1) if targets[s]]
+    left, taken = int(1.5 * sum(total.values())), [0] * len(docs)
+    for *_, k in sorted(queue):
+        taken[k] += min(docs[k][3], left)
+        left -= min(docs[k][3], left)
+    return [(d, n, taken[k]) for k, (_, _, d, n) in enumerate(docs)]
+
+
 def test_mixing(docs, odd, empty):
     for table in (docs, odd):
         size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
@@ -201,8 +232,9 @@ def test_mixing(docs, odd, empty):
         for r in got:
             assert r.target == pytest.approx(want[r.source]) and r.source_size == sizes[r.source] and 0 <= r.taken <= 2 * r.size
             taken[r.source] = taken.get(r.source, 0) + r.taken
-        for s, n in taken.items():
-            assert n == int(want[s] + 1e-6)
+        longest = max(map(size, (t for _, t in texts)))
+        assert sum(taken.values()) == int(1.5 * sum(sizes.values())) and all(abs(n - want[s]) <= longest for s, n in taken.items())
+        assert sorted(taken_by_queue(table, want), key=str) == sorted([(r.doc_id, r.size, r.taken) for r in got], key=str)
         assert sorted(map(str, got)) == sorted(map(str, mixing.mix_sizes(table.repartition(3)).collect()))
     assert mixing.mix_sizes(empty).count() == 0 and mixing.mix(empty).count() == 0
 
@@ -398,6 +430,14 @@ def test_decontamination_finds_items_with_gaps_in_long_texts(spark):
     assert decontamination.contaminated(d, b.where("false")).count() == 0 and decontamination.clean(d, b.where("false")).count() == 4
 
 
+def test_words_have_their_marks(spark):
+    assert words_of("A\u0301b हिन्दी x_1 ½ – \u0301c") == ["a\u0301b", "हिन्दी", "x_1", "½", "\u0301c"] and words_of(None) == []
+    item = "cafe\u0301 one two three four five six हिन्दी seven eight"
+    d = spark.createDataFrame([(1, f"so {item} end"), (2, item.replace("\u0301", "").replace("हिन्दी", "हन्द"))], "doc_id long, text string")
+    got = rows(decontamination.contaminated(d, spark.createDataFrame([(7, item)], "item_id long, text string")))
+    assert got == [(1, 7, 6, 6, 1.0)]
+
+
 # suffix arrays
 
 
