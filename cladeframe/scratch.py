@@ -9,14 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir, as a URI that every executor can open. Only where it is unset (local
-    tests) a temporary folder is made and set."""
+    """The folder named by spark.checkpoint.dir, as a URI that every executor can open; a folder without a scheme is one of
+    the default file system. Only where it is unset (local tests) a temporary folder is made and set."""
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if path is None:
-        path = tempfile.mkdtemp(prefix="spark-")
+        path = f"file://{tempfile.mkdtemp(prefix='spark-')}"
         sc.setCheckpointDir(path)
-    return path.rstrip("/") if "://" in path or path.startswith("file:") else f"file://{path.rstrip('/')}"
+    place = sc._jvm.org.apache.hadoop.fs.Path(path)
+    uri = place.getFileSystem(sc._jsc.hadoopConfiguration()).makeQualified(place).toString().rstrip("/")
+    return uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri
 
 
 def new_path(spark: SparkSession, name: str) -> str:
