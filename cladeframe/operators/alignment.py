@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cladeframe.operators.names import MOST
+
 SPACER = {"aa": "XXXXX", "nt": "NNNNNN"}
 LETTERS = {"aa": "AA", "nt": "DNA"}
 
@@ -27,7 +29,10 @@ def drop_all_gap(aln: DataFrame) -> DataFrame:
 def complete_with_gaps(aln: DataFrame, genomes: DataFrame, markers: Sequence[str] | None = None) -> DataFrame:
     """A row for each genome and marker, gaps where there was none. Widths are one row a marker; genomes get them by an
     explode of that short list, not by a join."""
-    width = {r.marker: r.width for r in widths(aln if markers is None else aln.where(F.col("marker").isin(list(markers)))).collect()}
+    known = widths(aln if markers is None else aln.where(F.col("marker").isin(list(markers)))).limit(MOST + 1).collect()
+    if len(known) > MOST:
+        raise ValueError(f"more than {MOST} markers")
+    width = {r.marker: r.width for r in known}
     listed = F.array(*[F.struct(F.lit(m).alias("marker"), F.lit(w).alias("width")) for m, w in sorted(width.items())])
     every = genomes.select("genome_id").distinct().select("genome_id", F.inline(listed))
     return every.join(aln.select("marker", "genome_id", "seq"), ["marker", "genome_id"], "left").select("marker", "genome_id", F.coalesce("seq", F.repeat(F.lit("-"), F.col("width"))).alias("seq"))
@@ -40,7 +45,7 @@ def trim_columns(aln: DataFrame, max_gap: float = 0.5) -> DataFrame:
     cells = aln.select("marker", F.posexplode(F.transform(F.split("seq", ""), lambda c: (c == "-").cast("int"))).alias("pos", "gap"))
     kept = cells.groupBy("marker", "pos").agg(F.avg("gap").alias("share")).where(F.col("share") <= max_gap)
     kept = kept.groupBy("marker").agg(F.array_sort(F.collect_list("pos")).alias("kept"))
-    joined = aln.join(F.broadcast(kept), "marker", "left")
+    joined = aln.join(kept, "marker", "left")
     return joined.select("marker", "genome_id", F.array_join(F.transform(F.coalesce("kept", F.array().cast("array<int>")), lambda p: F.substr("seq", p + 1, F.lit(1))), "").alias("seq"))
 
 

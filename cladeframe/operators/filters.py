@@ -18,7 +18,7 @@ def length_bounds(hit_seqs: DataFrame, cutoff: float = 0.2) -> DataFrame:
 
 def filter_by_bounds(hit_seqs: DataFrame, bounds: DataFrame) -> DataFrame:
     """Sequences within their marker's bounds, ends included."""
-    return hit_seqs.join(F.broadcast(bounds.select("marker", "lo", "hi")), "marker").where("len between lo and hi").drop("lo", "hi")
+    return hit_seqs.join(bounds.select("marker", "lo", "hi"), "marker").where("len between lo and hi").drop("lo", "hi")
 
 
 def filter_by_length(seqs: DataFrame, lo: int, hi: int) -> DataFrame:

@@ -24,13 +24,20 @@ def hit_matrix(counts: DataFrame, markers: Sequence[str], gene_counts: DataFrame
     return wide if gene_counts is None else wide.join(gene_counts, "genome_id", "left").select("genome_id", "total_gene_count", *[F.col(f"`{m}`") for m in markers])
 
 
-def genome_quality(counts: DataFrame, total: int) -> DataFrame:
+def found_counts(hits: DataFrame, markers: Sequence[str]) -> DataFrame:
+    """genome_id, marker, n of the wanted markers, without zeros."""
+    return hits.where(F.col("marker").isin(list(markers))).groupBy("genome_id", "marker").agg(F.count("*").alias("n"))
+
+
+def genome_quality(counts: DataFrame, total: int, genomes: DataFrame | None = None) -> DataFrame:
     """num_hits (markers found), uniq_hits (found once), redund (hits beyond the first), and both as percent of the marker set,
-    rounded half to even. counts may lack the zeros of a genome that has other rows."""
+    rounded half to even. counts need no zeros where the genomes are given; without them, only for a genome that has no rows."""
     n = F.col("n")
     sums = counts.groupBy("genome_id").agg(
         F.sum((n > 0).cast("long")).alias("num_hits"), F.sum((n == 1).cast("long")).alias("uniq_hits"), F.sum(F.greatest(n - 1, F.lit(0))).cast("long").alias("redund")
     )
+    if genomes is not None:
+        sums = genomes.select("genome_id").distinct().join(sums, "genome_id", "left").na.fill(0, ["num_hits", "uniq_hits", "redund"])
     percent = lambda c: F.bround(F.col(c) / F.lit(float(total)) * 100, 2)
     return sums.withColumns({"perc_comp": percent("num_hits"), "perc_redund": percent("redund")})
 

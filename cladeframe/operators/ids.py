@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cladeframe.functions.text import base_link, clean, root
 
 BASE = "https://ftp.ncbi.nlm.nih.gov/genomes/all"
-FORBIDDEN = r"[()*&^#$@!/|\[\]]"
+FORBIDDEN = r"[()*&^#$@!/|\[\]\\]"
 
 
 def repair_ids(ids: DataFrame) -> DataFrame:

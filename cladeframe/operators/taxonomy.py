@@ -94,20 +94,20 @@ def downsample_classes(gtdb: DataFrame, cutoff: float = 0.0005, fraction: float
 
 
 def resolve_lineage(taxids: DataFrame, nodes: DataFrame, names: DataFrame, ranks: Sequence[str] = RANKS) -> DataFrame:
-    """taxid and one column a rank, NA where there is none: paths to the root by doubling.
-
-    Each round joins the ancestors known with their own ancestors; a tree of depth d takes log2(d) rounds, each written to
-    the shared folder. A parent that is missing, or the node itself, ends a path."""
-    step = nodes.where("parent <> taxid").select("taxid", "parent", F.lit(1).alias("far"))
-    ups, n = stash(step.join(nodes.select(F.col("taxid").alias("parent")), "parent", "left_semi").select("taxid", "parent", "far"), "ancestors"), -1
+    """taxid and one column a rank, NA where there is none: the wanted ids climb to the root, a step a round.
+
+    Only the wanted ids' own lines are made, none of the rest of the tree; a round is a join with the nodes and is written
+    to the shared folder, and there are as many as the deepest line has nodes (some thirty in the public tree). A parent
+    that is missing, one seen before, or the node itself ends a line."""
+    up = nodes.where("parent <> taxid").join(nodes.select(F.col("taxid").alias("parent")), "parent", "left_semi").select(F.col("taxid").alias("ancestor"), "parent")
+    at = stash(taxids.select("taxid").distinct().join(nodes.select("taxid"), "taxid", "left_semi").select("taxid", F.col("taxid").alias("ancestor"), F.array("taxid").alias("seen")), "ancestors")
+    line = at.select("taxid", "ancestor")
     while True:
-        jump = ups.select(F.col("taxid").alias("parent"), F.col("parent").alias("above"), F.col("far").alias("more"))
-        grown = ups.unionByName(ups.join(jump, "parent").select("taxid", F.col("above").alias("parent"), (F.col("far") + F.col("more")).alias("far")))
-        ups = stash(grown.groupBy("taxid", "parent").agg(F.min("far").alias("far")), "ancestors")
-        if (now := ups.count()) == n:
+        at = at.join(up, "ancestor").where(~F.array_contains("seen", F.col("parent"))).select("taxid", F.col("parent").alias("ancestor"), F.array_append("seen", F.col("parent")).alias("seen"))
+        at = stash(at, "ancestors")
+        if at.isEmpty():
             break
-        n = now
-    line = ups.select("taxid", F.col("parent").alias("ancestor")).unionByName(nodes.select("taxid", F.col("taxid").alias("ancestor")))
+        line = line.unionByName(at.select("taxid", "ancestor"))
     ranked = nodes.where(F.col("rank").isin(list(ranks))).select(F.col("taxid").alias("ancestor"), "rank").join(names.select(F.col("taxid").alias("ancestor"), "name"), "ancestor")
     wanted = taxids.select("taxid").distinct()
     wide = line.join(wanted, "taxid", "left_semi").join(ranked, "ancestor").groupBy("taxid").pivot("rank", list(ranks)).agg(F.first("name"))

@@ -7,31 +7,54 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cladeframe.operators import alignment, discovery, filters, ids, labels, report, taxonomy
+from cladeframe.operators import alignment, discovery, filters, ids, labels, report, sequences, taxonomy
 from cladeframe.operators import hits as h
+from cladeframe.operators.names import names
+from cladeframe.scratch import stash
+from cladeframe.sources import readers, writers
 
 
-def marker_sets(hits: DataFrame, seqs: DataFrame | None, genomes: DataFrame, markers: Sequence[str], cutoff: float = 0.2, share: float = 0.5, best_hit: bool = False, order: Sequence[str] = ("evalue", "ord")) -> dict[str, DataFrame]:
-    """From hits to filtered sequences of each marker: quality, sequences, markers and genomes kept and removed, summary.
+def gene_sequences(raw: DataFrame) -> DataFrame:
+    """Sequences as read: named <genome>_<n> and without stops, as the hits name them."""
+    return sequences.strip_stops(sequences.rename_sequential(raw))
 
-    Narrow hits are chosen first; sequences join last, unless hits carry their length (column len) and seqs is None."""
-    counts = h.hit_counts(hits, genomes, markers)
-    quality = h.genome_quality(counts, len(markers))
-    chosen = h.select_best_hit(hits, order) if best_hit else h.select_single_copy(hits)
-    found = chosen if seqs is None else h.fetch_hit_seqs(chosen, seqs).withColumn("len", F.length("seq"))
+
+def marker_sets(hits: DataFrame, raw: DataFrame, genomes: DataFrame, markers: Sequence[str], cutoff: float = 0.2, share: float = 0.5, best_hit: bool = False, order: Sequence[str] = ("evalue", "ord")) -> dict[str, DataFrame]:
+    """From sequences (raw: genome_id, gene_ord, gene_id, seq) and hits to the filtered sequences of each marker: quality, flagged, sequences, markers and
+    genomes kept and removed, summary. genomes: genome_id, and taxid if it is known.
+
+    Narrow hits are chosen first and get their sequences once; that table is written, and all else comes from it."""
+    quality = stash(h.genome_quality(h.found_counts(hits, markers), len(markers), genomes), "quality")
+    wanted = hits.where(F.col("marker").isin(list(markers)))
+    chosen = (h.select_best_hit(wanted, order) if best_hit else h.select_single_copy(wanted)).select("genome_id", "gene_id", "marker")
+    found = stash(h.fetch_hit_seqs(chosen, gene_sequences(raw)).withColumn("len", F.length("seq")), "chosen")
     listed = hits.sparkSession.createDataFrame([(m,) for m in markers], "marker string")
     kept_markers, removed_markers = filters.retain_markers(found, listed)
-    found = found.join(F.broadcast(kept_markers.select("marker")), "marker", "left_semi")
-    filtered = filters.filter_by_bounds(found, filters.length_bounds(found, cutoff))
-    n_markers = filtered.select("marker").distinct().count()
-    kept, removed = filters.retain_genomes(filtered, genomes, n_markers, share)
-    source = quality.select(F.col("genome_id").alias("assembly_id"), F.lit("NA").alias("taxid"), "num_hits", "uniq_hits", "perc_comp", "perc_redund")
+    narrow = found.drop("seq").join(kept_markers.select("marker"), "marker", "left_semi")
+    filtered = stash(filters.filter_by_bounds(narrow, filters.length_bounds(narrow, cutoff)), "filtered")
+    kept, removed = filters.retain_genomes(filtered, genomes, filtered.select("marker").distinct().count(), share)
+    known = genomes if "taxid" in genomes.columns else genomes.withColumn("taxid", F.lit(None).cast("string"))
+    about = known.groupBy("genome_id").agg(F.coalesce(F.max(F.col("taxid").cast("string")), F.lit("NA")).alias("taxid"))
+    source = quality.join(about, "genome_id").select(F.col("genome_id").alias("assembly_id"), "taxid", "num_hits", "uniq_hits", "perc_comp", "perc_redund")
     summary = report.genome_summary([source], kept.unionByName(removed), kept)
     final = filtered.join(kept.select("genome_id"), "genome_id", "left_semi")
+    final = found.join(final.select("genome_id", "gene_id", "marker"), ["genome_id", "gene_id", "marker"], "left_semi")
     return {"quality": quality, "flagged": h.flag_redundant(quality), "sequences": final, "kept_markers": kept_markers, "removed_markers": removed_markers, "kept": kept, "removed": removed, "summary": summary}
 
 
-def supermatrix(aln: DataFrame, genomes: DataFrame, genome_labels: DataFrame | None = None, mode: str = "aa", max_gap: float = 0.5) -> tuple[DataFrame, DataFrame]:
+def genome_labels(genomes: DataFrame, user_map: DataFrame, gtdb: DataFrame | None = None, ncbi: DataFrame | None = None, ranks: Sequence[str] = labels.DEFAULT, infra: DataFrame | None = None) -> DataFrame:
+    """genome_id, label, label_source from the user's map and lineages (genome_id and ranks), with strains if they are given."""
+
+    def of(lineage: DataFrame | None) -> DataFrame | None:
+        if lineage is None:
+            return None
+        made = labels.lineage_labels(lineage, ranks)
+        return made if infra is None else labels.add_strain(made, infra)
+
+    return labels.final_labels(genomes, user_map, of(gtdb), of(ncbi))
+
+
+def supermatrix(aln: DataFrame, genomes: DataFrame, labelled: DataFrame | None = None, mode: str = "aa", max_gap: float = 0.5) -> tuple[DataFrame, DataFrame]:
     """From alignments to the concatenation (genome_id, seq), labelled if wanted, and its partitions. Rows of different
     widths in a marker are an error."""
     if uneven := alignment.check_widths(aln).limit(5).collect():
@@ -39,30 +62,48 @@ def supermatrix(aln: DataFrame, genomes: DataFrame, genome_labels: DataFrame | N
     trimmed = alignment.trim_columns(aln, max_gap).where("seq <> ''")
     complete = alignment.complete_with_gaps(trimmed, genomes)
     joined = alignment.concat_alignments(complete, mode)
-    if genome_labels is not None:
-        joined = labels.apply_labels(joined, genome_labels)
+    if labelled is not None:
+        joined = labels.apply_labels(joined, labelled)
     return joined, alignment.partition_table(complete, mode)
 
 
-def catalog_subset(gtdb: DataFrame, taxon: str, rank: str, ranks: Sequence[str], reps: str | None = None, seed: int = 1) -> DataFrame:
-    """The rows of a taxon, and of these one for each taxon of a rank."""
-    return taxonomy.one_per_rank(taxonomy.taxon_search(gtdb, taxon, reps=reps, ranks=ranks), rank, seed)
+def write_supermatrix(matrix: DataFrame, partitions: DataFrame, folder: str, mode: str = "aa") -> None:
+    """The alignment as FASTA and its partitions in both forms, below a folder."""
+    writers.write_fasta(matrix, f"{folder}/alignment", header="genome_id")
+    for fmt in ("plain", "nexus"):
+        writers.write_lines(alignment.partition_lines(partitions, fmt, mode), f"{folder}/partitions-{fmt}")
+
+
+def catalog_subset(gtdb: DataFrame, taxon: str, rank: str | None, ranks: Sequence[str], reps: str | None = None, seed: int = 1, **downsample: float) -> dict[str, DataFrame]:
+    """From release tables (as read; lineages may still be one column, lineage) to a taxon's rows: slim rows, its counts by
+    rank, taxa by rank, and the accessions drawn: one for each taxon of a rank, or, without one, classes down-sampled."""
+    split = taxonomy.split_lineage(gtdb, "lineage", ranks) if "lineage" in gtdb.columns else gtdb
+    rows = taxonomy.taxon_search(split, taxon, reps=reps, ranks=ranks)
+    drawn = taxonomy.one_per_rank(rows, rank, seed) if rank else taxonomy.downsample_classes(rows, seed=seed, **downsample)
+    return {"rows": readers.slim_gtdb(rows), "counts": taxonomy.taxon_counts(split, taxon, ranks), "taxa": taxonomy.rank_counts(rows, ranks), "drawn": drawn}
 
 
-def discover_markers(hits: DataFrame, genomes: DataFrame, info: DataFrame, percent: float = 90.0, coverage: float = 50.0) -> DataFrame:
-    """Profiles of enough coverage that enough genomes have exactly once: acc, short_name, name, share."""
+def discover_markers(hits: DataFrame, genomes: DataFrame, info: DataFrame, profiles: DataFrame, percent: float = 90.0, coverage: float = 50.0) -> dict[str, DataFrame]:
+    """markers: profiles of enough coverage that enough genomes have exactly once (acc, short_name, name, share); profiles: their bodies;
+    missed: genomes without a hit. hits: genome_id, marker (an accession with its version)."""
     usable = discovery.coverage_filter(info, coverage)
     counts = hits.join(usable.select(F.col("acc").alias("marker")), "marker", "left_semi").groupBy("genome_id", "marker").agg(F.count("*").alias("n"))
     single = discovery.single_copy_markers(counts, genomes.select("genome_id").distinct().count(), percent)
-    return usable.join(single.select(F.col("marker").alias("acc"), "share"), "acc")
+    markers = stash(usable.join(single.select(F.col("marker").alias("acc"), "share"), "acc"), "discovered")
+    silent = ids.unknown_ids(genomes, hits).select(F.col("genome_id").cast("string").alias("id"))
+    return {"markers": markers, "profiles": discovery.fetch_profiles(profiles, markers), "missed": ids.missed_report(no_hits=silent)}
 
 
-def target_presence(hits: DataFrame, genomes: DataFrame, targets: DataFrame, profiles: DataFrame, gene_counts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Wanted profiles (column target) in each genome: the matrix of counts, all hits, and targets without a profile."""
-    found = ids.resolve_targets(targets, profiles)
-    pulled = [r.pulled for r in found.where("pulled is not null").select("pulled").distinct().orderBy("pulled").collect()]
-    wanted = hits.where(F.col("marker").isin(pulled))
-    return h.hit_matrix(h.hit_counts(wanted, genomes, pulled), pulled, gene_counts), wanted, found.where("pulled is null").select("requested")
+def target_presence(hits: DataFrame, genomes: DataFrame, targets: DataFrame, profiles: DataFrame, seqs: DataFrame, labelled: DataFrame, prefix: str = "genome_id") -> dict[str, DataFrame]:
+    """Wanted profiles (column target) in each genome: matrix of counts with all genes, hits, their sequences (named
+    <prefix>_<id>_<n>), viewer lines for the genomes in labelled (genome_id, label), and targets without a profile.
+    hits: genome_id, gene_id, marker; seqs: genome_id, gene_ord, gene_id, seq."""
+    found = stash(ids.resolve_targets(targets, profiles), "targets")
+    pulled = names(found, "pulled")
+    wanted = h.select_all(hits, found.where("pulled is not null").select(F.col("pulled").alias("marker")).distinct())
+    counts = h.hit_counts(wanted, genomes, pulled)
+    genes = sequences.prefix_headers(h.fetch_hit_seqs(wanted.select("genome_id", "gene_id", "marker").distinct(), seqs).join(seqs.select("genome_id", "gene_id", "gene_ord"), ["genome_id", "gene_id"]), prefix)
+    return {"matrix": h.hit_matrix(counts, pulled, h.gene_counts(seqs)), "hits": wanted, "sequences": genes, "viewer": report.itol_dataset(counts, labelled), "missing": found.where("pulled is null").select("requested")}
 
 
 def accession_intake(wanted: DataFrame, catalog: DataFrame) -> dict[str, DataFrame]:
@@ -71,5 +112,3 @@ def accession_intake(wanted: DataFrame, catalog: DataFrame) -> dict[str, DataFra
     kept, redundant = ids.dedupe_accessions(repaired.distinct())
     resolved = ids.resolve_accessions(kept, catalog)
     return {"faults": ids.check_ids(wanted), "redundant": redundant, "resolved": resolved, "not_found": ids.not_found(kept, resolved)}
-
-

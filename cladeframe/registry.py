@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,7 +46,8 @@ def counts_of(t: Tables) -> DataFrame:
 
 
 def quality_of(t: Tables) -> DataFrame:
-    return hits.genome_quality(counts_of(t), len(marker_names(t)))
+    listed = marker_names(t)
+    return hits.genome_quality(hits.found_counts(t.hits(), listed), len(listed), t.genomes())
 
 
 # hits
@@ -98,33 +99,24 @@ def _(t):
     return hits.select_all(t.hits(), t.table("part").where("p_size > 49").select(F.col("p_brand").alias("marker")))
 
 
-def gene_seqs(t: Tables, column: str) -> DataFrame:
-    """A sequence for each gene: a document's text, found by the gene's part number."""
-    docs = t.table("documents").select("doc_id", column)
-    n = docs.count()
-    keys = t.hits().select("genome_id", F.col("l_linenumber").alias("gene_id"), (F.col("l_partkey") % n).alias("doc_id")).distinct()
-    return keys.join(docs, "doc_id").select("genome_id", "gene_id", F.col(column).cast("string").alias("seq"))
+def gene_seqs(t: Tables, genes: DataFrame, column: str) -> DataFrame:
+    """A sequence for each of the genes: a document's text, found by the gene's part number. Which genes is settled first;
+    texts join last."""
+    docs = t.table("documents").select("doc_id", F.col(column).cast("string").alias("seq"))
+    n = t.table("documents").agg(F.count("*").alias("n_docs"))
+    keys = t.hits().select("genome_id", F.col("l_linenumber").alias("gene_id"), "l_partkey").join(genes.select("genome_id", "gene_id"), ["genome_id", "gene_id"], "left_semi")
+    keys = keys.join(n).select("genome_id", "gene_id", (F.col("l_partkey") % F.col("n_docs")).alias("doc_id")).distinct()
+    return keys.join(docs, "doc_id").select("genome_id", "gene_id", "seq")
 
 
 def fetched(t: Tables, column: str) -> DataFrame:
     best = hits.select_best_hit(t.hits(), HIT_ORDER).select("genome_id", "marker", F.col("l_linenumber").alias("gene_id"))
-    got = hits.fetch_hit_seqs(best, gene_seqs(t, column))
-    return got.groupBy("marker").agg(F.count("*").alias("n"), F.sum(F.length("seq")).alias("chars"), F.min(F.md5("seq")).alias("least"))
+    return hits.fetch_hit_seqs(best, gene_seqs(t, best, column)).select("genome_id", "marker", "gene_id", F.md5("seq").alias("seq_md5"))
 
 
 FETCH = """, best AS (SELECT genome_id, marker, l_linenumber AS gene_id FROM (SELECT *, row_number() OVER (PARTITION BY genome_id, marker ORDER BY evalue, l_partkey, l_suppkey, l_linenumber, l_quantity) AS p FROM hits) WHERE p = 1),
 genes AS (SELECT DISTINCT genome_id, l_linenumber AS gene_id, l_partkey % (SELECT count(*) FROM documents) AS doc_id FROM hits)
-SELECT marker, count(*) AS n, CAST(sum(length(seq)) AS BIGINT) AS chars, min(md5(seq)) AS least FROM best JOIN (SELECT genome_id, gene_id, CAST({} AS VARCHAR) AS seq FROM genes JOIN documents USING (doc_id)) USING (genome_id, gene_id) GROUP BY marker"""
-
-
-@query("j5_fetch_hit_seqs", FETCH.format("text"), "hits")
-def _(t):
-    return fetched(t, "text")
-
-
-@query("j6_fetch_nucleotides", FETCH.format("n_chars"), "hits")
-def _(t):
-    return fetched(t, "n_chars")
+SELECT genome_id, marker, gene_id, md5(seq) AS seq_md5 FROM best JOIN (SELECT genome_id, gene_id, CAST({} AS VARCHAR) AS seq FROM genes JOIN documents USING (doc_id)) USING (genome_id, gene_id)"""
 
 
 @query("a12_single_copy_markers", "SELECT marker, CAST(count(*) FILTER (n = 1) AS BIGINT) AS single, count(*) FILTER (n = 1) / (SELECT count(*) FROM genomes) * 100 AS share FROM counts GROUP BY marker HAVING count(*) FILTER (n = 1) / (SELECT count(*) FROM genomes) * 100 >= 12", *HITS)
@@ -189,9 +181,9 @@ def _(t):
     return filters.retention(t.seqs(), filters.filter_by_length(t.seqs(), 500, 2000)).select("kept", "total", "percent")
 
 
-@query("a8_retain_markers", "SELECT p_brand AS marker, CAST(count(l_partkey) AS BIGINT) AS n, CASE WHEN count(l_partkey) >= 2350 THEN 'kept' WHEN count(l_partkey) = 0 THEN 'no hits' ELSE 'too few hits' END AS reason FROM part LEFT JOIN lineitem ON p_partkey = l_partkey AND l_quantity < 50 GROUP BY p_brand")
+@query("a8_retain_markers", "SELECT p_brand AS marker, CAST(count(l_partkey) AS BIGINT) AS n, CASE WHEN count(l_partkey) >= 2350 THEN 'kept' WHEN count(l_partkey) = 0 THEN 'no hits' ELSE 'too few hits' END AS reason FROM part LEFT JOIN lineitem ON p_partkey = l_partkey GROUP BY p_brand")
 def _(t):
-    kept, removed = filters.retain_markers(t.hits().where("l_quantity < 50"), t.markers(), 2350)
+    kept, removed = filters.retain_markers(t.hits(), t.markers(), 2350)
     return kept.withColumn("reason", F.lit("kept")).unionByName(removed)
 
 
@@ -221,9 +213,17 @@ def _(t):
     return ids.check_ids(t.table("orders").select(F.col("o_orderpriority").alias("id")))
 
 
-@query("v2_check_label_map", "SELECT 'forbidden character' AS \"check\", p_brand AS label, p_type AS suffix, count(*) AS n FROM part GROUP BY ALL UNION ALL SELECT 'duplicate', p_brand, p_type, count(*) FROM part GROUP BY ALL HAVING count(*) > 1")
+MAP = r"""WITH map AS (SELECT CASE p_partkey % 3 WHEN 0 THEN p_name WHEN 1 THEN p_brand ELSE replace(p_name, ' ', '\') END AS label, CASE WHEN p_partkey % 5 = 0 THEN p_type || ' [x]' WHEN p_partkey % 2 = 0 THEN p_type END AS suffix FROM part)
+SELECT 'forbidden character' AS "check", label, suffix, count(*) AS n FROM map WHERE regexp_matches(label, '[()*&^#$@!/|\[\]\\]') OR coalesce(regexp_matches(suffix, '[()*&^#$@!/|\[\]\\]'), false) GROUP BY ALL
+UNION ALL SELECT 'duplicate', label, suffix, count(*) FROM map GROUP BY ALL HAVING count(*) > 1"""
+
+
+@query("v2_check_label_map", MAP)
 def _(t):
-    return ids.check_label_map(t.table("part").select(F.col("p_brand").alias("label"), F.col("p_type").alias("suffix")))
+    k = F.col("p_partkey")
+    label = F.when(k % 3 == 0, F.col("p_name")).when(k % 3 == 1, F.col("p_brand")).otherwise(F.translate("p_name", " ", "\\"))
+    suffix = F.when(k % 5 == 0, F.concat("p_type", F.lit(" [x]"))).when(k % 2 == 0, F.col("p_type"))
+    return ids.check_label_map(t.table("part").select(label.alias("label"), suffix.alias("suffix")))
 
 
 @query("v3_unknown_ids", "SELECT DISTINCT c_custkey * 7 AS genome_id FROM customer WHERE c_custkey * 7 NOT IN (SELECT o_orderkey FROM orders)")
@@ -325,6 +325,127 @@ def _(t):
     return readers.read_gtdb(t.spark, paths)
 
 
+# tables of tools, written from the tables and read back
+
+
+GENE = "'g' || CAST(l_orderkey AS VARCHAR) || '_' || CAST(l_linenumber AS VARCHAR)"
+
+
+def gene_name() -> Column:
+    return F.concat(F.lit("g"), F.col("l_orderkey").cast("string"), F.lit("_"), F.col("l_linenumber").cast("string"))
+
+
+@query("s8_read_hits", f"SELECT {GENE} AS gene_id, p_brand AS marker, 'PF' || CAST(p_partkey AS VARCHAR) || '.1' AS marker_acc, l_extendedprice AS evalue, l_quantity AS score FROM lineitem JOIN part ON l_partkey = p_partkey")
+def _(t):
+    path = new_path(t.spark, "hits")
+    rows = t.table("lineitem").join(t.table("part"), F.col("l_partkey") == F.col("p_partkey"))
+    acc = F.concat(F.lit("PF"), F.col("p_partkey").cast("string"), F.lit(".1"))
+    rows.select(F.concat_ws("   ", gene_name(), F.lit("-"), "p_brand", acc, F.col("l_extendedprice").cast("string"), F.col("l_quantity").cast("string"), F.lit("0.0 1 some words")).alias("value")).write.text(path)
+    t.spark.createDataFrame([("# target name  accession  query name",), ("",), ("#",)], "value string").write.mode("append").text(path)
+    return readers.read_hits(t.spark, path).select("gene_id", "marker", "marker_acc", "evalue", "score")
+
+
+@query("s9_read_ko_hits", f"SELECT {GENE} AS gene_id, p_brand AS marker FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber > 2")
+def _(t):
+    path = new_path(t.spark, "ko")
+    rows = t.table("lineitem").join(t.table("part"), F.col("l_partkey") == F.col("p_partkey"))
+    line = F.when(F.col("l_linenumber") == 1, gene_name()).when(F.col("l_linenumber") == 2, F.concat(gene_name(), F.lit("\t"))).otherwise(F.concat_ws("\t", gene_name(), "p_brand"))
+    rows.select(line.alias("value")).write.text(path)
+    return readers.read_ko_hits(t.spark, path).select("gene_id", "marker")
+
+
+BODY = "'HMMER3/f [3.3]' || chr(10) || 'NAME  ' || replace(p_name, ' ', '_') || chr(10) || 'ACC   PF' || CAST(p_partkey AS VARCHAR) || '.' || CAST(p_size AS VARCHAR) || chr(10) || 'DESC  ' || p_type"
+
+
+@query("s10_read_profiles", f"SELECT replace(p_name, ' ', '_') AS marker, 'PF' || CAST(p_partkey AS VARCHAR) || '.' || CAST(p_size AS VARCHAR) AS acc, md5({BODY}) AS body FROM part")
+def _(t):
+    path = new_path(t.spark, "profiles")
+    acc = F.concat(F.lit("PF"), F.col("p_partkey").cast("string"), F.lit("."), F.col("p_size").cast("string"))
+    body = F.concat_ws("\n", F.lit("HMMER3/f [3.3]"), F.concat(F.lit("NAME  "), F.translate("p_name", " ", "_")), F.concat(F.lit("ACC   "), acc), F.concat(F.lit("DESC  "), "p_type"))
+    t.table("part").select(body.alias("value")).write.option("lineSep", "\n//\n").text(path)
+    return readers.read_profiles(t.spark, path).select("marker", "acc", F.md5("body").alias("body"))
+
+
+@query("s10_profile_counts", "SELECT count(*) AS n FROM part")
+def _(t):
+    path = new_path(t.spark, "profiles-of")
+    t.table("part").select(F.concat(F.lit("NAME  "), F.translate("p_name", " ", "_")).alias("value")).write.option("lineSep", "\n//\n").text(path)
+    return readers.profile_counts(readers.read_profiles(t.spark, path)).agg(F.sum("n").alias("n"))
+
+
+@query("s11_read_pfam_info", "SELECT 'PF' || CAST(p_partkey AS VARCHAR) AS accession, p_brand AS short_name, p_name AS name, CAST(p_size AS VARCHAR) AS version, p_retailprice AS coverage FROM part")
+def _(t):
+    path = new_path(t.spark, "pfam")
+    known = {0: F.concat(F.lit("PF"), F.col("p_partkey").cast("string")), 1: F.col("p_brand"), 3: F.col("p_name"), 27: F.col("p_size").cast("string"), 33: F.col("p_retailprice").cast("string")}
+    t.table("part").select(F.concat_ws("\t", *[known.get(k, F.lit(f"x{k}")) for k in range(36)]).alias("value")).write.text(path)
+    return readers.read_pfam_info(t.spark, path)
+
+
+# GenBank: a customer is a genome of two contigs, its orders are coding features of the first
+
+GENBANK = r"""WITH aa AS (SELECT o_orderkey AS k, o_custkey, translate(CAST(o_orderkey AS VARCHAR), '0123456789', 'ACDEFGHIKL') AS aa FROM orders),
+cds AS (SELECT 'g' || CAST(o_custkey AS VARCHAR) || '_1' AS contig, k % 10 AS kind,
+  CASE k % 10 WHEN 1 THEN 'join(' || CAST(k AS VARCHAR) || '..' || CAST(k + 30 AS VARCHAR) || ',' || CAST(k + 40 AS VARCHAR) || '..' || CAST(k + 60 AS VARCHAR) || ')' WHEN 2 THEN '<' || CAST(k AS VARCHAR) || '..' || CAST(k + 30 AS VARCHAR)
+    WHEN 3 THEN 'complement(' || CAST(k AS VARCHAR) || '..>' || CAST(k + 30 AS VARCHAR) || ')' ELSE 'complement(' || CAST(k AS VARCHAR) || '..' || CAST(k + 30 AS VARCHAR) || ')' END AS location,
+  CASE WHEN k % 3 <> 0 THEN 'T' || CAST(k AS VARCHAR) END AS locus_tag, CASE k % 10 WHEN 4 THEN 'frameshifted; of no use' WHEN 5 THEN 'a "small" note' END AS note,
+  CASE WHEN k % 10 <> 8 THEN 'M' || aa || aa END AS translation, k FROM aa),
+contigs AS (SELECT 'g' || CAST(c_custkey AS VARCHAR) || '_' || CAST(n AS VARCHAR) AS contig, repeat(translate(CAST(c_custkey + n AS VARCHAR), '0123456789', 'acgtacgtac'), 7) AS seq FROM customer, (SELECT unnest([1, 2]) AS n))
+"""
+WHOLE = "kind NOT IN (1, 2, 3, 4, 6, 7)"
+
+
+def genbank(t: Tables) -> str:
+    k, blank = F.col("o_orderkey"), " " * 21
+    s = lambda c: c.cast("string")
+    span = F.concat(s(k), F.lit(".."), s(k + 30))
+    location = F.when(k % 10 == 1, F.concat(F.lit("join("), span, F.lit(","), s(k + 40), F.lit(".."), s(k + 60), F.lit(")"))).when(k % 10 == 2, F.concat(F.lit("<"), span))
+    location = location.when(k % 10 == 3, F.concat(F.lit("complement("), s(k), F.lit("..>"), s(k + 30), F.lit(")"))).otherwise(F.concat(F.lit("complement("), span, F.lit(")")))
+    aa = F.translate(s(k), "0123456789", "ACDEFGHIKL")
+    lines = [
+        F.concat(F.lit("     CDS             "), location), F.when(k % 3 != 0, F.concat(F.lit(f'{blank}/locus_tag="T'), s(k), F.lit('"'))),
+        F.when(k % 10 == 4, F.lit(f'{blank}/note="frameshifted;\n{blank}of no use"')).when(k % 10 == 5, F.lit(f'{blank}/note="a ""small"" note"')),
+        F.when(k % 10 == 6, F.lit(f"{blank}/pseudo")), F.when(k % 10 == 7, F.lit(f"{blank}/transl_except=(pos:1..3,aa:Sec)")),
+        F.when(k % 10 != 8, F.concat(F.lit(f'{blank}/translation="M'), aa, F.lit(f"\n{blank}"), aa, F.lit('"'))),
+    ]
+    features = t.table("orders").select("o_custkey", k.alias("k"), F.concat_ws("\n", *lines).alias("lines")).groupBy("o_custkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "lines"))), lambda x: x["lines"]), "\n").alias("cds"))
+    c = F.col("c_custkey")
+    first = lambda n: F.concat(F.lit("LOCUS       g"), s(c), F.lit(f"_{n}   100 bp\nSOURCE      x\n  ORGANISM  "), "c_name", F.lit(f"/{n}. y\nFEATURES             Location/Qualifiers\n     source          1..100"))
+    about = F.concat(F.when((c % 2 == 0), F.concat(F.lit(f'\n{blank}/strain="s'), s(c), F.lit('"'))).otherwise(""), F.when(c % 3 == 0, F.concat(F.lit(f'\n{blank}/db_xref="taxon:'), s(c), F.lit('"'))).otherwise(""))
+    dna = lambda n: F.translate(s(c + n), "0123456789", "acgtacgtac")
+    origin = lambda n: F.concat(F.lit("\nORIGIN      \n        1 "), F.repeat(dna(n), F.lit(3)), F.lit(" "), dna(n), F.lit("\n       61 "), F.repeat(dna(n), F.lit(3)))
+    records = F.concat_ws("\n//\n", F.concat(first(1), F.coalesce(F.concat(F.lit("\n"), "cds"), F.lit("")), origin(1)), F.concat(first(2), about, origin(2)))
+    path = new_path(t.spark, "genbank")
+    t.table("customer").join(features, c == F.col("o_custkey"), "left").select(records.alias("value")).write.option("lineSep", "\n//\n").text(path)
+    return path
+
+
+@query("s3_read_genbank", GENBANK + "SELECT contig, location, locus_tag, note, kind = 6 AS pseudo, translation FROM cds")
+def _(t):
+    q = F.col("qualifiers")
+    return readers.read_genbank(t.spark, genbank(t)).select("contig", "location", q["locus_tag"][0].alias("locus_tag"), q["note"][0].alias("note"), F.map_contains_key(q, "pseudo").alias("pseudo"), q["translation"][0].alias("translation"))
+
+
+@query("p12_filter_cds", GENBANK + f"SELECT contig, location FROM cds WHERE {WHOLE}")
+def _(t):
+    return sequences.filter_cds(readers.read_genbank(t.spark, genbank(t))).select("contig", "location")
+
+
+@query("p13_cds_to_sequences", GENBANK + f"SELECT coalesce(locus_tag, contig || '_' || CAST(k AS VARCHAR) || '_' || CAST(k + 30 AS VARCHAR)) AS gene_id, translation AS seq, CAST(length(translation) AS INTEGER) AS len FROM cds WHERE {WHOLE} AND translation IS NOT NULL")
+def _(t):
+    return sequences.cds_to_sequences(sequences.filter_cds(readers.read_genbank(t.spark, genbank(t)))).select("gene_id", "seq", "len")
+
+
+@query("s4_read_genbank_contigs", GENBANK + "SELECT contig, seq FROM contigs")
+def _(t):
+    return readers.read_genbank_contigs(t.spark, genbank(t)).select("contig", "seq")
+
+
+@query("s5_genbank_metadata", "SELECT 'g' || CAST(c_custkey AS VARCHAR) AS genome_id, regexp_replace(replace(c_name, ' ', '_'), '_+', '_', 'g') || '_1_y' AS organism, CASE WHEN c_custkey % 2 = 0 THEN 's' || CAST(c_custkey AS VARCHAR) ELSE 'NA' END AS strain, CASE WHEN c_custkey % 3 = 0 THEN CAST(c_custkey AS VARCHAR) ELSE 'NA' END AS taxid FROM customer")
+def _(t):
+    records = readers.genbank_records(t.spark, genbank(t))
+    return readers.genbank_metadata(records.withColumn("genome_id", F.regexp_extract("record", r"LOCUS\s+(g\d+)_", 1)))
+
+
 # sequences
 
 PLAIN_SEQ = r"regexp_replace(text, '[^A-Za-z]', '', 'g')"
@@ -342,12 +463,12 @@ def _(t):
     return readers.read_fasta(t.spark, path).select("gene_id", F.md5("seq").alias("seq_md5"), "len")
 
 
-@query("k1_write_fasta", f"SELECT source, count(*) AS n, CAST(sum(length({PLAIN_SEQ})) AS BIGINT) AS chars FROM documents GROUP BY source")
+@query("k1_write_fasta", f"SELECT source, 'd' || CAST(doc_id AS VARCHAR) AS gene_id, md5({PLAIN_SEQ}) AS seq_md5 FROM documents")
 def _(t):
     path = new_path(t.spark, "fasta-by")
     writers.write_fasta(plain_seqs(t).withColumn("source", F.col("genome_id")), path, by="source")
-    lines = t.spark.read.text(path)
-    return lines.groupBy("source").agg(F.count_if(F.col("value").startswith(">")).alias("n"), F.sum(F.when(~F.col("value").startswith(">"), F.length("value")).otherwise(0)).alias("chars"))
+    records = t.spark.read.option("lineSep", "\n>").text(path)
+    return records.select("source", F.regexp_extract("value", r"^>?(\S+)", 1).alias("gene_id"), F.md5(F.regexp_replace("value", r"^>?\S+\s*|\s+$", "")).alias("seq_md5"))
 
 
 @query("k2_write_tsv", 'SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, coalesce(CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment END, \'NA\') AS segment FROM customer')
@@ -601,57 +722,178 @@ def _(t):
     return report.itol_colors(t.table("customer").select(F.col("c_name").alias("id")), "both", "red")
 
 
-@query("u1_map_groups", "SELECT marker, count(*) AS n, CAST(sum(len) AS BIGINT) AS chars FROM seqs GROUP BY marker", "seqs")
+def longest_word(rows: pd.DataFrame) -> pd.DataFrame:
+    """A user's function, which fails for some documents."""
+    words = rows["seq"].iloc[0].split()
+    if len(words) < 5:
+        raise ValueError("too few words")
+    return pd.DataFrame([{"longest": max(map(len, words)), "words": len(words)}])
+
+
+HOOK = r"WITH w AS (SELECT doc_id, regexp_extract_all(text, '[^ \t\n\r\x0b\f\x1c-\x1f]+') AS w FROM documents) SELECT doc_id AS genome_id, CASE WHEN len(w) >= 5 THEN list_max(list_transform(w, lambda x: length(x))) END AS longest, CASE WHEN len(w) >= 5 THEN len(w) END AS words, len(w) < 5 AS failed FROM w"
+
+
+@query("u1_map_groups", HOOK)
 def _(t):
-    schema = T.StructType().add("marker", "string").add("n", "long").add("chars", "long")
-    summary = lambda rows: pd.DataFrame([{"n": len(rows), "chars": int(rows["len"].sum())}])
-    return groups.map_groups(t.seqs().select("marker", "len"), ["marker"], summary, schema)[0]
+    schema = T.StructType().add("genome_id", "long").add("longest", "long").add("words", "long")
+    good, bad = groups.map_groups(t.seqs().select("genome_id", "seq"), ["genome_id"], longest_word, schema)
+    none = F.lit(None).cast("long")
+    return good.withColumn("failed", F.lit(False)).unionByName(bad.select("genome_id", none.alias("longest"), none.alias("words"), F.lit(True).alias("failed")))
 
 
 # pipelines
 
-W1 = f""", {SINGLE}, sized AS (SELECT s.*, CAST(l_partkey % 1000 AS BIGINT) AS len FROM single s), bounds AS (SELECT marker, round_even(median(len) - median(len) * 0.5, 0) AS lo, round_even(median(len) + median(len) * 0.5, 0) AS hi FROM sized GROUP BY marker HAVING count(*) >= 2),
+W1 = f""", {SINGLE}, sized AS (SELECT s.*, CAST(1 + l_partkey % 1000 AS INTEGER) AS len FROM single s), bounds AS (SELECT marker, round_even(median(len) - median(len) * 0.5, 0) AS lo, round_even(median(len) + median(len) * 0.5, 0) AS hi FROM sized GROUP BY marker HAVING count(*) >= 2),
 filtered AS (SELECT z.* FROM sized z JOIN bounds USING (marker) WHERE len BETWEEN lo AND hi), cut AS (SELECT greatest(1, round_even(0.1 * count(DISTINCT marker), 0)) AS c FROM filtered),
-kept AS (SELECT genome_id FROM filtered GROUP BY genome_id HAVING count(*) >= (SELECT c FROM cut))
-SELECT genome_id, marker, len FROM filtered WHERE genome_id IN (SELECT genome_id FROM kept)"""
+after AS (SELECT genome_id, count(*) AS n FROM filtered GROUP BY genome_id), kept AS (SELECT genome_id FROM after WHERE n >= (SELECT c FROM cut)) """
+PLACE = "(l_linenumber * 10000000 + l_partkey) * 10000000 + CAST(round({} * 100) AS BIGINT) % 10000000"  # one of each line of an order
+GENES = f"genes AS (SELECT l_orderkey AS genome_id, {PLACE.format('l_extendedprice')} AS place, l_returnflag, CAST(l_partkey % 1000 AS INTEGER) AS letters, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {PLACE.format('l_extendedprice')}) AS VARCHAR) AS nth FROM lineitem)"
+
+
+def genes_of(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Lines as genes of the orders: sequences as a gene caller writes them, and the hits on them by their later names."""
+    line = t.table("lineitem")
+    letters = F.concat(F.lit("M*"), F.repeat(F.substring(F.col("l_returnflag"), 1, 1), (F.col("l_partkey") % 1000).cast("int")))
+    raw = line.select(F.col("l_orderkey").alias("genome_id"), F.expr(PLACE.format("l_extendedprice")).alias("gene_ord"), F.lit("gene").alias("gene_id"), letters.alias("seq"))
+    named = sequences.rename_sequential(raw.drop("seq")).select("genome_id", "gene_ord", "gene_id")
+    return raw, t.hits().withColumn("gene_ord", F.expr(PLACE.format("-evalue"))).join(named, ["genome_id", "gene_ord"])
+
+
+def w1(t: Tables) -> dict[str, DataFrame]:
+    raw, found = genes_of(t)
+    k = F.col("o_custkey")
+    genomes = t.table("orders").select(F.col("o_orderkey").alias("genome_id"), F.when(k % 7 != 0, k.cast("string")).alias("taxid"))
+    return pipelines.marker_sets(found, raw, genomes, marker_names(t), 0.5, 0.1, order=HIT_ORDER)
+
+
+@query("w1_marker_sets", W1 + f", {GENES} SELECT genome_id, marker, CAST(genome_id AS VARCHAR) || '_' || nth AS gene_id, len, md5('M' || repeat(l_returnflag, letters)) AS seq_md5 FROM (SELECT *, {PLACE.format('-evalue')} AS place FROM filtered) JOIN genes USING (genome_id, place) WHERE genome_id IN (SELECT genome_id FROM kept)", "hits")
+def _(t):
+    return w1(t)["sequences"].select("genome_id", "marker", "gene_id", "len", F.md5("seq").alias("seq_md5"))
+
+
+@query("w1_summary", W1 + "SELECT q.genome_id AS assembly_id, CASE WHEN o_custkey % 7 <> 0 THEN CAST(o_custkey AS VARCHAR) ELSE 'NA' END AS taxid, num_hits, uniq_hits, perc_comp, perc_redund, coalesce(a.n, 0) AS num_hits_after_len_filt, CASE WHEN k.genome_id IS NULL THEN 'No' ELSE 'Yes' END AS in_final_tree FROM quality q JOIN orders ON q.genome_id = o_orderkey LEFT JOIN after a ON a.genome_id = q.genome_id LEFT JOIN kept k ON k.genome_id = q.genome_id", *QUALITY)
+def _(t):
+    return w1(t)["summary"]
 
 
-@query("w1_marker_sets", W1, "hits")
+@query("w1_markers", W1 + ", per AS (SELECT m.marker, count(z.marker) AS n FROM markers m LEFT JOIN sized z USING (marker) GROUP BY m.marker) SELECT marker, n, CASE WHEN n >= 2 THEN 'kept' WHEN n = 0 THEN 'no hits' ELSE 'too few hits' END AS reason FROM per", "hits", "markers")
 def _(t):
-    sized = t.hits().withColumn("len", F.col("l_partkey") % 1000)
-    return pipelines.marker_sets(sized, None, t.genomes(), marker_names(t), 0.5, 0.1)["sequences"].select("genome_id", "marker", "len")
+    out = w1(t)
+    return out["kept_markers"].withColumn("reason", F.lit("kept")).unionByName(out["removed_markers"])
 
 
-@query("w2_supermatrix", """, cells AS (SELECT marker, genome_id, unnest(range(1, 17)) AS pos, unnest(string_split(seq, '')) AS c FROM aln), kept AS (SELECT marker, pos FROM cells GROUP BY ALL HAVING avg(CASE WHEN c = '-' THEN 1 ELSE 0 END) <= 0.5),
+W2 = """, cells AS (SELECT marker, genome_id, unnest(range(1, 17)) AS pos, unnest(string_split(seq, '')) AS c FROM aln), kept AS (SELECT marker, pos FROM cells GROUP BY ALL HAVING avg(CASE WHEN c = '-' THEN 1 ELSE 0 END) <= 0.5),
 trimmed AS (SELECT marker, genome_id, string_agg(c, '' ORDER BY pos) AS seq FROM cells SEMI JOIN kept USING (marker, pos) GROUP BY ALL), wide AS (SELECT marker, max(length(seq)) AS w FROM trimmed GROUP BY marker),
-whole AS (SELECT w.marker, v.vec_id AS genome_id, coalesce(s.seq, repeat('-', w.w)) AS seq FROM wide w CROSS JOIN embeddings v LEFT JOIN trimmed s ON s.marker = w.marker AND s.genome_id = v.vec_id)
-SELECT CAST(genome_id AS BIGINT) AS genome_id, string_agg(seq, 'XXXXX' ORDER BY marker) AS seq FROM whole GROUP BY genome_id""", "aln")
+whole AS (SELECT w.marker, v.vec_id AS genome_id, coalesce(s.seq, repeat('-', w.w)) AS seq FROM wide w CROSS JOIN embeddings v LEFT JOIN trimmed s ON s.marker = w.marker AND s.genome_id = v.vec_id),
+joined AS (SELECT genome_id, string_agg(seq, 'XXXXX' ORDER BY marker) AS seq FROM whole GROUP BY genome_id),
+parts AS (SELECT marker, row_number() OVER (ORDER BY marker) AS ord, CAST(1 + coalesce(sum(w + 5) OVER (ORDER BY marker ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS a, w FROM wide) """
+
+
+def w2(t: Tables) -> str:
+    """The files of the pipeline: their folder."""
+    folder = new_path(t.spark, "supermatrix")
+    labelled = pipelines.genome_labels(t.vectors(), t.user_map(), t.lineage(2), t.lineage(3), RANKS)
+    pipelines.write_supermatrix(*pipelines.supermatrix(t.aln(), t.vectors(), labelled), folder)
+    return folder
+
+
+@query("w2_supermatrix", FINAL.replace("c_custkey", "vec_id").replace("FROM customer", "FROM (SELECT vec_id FROM embeddings)") + W2 + "SELECT coalesce(label, CAST(j.genome_id AS VARCHAR)) AS gene_id, j.seq FROM joined j LEFT JOIN final_labels f ON j.genome_id = f.genome_id", *LABELS, "aln")
 def _(t):
-    return pipelines.supermatrix(t.aln(), t.vectors())[0]
+    return readers.read_fasta(t.spark, f"{w2(t)}/alignment", per_file_order=False).select("gene_id", "seq")
+
+
+@query("w2_partitions", W2 + "SELECT 'AA, ' || marker || ' = ' || CAST(a AS VARCHAR) || '-' || CAST(a + w - 1 AS VARCHAR) AS line FROM parts UNION ALL SELECT 'charset ' || marker || ' = ' || CAST(a AS VARCHAR) || '-' || CAST(a + w - 1 AS VARCHAR) || ';' FROM parts UNION ALL VALUES ('#NEXUS'), ('begin sets;'), ('end;')", "aln")
+def _(t):
+    folder = w2(t)
+    return t.spark.read.text([f"{folder}/partitions-plain", f"{folder}/partitions-nexus"]).select(F.col("value").alias("line"))
+
+
+def w3(t: Tables, rank: str | None, **how) -> dict[str, DataFrame]:
+    """The release table goes through its own format, lineage in one column."""
+    path = new_path(t.spark, "release")
+    lineage = F.concat_ws(";", *[F.concat(F.lit(tag), F.col(f"`{r}`")) for tag, r in zip(("d__", "p__", "c__", "s__"), RANKS, strict=True)])
+    writers.write_tsv(t.gtdb().withColumn("lineage", lineage).drop(*RANKS), path)
+    return pipelines.catalog_subset(readers.read_gtdb(t.spark, [path]), "ASIA", rank, RANKS, **how)
 
 
 @query("w3_catalog_subset", "SELECT phylum AS taxon, substr(min_by(accession, md5('1|' || accession)), 4) AS accession FROM gtdb WHERE \"domain\" = 'ASIA' AND ncbi_refseq_category = 'representative genome' GROUP BY phylum", "gtdb")
 def _(t):
-    return pipelines.catalog_subset(t.gtdb(), "ASIA", "phylum", RANKS, "refseq")
+    return w3(t, "phylum", reps="refseq")["drawn"]
 
 
-W4 = ", single AS (SELECT marker, count(*) / (SELECT count(*) FROM genomes) * 100 AS share FROM found WHERE n = 1 GROUP BY marker) SELECT acc, short_name, name, share FROM (SELECT p_brand AS acc, min(p_type) AS short_name, min(p_name) AS name, avg(p_size) AS coverage FROM part GROUP BY p_brand) JOIN single ON acc = marker WHERE coverage > 25 AND share >= 12"
+@query("w3_counts", ", asia AS (SELECT * FROM gtdb WHERE \"domain\" = 'ASIA') SELECT 'domain' AS \"rank\", 'rows' AS what, count(*) AS n, count(*) FILTER (ncbi_refseq_category = 'representative genome') AS n_rep FROM asia"
+    + "".join(f" UNION ALL SELECT '{r}', 'taxa', count(DISTINCT \"{r}\"), count(DISTINCT \"{r}\") FILTER (ncbi_refseq_category = 'representative genome') FROM asia" for r in RANKS), "gtdb")
+def _(t):
+    out = w3(t, "phylum")
+    return out["counts"].withColumn("what", F.lit("rows")).unionByName(out["taxa"].select("rank", F.col("n_taxa").alias("n"), F.col("n_taxa_rep").alias("n_rep"), F.lit("taxa").alias("what")))
 
 
-@query("w4_discover_markers", W4, "hits", "genomes", "found")
+@query("w3_rows", "SELECT accession, gtdb_representative, ncbi_refseq_category, \"domain\", phylum, \"class\", species FROM gtdb WHERE \"domain\" = 'ASIA'", "gtdb")
 def _(t):
-    info = t.table("part").groupBy(F.col("p_brand").alias("accession")).agg(F.lit(None).cast("string").alias("version"), F.min("p_type").alias("short_name"), F.min("p_name").alias("name"), F.avg("p_size").alias("coverage"))
-    return pipelines.discover_markers(t.hits(), t.genomes(), info, 12.0, 25.0)
+    return w3(t, "phylum")["rows"]
 
 
-@query("w5_target_presence", "SELECT g.genome_id, count(*) FILTER (marker = 'Brand#12') AS b12, count(*) FILTER (marker = 'Brand#3') AS b3, nullif(count(marker), 0) AS total_gene_count FROM genomes g LEFT JOIN hits USING (genome_id) GROUP BY g.genome_id", "hits", "genomes")
+@query("w3_downsampled", """, asia AS (SELECT * FROM gtdb WHERE "domain" = 'ASIA'), sized AS (SELECT *, count(*) OVER (PARTITION BY "class") AS n, count(*) OVER () AS total, row_number() OVER (PARTITION BY "class" ORDER BY md5('1|' || accession), accession) AS place FROM asia)
+SELECT substr(accession, 4) AS accession, "class" FROM sized WHERE n < CAST(floor(total * 0.2) AS BIGINT) OR place <= floor(n * 0.1)""", "gtdb")
 def _(t):
-    targets = t.spark.createDataFrame([("Brand#12",), ("Brand#3",), ("Brand#99",)], "target string")
+    return w3(t, None, cutoff=0.2, fraction=0.1)["drawn"].select("accession", "class")
+
+
+W4 = ", info AS (SELECT p_brand || '.1' AS acc, min(p_type) AS short_name, min(p_name) AS name, avg(p_size) AS coverage FROM part GROUP BY p_brand), single AS (SELECT marker || '.1' AS acc, count(*) / (SELECT count(*) FROM genomes) * 100 AS share FROM found WHERE n = 1 GROUP BY marker), chosen AS (SELECT acc, short_name, name, share FROM info JOIN single USING (acc) WHERE coverage > 25 AND share >= 12) "
+
+
+def w4(t: Tables) -> dict[str, DataFrame]:
+    """Profile information and hits go through their own formats."""
+    info, found = new_path(t.spark, "pfam"), new_path(t.spark, "hits")
+    brands = t.table("part").groupBy("p_brand").agg(F.min("p_type").alias("short"), F.min("p_name").alias("name"), F.avg("p_size").cast("string").alias("coverage"))
+    known = {0: F.col("p_brand"), 1: F.col("short"), 3: F.col("name"), 27: F.lit("1"), 33: F.col("coverage")}
+    brands.select(F.concat_ws("\t", *[known.get(k, F.lit("")) for k in range(36)]).alias("value")).write.text(info)
+    t.hits().select(F.concat_ws(" ", F.col("genome_id").cast("string"), F.lit("-"), "marker", F.concat("marker", F.lit(".1")), F.lit("1e-9 20.5")).alias("value")).write.text(found)
+    seen = readers.read_hits(t.spark, found).select(F.col("gene_id").cast("long").alias("genome_id"), F.col("marker_acc").alias("marker"))
+    sets = t.table("part").select(F.concat("p_brand", F.lit(".1")).alias("acc"), F.col("p_name").alias("body"))
+    return pipelines.discover_markers(seen, t.genomes(), readers.read_pfam_info(t.spark, info), sets, 12.0, 25.0)
+
+
+@query("w4_discover_markers", W4 + "SELECT * FROM chosen", "hits", "genomes", "found")
+def _(t):
+    return w4(t)["markers"]
+
+
+@query("w4_profiles", W4 + "SELECT p_brand || '.1' AS acc, p_name AS body FROM part WHERE p_brand || '.1' IN (SELECT acc FROM chosen)", "hits", "genomes", "found")
+def _(t):
+    return w4(t)["profiles"]
+
+
+@query("w4_missed", "SELECT CAST(genome_id AS VARCHAR) AS accession, 'no hits' AS why_missing FROM genomes WHERE genome_id NOT IN (SELECT genome_id FROM hits)", "hits", "genomes")
+def _(t):
+    return w4(t)["missed"]
+
+
+def w5(t: Tables) -> dict[str, DataFrame]:
+    raw, found = genes_of(t)
+    targets = t.spark.createDataFrame([("Brand#12.3",), ("Brand#3",), ("Brand#99",)], "target string")
     have = t.markers().withColumnRenamed("marker", "acc")
-    wide, _, _ = pipelines.target_presence(t.hits(), t.genomes(), targets, have, hits.gene_counts(t.hits()))
+    labelled = t.genomes().select("genome_id", F.concat(F.lit("o"), F.col("genome_id").cast("string")).alias("label"))
+    return pipelines.target_presence(found, t.genomes(), targets, have, pipelines.gene_sequences(raw), labelled)
+
+
+@query("w5_target_presence", "SELECT g.genome_id, count(*) FILTER (marker = 'Brand#12') AS b12, count(*) FILTER (marker = 'Brand#3') AS b3, nullif(count(marker), 0) AS total_gene_count FROM genomes g LEFT JOIN hits USING (genome_id) GROUP BY g.genome_id", "hits", "genomes")
+def _(t):
+    wide = w5(t)["matrix"]
     return wide.select("genome_id", F.col("`Brand#12`").alias("b12"), F.col("`Brand#3`").alias("b3"), "total_gene_count")
 
 
+@query("w5_sequences", f", {GENES}, wanted AS (SELECT DISTINCT genome_id, place, nth, l_returnflag, letters FROM (SELECT *, {PLACE.format('-evalue')} AS place FROM hits) JOIN genes USING (genome_id, place) WHERE marker IN ('Brand#12', 'Brand#3')) SELECT genome_id, CAST(genome_id AS VARCHAR) || '_' || genome_id || '_' || nth || '_' || CAST(row_number() OVER (PARTITION BY genome_id ORDER BY place) AS VARCHAR) AS gene_id, md5('M' || repeat(l_returnflag, letters)) AS seq_md5 FROM wanted", "hits")
+def _(t):
+    return w5(t)["sequences"].select("genome_id", "gene_id", F.md5("seq").alias("seq_md5"))
+
+
+@query("w5_viewer_and_missing", "SELECT marker AS target, o AS ord, CASE o WHEN 0 THEN 'DATASET_STYLE' WHEN 1 THEN 'SEPARATOR SPACE' WHEN 2 THEN 'DATASET_LABEL ' || marker WHEN 3 THEN 'COLOR #0000ff' ELSE 'DATA' END AS line FROM markers, (SELECT unnest([0, 1, 2, 3, 4]) AS o) WHERE marker IN ('Brand#12', 'Brand#3') UNION ALL SELECT DISTINCT marker, 5, 'o' || CAST(genome_id AS VARCHAR) || ' branch node #0000ff 3 normal' FROM hits WHERE marker IN ('Brand#12', 'Brand#3') UNION ALL SELECT 'Brand#99', -1, 'missing'", "hits", "markers")
+def _(t):
+    out = w5(t)
+    return out["viewer"].unionByName(out["missing"].select(F.col("requested").alias("target"), F.lit(-1).alias("ord"), F.lit("missing").alias("line")))
+
+
 @query("w6_accession_intake", RESOLVED + "SELECT input_accession, found_accession, 'found' AS status FROM resolved UNION ALL SELECT id, NULL, 'not found' FROM kept WHERE id NOT IN (SELECT input_accession FROM resolved)", "wanted", "catalog")
 def _(t):
     got = pipelines.accession_intake(t.wanted(), t.catalog())
