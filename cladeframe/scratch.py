@@ -16,6 +16,12 @@ def shared_dir(spark: SparkSession) -> str:
     if path is None:
         path = f"file://{tempfile.mkdtemp(prefix='spark-')}"
         sc.setCheckpointDir(path)
+    return qualified(spark, path)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its file system."""
+    sc = spark.sparkContext
     place = sc._jvm.org.apache.hadoop.fs.Path(path)
     uri = place.getFileSystem(sc._jsc.hadoopConfiguration()).makeQualified(place).toString().rstrip("/")
     return uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri

@@ -233,3 +233,29 @@ def test_sequences_are_numbered_in_ranges(spark, monkeypatch):
     assert sequences.rename_sequential(df).columns == df.columns
     plan = sequences.rename_sequential(df)._jdf.queryExecution().optimizedPlan().toString()
     assert all("bucket" in line for line in plan.splitlines() if "row_number" in line and "Window" in line)
+
+
+def test_label_map_faults(spark):
+    table = spark.createDataFrame([("a\\b", None), ("plain", "x"), ("plain", "x"), ("ok", "[y]"), ("fine", None)], "label string, suffix string")
+    assert sorted(rows(ids.check_label_map(table)), key=str) == sorted([("forbidden character", "a\\b", None, 1), ("forbidden character", "ok", "[y]", 1), ("duplicate", "plain", "x", 2)], key=str)
+
+
+def test_folders_without_a_scheme_are_of_the_default_file_system(spark):
+    from cladeframe.scratch import qualified
+
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    assert qualified(spark, "/tmp/x/") == qualified(spark, "file:/tmp/x") == "file:///tmp/x"
+    conf.set("fs.viewfs.mounttable.elsewhere.link./shared", "file:///tmp")
+    conf.set("fs.defaultFS", "viewfs://elsewhere")
+    try:
+        assert qualified(spark, "/shared/x") == "viewfs://elsewhere/shared/x" and qualified(spark, "file:/tmp/x") == "file:///tmp/x"
+    finally:
+        conf.set("fs.defaultFS", before)
+
+
+def test_lineages_climb_from_the_wanted_ids(spark):
+    nodes = spark.createDataFrame([(1, 1, "no rank"), (2, 1, "class"), (3, 2, "species"), (4, 9, "species"), (5, 6, "class"), (6, 5, "species")], "taxid long, parent long, rank string")
+    known = spark.createDataFrame([(k, f"n{k}") for k in range(1, 7)], "taxid long, name string")
+    got = taxonomy.resolve_lineage(spark.createDataFrame([(3,), (4,), (6,), (8,), (3,)], "taxid long"), nodes, known, ["class", "species"])
+    assert sorted(rows(got)) == [(3, "n2", "n3"), (4, "NA", "n4"), (6, "n5", "n6"), (8, "NA", "NA")]
