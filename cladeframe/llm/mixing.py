@@ -123,5 +123,5 @@ def mix(docs: DataFrame, **how) -> DataFrame:
     else:
         rows = rows.withColumn("m_nth", F.lit(1))
     rows = rows.where("m_times > 0")
-    matched = words.join(rows, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("m_words") == F.col("m_size")) & (F.col("m_nth_row") == F.col("m_nth")))
+    matched = words.hint("merge").join(rows, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("m_words") == F.col("m_size")) & (F.col("m_nth_row") == F.col("m_nth")))
     return matched.withColumn("m_turn", F.explode(F.sequence(F.lit(1), F.col("m_times")))).select(docs.columns)

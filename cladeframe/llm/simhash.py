@@ -27,8 +27,9 @@ What is left of the matches is verified by the shingles. Pairs within a crowd of
 every text of a bucket is compared with the bucket's smallest. Then, in buckets whose texts that has not put together, the
 shingles are counted: one that no other text has can be shared with none, and texts with too many such shingles have
 no partner (texts that share a passage and nothing else go here). The text with the fewest of them, that in the middle of
-a crowd, is compared with the others. Last, texts of a bucket that are still apart are compared with each other, where the
-counts leave it possible that they are similar.
+a crowd, is compared with the others. Last, texts of a bucket that are still apart are compared with each other, where it
+is possible that they are similar: by those counts, and by bitmaps of BITS places that a text's shingles are set in (a
+place that is set for one text alone is a shingle that the other lacks).
 
 Edge cases: a null text counts as empty; texts without words get fingerprint zero, which links like any other, and are
 all alike; rows with the same id and text give rows that are the same. A null doc_id is never the smallest of a group
@@ -39,7 +40,9 @@ as one text, similar to all that any of them is similar to.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import repeat
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -54,7 +57,7 @@ SEED = 42
 BLOCK = 1 << 16
 SHINGLE, LEAST = 5, 0.8  # of near copies
 SEGMENTS, SAMPLED = 20, 3
-SHORT = 32  # shingles
+SHORT, BITS = 32, 1024  # shingles, places
 WITHIN = 26  # bits of 64; similarity 0.8 gives 9.7 with a standard deviation of 2.9
 ODD = (2 * np.random.default_rng(SEED).integers(1 << 62, size=SEGMENTS + SAMPLED, dtype=np.uint64) + 1).astype(np.uint64)
 
@@ -197,18 +200,26 @@ def sketches(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return rows.mapInArrow(make, "doc_id long, fp long, sum_a long, sum_b long, n int, keys array<long>")
 
 
+def bitmap(shingles: np.ndarray) -> np.ndarray:
+    bits = np.zeros(BITS, dtype=np.uint8)
+    bits[mixed(shingles ^ ODD[1]) % np.uint64(BITS)] = 1
+    return np.packbits(bits, bitorder="little").view("<u8")
+
+
 def shingle_sets(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
-    """node, shingles (as hashes) of the documents whose doc_id is in nodes.node."""
+    """node, shingles (as hashes) and their bitmap of the documents whose doc_id is in nodes.node. Joins with whole texts are
+    sort-merge joins at any size, so that small inputs tell how large ones will do."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part = batch.slice(at, 256)
-                yield pa.RecordBatch.from_arrays([part.column(0), signed_lists([shingle_set(t.as_py(), shingle) for t in part.column(1)])], names=["node", "shingles"])
+                sets = [shingle_set(t.as_py(), shingle) for t in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), signed_lists(sets), signed_lists(list(map(bitmap, sets)))], names=["node", "shingles", "bits"])
         pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("binary").alias("text"))
-    return rows.join(nodes, "node", "left_semi").mapInArrow(make, "node long, shingles array<long>")
+    return rows.hint("merge").join(nodes, "node", "left_semi").mapInArrow(make, "node long, shingles array<long>, bits array<long>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -231,8 +242,13 @@ def similar_links(docs: DataFrame, texts: DataFrame, shingle: int = SHINGLE, lea
         return (F.least(xs, ys) >= least * F.greatest(xs, ys) - 1e-9) & (bits | (F.least(xs, ys) <= SHORT))
 
     def possible(x: str, y: str):
-        """As far as the counts of shingles that other texts have as well tell."""
-        return F.least(f"{x}.common", f"{y}.common") >= least / (1 + least) * (F.col(f"{x}.n") + F.col(f"{y}.n")) - 1e-9
+        """As far as the counts of shingles that other texts have as well, and the bitmaps, tell."""
+
+        def lacking(a: str, b: str):
+            return F.coalesce(reduce(add, [F.bit_count(F.col(f"{a}.bits")[k].bitwiseAND(F.bitwise_not(F.col(f"{b}.bits")[k]))) for k in range(BITS // 64)]), F.lit(0))
+
+        shared = F.least(f"{x}.common", f"{y}.common", F.col(f"{x}.n") - lacking(x, y), F.col(f"{y}.n") - lacking(y, x))
+        return shared >= least / (1 + least) * (F.col(f"{x}.n") + F.col(f"{y}.n")) - 1e-9
 
     def ordered(x, y):
         return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
@@ -255,9 +271,10 @@ def similar_links(docs: DataFrame, texts: DataFrame, shingle: int = SHINGLE, lea
     left_over = stash(apart(found.select("key", "m"), first), "left-over")
     shingles = sets.join(left_over.select("m.node").distinct(), "node", "left_semi").select("node", F.explode("shingles").alias("s"))
     lone = shingles.groupBy("s").agg(F.count("*").alias("texts"), F.min("node").alias("o_node")).where("texts = 1").groupBy("o_node").agg(F.count("*").alias("own"))
+    maps = sets.groupBy("node").agg(F.min("bits").alias("bits"), F.count("*").alias("rows")).select(F.col("node").alias("b_node"), F.when(F.col("rows") == 1, F.col("bits")).alias("bits"))  # not of an id with several texts
     counted = left_over.join(lone, F.col("m.node") == F.col("o_node"), "left").withColumn("common", F.col("m.n") - F.coalesce("own", F.lit(0)))
-    counted = counted.where(F.col("common") >= least * F.col("m.n") - 1e-9)
-    counted = stash(counted.select("key", F.struct("m.node", "m.fp", "m.n", "common").alias("m"), "root"), "counted")
+    counted = counted.where(F.col("common") >= least * F.col("m.n") - 1e-9).join(maps, F.col("m.node") == F.col("b_node"))
+    counted = stash(counted.select("key", F.struct("m.node", "m.fp", "m.n", "common", "bits").alias("m"), "root"), "counted")
     middle = counted.groupBy("key").agg(F.min(F.struct((F.col("m.n") - F.col("m.common")).alias("own"), "m", "root")).alias("c")).select("key", F.col("c.m").alias("c"), F.col("c.root").alias("c_root"))
     around = counted.join(middle, "key").where((F.col("root") != F.col("c_root")) & possible("m", "c") & near("m", "c"))
     second = stash(verified(around.select(*ordered(F.col("m.node"), F.col("c.node"))), sets, least), "links")
@@ -298,7 +315,7 @@ def keep_first(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     all stay."""
     groups = similar_groups(docs) if groups is None else groups
     firsts = stash(groups.where("doc_id = component_id").select("doc_id").distinct(), "first-documents")
-    kept = docs.join(firsts, "doc_id", "left_semi").select(docs.columns)
+    kept = docs.hint("merge").join(firsts, "doc_id", "left_semi").select(docs.columns)
     if docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null").limit(1).count():
         kept = kept.dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where("doc_id is null"))
