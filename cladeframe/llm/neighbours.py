@@ -7,10 +7,10 @@ codewords are fitted with that part weighing ETA times as much as the rest: code
 joint least squares of all of them.
 
 Codewords are fitted on a bounded sample of SAMPLE vectors (those with the smallest hash of their id); all vectors are
-coded. Vectors are dealt in parts of about PART rows and queries in blocks of at most about BLOCK; for each pair of a
-part and a block, one task group makes the tables of the queries (16 sums a pair of components), scans the part's codes,
-and reranks the best RERANK by the distance of the original vectors in double precision. The best of all parts are
-ranked by a window.
+coded. Codes, not vectors, are dealt in parts of about PART rows, and queries in blocks of about BLOCK; for each pair of a
+part and a block, one task group makes the tables of the queries (16 sums a pair of components), scans the part's codes
+and returns the best RERANK by estimated score. The best RERANK of all parts are joined with the original vectors and
+ranked by their distance in double precision.
 
 Edge cases: vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do those whose
 length is not the most frequent one (the smaller of two); ties go to the smaller vec_id, as equal vectors have equal
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLE, PART, BLOCK, RERANK = 8192, 4096, 2048, 96
+SAMPLE, PART, BLOCK, RERANK = 8192, 32768, 1024, 192
 CODES, ETA = 16, 3.0
 ROUNDS, SWEEPS, SEED = 6, 2, 11
 
@@ -107,28 +107,30 @@ def even(x: np.ndarray) -> np.ndarray:
     return np.concatenate([x, np.zeros((len(x), 1))], axis=1) if x.shape[1] % 2 else x
 
 
-def search(ids: np.ndarray, x: np.ndarray, codes: np.ndarray, words: np.ndarray, q_ids: np.ndarray, q: np.ndarray, k: int, rerank: int) -> list[tuple]:
-    """The k nearest rows of a part for each query: scan of the codes by tables, then exact distances."""
+def best(score: np.ndarray, n: int) -> np.ndarray:
+    """Places of the n largest; of equal ones at the end, the first."""
+    if len(score) <= n:
+        return np.flatnonzero(score > -np.inf)
+    least = np.partition(score, len(score) - n)[len(score) - n]
+    above = np.flatnonzero(score > least)
+    return np.concatenate([above, np.flatnonzero((score == least) & (score > -np.inf))[: n - len(above)]])
+
+
+def scan(ids: np.ndarray, half: np.ndarray, codes: np.ndarray, words: np.ndarray, q_ids: np.ndarray, q: np.ndarray, rerank: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The best rows of a part for each query by estimated score (query ids, row ids, estimates); half is |x|^2 / 2."""
     order = np.argsort(ids, kind="stable")
     order = order[np.concatenate([[True], ids[order][1:] != ids[order][:-1]])]  # rows that repeat an id count once
-    ids, x, codes = ids[order], x[order], codes[order]
-    half, out, m = (x**2).sum(axis=1) / 2, [], len(words)
-    for at in range(0, len(q), 64):
-        some, some_ids = q[at : at + 64], q_ids[at : at + 64]
+    ids, half, codes, out, m = ids[order], half[order], np.ascontiguousarray(codes[order].T), [], len(words)
+    for at in range(0, len(q), 32):
+        some, some_ids = q[at : at + 32], q_ids[at : at + 32]
         tables = np.einsum("qmd,mkd->qmk", some.reshape(len(some), m, 2), words).astype(np.float32)
         score = np.repeat(-half.astype(np.float32)[None], len(some), axis=0)
         for j in range(m):
-            score += np.take(tables[:, j], codes[:, j], axis=1)
+            score += np.take(tables[:, j], codes[j], axis=1)
         score[some_ids[:, None] == ids[None]] = -np.inf
-        best = np.argsort(-score, axis=1, kind="stable")[:, :rerank]
-        distance = np.zeros(best.shape)
-        for j in range(x.shape[1]):
-            distance += (x[best, j] - some[:, j : j + 1]) ** 2
-        distance = np.sqrt(distance)
-        distance[ids[best] == some_ids[:, None]] = np.inf
         for r in range(len(some)):
-            top = np.lexsort((ids[best[r]], distance[r]))[:k]
-            out += [(int(some_ids[r]), int(ids[best[r, t]]), float(distance[r, t])) for t in top if np.isfinite(distance[r, t])]
+            top = best(score[r], rerank)
+            out.append((np.full(len(top), some_ids[r]), ids[top], score[r, top].astype(float)))
     return out
 
 
@@ -157,23 +159,28 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, part: int = PAR
         for batch in batches:
             x = even(matrix(batch.column("embedding"), dim))
             packed = [bytes(r) for r in pack(encode(x, words))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], names=["vec_id", "embedding", "codes"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array((x**2).sum(axis=1) / 2), pa.array(packed, pa.binary())], names=["vec_id", "half", "codes"])
 
-    coded = good.mapInArrow(code, "vec_id long, embedding array<double>, codes binary")
+    coded = good.mapInArrow(code, "vec_id long, half double, codes binary")
     coded = coded.withColumns({"part": F.pmod(F.xxhash64("vec_id"), F.lit(parts)), "block": F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))})
     dealt = asked.withColumns({"block": F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int")})
     dealt = dealt.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        found: list[tuple] = []
+        found = []
         if len(left) and len(right):
-            x, q = even(matrix(left["embedding"], dim)), even(matrix(right["embedding"], dim))
-            codes = unpack(np.frombuffer(b"".join(left["codes"].to_pylist()), dtype=np.uint8).reshape(len(x), -1), len(words))
-            found = search(left["vec_id"].to_numpy(), x, codes, words, right["vec_id"].to_numpy(), q, k, rerank)
-        columns = list(zip(*found, strict=True)) or [()] * 3
-        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query_id", "vec_id", "score"])
-
-    met = coded.groupBy("part", "block").cogroup(dealt.groupBy("part", "block")).applyInArrow(meet, schema)
-    met = met.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+            codes = unpack(np.frombuffer(b"".join(left["codes"].to_pylist()), dtype=np.uint8).reshape(len(left), -1), len(words))
+            found = scan(left["vec_id"].to_numpy(), left["half"].to_numpy(), codes, words, right["vec_id"].to_numpy(), even(matrix(right["embedding"], dim)), rerank)
+        columns = [np.concatenate(c) for c in zip(*found, strict=True)] or [np.zeros(0)] * 3
+        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query_id", "vec_id", "estimate"])
+
+    met = coded.groupBy("part", "block").cogroup(dealt.groupBy("part", "block")).applyInArrow(meet, "query_id long, vec_id long, estimate double")
+    met = met.groupBy("query_id", "vec_id").agg(F.max("estimate").alias("estimate"))
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("estimate"), "vec_id"))
+    candidates = met.withColumn("place", place).where(F.col("place") <= rerank).select("query_id", "vec_id")
+    pairs = candidates.join(good.withColumnRenamed("embedding", "x"), "vec_id").join(asked.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q")), "query_id")
+    squares = F.zip_with("q", "x", lambda a, b: (a - b) * (a - b))
+    scored = pairs.select("query_id", "vec_id", F.sqrt(F.aggregate(squares, F.lit(0.0), lambda a, x: a + x)).alias("score"))
+    scored = scored.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return met.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return scored.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
