@@ -12,8 +12,9 @@ that occur once if it holds all. So memory is bounded at any size of the corpus.
 starts from.
 
 The network is trained in numpy on every position of all documents once, in ROUNDS parts chosen by a hash of the text and the
-position. Each task trains on its documents, starting from the same network; the tasks' networks are averaged, weighed by
-their positions, by an aggregation per parameter, after each part.
+position. Documents are dealt to shards of about SHARD words by a hash of their id and words, and come in the order of that
+hash, so that the network does not depend on how the table is partitioned. Each shard trains from the same network; the
+shards' networks are averaged, weighed by their positions, by an aggregation per parameter, after each part.
 
 Edge cases: null and empty texts, and those without words, have 0 tokens, score 0 and mean 0; an empty corpus gives an
 untrained network and no rows.
@@ -38,6 +39,8 @@ TOKENS, CLASSES, HIDDEN, REACH, EVERY, ROUNDS = 1 << 18, 256, 24, 2, 1, 2
 EDGE, OTHER = 0, 1
 OFFSETS = [o for o in range(-REACH, REACH + 1) if o]
 BLOCK, BATCHES, RATE = 2048, (16, 1024), 0.1
+SHARD = 1 << 22
+SAFE = 80  # exp of it is a finite float
 STREAM = 1 << 17
 CONTEXTS, NEW_BYTE = 4096, 0.1
 
@@ -169,24 +172,40 @@ class Network:
             at += x.size
         return Network(*parts, self.words)
 
+    @cached_property
+    def outer(self) -> np.ndarray:
+        """Output weights, and the biases as a last row."""
+        return np.concatenate([self.class_out, self.class_bias[None]])
+
     def hidden(self, flat: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Hidden values at the places, and a last column of ones."""
         total = np.repeat(self.bias[None], len(at), axis=0)
         for k, o in enumerate(OFFSETS):
             total += self.class_tables[k].take(flat[at + o], axis=0)
-        return np.tanh(total, out=total)
+        out = np.ones((len(at), total.shape[1] + 1), np.float32)
+        np.tanh(total, out=out[:, :-1])
+        return out
+
+    @staticmethod
+    def logits(h: np.ndarray, outer: np.ndarray) -> np.ndarray:
+        z = h @ outer
+        if z.max(initial=0) > SAFE:
+            z -= z.max(axis=1, keepdims=True)
+        return z
 
     def log_probs(self, flat: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Log probability of the class at each of the places."""
-        logits = self.hidden(flat, at) @ self.class_out
-        logits += self.class_bias
-        logits -= logits.max(axis=1, keepdims=True)
-        own = logits[np.arange(len(at)), flat[at]]
-        return own - np.log(np.exp(logits, out=logits).sum(axis=1))
+        z = self.logits(self.hidden(flat, at), self.outer)
+        own = z[np.arange(len(at)), flat[at]]
+        return own - np.log(np.exp(z, out=z).sum(axis=1))
 
     def train(self, streams: Iterable[tuple[np.ndarray, np.ndarray]], rate: float = RATE) -> tuple[Network, int]:
         """One pass of Adagrad over the streams' places, in batches that grow; a new network and the number of places."""
         net = self.like(self.flat())
-        past = [np.full(x.shape, 1e-6, np.float32) for x in net.params()]
+        outer = net.outer
+        learned = [net.class_tables, net.bias, outer]
+        past = [np.full(x.shape, 1e-6, np.float32) for x in learned]
+        tables, width = np.empty_like(net.class_tables), len(net.bias)
         done = 0
         for flat, places in streams:
             first = 0
@@ -195,24 +214,18 @@ class Network:
                 first += len(at)
                 done += len(at)
                 h = net.hidden(flat, at)
-                p = h @ net.class_out
-                p += net.class_bias
-                p -= p.max(axis=1, keepdims=True)
+                p = net.logits(h, outer)
                 np.exp(p, out=p)
                 p *= 1 / (p.sum(axis=1, keepdims=True) * len(at))
                 p[np.arange(len(at)), flat[at]] -= np.float32(1 / len(at))
-                inner = (p @ net.class_out.T) * (1 - h * h)
-                tables = np.zeros_like(net.class_tables)
+                inner = (p @ outer[:-1].T) * (1 - h[:, :-1] ** 2)
                 for k, o in enumerate(OFFSETS):
-                    near = flat[at + o]
-                    order = np.argsort(near, kind="stable")
-                    near = near[order]
-                    runs = np.flatnonzero(np.concatenate([[True], near[1:] != near[:-1]]))
-                    tables[k, near[runs]] = np.add.reduceat(inner[order], runs, axis=0)
-                for x, g, s in zip(net.params(), (tables, inner.sum(axis=0), h.T @ p, p.sum(axis=0)), past, strict=True):
+                    cells = flat[at + o].astype(np.int64)[:, None] * width + np.arange(width)
+                    tables[k] = np.bincount(cells.ravel(), weights=inner.ravel(), minlength=tables[k].size).reshape(-1, width)
+                for x, g, s in zip(learned, (tables, inner.sum(axis=0), h.T @ p), past, strict=True):
                     s += g * g
                     x -= rate * g / np.sqrt(s)
-        return net, done
+        return Network(net.class_tables, net.bias, outer[:-1].copy(), outer[-1].copy(), self.words), done
 
 
 def encoded(docs: DataFrame, known: dict[str, int], words: Words) -> DataFrame:
@@ -242,7 +255,7 @@ def places_of(packed: bytes, n: int, every: int, rounds: int, round_: int) -> np
     return np.arange((xxh64_intdigest(packed, 3) + round_ * every) % step, n, step)
 
 
-def streams(batches: Iterator[pa.RecordBatch], every: int, rounds: int, round_: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def streams(shard: pa.ChunkedArray, every: int, rounds: int, round_: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Joined texts of about STREAM words with their places for a round, in an order by lot."""
     rng = np.random.default_rng(round_)
     texts: list[np.ndarray] = []
@@ -253,18 +266,16 @@ def streams(batches: Iterator[pa.RecordBatch], every: int, rounds: int, round_:
         flat, starts = joined(texts)
         return flat, rng.permutation(np.concatenate([p + s for p, s in zip(places, starts, strict=True)]))
 
-    for batch in batches:
-        for value in batch.column(0):
-            packed = value.as_py()
-            if packed:
-                texts.append(np.frombuffer(packed, "<u2"))
-                places.append(places_of(packed, len(texts[-1]), every, rounds, round_))
-                waiting += len(texts[-1])
-                if waiting >= STREAM:
-                    yield shuffled()
-                    texts.clear()
-                    places.clear()
-                    waiting = 0
+    for value in shard:
+        packed = value.as_py()
+        texts.append(np.frombuffer(packed, "<u2"))
+        places.append(places_of(packed, len(texts[-1]), every, rounds, round_))
+        waiting += len(texts[-1])
+        if waiting >= STREAM:
+            yield shuffled()
+            texts.clear()
+            places.clear()
+            waiting = 0
     if texts:
         yield shuffled()
 
@@ -272,16 +283,18 @@ def streams(batches: Iterator[pa.RecordBatch], every: int, rounds: int, round_:
 def fit(table: DataFrame, words: Words, shares: np.ndarray, every: int = EVERY, rounds: int = ROUNDS) -> Network:
     """The network after training on an encoded table."""
     net = Network.new(words)
+    lot = F.xxhash64("doc_id", "classes")
+    shards = max(1, -(-(table.agg(F.sum("n_tokens")).first()[0] or 0) // SHARD))
+    dealt = table.where("n_tokens > 0").select(F.pmod(lot, F.lit(shards)).alias("shard"), lot.alias("lot"), "classes")
     net.class_bias[: len(shares)] = np.log(np.maximum(shares, 1e-6))
     for round_ in range(rounds):
         start = replace(net, words=None)
 
-        def part(batches: Iterator[pa.RecordBatch], start=start, round_=round_) -> Iterator[pa.RecordBatch]:
-            fitted, n = start.train(streams(batches, every, rounds, round_))
-            if n:
-                yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([fitted.flat().astype(float)], pa.list_(pa.float64()))], names=["n", "values"])
+        def part(shard: pa.Table, start=start, round_=round_) -> pa.Table:
+            fitted, n = start.train(streams(shard.sort_by([("lot", "ascending"), ("classes", "ascending")])["classes"], every, rounds, round_))
+            return pa.table({"n": pa.array([n], pa.int64()), "values": pa.array([fitted.flat().astype(float)], pa.list_(pa.float64()))})
 
-        parts = table.select("classes").mapInArrow(part, "n long, values array<double>").select("n", F.posexplode("values").alias("at", "value"))
+        parts = dealt.groupBy("shard").applyInArrow(part, "n long, values array<double>").where("n > 0").select("n", F.posexplode("values").alias("at", "value"))
         means = parts.groupBy("at").agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("value")).toArrow().sort_by("at")
         if len(means):
             net = net.like(means["value"].to_numpy())
