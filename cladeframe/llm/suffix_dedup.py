@@ -6,10 +6,13 @@ judged on the input, and end with their document.
 1. Each task cuts its documents into batches of some megabytes, kept as files in the shared folder, and finds anchors:
    of the GRAM-byte grams inside each string of MATCH bytes (a window) the one with the smallest hash, the first of
    equals. Equal windows have equal anchors, and consecutive windows mostly share theirs: about 1 anchor in 16 bytes.
-2. The hashes of each batch's anchors go to shards, 4 bytes each; a shard answers which of them come from two batches.
+2. The hashes of each batch's anchors go to shards, 4 bytes each, with how often the batch has them (255 for more); a shard
+   answers which of them come from two batches, and which are in HOT places or more.
 3. Each batch is read again. Anchors that another batch has, or that it has twice, become records: the bytes of the
    windows that share the anchor. Equal records of a batch need one answer, that of their smallest doc_id; the others are
-   covered. So a passage that very many documents share is one record for each batch, not for each document.
+   covered. So a passage that very many documents share is one record for each batch, not for each document. Where it
+   begins and ends, windows reach into each document's own text: there, of HOT anchors, each window is a record of its
+   own and goes to a shard by a hash of its bytes, so that equal ones meet and no shard gets all of an anchor's.
 4. In its shard, records come in order of doc_id, a batch of windows at a time. The batch's windows are sorted as byte
    strings (a suffix array of the records, to MATCH bytes), merge-scanned against the levels of the family for equal
    ones with a smaller doc_id, and those that are new become a level; levels of like size are merged, so that there are
@@ -35,6 +38,7 @@ import pyarrow.parquet as pq
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from cladeframe.llm.shared import new_path, stash
 
@@ -43,6 +47,7 @@ SPAN = MATCH - GRAM + 1  # grams in a window
 BATCH_BYTES = 8 << 20
 BLOCK, PIECE = 1 << 20, 4 << 20
 WINDOWS = 1 << 17  # in a batch of the family
+HOT = 2048
 RNG = np.random.default_rng(50)
 TABLE = RNG.integers(1 << 63, size=256, dtype=np.uint64)
 ODD = (2 * RNG.integers(1 << 62, size=8, dtype=np.uint64) + 1).astype(np.uint64)
@@ -160,9 +165,10 @@ class Family:
             self.levels.append((rows[new], own[new]))
         while len(self.levels) > 1 and len(self.levels[-1][0]) * 2 > len(self.levels[-2][0]):
             (a, a_docs), (b, b_docs) = self.levels.pop(), self.levels.pop()
-            both = np.concatenate([a, b])
-            merged = np.argsort(both.view(f"S{self.width}").ravel(), kind="stable")
-            self.levels.append((both[merged], np.concatenate([a_docs, b_docs])[merged]))
+            if len(a) < len(b):
+                (a, a_docs), (b, b_docs) = (b, b_docs), (a, a_docs)
+            places = np.searchsorted(a.view(f"S{self.width}").ravel(), b.view(f"S{self.width}").ravel())
+            self.levels.append((np.insert(a, places, b, axis=0), np.insert(a_docs, places, b_docs)))
         return covered
 
 
@@ -249,9 +255,10 @@ def remove_repeats(docs: DataFrame, batch_bytes: int = BATCH_BYTES, with_text: b
                 pq.write_table(pa.table({"doc_id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.binary())}), f, compression="zstd")
             fs.move(draft, f"{place}/{name}.parquet")
             key, row, _, _ = all_anchors(texts, shards)
-            key = np.unique(key[np.array([i is not None for i in ids], dtype=bool)[row]]) if len(key) else key
-            found = [(f"{folder}/{name}.parquet", s, key[x].astype("<u4").tobytes()) for s, x in by_shard(key)] or [(f"{folder}/{name}.parquet", 0, b"")]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), (pa.string(), pa.int64(), pa.binary()), strict=True)], names=["file", "shard", "keys"])
+            key, times = np.unique(key[np.array([i is not None for i in ids], dtype=bool)[row]] if len(key) else key, return_counts=True)
+            times = np.minimum(times, 255).astype("u1")
+            found = [(f"{folder}/{name}.parquet", s, key[x].astype("<u4").tobytes(), times[x].tobytes()) for s, x in by_shard(key)] or [(f"{folder}/{name}.parquet", 0, b"", b"")]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), (pa.string(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["file", "shard", "keys", "times"])
 
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -267,19 +274,17 @@ def remove_repeats(docs: DataFrame, batch_bytes: int = BATCH_BYTES, with_text: b
     def shared(table: pa.Table) -> pa.Table:
         keys = [np.frombuffer(x, dtype="<u4") for x in table["keys"].to_pylist()]
         value, owner = np.concatenate(keys), np.repeat(np.arange(len(keys)), [len(k) for k in keys])
-        order = np.argsort(value, kind="stable")
-        same = value[order[1:]] == value[order[:-1]]
-        twice = np.zeros(len(value), dtype=bool)
-        twice[order[1:][same]] = twice[order[:-1][same]] = True
+        times = np.frombuffer(b"".join(table["times"].to_pylist()), dtype="u1")
+        _, number, batches = np.unique(value, return_inverse=True, return_counts=True)
+        twice, hot = (batches > 1)[number], (np.bincount(number, weights=times, minlength=len(batches)) >= HOT)[number]
         edges = np.searchsorted(owner, np.arange(len(keys) + 1))
-        answers = [value[a:b][twice[a:b]].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
-        return pa.table({"file": table["file"], "shard": table["shard"], "keys": pa.array(answers, pa.binary())})
+        answers = lambda of: pa.array([value[a:b][of[a:b]].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)], pa.binary())
+        return pa.table({"file": table["file"], "shard": table["shard"], "keys": answers(twice), "hot": answers(hot)})
 
     def record(table: pa.Table) -> pa.Table:
         file = table["file"][0].as_py()
         ids, texts = load(file)
-        asked = np.concatenate([(np.uint64(s) << np.uint64(32)) | np.frombuffer(k, dtype="<u4").astype(np.uint64) for s, k in zip(table["shard"].to_pylist(), table["keys"].to_pylist(), strict=True)])
-        asked.sort()
+        asked, hot = (np.sort(np.concatenate([(np.uint64(s) << np.uint64(32)) | np.frombuffer(k, dtype="<u4").astype(np.uint64) for s, k in zip(table["shard"].to_pylist(), table[c].to_pylist(), strict=True)])) for c in ("keys", "hot"))
         key, row, at, n = all_anchors(texts, shards)
         numbered = np.array([i is not None for i in ids], dtype=bool)
         order = np.argsort(key, kind="stable")
@@ -292,6 +297,16 @@ def remove_repeats(docs: DataFrame, batch_bytes: int = BATCH_BYTES, with_text: b
             place[place == len(asked)] = 0
             wanted |= (asked[place] == key) & numbered[row]
         key, row, at, n = key[wanted], row[wanted], at[wanted], n[wanted]
+        single = np.isin(key, hot)
+        if single.any():
+            own = n[single]
+            shift = np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+            rows_, places = np.repeat(row[single], own), np.repeat(at[single], own) + shift
+            by_bytes = np.fromiter((xxh64_intdigest(texts[r][a : a + MATCH], 9) for r, a in zip(rows_.tolist(), places.tolist(), strict=True)), dtype=np.uint64, count=len(rows_))
+            key = np.concatenate([key[~single], (by_bytes % np.uint64(shards)) << np.uint64(32)])
+            row, at, n = np.concatenate([row[~single], rows_]), np.concatenate([at[~single], places]), np.concatenate([n[~single], np.ones(len(rows_), dtype=n.dtype)])
+            order = np.argsort(key, kind="stable")
+            key, row, at, n = key[order], row[order], at[order], n[order]
         records = np.zeros(len(key), dtype=RECORD)
         records["doc"] = np.array([i if i is not None else 0 for i in ids], dtype=np.int64)[row] if len(key) else []
         records["row"], records["at"], records["n"] = row, at, n
@@ -330,7 +345,7 @@ def remove_repeats(docs: DataFrame, batch_bytes: int = BATCH_BYTES, with_text: b
         out = result(ids, texts, np.frombuffer(b"".join(table["covers"].to_pylist()), dtype=COVER))
         return out if with_text else out.drop_columns(["kept"])
 
-    answers = rows.mapInArrow(cut, "file string, shard long, keys binary").groupBy("shard").applyInArrow(shared, "file string, shard long, keys binary")
+    answers = rows.mapInArrow(cut, "file string, shard long, keys binary, times binary").groupBy("shard").applyInArrow(shared, "file string, shard long, keys binary, hot binary")
     answers = stash(answers, "shared-anchors")
     records = answers.groupBy("file").applyInArrow(record, "shard long, file string, records binary, content binary, covers binary")
     covers = records.groupBy("shard").applyInArrow(scan, "file string, covers binary")
