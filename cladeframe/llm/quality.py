@@ -6,19 +6,19 @@ over the text's size, (bad - good) / bytes, is the measure, and a logistic curve
 the probability of a good text. The curve sees the measure in robust standard deviations from the median good text, cut
 at -4 and 1, so that the worst texts do not flatten it where the classes meet.
 
-Fitted on at most SAMPLE labelled documents outside the held-out fold: half of them (by a hash of the text) make the
-dictionaries, with at most PIECES pieces of each, spread evenly over the whole text; the whole texts of the other half, in
-their natural proportion, make the curve. Pieces (SAMPLE x PIECES x PIECE = 32 MB at most, all used) and measures come to
-the driver, not texts. Text is the only input of a
-score.
-
-Edge cases: a null or empty text has measure 0 and so the score of the curve there; with labels of one kind the fit is
-refused; all texts are scored whole.
+Fitted on at most SAMPLE labelled documents outside the held-out fold, the one bound there is: half of them (by a hash of
+the text) make the dictionaries, with all of their pieces, in an order by lot; the other half, in its natural proportion,
+makes the curve. If either half lacks a label, all texts make both. The pieces of the one half and the measures of all come
+to the driver. Text is the only input of a score.
+
+Edge cases: a null or empty text has measure 0 and so the score of the curve there; all texts are scored whole. With labels
+of one kind only, or none (so too where documents or labels are empty), nothing tells texts apart: all get the share of
+good labels, counted as if there were one more of either kind.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,7 +31,7 @@ from xxhash import xxh64_intdigest
 from cladeframe.llm.labelled import HELD_OUT, fold, sample
 from cladeframe.llm.shared import stash
 
-SAMPLE, PIECES = 8_000, 8
+SAMPLE = 8_000
 PIECE, DICTIONARY, LEVEL = 512, 64 << 10, 3
 CUT = 0.3
 
@@ -64,18 +64,16 @@ class Model:
     slope: float
     base: float
 
-    def measure(self) -> Measure:
-        return Measure(self.good, self.bad)
+    def measure(self) -> Callable[[bytes | None], float]:
+        return Measure(self.good, self.bad) if self.good else lambda text: 0.0
 
     def score(self, measures: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * standing(measures, self.middle, self.spread) + self.base, -40, 40)))
 
 
-def spread(text: bytes) -> list[bytes]:
-    """At most PIECES pieces from all over a text."""
-    if len(text) <= PIECES * PIECE:
-        return [text[at : at + PIECE] for at in range(0, len(text), PIECE)]
-    return [text[at : at + PIECE] for at in (k * (len(text) - PIECE) // (PIECES - 1) for k in range(PIECES))]
+def untold(good: int, bad: int) -> Model:
+    """Without labels of both kinds: the share of good ones."""
+    return Model(b"", b"", 0.0, 1.0, 0.0, float(np.log((good + 1) / (bad + 1))))
 
 
 def dictionary(pieces: list[bytes]) -> bytes:
@@ -109,24 +107,24 @@ def for_dictionary(text: bytes) -> bool:
     return xxh64_intdigest(text, 7) % 2 == 0
 
 
-def dictionaries(pieces: list[list[bytes]], y: list[int]) -> tuple[bytes, bytes]:
-    halves = [[p for ps, v in zip(pieces, y, strict=True) if (v > 0) == good for p in ps] for good in (True, False)]
-    if not all(halves):
-        raise ValueError("texts of both labels are needed")
-    return dictionary(halves[0]), dictionary(halves[1])
-
-
 def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model:
     some = stash(sample(docs, labels, "quality", most).select("doc_id", F.col("text").cast("binary").alias("text"), F.col("y").cast("int").alias("y")), "labelled")
+    good, every = some.agg(F.count_if(F.col("y") > 0), F.count("*")).first()
+    if good in (0, every):
+        return untold(good, every - good)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(d, spread(t), y) for d, t, y in zip(*(c.to_pylist() for c in batch.columns), strict=True) if for_dictionary(t)]
+            rows = [(d, [t[at : at + PIECE] for at in range(0, len(t), PIECE)], y, for_dictionary(t)) for d, t, y in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int64(), pa.list_(pa.binary()), pa.int32()), strict=True)], names=["doc_id", "pieces", "y"])
-
-    pieces = some.mapInArrow(cut, "doc_id long, pieces array<binary>, y int").toArrow().sort_by("doc_id")
-    good, bad = dictionaries(pieces["pieces"].to_pylist(), pieces["y"].to_pylist())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int64(), pa.list_(pa.binary()), pa.int32(), pa.bool_()), strict=True)], names=["doc_id", "pieces", "y", "used"])
+
+    cuts = some.mapInArrow(cut, "doc_id long, pieces array<binary>, y int, used boolean")
+    pieces = cuts.where("used").toArrow().sort_by("doc_id")
+    if len(set(v > 0 for v in pieces["y"].to_pylist())) < 2:
+        pieces = cuts.toArrow().sort_by("doc_id")
+    of = lambda kind: [p for ps, v in zip(pieces["pieces"].to_pylist(), pieces["y"].to_pylist(), strict=True) if (v > 0) == kind for p in ps]
+    good, bad = dictionary(of(True)), dictionary(of(False))
 
     def gauge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         measure = Measure(good, bad)

@@ -15,8 +15,9 @@ grades itself is taken as it is.
 Fitted on at most SAMPLE labelled documents outside the held-out fold; what comes to the driver is the chosen features of
 the sample, not its texts.
 
-Edge cases: a null text is an empty one; texts without known words get the severity of the thresholds alone; with labels
-of one kind only, or none, the fit is refused.
+Edge cases: a null text is an empty one; texts without known words get the severity of the thresholds alone. With labels
+of one kind only, or none (so too where documents or labels are empty), nothing tells texts apart: all get the small
+chances that begin with PRIOR for grade 1, and none is rejected.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ from cladeframe.llm.shared import stash, words_of
 
 SAMPLE, MIN_DOCS, MIN_Z, MOST, GRADES, STEPS, PENALTY = 10_000, 5, 6.0, 3000, 3, 400, 1e-4
 SHORTEST, LONGEST = 3, 8
+PRIOR = 0.05
 PART = 512  # rows whose copies a worker holds at once
 KEPT = 50_000  # words whose weights a worker remembers
 
@@ -92,6 +94,11 @@ class Scorer(dict):
         return per_hundred(sum(map(self.__getitem__, words)), len(words))
 
 
+def untold(grades: int = GRADES) -> Model:
+    """Without labels of both kinds: no weights, and half the chance for each grade more."""
+    return Model({}, -np.log([PRIOR / 2**k / (1 - PRIOR / 2**k) for k in range(grades)]))
+
+
 def grade_by_marks(row: np.ndarray, col: np.ndarray, n: np.ndarray, y: np.ndarray, grades: int) -> np.ndarray:
     """Grades 0 to `grades` from a label that is 0 or 1."""
     toxic = y > 0
@@ -110,7 +117,7 @@ def fit(row: np.ndarray, col: np.ndarray, n: np.ndarray, names: list[str], y: np
     """Full-batch Adam on the log-likelihood of all thresholds, with an L2 penalty on the weights. Text row[i] has the
     value n[i] for feature col[i]."""
     if len(y) == 0 or y.min() == y.max():
-        raise ValueError("labels of two kinds at least are needed")
+        return untold(grades)
     if y.max() == 1:
         y = grade_by_marks(row, col, n, y, grades)
     x, levels, size = n, int(y.max()), len(names)
@@ -158,7 +165,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model:
     some = stash(sample(docs, labels, "toxic", most).withColumn("y", F.col("y").cast("int")), "labelled")
     toxic, every = some.agg(F.count_if(F.col("y") > 0), F.count("*")).first()
     if toxic in (0, every):
-        raise ValueError("labels of two kinds at least are needed")
+        return untold()
     names = chosen_features(some, toxic, every - toxic)
     place = {f: k for k, f in enumerate(names)}
 

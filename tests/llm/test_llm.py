@@ -201,7 +201,7 @@ def plain_targets(sizes):
 
 
 def taken_by_queue(table, targets):
-    """The queue itself: sources' documents, twice, by finish time, until the budget is spent."""
+    """(doc_id, size, words taken by reading) by the queue itself: sources' documents, twice, by finish time, until the budget is spent."""
     size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
     docs = [(s, int(hashlib.md5(f"mix|{'' if d is None else d}".encode()).hexdigest()[:13], 16), d, size(t)) for d, s, t in rows(table.select("doc_id", "source", "text"))]
     docs.sort(key=lambda x: (x[0] is None, x[0] or "", x[1], x[2] is not None, x[2] or 0, x[3]))
@@ -210,11 +210,11 @@ def taken_by_queue(table, targets):
         total[s] = total.get(s, 0) + n
     for k, (s, _, _, n) in enumerate(docs):
         ends[s] = ends.get(s, 0) + n
-        queue += [((ends[s] + turn * total[s]) / targets[s], s is None, s or "", ends[s] + turn * total[s], k) for turn in (0, 1) if targets[s]]
-    left, taken = int(1.5 * sum(total.values())), [0] * len(docs)
-    for *_, k in sorted(queue):
-        taken[k] += min(docs[k][3], left)
-        left -= min(docs[k][3], left)
+        queue += [((ends[s] + turn * total[s]) / targets[s], s is None, s or "", ends[s] + turn * total[s], k, turn) for turn in (0, 1) if targets[s]]
+    left, taken = int(1.5 * sum(total.values())), [[0, 0] for _ in docs]
+    for *_, k, turn in sorted(queue):
+        taken[k][turn] = min(docs[k][3], left)
+        left -= taken[k][turn]
     return [(d, n, taken[k]) for k, (_, _, d, n) in enumerate(docs)]
 
 
@@ -234,7 +234,7 @@ def test_mixing(docs, odd, empty):
             taken[r.source] = taken.get(r.source, 0) + r.taken
         longest = max(map(size, (t for _, t in texts)))
         assert sum(taken.values()) == int(1.5 * sum(sizes.values())) and all(abs(n - want[s]) <= longest for s, n in taken.items())
-        assert sorted(taken_by_queue(table, want), key=str) == sorted([(r.doc_id, r.size, r.taken) for r in got], key=str)
+        assert sorted([(d, n, sum(x)) for d, n, x in taken_by_queue(table, want)], key=str) == sorted([(r.doc_id, r.size, r.taken) for r in got], key=str)
         assert sorted(map(str, got)) == sorted(map(str, mixing.mix_sizes(table.repartition(3)).collect()))
     assert mixing.mix_sizes(empty).count() == 0 and mixing.mix(empty).count() == 0
 
@@ -292,8 +292,23 @@ def test_toxicity_edge_cases(odd, empty, spark):
     assert toxicity.severities(empty, model).count() == 0
     kept = toxicity.accepted(odd.unionByName(odd.limit(1).withColumn("text", F.lit("vile vile vile"))), model)
     assert kept.columns == odd.columns and kept.count() == odd.count()
-    with pytest.raises(ValueError):
-        toxicity.train(empty, spark.createDataFrame([(1, 1)], "doc_id long, toxic int"))
+    one = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
+    for labelled_ in (one, one.where("false")):
+        for table in (odd, empty):
+            model = toxicity.train(table, labelled_)
+            got = toxicity.severities(table, model).collect()
+            assert len(got) == table.count() == toxicity.accepted(table, model).count() and len({r.severity for r in got}) == min(1, len(got))
+
+
+def test_toxicity_of_a_text_from_weights():
+    """The severity by hand, from what the model holds."""
+    model = toxicity.Model({"vil": 0.5, "vile": 0.25, "=vile": 1.0, "=day": -0.5, "da": 9.0}, np.array([0.5, 1.0, 3.0]))
+    words = "vile day vilest vile".split()
+    by_word = {"vile": 1.75, "day": -0.5, "vilest": 0.75}
+    score = 100 * sum(by_word[w] for w in words) / (len(words) + 10)
+    assert toxicity.Scorer(model)(" ".join(words)) == pytest.approx(score)
+    p = [1 / (1 + np.exp(t - score)) for t in model.thresholds]
+    assert model.grades(np.array([score]))[0] == pytest.approx(p)
 
 
 def test_quality_on_held_out_texts(spark, small):
@@ -303,13 +318,6 @@ def test_quality_on_held_out_texts(spark, small):
     assert sum(p != q for _, p, q, _ in got) <= 0.02 * len(got)
 
 
-def test_pieces_are_from_all_over_a_text():
-    text = "".join(f"{i:07d} " for i in range(20_000)).encode()
-    pieces = quality.spread(text)
-    assert len(pieces) == quality.PIECES and pieces[0].startswith(b"0000000 ") and pieces[-1].endswith(b"0019999 ")
-    assert quality.spread(b"short") == [b"short"] and quality.spread(b"") == []
-
-
 def test_dictionary_sees_the_last_pieces():
     rng = np.random.default_rng(2)
     piece = lambda words: " ".join(words[k] for k in rng.integers(0, len(words), 80)).encode()[: quality.PIECE]
@@ -324,8 +332,26 @@ def test_quality_edge_cases(odd, empty, spark):
     got = quality.quality_scores(odd, model).collect()
     assert len(got) == odd.count() and all(0 <= r.score <= 1 for r in got)
     assert quality.quality_scores(empty, model).count() == 0
-    with pytest.raises(ValueError):
-        quality.train(d, d.select("doc_id", F.lit(1).alias("quality")))
+    for labelled_, share in ((d.select("doc_id", F.lit(1).alias("quality")), None), (d.where("false").select("doc_id", F.lit(1).alias("quality")), 0.5)):
+        for table in (odd, empty, d):
+            got = quality.quality_scores(table, quality.train(table, labelled_)).collect()
+            assert len(got) == table.count() and len({r.score for r in got}) == min(1, len(got)) and (share is None or all(r.score == share for r in got))
+
+
+def test_quality_of_a_text_by_hand(docs):
+    """The score from the sizes of a text's pieces under either dictionary."""
+    import zstandard
+
+    good, bad = (quality.dictionary([f"{w} {k} {w}s and {w}ing".encode() * 5 for k in range(300)]) for w in ("plain", "gross"))
+    model = quality.Model(good, bad, 0.02, 0.01, 1.5, -0.2)
+    measure = model.measure()
+    for (t,) in rows(docs.select("text").limit(20)):
+        t = (t or "").encode()
+        sizes = [sum(len(zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False, write_dict_id=False).compress(t[i : i + 512])) for i in range(0, len(t), 512)) for d in (bad, good)]
+        x = (sizes[0] - sizes[1]) / len(t) if t else 0.0
+        assert measure(t) == pytest.approx(x)
+        z = min(1, max(-4, (x - 0.02) / 0.01))
+        assert model.score(np.array([x]))[0] == pytest.approx(1 / (1 + np.exp(-(1.5 * z - 0.2))))
 
 
 # tokens
@@ -481,7 +507,8 @@ def test_suffix_dedup_of_edited_copies(spark, monkeypatch):
         texts.append((int(rng.integers(0, 30)), bytes(t)))
     texts += [(50, b"\0" * 300), (51, b"\0" * 120 + b"a" + b"\0" * 60), (52, b"ab" * 100)]
     table = spark.createDataFrame([(d, t.decode()) for d, t in texts], "doc_id long, text string")
-    for size in (3000, 1 << 20):
+    for size, hot in ((3000, 1 << 20), (1 << 20, 1 << 20), (3000, 30), (3000, 2)):
+        monkeypatch.setattr(suffix_dedup, "HOT", hot)
         assert sorted(rows(suffix_dedup.remove_repeats(table, batch_bytes=size)), key=str) == plain_removal(texts)
     kept = {r.kept_sha256: r.kept for r in suffix_dedup.remove_repeats(table, with_text=True).collect()}
     assert all(hashlib.sha256(v).hexdigest() == k for k, v in kept.items())
@@ -615,13 +642,48 @@ def test_pipeline_stages(spark, small):
         if name != "token_files":
             assert after.columns == columns
             before = after
-    rated = toxicity.severities(d, toxicity.train(d, spark.read.parquet(f"{sf}/labels.parquet")))
-    assert {r.doc_id for r in seen["toxicity"].collect()} == {r.doc_id for r in rated.where("not toxic").collect()}
+    ids = lambda name: {r.doc_id for r in seen[name].collect()}
+    model = toxicity.train(d, spark.read.parquet(f"{sf}/labels.parquet"))
+
+    def toxic(text):
+        words = re.findall(r"\w+", (text or "").lower())
+        score = sum(100 * model.weights.get(f, 0.0) / (len(words) + 10) for w in words for f in [w[:k] for k in range(3, min(len(w), 8) + 1)] + ["=" + w])
+        return 1 / (1 + np.exp(model.thresholds[0] - score)) >= 0.5
+
+    assert ids("toxicity") == {i for i, t in rows(d.select("doc_id", "text")) if not toxic(t)}
     groups = plain_similar(rows(seen["toxicity"].select("doc_id", "text")))
-    assert {r.doc_id for r in seen["near_duplicates"].collect()} == set(groups.values())
-    held = rows(decontamination.contaminated(seen["near_duplicates"], spark.read.parquet(f"{sf}/benchmark.parquet")).select("doc_id"))
-    assert {r.doc_id for r in seen["decontamination"].collect()} == {r.doc_id for r in seen["near_duplicates"].collect()} - {h for (h,) in held}
-    assert seen["token_files"].count() == seen["mixing"].count() and len(by_name) == 5
+    assert ids("near_duplicates") == set(groups.values())
+    items = [frozenset(zip(*(w[k:] for k in range(min(5, len(w)))))) for w in (re.findall(r"\w+", (t or "").lower()) for (t,) in rows(spark.read.parquet(f"{sf}/benchmark.parquet").select("text")))]
+
+    def holds(text):
+        words = re.findall(r"\w+", (text or "").lower())
+        have = {n: set(zip(*(words[k:] for k in range(n)))) for n in {len(next(iter(i))) for i in items if i}}
+        return any(i and len(i & have[len(next(iter(i)))]) >= 0.8 * len(i) - 1e-9 for i in items)
+
+    assert ids("decontamination") == {i for i, t in rows(seen["near_duplicates"].select("doc_id", "text")) if not holds(t)}
+    clean = seen["decontamination"]
+    sizes = dict(rows(clean.groupBy("source").agg(F.sum(mixing.words_in("text")))))
+    copies = sorted(x for doc, n, x in taken_by_queue(clean, plain_targets(sizes)) for x in [doc] * sum(2 * y >= n for y in x))
+    assert sorted(r.doc_id for r in seen["mixing"].collect()) == copies
+    from tokenizers import Tokenizer
+
+    tokenizer, start = Tokenizer.from_file(vocabulary_file("byte_bpe_50k.json")), 0
+    got = sorted(rows(seen["token_files"].select("start", "doc_id", "n_tokens", "ids_crc32")))
+    texts = dict(rows(clean.select("doc_id", "text")))
+    assert [r[1] for r in got] == copies
+    for at, doc, n, crc in got:
+        encoded = tokenizer.encode(texts[doc] or "", add_special_tokens=False).ids + [2]
+        assert (at, n, crc) == (start, len(encoded), zlib.crc32(np.array(encoded, "<u4").tobytes()))
+        start += n
+    assert len(by_name) == 5
+
+
+def test_pipeline_on_empty_tables(spark, small, tmp_path):
+    import corpus_pipeline
+
+    for t in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{small}/{t}.parquet").where("false").write.parquet(f"{tmp_path}/{t}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
 def test_pipeline_on_clashing_columns(spark, odd):
