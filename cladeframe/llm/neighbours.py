@@ -10,7 +10,8 @@ Codewords are fitted on a bounded sample of SAMPLE vectors (those with the small
 coded. Codes, not vectors, are dealt in parts of about PART rows, and queries in blocks of about BLOCK; for each pair of a
 part and a block, one task group makes the tables of the queries (16 sums a pair of components), scans the part's codes
 and returns the best RERANK by estimated score. The best RERANK of all parts are joined with the original vectors and
-ranked by their distance in double precision.
+ranked by their distance in double precision. Equal vectors have equal codes, lengths and estimates; as ties go to the
+smaller vec_id, only the first k + 1 of them take a place among the candidates (one more, as a row never finds itself).
 
 Edge cases: vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do those whose
 length is not the most frequent one (the smaller of two); ties go to the smaller vec_id, as equal vectors have equal
@@ -116,10 +117,21 @@ def best(score: np.ndarray, n: int) -> np.ndarray:
     return np.concatenate([above, np.flatnonzero((score == least) & (score > -np.inf))[: n - len(above)]])
 
 
-def scan(ids: np.ndarray, half: np.ndarray, codes: np.ndarray, words: np.ndarray, q_ids: np.ndarray, q: np.ndarray, rerank: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def firsts(codes: np.ndarray, half: np.ndarray, most: int) -> np.ndarray:
+    """Rows without those that have `most` rows of the same code and length before them."""
+    keys = np.concatenate([codes, half[:, None].view(np.uint8)], axis=1)
+    _, group = np.unique(keys.view(f"V{keys.shape[1]}").ravel(), return_inverse=True)
+    order = np.argsort(group, kind="stable")
+    begin = np.flatnonzero(np.concatenate([[True], group[order][1:] != group[order][:-1]]))
+    nth = np.arange(len(order)) - np.repeat(begin, np.diff(np.append(begin, len(order))))
+    return np.sort(order[nth < most])
+
+
+def scan(ids: np.ndarray, half: np.ndarray, codes: np.ndarray, words: np.ndarray, q_ids: np.ndarray, q: np.ndarray, rerank: int, alike: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """The best rows of a part for each query by estimated score (query ids, row ids, estimates); half is |x|^2 / 2."""
     order = np.argsort(ids, kind="stable")
     order = order[np.concatenate([[True], ids[order][1:] != ids[order][:-1]])]  # rows that repeat an id count once
+    order = order[firsts(codes[order], half[order], alike)]
     ids, half, codes, out, m = ids[order], half[order], np.ascontiguousarray(codes[order].T), [], len(words)
     for at in range(0, len(q), 32):
         some, some_ids = q[at : at + 32], q_ids[at : at + 32]
@@ -170,14 +182,15 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, part: int = PAR
         found = []
         if len(left) and len(right):
             codes = unpack(np.frombuffer(b"".join(left["codes"].to_pylist()), dtype=np.uint8).reshape(len(left), -1), len(words))
-            found = scan(left["vec_id"].to_numpy(), left["half"].to_numpy(), codes, words, right["vec_id"].to_numpy(), even(matrix(right["embedding"], dim)), rerank)
+            found = scan(left["vec_id"].to_numpy(), left["half"].to_numpy(), codes, words, right["vec_id"].to_numpy(), even(matrix(right["embedding"], dim)), rerank, k + 1)
         columns = [np.concatenate(c) for c in zip(*found, strict=True)] or [np.zeros(0)] * 3
         return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query_id", "vec_id", "estimate"])
 
     met = coded.groupBy("part", "block").cogroup(dealt.groupBy("part", "block")).applyInArrow(meet, "query_id long, vec_id long, estimate double")
     met = met.groupBy("query_id", "vec_id").agg(F.max("estimate").alias("estimate"))
+    equal = F.row_number().over(Window.partitionBy("query_id", "estimate").orderBy("vec_id"))
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("estimate"), "vec_id"))
-    candidates = met.withColumn("place", place).where(F.col("place") <= rerank).select("query_id", "vec_id")
+    candidates = met.withColumn("equal", equal).where(F.col("equal") <= k + 1).withColumn("place", place).where(F.col("place") <= rerank).select("query_id", "vec_id")
     pairs = candidates.join(good.withColumnRenamed("embedding", "x"), "vec_id").join(asked.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q")), "query_id")
     squares = F.zip_with("q", "x", lambda a, b: (a - b) * (a - b))
     scored = pairs.select("query_id", "vec_id", F.sqrt(F.aggregate(squares, F.lit(0.0), lambda a, x: a + x)).alias("score"))
