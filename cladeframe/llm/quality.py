@@ -4,7 +4,8 @@ Two dictionaries are built from good and bad texts. A whole text is compressed i
 with either dictionary, so that a long text's later parts count as much as its first; the difference of the two sizes
 over the text's size, (bad - good) / bytes, is the measure, and a logistic curve fitted on other labelled texts makes it
 the probability of a good text. The curve sees the measure in robust standard deviations from the median good text, cut
-at -4 and 1, so that the worst texts do not flatten it where the classes meet.
+at 1 and, below, where a tenth of the bad texts are above, so that the worst texts do not flatten it where the classes
+meet.
 
 Fitted on at most SAMPLE labelled documents outside the held-out fold, the one bound there is: half of them (by a hash of
 the text) make the dictionaries, with all of their pieces, in an order by lot; the other half, in its natural proportion,
@@ -61,6 +62,7 @@ class Model:
     bad: bytes
     middle: float
     spread: float
+    floor: float
     slope: float
     base: float
 
@@ -68,12 +70,12 @@ class Model:
         return Measure(self.good, self.bad) if self.good else lambda text: 0.0
 
     def score(self, measures: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * standing(measures, self.middle, self.spread) + self.base, -40, 40)))
+        return 1 / (1 + np.exp(-np.clip(self.slope * standing(measures, self.middle, self.spread, self.floor) + self.base, -40, 40)))
 
 
 def untold(good: int, bad: int) -> Model:
     """Without labels of both kinds: the share of good ones."""
-    return Model(b"", b"", 0.0, 1.0, 0.0, float(np.log((good + 1) / (bad + 1))))
+    return Model(b"", b"", 0.0, 1.0, -1.0, 0.0, float(np.log((good + 1) / (bad + 1))))
 
 
 def dictionary(pieces: list[bytes]) -> bytes:
@@ -86,21 +88,22 @@ def dictionary(pieces: list[bytes]) -> bytes:
         return b"".join(pieces)[-DICTIONARY:].ljust(8, b" ")
 
 
-def standing(x: np.ndarray, middle: float, spread: float) -> np.ndarray:
-    return np.clip((x - middle) / spread, -4, 1)
+def standing(x: np.ndarray, middle: float, spread: float, floor: float) -> np.ndarray:
+    return np.clip((x - middle) / spread, floor, 1)
 
 
-def curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float, float]:
-    """Middle and spread of the good texts, slope and base of a logistic curve by Newton's method."""
+def curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float, float, float]:
+    """Middle and spread of the good texts, the floor, slope and base of a logistic curve by Newton's method."""
     low, middle, high = np.quantile(x[y > 0], [0.25, 0.5, 0.75])
     spread = max((high - low) / 1.349, 1e-4)
-    a = np.stack([standing(x, middle, spread), np.ones(len(x))], axis=1)
+    floor = min(0.0, float(np.quantile((x[y <= 0] - middle) / spread, 0.9)))
+    a = np.stack([standing(x, middle, spread, floor), np.ones(len(x))], axis=1)
     w = np.zeros(2)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
         step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + np.diag([1e-2, 1e-4]), a.T @ (y - p) - np.array([1e-2, 0]) * w)
         w += np.clip(step, -2, 2)
-    return float(middle), float(spread), float(w[0]), float(w[1])
+    return float(middle), float(spread), floor, float(w[0]), float(w[1])
 
 
 def for_dictionary(text: bytes) -> bool:

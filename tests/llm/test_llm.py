@@ -343,7 +343,7 @@ def test_quality_of_a_text_by_hand(docs):
     import zstandard
 
     good, bad = (quality.dictionary([f"{w} {k} {w}s and {w}ing".encode() * 5 for k in range(300)]) for w in ("plain", "gross"))
-    model = quality.Model(good, bad, 0.02, 0.01, 1.5, -0.2)
+    model = quality.Model(good, bad, 0.02, 0.01, -4.0, 1.5, -0.2)
     measure = model.measure()
     for (t,) in rows(docs.select("text").limit(20)):
         t = (t or "").encode()
