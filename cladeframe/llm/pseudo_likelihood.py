@@ -23,7 +23,7 @@ untrained network and no rows.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, replace
 from functools import cached_property
 
@@ -287,13 +287,16 @@ def fit(table: DataFrame, words: Words, shares: np.ndarray, every: int = EVERY,
     shards = max(1, -(-(table.agg(F.sum("n_tokens")).first()[0] or 0) // SHARD))
     dealt = table.where("n_tokens > 0").select(F.pmod(lot, F.lit(shards)).alias("shard"), lot.alias("lot"), "classes")
     net.class_bias[: len(shares)] = np.log(np.maximum(shares, 1e-6))
-    for round_ in range(rounds):
-        start = replace(net, words=None)
 
-        def part(shard: pa.Table, start=start, round_=round_) -> pa.Table:
+    def trainer(start: Network, round_: int) -> Callable[[pa.Table], pa.Table]:
+        def part(shard: pa.Table) -> pa.Table:
             fitted, n = start.train(streams(shard.sort_by([("lot", "ascending"), ("classes", "ascending")])["classes"], every, rounds, round_))
             return pa.table({"n": pa.array([n], pa.int64()), "values": pa.array([fitted.flat().astype(float)], pa.list_(pa.float64()))})
 
+        return part
+
+    for round_ in range(rounds):
+        part = trainer(replace(net, words=None), round_)
         parts = dealt.groupBy("shard").applyInArrow(part, "n long, values array<double>").where("n > 0").select("n", F.posexplode("values").alias("at", "value"))
         means = parts.groupBy("at").agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("value")).toArrow().sort_by("at")
         if len(means):

@@ -619,6 +619,12 @@ def test_words_beyond_the_commonest_are_predicted(spark, docs):
     assert np.exp(net.words.spelling.astype(float)).reshape(-1, 256).sum(axis=1) == pytest.approx(1.0, rel=1e-4)
 
 
+def test_training_does_not_depend_on_the_partitioning(docs, monkeypatch):
+    monkeypatch.setattr(pseudo_likelihood, "SHARD", 20_000)
+    nets = [pseudo_likelihood.train(docs.repartition(n), tokens=2000)[1] for n in (2, 9)]
+    assert np.abs(nets[0].flat() - nets[1].flat()).max() < 1e-5
+
+
 def test_training_takes_every_position_once():
     packed = np.arange(2, 1003, dtype="<u2").tobytes()
     parts = [pseudo_likelihood.places_of(packed, 1001, pseudo_likelihood.EVERY, pseudo_likelihood.ROUNDS, k) for k in range(pseudo_likelihood.ROUNDS)]
