@@ -32,7 +32,7 @@ SQL = {
       UNION ALL SELECT 100 + n_nationkey, 10 + n_regionkey, 'phylum', n_name FROM nation UNION ALL SELECT 1000 + c_custkey, 100 + c_nationkey, 'species', c_name FROM customer)""",
     "user_map": "user_map AS (SELECT c_custkey AS genome_id, CASE WHEN c_custkey % 4 = 0 THEN 'my ' || c_name END AS label, CASE WHEN c_custkey % 6 = 0 THEN 'sfx ' || n_name END AS suffix FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 4 = 0 OR c_custkey % 6 = 0)",
 }
-for _name, _custkey in (("gtdb_lineage", "c_custkey % 2 = 0"), ("ncbi_lineage", "c_custkey % 3 = 0")):
+for _name, _custkey in (("all_lineage", "true"), ("gtdb_lineage", "c_custkey % 2 = 0"), ("ncbi_lineage", "c_custkey % 3 = 0")):
     SQL[_name] = f'{_name} AS (SELECT c_custkey AS genome_id, "domain", phylum, "class", species FROM gtdb WHERE {_custkey})'
 
 

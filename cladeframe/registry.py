@@ -58,12 +58,11 @@ def _(t):
     return counts_of(t)
 
 
-@query("a2_hit_matrix", "SELECT genome_id, count(*) FILTER (marker = 'Brand#11') AS b11, count(*) FILTER (marker = 'Brand#2') AS b2, count(*) FILTER (marker = 'Brand#25') AS b25, count(*) AS total_gene_count FROM hits GROUP BY genome_id", "hits")
+@query("a2_hit_matrix", ", totals AS (SELECT genome_id, count(*) AS total_gene_count FROM hits GROUP BY genome_id) SELECT genome_id, total_gene_count, marker, n FROM counts LEFT JOIN totals USING (genome_id)", *HITS)
 def _(t):
-    some = ["Brand#11", "Brand#2", "Brand#25"]
-    seen = t.hits()
-    wide = hits.hit_matrix(hits.hit_counts(seen, seen.select("genome_id"), some), some, hits.gene_counts(seen))
-    return wide.select("genome_id", *[F.col(f"`{m}`").alias(m.replace("Brand#", "b")) for m in some], "total_gene_count")
+    listed = marker_names(t)
+    wide = hits.hit_matrix(counts_of(t), listed, hits.gene_counts(t.hits()))
+    return wide.unpivot(["genome_id", "total_gene_count"], [F.col(f"`{m}`") for m in listed], "marker", "n")
 
 
 @query("a3_genome_quality", "SELECT genome_id, num_hits, uniq_hits, redund, perc_comp, perc_redund FROM quality", *QUALITY)
@@ -149,10 +148,10 @@ def _(t):
     return ids.resolve_targets(targets, profiles(t))
 
 
-@query("s9_ko_targets", "SELECT p_brand AS knum, p_partkey, p_retailprice AS threshold FROM part WHERE p_brand IN (SELECT 'Brand#' || CAST(s_suppkey AS VARCHAR) FROM supplier WHERE s_suppkey > 30)")
+@query("s9_ko_targets", "SELECT p_brand AS knum, p_partkey, p_retailprice AS threshold FROM part WHERE p_brand IN (SELECT 'Brand#' || CAST(s_suppkey AS VARCHAR) FROM supplier)")
 def _(t):
     ko = t.table("part").select(F.col("p_brand").alias("knum"), "p_partkey", F.col("p_retailprice").alias("threshold"))
-    return readers.ko_targets(ko, t.table("supplier").where("s_suppkey > 30").select(F.concat(F.lit("Brand#"), F.col("s_suppkey").cast("string")).alias("target")))
+    return readers.ko_targets(ko, t.table("supplier").select(F.concat(F.lit("Brand#"), F.col("s_suppkey").cast("string")).alias("target")))
 
 
 # lengths, markers, genomes
@@ -213,6 +212,13 @@ def _(t):
     return ids.check_ids(t.table("orders").select(F.col("o_orderpriority").alias("id")))
 
 
+@query("v1_odd_ids", "WITH ids AS (SELECT CASE o_custkey % 4 WHEN 0 THEN o_orderpriority || chr(13) WHEN 1 THEN 'c' || CAST(o_custkey AS VARCHAR) || chr(9) || 'x' WHEN 2 THEN 'c' || CAST(o_orderkey AS VARCHAR) ELSE 'c ' || CAST(o_orderkey AS VARCHAR) END AS id FROM orders), n AS (SELECT id, count(*) AS n FROM ids GROUP BY id) SELECT 'duplicate' AS \"check\", id, n FROM n WHERE n > 1 UNION ALL SELECT 'space', id, n FROM n WHERE id LIKE '% %' UNION ALL SELECT 'tab', id, n FROM n WHERE contains(id, chr(9)) UNION ALL SELECT 'carriage return', id, n FROM n WHERE suffix(id, chr(13))")
+def _(t):
+    k, name = F.col("o_custkey"), F.col("o_orderkey").cast("string")
+    odd = F.when(k % 4 == 0, F.concat("o_orderpriority", F.lit("\r"))).when(k % 4 == 1, F.concat(F.lit("c"), k.cast("string"), F.lit("\tx"))).when(k % 4 == 2, F.concat(F.lit("c"), name)).otherwise(F.concat(F.lit("c "), name))
+    return ids.check_ids(t.table("orders").select(odd.alias("id")))
+
+
 MAP = r"""WITH map AS (SELECT CASE p_partkey % 3 WHEN 0 THEN p_name WHEN 1 THEN p_brand ELSE replace(p_name, ' ', '\') END AS label, CASE WHEN p_partkey % 5 = 0 THEN p_type || ' [x]' WHEN p_partkey % 2 = 0 THEN p_type END AS suffix FROM part)
 SELECT 'forbidden character' AS "check", label, suffix, count(*) AS n FROM map WHERE regexp_matches(label, '[()*&^#$@!/|\[\]\\]') OR coalesce(regexp_matches(suffix, '[()*&^#$@!/|\[\]\\]'), false) GROUP BY ALL
 UNION ALL SELECT 'duplicate', label, suffix, count(*) FROM map GROUP BY ALL HAVING count(*) > 1"""
@@ -254,6 +260,11 @@ def _(t):
 MATCH = ", asked AS (SELECT id AS input_searched, split_part(substr(id, 5), '.', 1) AS key FROM wanted), keyed AS (SELECT *, split_part(substr(accession, 8), '.', 1) AS key FROM gtdb) "
 
 
+@query("j3_rows", MATCH + "SELECT k.* EXCLUDE key, input_searched, substr(accession, 4) AS gtdb_acc_found, accession AS full_gtdb_acc FROM keyed k JOIN asked USING (key)", "wanted", "gtdb")
+def _(t):
+    return ids.match_gtdb(t.wanted(), t.gtdb(), RANKS)[0]
+
+
 @query("j3_match_gtdb", MATCH + "SELECT input_searched, substr(accession, 4) AS gtdb_acc_found, accession AS full_gtdb_acc FROM keyed JOIN asked USING (key)", "wanted", "gtdb")
 def _(t):
     return ids.match_gtdb(t.wanted(), t.gtdb(), RANKS)[1]
@@ -279,11 +290,12 @@ def _(t):
     return ids.dedupe_accessions(t.wanted())[1]
 
 
-@query("v6_missed_report", "SELECT CAST(c_custkey AS VARCHAR) AS accession, 'not found' AS why_missing FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) UNION ALL SELECT CAST(p_partkey AS VARCHAR), 'download failed' FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 49)")
+@query("v6_missed_report", "SELECT CAST(c_custkey AS VARCHAR) AS accession, 'not found' AS why_missing FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) UNION ALL SELECT CAST(p_partkey AS VARCHAR), 'download failed' FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem) UNION ALL SELECT CAST(s_suppkey AS VARCHAR), 'no lines' FROM supplier WHERE s_suppkey NOT IN (SELECT l_suppkey FROM lineitem)")
 def _(t):
     no_order = t.table("customer").join(t.table("orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select(F.col("c_custkey").cast("string").alias("id"))
-    no_line = t.table("part").join(t.table("lineitem").where("l_quantity > 49"), F.col("p_partkey") == F.col("l_partkey"), "left_anti").select(F.col("p_partkey").cast("string").alias("id"))
-    return ids.missed_report(not_found=no_order, download_failed=no_line)
+    no_line = t.table("part").join(t.table("lineitem"), F.col("p_partkey") == F.col("l_partkey"), "left_anti").select(F.col("p_partkey").cast("string").alias("id"))
+    idle = t.table("supplier").join(t.table("lineitem"), F.col("s_suppkey") == F.col("l_suppkey"), "left_anti").select(F.col("s_suppkey").cast("string").alias("id"))
+    return ids.missed_report(not_found=no_order, download_failed=no_line, no_lines=idle)
 
 
 @query("p1_slim_assembly_summary", "SELECT * FROM catalog UNION ALL SELECT * FROM catalog WHERE taxid < '3'", "catalog")
@@ -507,9 +519,9 @@ def _(t):
     return sequences.prefix_headers(d, "lang").select(F.col("gene_ord").alias("doc_id"), "gene_id")
 
 
-@query("p9_swap_ids", "SELECT coalesce(new, CAST(c_custkey AS VARCHAR)) AS id, c_name FROM customer LEFT JOIN (SELECT o_custkey, 'o' || CAST(max(o_orderkey) AS VARCHAR) AS new FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey) ON c_custkey = o_custkey")
+@query("p9_swap_ids", "SELECT coalesce(new, CAST(c_custkey AS VARCHAR)) AS id, c_name FROM customer LEFT JOIN (SELECT o_custkey, 'o' || CAST(max(o_orderkey) AS VARCHAR) AS new FROM orders GROUP BY o_custkey) ON c_custkey = o_custkey")
 def _(t):
-    swaps = t.table("orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").cast("string").alias("old"), F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("new"), F.col("o_orderkey").alias("ord"))
+    swaps = t.table("orders").select(F.col("o_custkey").cast("string").alias("old"), F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("new"), F.col("o_orderkey").alias("ord"))
     return sequences.swap_ids(t.table("customer").select(F.col("c_custkey").cast("string").alias("id"), "c_name"), swaps, "id")
 
 
@@ -557,6 +569,11 @@ def _(t):
     return alignment.partition_lines(alignment.partition_table(t.aln()), "nexus")
 
 
+@query("k3_plain_lines", "SELECT CAST(row_number() OVER (ORDER BY marker) AS INTEGER) AS ord, 'DNA, ' || marker || ' = ' || CAST(1 + (row_number() OVER (ORDER BY marker) - 1) * 22 AS VARCHAR) || '-' || CAST(16 + (row_number() OVER (ORDER BY marker) - 1) * 22 AS VARCHAR) AS line FROM (SELECT DISTINCT marker FROM aln)", "aln")
+def _(t):
+    return alignment.partition_lines(alignment.partition_table(t.aln(), "nt"), "plain", "nt")
+
+
 # taxonomy
 
 
@@ -638,18 +655,18 @@ def _(t):
     return t.table("part").select("p_partkey", text.screen_label("p_name").alias("label"))
 
 
-@query("t3_lineage_labels", f"SELECT genome_id, {LINEAGE_LABEL} AS label FROM gtdb_lineage", "gtdb", "gtdb_lineage")
+@query("t3_lineage_labels", f"SELECT genome_id, {LINEAGE_LABEL} AS label FROM all_lineage", "gtdb", "all_lineage")
 def _(t):
-    return lineage_label(t, 2)
+    return lineage_label(t, 1)
 
 
 STRAIN = "regexp_replace(infraspecific_name, 'strain=', '')"
 
 
-@query("t4_add_strain", f", infra AS (SELECT CAST(taxid AS BIGINT) AS genome_id, infraspecific_name FROM catalog) SELECT genome_id, {LINEAGE_LABEL} || CASE WHEN infraspecific_name <> '' THEN '_' || {TEXT.format(STRAIN, '')} ELSE '' END AS label FROM ncbi_lineage JOIN infra USING (genome_id)", "gtdb", "ncbi_lineage", "catalog")
+@query("t4_add_strain", f", infra AS (SELECT CAST(taxid AS BIGINT) AS genome_id, infraspecific_name FROM catalog) SELECT genome_id, {LINEAGE_LABEL} || CASE WHEN infraspecific_name <> '' THEN '_' || {TEXT.format(STRAIN, '')} ELSE '' END AS label FROM all_lineage JOIN infra USING (genome_id)", "gtdb", "all_lineage", "catalog")
 def _(t):
     infra = t.catalog().select(F.col("taxid").cast("long").alias("genome_id"), F.col("infraspecific_name").alias("infraspecific"))
-    return labels.add_strain(lineage_label(t, 3), infra)
+    return labels.add_strain(lineage_label(t, 1), infra)
 
 
 FINAL = f""", g AS (SELECT genome_id, {LINEAGE_LABEL} AS gl FROM gtdb_lineage), n AS (SELECT genome_id, {LINEAGE_LABEL} || '_NCBI' AS nl FROM ncbi_lineage),
@@ -683,7 +700,7 @@ def _(t):
 
 # reports
 
-SUMMARY = """, after AS (SELECT genome_id, count(*) AS uniq_hits FROM (SELECT DISTINCT genome_id, marker FROM hits WHERE l_quantity < 40) GROUP BY genome_id),
+SUMMARY = """, after AS (SELECT genome_id, count(*) AS uniq_hits FROM (SELECT DISTINCT genome_id, marker FROM hits) GROUP BY genome_id),
 summary AS (SELECT CAST(genome_id AS BIGINT) AS assembly_id, CASE WHEN genome_id % 2 = 0 THEN 'NA' ELSE CAST(genome_id AS VARCHAR) END AS taxid, num_hits, uniq_hits, perc_comp, perc_redund, coalesce(a.after, 0) AS num_hits_after_len_filt,
   CASE WHEN coalesce(a.after, 0) >= 5 THEN 'Yes' ELSE 'No' END AS in_final_tree FROM quality LEFT JOIN (SELECT genome_id, uniq_hits AS after FROM after) a USING (genome_id)) """
 
@@ -691,7 +708,7 @@ summary AS (SELECT CAST(genome_id AS BIGINT) AS assembly_id, CASE WHEN genome_id
 def summary_of(t: Tables) -> DataFrame:
     q = quality_of(t).withColumn("assembly_id", F.col("genome_id").cast("long"))
     even, odd = q.where("genome_id % 2 = 0").withColumn("taxid", F.lit("NA")), q.where("genome_id % 2 <> 0").withColumn("taxid", F.col("genome_id").cast("string"))
-    after = t.hits().where("l_quantity < 40").select("genome_id", "marker").distinct().groupBy("genome_id").agg(F.count("*").alias("uniq_hits"))
+    after = t.hits().select("genome_id", "marker").distinct().groupBy("genome_id").agg(F.count("*").alias("uniq_hits"))
     return report.genome_summary([even, odd], after, after.where("uniq_hits >= 5"))
 
 
@@ -711,9 +728,9 @@ def _(t):
     return report.summary_with_taxonomy(summary_of(t), t.lineage(3), t.lineage(2), ["domain", "species"])
 
 
-@query("k4_itol_dataset", "SELECT marker AS target, o AS ord, CASE o WHEN 0 THEN 'DATASET_STYLE' WHEN 1 THEN 'SEPARATOR SPACE' WHEN 2 THEN 'DATASET_LABEL ' || marker WHEN 3 THEN 'COLOR #0000ff' ELSE 'DATA' END AS line FROM markers, (SELECT unnest([0, 1, 2, 3, 4]) AS o) UNION ALL SELECT marker, 5, CAST(genome_id AS VARCHAR) || ' branch node #0000ff 3 normal' FROM counts JOIN orders ON genome_id = o_orderkey WHERE n > 0 AND o_orderstatus = 'F'", *HITS)
+@query("k4_itol_dataset", "SELECT marker AS target, o AS ord, CASE o WHEN 0 THEN 'DATASET_STYLE' WHEN 1 THEN 'SEPARATOR SPACE' WHEN 2 THEN 'DATASET_LABEL ' || marker WHEN 3 THEN 'COLOR #0000ff' ELSE 'DATA' END AS line FROM markers, (SELECT unnest([0, 1, 2, 3, 4]) AS o) UNION ALL SELECT marker, 5, CAST(genome_id AS VARCHAR) || ' branch node #0000ff 3 normal' FROM counts JOIN orders ON genome_id = o_orderkey WHERE n > 0", *HITS)
 def _(t):
-    final = t.table("orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("genome_id"), F.col("o_orderkey").alias("label"))
+    final = t.table("orders").select(F.col("o_orderkey").alias("genome_id"), F.col("o_orderkey").alias("label"))
     return report.itol_dataset(counts_of(t), final)
 
 
