@@ -184,7 +184,8 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, length: int = LENGTH,
     folder = folder or new_path(spark, "tokens")
     spark_files = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    ordered = rows.repartitionByRange(spark_files, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
+    order = F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()  # the hash lets rows that share an id, or have none, be split
+    ordered = rows.repartitionByRange(spark_files, *order).sortWithinPartitions(*order)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
