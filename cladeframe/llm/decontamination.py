@@ -4,7 +4,7 @@ An item is held by a document if at least `least` of its distinct word shingles
 may be very long, so sketches of both would lose the item; only the item is sketched, and each of its sketch's hashes is
 looked for in the document's whole set of shingle hashes (containment MinHash).
 
-Items are partitioned by size, each class with its own sketch length. A sketch holds the smallest hashes of an item, one
+Items are partitioned by size, each class with its own sketch length and its own index. A sketch holds the smallest hashes of an item, one
 more than the shingles that a document may lack: then any document that holds the item has one of them, so the candidates
 are complete. A candidate has, besides, the sketch's share of matches tested against what the class's bound allows. Each
 candidate is verified with the shingles themselves, not their hashes.
@@ -54,7 +54,7 @@ class Sketches:
 
     def __init__(self, items: list[tuple[int, str]], shingle: int, least: float):
         self.least, self.items = least, []
-        by: dict[int, list[tuple[np.uint64, int]]] = defaultdict(list)
+        by: dict[int, dict[int, list[tuple[np.uint64, int]]]] = defaultdict(lambda: defaultdict(list))
         self.needed: list[int] = []
         for item, text in items:
             words = words_of(text)
@@ -69,29 +69,30 @@ class Sketches:
             k = len(self.items)
             self.items.append((item, n, exact))
             self.needed.append(max(1, length - lacking))
-            by[n] += [(h, k) for h in hashes[:length]]
+            by[n][size_class] += [(h, k) for h in hashes[:length]]
         self.index = {}
-        for n, pairs in by.items():
-            pairs.sort()
-            self.index[n] = np.array([h for h, _ in pairs], dtype=np.uint64), np.array([k for _, k in pairs])
+        for n, classes in by.items():
+            parts = [(np.array([h for h, _ in pairs], dtype=np.uint64), np.array([k for _, k in pairs])) for pairs in map(sorted, classes.values())]
+            self.index[n] = np.unique(np.concatenate([h for h, _ in parts])), parts
 
     def held(self, text: str | None) -> Iterator[tuple[int, int, int]]:
         """(item, its shingles, how many of them the text has) for each item held."""
         words = words_of(text)
-        for n, (hashes, owner) in self.index.items():
+        for n, (every, parts) in self.index.items():
             mine = hashes_of(words, n)
             if not len(mine):
                 continue
-            at = np.searchsorted(hashes, mine)
-            at[at == len(hashes)] = 0
-            found = np.unique(mine[hashes[at] == mine])
+            at = np.searchsorted(every, mine)
+            at[at == len(every)] = 0
+            found = np.unique(mine[every[at] == mine])
             if not len(found):
                 continue
-            low, high = np.searchsorted(hashes, found), np.searchsorted(hashes, found, side="right")
             hits: dict[int, int] = defaultdict(int)
-            for a, b in zip(low.tolist(), high.tolist(), strict=True):
-                for k in owner[a:b].tolist():
-                    hits[k] += 1
+            for hashes, owner in parts:
+                low, high = np.searchsorted(hashes, found), np.searchsorted(hashes, found, side="right")
+                for a, b in zip(low.tolist(), high.tolist(), strict=True):
+                    for k in owner[a:b].tolist():
+                        hits[k] += 1
             candidates = [k for k, h in hits.items() if h >= self.needed[k]]
             if candidates:
                 have = set(zip(*(words[i:] for i in range(n)), strict=False))
