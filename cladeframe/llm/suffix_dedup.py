@@ -36,7 +36,7 @@ import pyarrow as pa
 import pyarrow.fs
 import pyarrow.parquet as pq
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -48,6 +48,7 @@ BATCH_BYTES = 8 << 20
 BLOCK, PIECE = 1 << 20, 4 << 20
 WINDOWS = 1 << 17  # in a batch of the family
 HOT = 2048
+PARTITIONS = 8192  # at most, of a shuffle
 RNG = np.random.default_rng(50)
 TABLE = RNG.integers(1 << 63, size=256, dtype=np.uint64)
 ODD = (2 * RNG.integers(1 << 62, size=8, dtype=np.uint64) + 1).astype(np.uint64)
@@ -345,8 +346,17 @@ def remove_repeats(docs: DataFrame, batch_bytes: int = BATCH_BYTES, with_text: b
         out = result(ids, texts, np.frombuffer(b"".join(table["covers"].to_pylist()), dtype=COVER))
         return out if with_text else out.drop_columns(["kept"])
 
-    answers = rows.mapInArrow(cut, "file string, shard long, keys binary, times binary").groupBy("shard").applyInArrow(shared, "file string, shard long, keys binary, hot binary")
+    parts = min(shards, PARTITIONS)
+
+    def by_shards(df: DataFrame) -> GroupedData:
+        """Shards dealt evenly, each to a task of its own while there are enough of them."""
+        return df.withColumn("dealt", (F.col("shard") % parts).cast("int")).repartitionById(parts, "dealt").groupBy("dealt", "shard")
+
+    def by_files(df: DataFrame) -> GroupedData:
+        return df.repartition(parts, "file").groupBy("file")  # by number: there is much work for each of the few bytes
+
+    answers = by_shards(rows.mapInArrow(cut, "file string, shard long, keys binary, times binary")).applyInArrow(shared, "file string, shard long, keys binary, hot binary")
     answers = stash(answers, "shared-anchors")
-    records = answers.groupBy("file").applyInArrow(record, "shard long, file string, records binary, content binary, covers binary")
-    covers = records.groupBy("shard").applyInArrow(scan, "file string, covers binary")
-    return covers.groupBy("file").applyInArrow(finish, RESULT + (", kept binary" if with_text else ""))
+    records = by_files(answers).applyInArrow(record, "shard long, file string, records binary, content binary, covers binary")
+    covers = by_shards(records).applyInArrow(scan, "file string, covers binary")
+    return by_files(covers).applyInArrow(finish, RESULT + (", kept binary" if with_text else ""))
