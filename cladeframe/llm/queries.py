@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cladeframe.llm import decontamination, mixing, neighbours, pseudo_likelihood, quality, simhash, suffix_dedup, token_counts, token_files, toxicity
+from cladeframe.llm import decontamination, hard_negatives, mixing, neighbours, pieces, pseudo_likelihood, quality, simhash, suffix_dedup, token_counts, token_files, toxicity, turn_repair
 
 END_ID = 2
 
@@ -67,6 +67,34 @@ def count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary_file("piece_bpe_32k.model"))
 
 
+def encode_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = vocabulary_file("piece_bpe_32k.model")
+    made = pieces.decode(pieces.encode(table(spark, sf_dir, "documents"), model), model)
+    hashed = lambda c: F.sha2(F.col(c).cast("binary"), 256)
+    return made.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), hashed("ids").alias("ids_sha256"), hashed("decoded").alias("decoded_sha256"))
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows with faults, by the crc32 of conv_id:turn modulo 20: 0 goes, 1 loses its text, 2 its marks, 3 is there twice, 4 is
+    the user's. Nulls are one space."""
+    spaced = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(spaced("conv_id"), F.lit(":"), spaced("turn")).cast("binary")) % 20
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.regexp_replace(spaced("text"), "[.!?]", "")).otherwise(spaced("text"))
+    rows = conversations.select("conv_id", "turn", "role", "text", kind.alias("kind")).where("kind <> 0")
+    rows = rows.withColumn("copy", F.explode(F.when(F.col("kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    return rows.select("conv_id", "turn", F.when(F.col("kind") == 4, "user").otherwise(spaced("role")).alias("role"), text.alias("text"))
+
+
+def repair_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    report, repaired = turn_repair.repair(damaged(conversations))
+    return turn_repair.with_empty(conversations, report, turn_repair.digests(repaired))
+
+
+def mine_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": decontaminate,
@@ -79,6 +107,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_suffix_dedup": dedup_suffixes,
         "op9_neighbours": find_neighbours,
         "op10_token_counts": count_tokens,
+        "op11_pieces": encode_pieces,
+        "op12_turn_repair": repair_turns,
+        "op13_hard_negatives": mine_negatives,
     }
 
 
@@ -136,6 +167,21 @@ SELECT doc_id, item_id, CAST(n_shingles AS BIGINT) AS n_shingles, CAST(n_shared
 FROM shared JOIN totals USING (item_id) WHERE n_shared >= 0.8 * n_shingles - 1e-9
 """
 
+NEGATIVES_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(CAST(embedding AS DOUBLE[]), lambda x: CAST(floor(256 * x) AS BIGINT)) AS e
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS alike, CAST(list_reduce(list_transform(list_zip(a.e, b.e), lambda p: p[1] * p[2]), lambda x, y: x + y) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM pairs WHERE alike) WHERE place <= 5),
+ranked AS (
+  SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+  FROM positives JOIN pairs USING (anchor_id) WHERE NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": DECONTAMINATION_SQL, "op6_mixing": MIXING_SQL, "op9_neighbours": NEIGHBOURS_SQL}
+    return {"op1_decontamination": DECONTAMINATION_SQL, "op6_mixing": MIXING_SQL, "op9_neighbours": NEIGHBOURS_SQL, "op13_hard_negatives": NEGATIVES_SQL}
