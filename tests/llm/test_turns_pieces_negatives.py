@@ -255,7 +255,7 @@ def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     table = clustered(400, 4, 3)
     table += [(1000, None, 1, 1, "x", 2), (1100, [], 1, 1, "x", 2), (1200, [1.0, None, 0.0, 0.0], 1, 1, "x", 2), (1300, [nan] * 4, 1, 1, "x", 2), (1400, [inf] * 4, 1, 1, "x", 2), (None, [1.0] * 4, 1, 1, "x", 2), (1500, [0.0] * 4, 2, 1, "x", 2)]
-    table += [(1600, [1.0, 2.0], 1, 1, "x", 2), (1601, [1.0, 1.0], 1, 1, "x", 2), (1602, [0.5, 0.5], 2, 1, "x", 2), (1700, [3e6, 2e6, 1.0, 0.0], 1, 1, "x", 2), (1701, [2e6, 2e6, 1.0, 0.0], 1, 1, "x", 2), (1702, [1e6, 1e6, 1.0, 0.0], 3, 1, "x", 2), (1800, [1.0] * 4, None, 1, "x", 2)]
+    table += [(1600, [1.0, 2.0], 1, 1, "x", 2), (1601, [1.0, 1.0], 1, 1, "x", 2), (1602, [0.5, 0.5], 2, 1, "x", 2), (1700, [6e5, 4e5, 1.0, 0.0], 1, 1, "x", 2), (1701, [4e5, 4e5, 1.0, 0.0], 1, 1, "x", 2), (1702, [2e5, 2e5, 1.0, 0.0], 3, 1, "x", 2), (1800, [1.0] * 4, None, 1, "x", 2)]
     df = spark.createDataFrame(table, SCHEMA)
     assert sorted(rows(hard_negatives.mine(df))) == by_sql(df)
     assert sorted(rows(hard_negatives.mine(df.unionAll(df)))) == by_sql(df)
