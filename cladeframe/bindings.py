@@ -10,6 +10,10 @@ HIT_ORDER = ["evalue", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"]
 
 SQL = {
     "hits": "hits AS (SELECT l_orderkey AS genome_id, p_brand AS marker, -l_extendedprice AS evalue, l_partkey, l_suppkey, l_linenumber, l_quantity FROM lineitem JOIN part ON l_partkey = p_partkey)",
+    "split_hits": """base AS (SELECT l_orderkey AS genome_id, p_brand AS marker, -l_extendedprice AS evalue, l_partkey, l_suppkey, l_linenumber, l_quantity FROM lineitem JOIN part ON l_partkey = p_partkey),
+      hits AS (SELECT * FROM base UNION ALL SELECT * REPLACE ('Split' AS marker) FROM (SELECT * FROM base ORDER BY l_partkey % 1000, genome_id, l_linenumber, l_partkey, evalue LIMIT 1)
+      UNION ALL SELECT * REPLACE ('Split' AS marker) FROM (SELECT * FROM base ORDER BY -(l_partkey % 1000), genome_id, l_linenumber, l_partkey, evalue LIMIT 1))""",
+    "split_markers": "markers AS (SELECT DISTINCT p_brand AS marker FROM part UNION ALL SELECT 'Split')",
     "markers": "markers AS (SELECT DISTINCT p_brand AS marker FROM part)",
     "genomes": "genomes AS (SELECT o_orderkey AS genome_id FROM orders)",
     "found": "found AS (SELECT genome_id, marker, count(*) AS n FROM hits GROUP BY ALL)",
@@ -54,6 +58,12 @@ class Tables:
         joined = line.join(self.table("part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
         return joined.select(F.col("l_orderkey").alias("genome_id"), F.col("p_brand").alias("marker"), (-F.col("l_extendedprice")).alias("evalue"), "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
 
+    def split_hits(self) -> DataFrame:
+        """The hits, and two of a marker more: on the shortest and on the longest gene, so that its lengths have nothing in common."""
+        hits, letters = self.hits(), F.col("l_partkey") % 1000
+        ends = [hits.orderBy(by, "genome_id", "l_linenumber", "l_partkey", "evalue").limit(1).withColumn("marker", F.lit("Split")) for by in (letters, -letters)]
+        return hits.unionByName(ends[0]).unionByName(ends[1])
+
     def markers(self) -> DataFrame:
         return self.table("part").select(F.col("p_brand").alias("marker")).distinct()
 

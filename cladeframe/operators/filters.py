@@ -40,6 +40,13 @@ def retain_markers(hit_seqs: DataFrame, markers: DataFrame, min_seqs: int = 2) -
     return counted.where(F.col("n") >= min_seqs), removed
 
 
+def drop_emptied(kept: DataFrame, removed: DataFrame, filtered: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """retain_markers' two tables after the length filter: markers that it left without a sequence are removed as well."""
+    left = filtered.select("marker").distinct()
+    emptied = kept.join(left, "marker", "left_anti").withColumn("reason", F.lit("all filtered by length"))
+    return kept.join(left, "marker", "left_semi"), removed.unionByName(emptied)
+
+
 def genome_cutoff(n_markers: int, share: float) -> int:
     return max(1, round(share * n_markers))  # Python rounds half to even
 

@@ -65,6 +65,13 @@ def select_all(hits: DataFrame, targets: DataFrame) -> DataFrame:
     return hits.join(targets.select("marker"), "marker", "left_semi")
 
 
+def place_hits(hits: DataFrame, named: DataFrame) -> DataFrame:
+    """Hits with gene_ord, and len if it is known, of their genes (named: see sequences.gene_names)."""
+    return hits.drop("gene_ord").join(named, ["genome_id", "gene_id"])
+
+
 def fetch_hit_seqs(hits: DataFrame, seqs: DataFrame) -> DataFrame:
-    """The sequence of each hit, by genome and gene; with nucleotide sequences of the same ids, the gene of a protein's hit."""
-    return hits.join(seqs.select("genome_id", "gene_id", "seq"), ["genome_id", "gene_id"])
+    """Hits with the seq of their genes: by (genome_id, gene_ord) where hits are placed, which a store answers in place, else
+    by (genome_id, gene_id). With nucleotide sequences of the same genes, the gene of a protein's hit."""
+    keys = ["genome_id", "gene_ord" if "gene_ord" in hits.columns else "gene_id"]
+    return hits.join(seqs.select(*keys, "seq"), keys)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cladeframe.functions import text
+from cladeframe.scratch import stash
 
-ROWS_PER_BUCKET = 5_000
 
 def filter_by_ids(seqs: DataFrame, ids: DataFrame, inverse: bool = False) -> DataFrame:
     """Sequences whose gene_id is listed (column id), or is not."""
@@ -23,29 +25,53 @@ def strip_stops(seqs: DataFrame) -> DataFrame:
     return seqs.withColumns({"seq": seq, "len": F.length(seq)})
 
 
-def rename_sequential(seqs: DataFrame) -> DataFrame:
+def numbers(keys: DataFrame, within: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """keys with n: the place of each row, from 1, in the order of some columns within the groups of others, nulls first.
+
+    Rows are ranged by sampled bounds, so that tasks are of like size whatever the keys are and however large a group is;
+    each range is numbered, and begins with the rows that its groups have in the ranges before. Only keys are moved."""
+    by = [*within, *order]
+    ranged = keys.repartitionByRange(*by).withColumn("n_range", F.spark_partition_id())
+    ranged = stash(ranged, "ranges")
+    counts = ranged.groupBy(*within, "n_range").agg(F.count("*").alias("n_rows"))
+    before = F.coalesce(F.sum("n_rows").over(Window.partitionBy(*within).orderBy("n_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.select(*[F.col(c).alias(f"c_{c}") for c in [*within, "n_range"]], before.alias("n_before"))
+    nth = ranged.withColumn("n_nth", F.row_number().over(Window.partitionBy(*within, "n_range").orderBy(*order)))
+    same = [F.col(c).eqNullSafe(F.col(f"c_{c}")) for c in [*within, "n_range"]]
+    return nth.join(counts, same).select(*keys.columns, (F.col("n_before") + F.col("n_nth")).alias("n"))
+
+
+def numbered(seqs: DataFrame, within: Sequence[str], order: Sequence[str], stored: bool = False) -> DataFrame:
+    """seqs with n (see numbers). Of rows with a seq the keys alone are numbered, and meet them in one join, which moves each
+    sequence once, or, of a store whose keys these are (see sources.store), not at all. Two sequences of one place are an
+    error then."""
+    if "seq" not in seqs.columns:
+        return numbers(seqs, within, order)
+    by = [*within, *order]
+    placed = numbers(seqs.select(*by), within, order).groupBy(*by).agg(F.min("n").alias("n"), F.count("*").alias("n_rows"))
+    n = F.when(F.col("n_rows") == 1, F.col("n")).otherwise(F.raise_error(F.lit("several sequences of one place")).cast("long")).alias("n")
+    if stored:  # its keys are never null
+        return seqs.join(placed.select(*by, n), by).select(*seqs.columns, "n")
+    placed = placed.select(*[F.col(c).alias(f"k_{c}") for c in by], n)
+    return seqs.join(placed, [F.col(c).eqNullSafe(F.col(f"k_{c}")) for c in by]).select(*seqs.columns, "n")
+
+
+def gene_names(seqs: DataFrame) -> DataFrame:
+    """genome_id, gene_ord, gene_id and len, if there is one, of sequences that are called <genome>_<n>; no sequence is read."""
+    keys = seqs.select("genome_id", "gene_ord", *[c for c in ("len",) if c in seqs.columns])
+    return numbers(keys, ["genome_id"], ["gene_ord"]).withColumn("gene_id", F.concat_ws("_", "genome_id", "n")).drop("n")
+
+
+def rename_sequential(seqs: DataFrame, stored: bool = False) -> DataFrame:
     """gene_id becomes <genome>_<n>, n from 1 in file order."""
-    return numbered(seqs, "genome_id")
-
-
-def numbered(seqs: DataFrame, *lead: str) -> DataFrame:
-    """Numbers in two levels, so that no task sorts a whole genome: within ranges of gene_ord, and counts of the ranges before."""
-    spans = seqs.groupBy("genome_id").agg(F.min("gene_ord").alias("s_low"), F.max("gene_ord").alias("s_high"), F.count("*").alias("s_rows")).withColumnRenamed("genome_id", "s_genome")
-    share = (F.col("gene_ord") - F.col("s_low")) / (F.col("s_high") - F.col("s_low") + 1)
-    bucket = F.coalesce(F.floor(share * F.ceil(F.col("s_rows") / ROWS_PER_BUCKET)), F.lit(-1))  # null comes first
-    placed = seqs.join(spans, F.col("genome_id").eqNullSafe(F.col("s_genome"))).select(*seqs.columns, bucket.alias("s_bucket"))
-    running = Window.partitionBy("c_genome").orderBy("c_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    counts = placed.groupBy(F.col("genome_id").alias("c_genome"), F.col("s_bucket").alias("c_bucket")).agg(F.count("*").alias("c_rows"))
-    before = counts.select("c_genome", "c_bucket", F.coalesce(F.sum("c_rows").over(running), F.lit(0)).alias("c_before"))
-    within = placed.withColumn("s_nth", F.row_number().over(Window.partitionBy("genome_id", "s_bucket").orderBy("gene_ord")))
-    joined = within.join(before, F.col("genome_id").eqNullSafe(F.col("c_genome")) & (F.col("s_bucket") == F.col("c_bucket")))
-    named = joined.withColumn("gene_id", F.concat_ws("_", *lead, F.col("c_before") + F.col("s_nth")))
-    return named.drop("s_bucket", "s_nth", "c_genome", "c_bucket", "c_before")
-
-
-def prefix_headers(seqs: DataFrame, prefix: str) -> DataFrame:
-    """gene_id becomes <prefix>_<id>_<n>; prefix names a column."""
-    return numbered(seqs, prefix, "gene_id")
+    return numbered(seqs, ["genome_id"], ["gene_ord"], stored).withColumn("gene_id", F.concat_ws("_", "genome_id", "n")).drop("n")
+
+
+def prefix_headers(seqs: DataFrame, prefix: Sequence[str] | str, within: Sequence[str] = ("genome_id",), order: Sequence[str] = ("gene_ord",)) -> DataFrame:
+    """gene_id becomes <prefix>_<id>_<n>; prefix names columns, and n counts within what is one file: a genome, or a genome's
+    hits of one target."""
+    lead = [prefix] if isinstance(prefix, str) else list(prefix)
+    return numbered(seqs, within, order).withColumn("gene_id", F.concat_ws("_", *lead, "gene_id", "n")).drop("n")
 
 
 def swap_ids(df: DataFrame, swaps: DataFrame, column: str) -> DataFrame:

@@ -11,34 +11,40 @@ from cladeframe.operators import alignment, discovery, filters, ids, labels, rep
 from cladeframe.operators import hits as h
 from cladeframe.operators.names import names
 from cladeframe.scratch import stash
-from cladeframe.sources import readers, writers
+from cladeframe.sources import readers, store, writers
 
 
-def gene_sequences(raw: DataFrame) -> DataFrame:
-    """Sequences as read: named <genome>_<n> and without stops, as the hits name them."""
-    return sequences.strip_stops(sequences.rename_sequential(raw))
+def gene_store(raw: DataFrame, buckets: int | None = None) -> DataFrame:
+    """Sequences as read (genome_id, gene_ord, seq), without stops and with len, in a store that joins leave where it is."""
+    return store.write_store(sequences.strip_stops(raw).select("genome_id", "gene_ord", "seq", "len"), buckets)
 
 
-def marker_sets(hits: DataFrame, raw: DataFrame, genomes: DataFrame, markers: Sequence[str], cutoff: float = 0.2, share: float = 0.5, best_hit: bool = False, order: Sequence[str] = ("evalue", "ord")) -> dict[str, DataFrame]:
-    """From sequences (raw: genome_id, gene_ord, gene_id, seq) and hits to the filtered sequences of each marker: quality, flagged, sequences, markers and
-    genomes kept and removed, summary. genomes: genome_id, and taxid if it is known.
+def marker_sets(
+    hits: DataFrame, genes: DataFrame, genomes: DataFrame, markers: Sequence[str], cutoff: float = 0.2, share: float = 0.5, best_hit: bool = False, order: Sequence[str] = ("evalue", "ord"), nucleotides: DataFrame | None = None,
+) -> dict[str, DataFrame]:
+    """From sequences (genes: genome_id, gene_ord, seq, len, best a gene_store) and hits on them (gene_id <genome>_<n>) to the filtered
+    sequences of each marker: quality, flagged, sequences, markers and genomes kept and removed, summary. genomes: genome_id, and taxid
+    if it is known. With nucleotides, a table of the same genes, lengths and sequences are those.
 
-    Narrow hits are chosen first and get their sequences once; that table is written, and all else comes from it."""
+    Everything is decided on keys and lengths; sequences are fetched once, at the end, for what stays."""
     quality = stash(h.genome_quality(h.found_counts(hits, markers), len(markers), genomes), "quality")
     wanted = hits.where(F.col("marker").isin(list(markers)))
     chosen = (h.select_best_hit(wanted, order) if best_hit else h.select_single_copy(wanted)).select("genome_id", "gene_id", "marker")
-    found = stash(h.fetch_hit_seqs(chosen, gene_sequences(raw)).withColumn("len", F.length("seq")), "chosen")
+    found = h.place_hits(chosen, sequences.gene_names(genes))
+    if nucleotides is not None:
+        found = found.drop("len").join(nucleotides.select("genome_id", "gene_ord", "len"), ["genome_id", "gene_ord"])
+    found = stash(found, "chosen")
     listed = hits.sparkSession.createDataFrame([(m,) for m in markers], "marker string")
     kept_markers, removed_markers = filters.retain_markers(found, listed)
-    narrow = found.drop("seq").join(kept_markers.select("marker"), "marker", "left_semi")
+    narrow = found.join(kept_markers.select("marker"), "marker", "left_semi")
     filtered = stash(filters.filter_by_bounds(narrow, filters.length_bounds(narrow, cutoff)), "filtered")
+    kept_markers, removed_markers = filters.drop_emptied(kept_markers, removed_markers, filtered)
     kept, removed = filters.retain_genomes(filtered, genomes, filtered.select("marker").distinct().count(), share)
     known = genomes if "taxid" in genomes.columns else genomes.withColumn("taxid", F.lit(None).cast("string"))
     about = known.groupBy("genome_id").agg(F.coalesce(F.max(F.col("taxid").cast("string")), F.lit("NA")).alias("taxid"))
     source = quality.join(about, "genome_id").select(F.col("genome_id").alias("assembly_id"), "taxid", "num_hits", "uniq_hits", "perc_comp", "perc_redund")
     summary = report.genome_summary([source], kept.unionByName(removed), kept)
-    final = filtered.join(kept.select("genome_id"), "genome_id", "left_semi")
-    final = found.join(final.select("genome_id", "gene_id", "marker"), ["genome_id", "gene_id", "marker"], "left_semi")
+    final = h.fetch_hit_seqs(filtered.join(kept.select("genome_id"), "genome_id", "left_semi"), genes if nucleotides is None else nucleotides)
     return {"quality": quality, "flagged": h.flag_redundant(quality), "sequences": final, "kept_markers": kept_markers, "removed_markers": removed_markers, "kept": kept, "removed": removed, "summary": summary}
 
 
@@ -94,16 +100,20 @@ def discover_markers(hits: DataFrame, genomes: DataFrame, info: DataFrame, profi
     return {"markers": markers, "profiles": discovery.fetch_profiles(profiles, markers), "missed": ids.missed_report(no_hits=silent)}
 
 
-def target_presence(hits: DataFrame, genomes: DataFrame, targets: DataFrame, profiles: DataFrame, seqs: DataFrame, labelled: DataFrame, prefix: str = "genome_id") -> dict[str, DataFrame]:
-    """Wanted profiles (column target) in each genome: matrix of counts with all genes, hits, their sequences (named
-    <prefix>_<id>_<n>), viewer lines for the genomes in labelled (genome_id, label), and targets without a profile.
-    hits: genome_id, gene_id, marker; seqs: genome_id, gene_ord, gene_id, seq."""
+def target_presence(hits: DataFrame, genomes: DataFrame, targets: DataFrame, profiles: DataFrame, genes: DataFrame, labelled: DataFrame, order: Sequence[str] = ("evalue", "ord")) -> dict[str, DataFrame]:
+    """Wanted profiles (column target) in each genome: matrix of counts with all genes, hits, their sequences (marker, genome_id, gene_id,
+    seq, named <genome>_<target>_<gene>_<n>, n in the order of a genome's hits of that target), viewer lines for the genomes in labelled
+    (genome_id, label), and targets without a profile. hits: genome_id, gene_id (<genome>_<n>), marker; genes as in marker_sets."""
     found = stash(ids.resolve_targets(targets, profiles), "targets")
     pulled = names(found, "pulled")
     wanted = h.select_all(hits, found.where("pulled is not null").select(F.col("pulled").alias("marker")).distinct())
     counts = h.hit_counts(wanted, genomes, pulled)
-    genes = sequences.prefix_headers(h.fetch_hit_seqs(wanted.select("genome_id", "gene_id", "marker").distinct(), seqs).join(seqs.select("genome_id", "gene_id", "gene_ord"), ["genome_id", "gene_id"]), prefix)
-    return {"matrix": h.hit_matrix(counts, pulled, h.gene_counts(seqs)), "hits": wanted, "sequences": genes, "viewer": report.itol_dataset(counts, labelled), "missing": found.where("pulled is null").select("requested")}
+    named = stash(sequences.gene_names(genes), "gene-names")
+    listed = wanted.select("genome_id", "marker", "gene_id", F.col("gene_id").alias("own"), *order)
+    listed = sequences.prefix_headers(listed, ["genome_id", "marker"], ["genome_id", "marker"], order)
+    placed = h.place_hits(listed.select("genome_id", "marker", F.col("own").alias("gene_id"), F.col("gene_id").alias("named")), named)
+    seqs = h.fetch_hit_seqs(placed, genes).select("marker", "genome_id", F.col("named").alias("gene_id"), "seq")
+    return {"matrix": h.hit_matrix(counts, pulled, h.gene_counts(named)), "hits": wanted, "sequences": seqs, "viewer": report.itol_dataset(counts, labelled), "missing": found.where("pulled is null").select("requested")}
 
 
 def accession_intake(wanted: DataFrame, catalog: DataFrame) -> dict[str, DataFrame]:

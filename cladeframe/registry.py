@@ -15,7 +15,7 @@ from cladeframe.operators import alignment, discovery, filters, groups, hits, id
 from cladeframe.operators.names import names
 from cladeframe.plans import pipelines
 from cladeframe.scratch import new_path
-from cladeframe.sources import readers, writers
+from cladeframe.sources import readers, store, writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -98,26 +98,6 @@ def _(t):
     return hits.select_all(t.hits(), t.table("part").where("p_size > 49").select(F.col("p_brand").alias("marker")))
 
 
-def gene_seqs(t: Tables, genes: DataFrame, column: str) -> DataFrame:
-    """A sequence for each of the genes: a document's text, found by the gene's part number. Which genes is settled first;
-    texts join last."""
-    docs = t.table("documents").select("doc_id", F.col(column).cast("string").alias("seq"))
-    n = t.table("documents").agg(F.count("*").alias("n_docs"))
-    keys = t.hits().select("genome_id", F.col("l_linenumber").alias("gene_id"), "l_partkey").join(genes.select("genome_id", "gene_id"), ["genome_id", "gene_id"], "left_semi")
-    keys = keys.join(n).select("genome_id", "gene_id", (F.col("l_partkey") % F.col("n_docs")).alias("doc_id")).distinct()
-    return keys.join(docs, "doc_id").select("genome_id", "gene_id", "seq")
-
-
-def fetched(t: Tables, column: str) -> DataFrame:
-    best = hits.select_best_hit(t.hits(), HIT_ORDER).select("genome_id", "marker", F.col("l_linenumber").alias("gene_id"))
-    return hits.fetch_hit_seqs(best, gene_seqs(t, best, column)).select("genome_id", "marker", "gene_id", F.md5("seq").alias("seq_md5"))
-
-
-FETCH = """, best AS (SELECT genome_id, marker, l_linenumber AS gene_id FROM (SELECT *, row_number() OVER (PARTITION BY genome_id, marker ORDER BY evalue, l_partkey, l_suppkey, l_linenumber, l_quantity) AS p FROM hits) WHERE p = 1),
-genes AS (SELECT DISTINCT genome_id, l_linenumber AS gene_id, l_partkey % (SELECT count(*) FROM documents) AS doc_id FROM hits)
-SELECT genome_id, marker, gene_id, md5(seq) AS seq_md5 FROM best JOIN (SELECT genome_id, gene_id, CAST({} AS VARCHAR) AS seq FROM genes JOIN documents USING (doc_id)) USING (genome_id, gene_id)"""
-
-
 @query("a12_single_copy_markers", "SELECT marker, CAST(count(*) FILTER (n = 1) AS BIGINT) AS single, count(*) FILTER (n = 1) / (SELECT count(*) FROM genomes) * 100 AS share FROM counts GROUP BY marker HAVING count(*) FILTER (n = 1) / (SELECT count(*) FROM genomes) * 100 >= 12", *HITS)
 def _(t):
     return discovery.single_copy_markers(t.hits().groupBy("genome_id", "marker").agg(F.count("*").alias("n")), t.genomes().count(), 12.0)
@@ -180,9 +160,13 @@ def _(t):
     return filters.retention(t.seqs(), filters.filter_by_length(t.seqs(), 500, 2000)).select("kept", "total", "percent")
 
 
-@query("a8_retain_markers", "SELECT p_brand AS marker, CAST(count(l_partkey) AS BIGINT) AS n, CASE WHEN count(l_partkey) >= 2350 THEN 'kept' WHEN count(l_partkey) = 0 THEN 'no hits' ELSE 'too few hits' END AS reason FROM part LEFT JOIN lineitem ON p_partkey = l_partkey GROUP BY p_brand")
+@query("a8_retain_markers", """, markers AS (SELECT DISTINCT source AS marker FROM documents UNION ALL SELECT 'never seen'), sound AS (SELECT marker FROM seqs WHERE len BETWEEN 2000 AND 2400), per AS (SELECT m.marker, count(s.marker) AS n FROM markers m LEFT JOIN seqs s USING (marker) GROUP BY m.marker), least AS (SELECT quantile_disc(n, 0.5) AS l FROM per WHERE n > 0)
+SELECT marker, n, CASE WHEN n = 0 THEN 'no hits' WHEN n < l THEN 'too few hits' WHEN marker NOT IN (SELECT marker FROM sound) THEN 'all filtered by length' ELSE 'kept' END AS reason FROM per, least""", "seqs")
 def _(t):
-    kept, removed = filters.retain_markers(t.hits(), t.markers(), 2350)
+    seqs = t.seqs().select("marker", "len")
+    listed = seqs.select("marker").distinct().unionByName(t.spark.createDataFrame([("never seen",)], "marker string"))
+    least = seqs.groupBy("marker").count().agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY count)")).first()[0]
+    kept, removed = filters.drop_emptied(*filters.retain_markers(seqs, listed, least), seqs.where("len between 2000 and 2400"))
     return kept.withColumn("reason", F.lit("kept")).unionByName(removed)
 
 
@@ -232,9 +216,9 @@ def _(t):
     return ids.check_label_map(t.table("part").select(label.alias("label"), suffix.alias("suffix")))
 
 
-@query("v3_unknown_ids", "SELECT DISTINCT c_custkey * 7 AS genome_id FROM customer WHERE c_custkey * 7 NOT IN (SELECT o_orderkey FROM orders)")
+@query("v3_unknown_ids", "SELECT DISTINCT c_custkey * 17 AS genome_id FROM customer WHERE c_custkey * 17 NOT IN (SELECT o_orderkey FROM orders)")
 def _(t):
-    return ids.unknown_ids(t.table("customer").select((F.col("c_custkey") * 7).alias("genome_id")), t.genomes())
+    return ids.unknown_ids(t.table("customer").select((F.col("c_custkey") * 17).alias("genome_id")), t.genomes())
 
 
 ROOTED = ", kept AS (SELECT id FROM (SELECT id, count(*) OVER (PARTITION BY regexp_replace(id, '^GC._', '')) AS m FROM wanted) WHERE m = 1 OR starts_with(id, 'GCF_'))"
@@ -290,12 +274,13 @@ def _(t):
     return ids.dedupe_accessions(t.wanted())[1]
 
 
-@query("v6_missed_report", "SELECT CAST(c_custkey AS VARCHAR) AS accession, 'not found' AS why_missing FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) UNION ALL SELECT CAST(p_partkey AS VARCHAR), 'download failed' FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem) UNION ALL SELECT CAST(s_suppkey AS VARCHAR), 'no lines' FROM supplier WHERE s_suppkey NOT IN (SELECT l_suppkey FROM lineitem)")
+@query("v6_missed_report", RESOLVED + "SELECT id AS accession, 'not found' AS why_missing FROM kept WHERE id NOT IN (SELECT input_accession FROM resolved) UNION ALL SELECT assembly_accession, 'download failed' FROM catalog WHERE ftp_path = 'na' UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 'prodigal failed' FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)", "wanted", "catalog")
 def _(t):
-    no_order = t.table("customer").join(t.table("orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select(F.col("c_custkey").cast("string").alias("id"))
-    no_line = t.table("part").join(t.table("lineitem"), F.col("p_partkey") == F.col("l_partkey"), "left_anti").select(F.col("p_partkey").cast("string").alias("id"))
-    idle = t.table("supplier").join(t.table("lineitem"), F.col("s_suppkey") == F.col("l_suppkey"), "left_anti").select(F.col("s_suppkey").cast("string").alias("id"))
-    return ids.missed_report(not_found=no_order, download_failed=no_line, no_lines=idle)
+    kept = ids.dedupe_accessions(t.wanted())[0]
+    absent = ids.not_found(kept, ids.resolve_accessions(kept, t.catalog()))
+    no_file = t.catalog().where("ftp_path = 'na'").select(F.col("assembly_accession").alias("id"))
+    no_genes = t.table("orders").join(t.table("lineitem"), F.col("o_orderkey") == F.col("l_orderkey"), "left_anti").select(F.col("o_orderkey").cast("string").alias("id"))
+    return ids.missed_report(not_found=absent, download_failed=no_file, prodigal_failed=no_genes)
 
 
 @query("p1_slim_assembly_summary", "SELECT * FROM catalog UNION ALL SELECT * FROM catalog WHERE taxid < '3'", "catalog")
@@ -508,15 +493,17 @@ def _(t):
     return sequences.strip_stops(seqs).select("doc_id", F.md5("seq").alias("seq_md5"), "len")
 
 
-@query("p7_rename_sequential", "SELECT doc_id, source || '_' || CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id) AS VARCHAR) AS gene_id FROM documents")
+@query("p7_rename_sequential", f"SELECT doc_id, source || '_' || CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id) AS VARCHAR) AS gene_id, md5({PLAIN_SEQ}) AS seq_md5 FROM documents")
 def _(t):
-    return sequences.rename_sequential(plain_seqs(t).select("genome_id", "gene_ord", "gene_id")).select(F.col("gene_ord").alias("doc_id"), "gene_id")
+    named = sequences.rename_sequential(store.write_store(plain_seqs(t)), stored=True)
+    return named.select(F.col("gene_ord").alias("doc_id"), "gene_id", F.md5("seq").alias("seq_md5"))
 
 
-@query("p8_prefix_headers", "SELECT doc_id, lang || '_d' || CAST(doc_id AS VARCHAR) || '_' || CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id) AS VARCHAR) AS gene_id FROM documents")
+@query("p8_prefix_headers", f"SELECT doc_id, lang || '_d' || CAST(doc_id AS VARCHAR) || '_' || CAST(row_number() OVER (PARTITION BY source, lang ORDER BY doc_id) AS VARCHAR) AS gene_id, md5({PLAIN_SEQ}) AS seq_md5 FROM documents")
 def _(t):
-    d = t.table("documents").select(F.col("source").alias("genome_id"), F.col("doc_id").alias("gene_ord"), F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("gene_id"), "lang")
-    return sequences.prefix_headers(d, "lang").select(F.col("gene_ord").alias("doc_id"), "gene_id")
+    langs = t.table("documents").select(F.col("doc_id").alias("gene_ord"), "lang")
+    named = sequences.prefix_headers(plain_seqs(t).join(langs, "gene_ord"), "lang", ["genome_id", "lang"])
+    return named.select(F.col("gene_ord").alias("doc_id"), "gene_id", F.md5("seq").alias("seq_md5"))
 
 
 @query("p9_swap_ids", "SELECT coalesce(new, CAST(c_custkey AS VARCHAR)) AS id, c_name FROM customer LEFT JOIN (SELECT o_custkey, 'o' || CAST(max(o_orderkey) AS VARCHAR) AS new FROM orders GROUP BY o_custkey) ON c_custkey = o_custkey")
@@ -525,10 +512,11 @@ def _(t):
     return sequences.swap_ids(t.table("customer").select(F.col("c_custkey").cast("string").alias("id"), "c_name"), swaps, "id")
 
 
-@query("p10_reorder", "SELECT gene_id, len FROM seqs WHERE CAST(gene_id AS BIGINT) IN (SELECT doc_id FROM labels)", "seqs")
+@query("p10_reorder", "SELECT gene_id, len, row_number() OVER (ORDER BY CAST(gene_id AS BIGINT) DESC) AS place FROM seqs WHERE CAST(gene_id AS BIGINT) IN (SELECT doc_id FROM labels)", "seqs")
 def _(t):
     listed = t.table("labels").select(F.col("doc_id").cast("string").alias("id"), (-F.col("doc_id")).alias("ord"))
-    return sequences.reorder(t.seqs().select("gene_id", "len"), listed)
+    rows = sequences.reorder(t.seqs().select("gene_id", "len"), listed).withColumns({"file": F.lit(0), "at": F.monotonically_increasing_id()})
+    return sequences.numbers(rows, ["file"], ["at"]).select("gene_id", "len", F.col("n").alias("place"))
 
 
 # alignments
@@ -764,36 +752,70 @@ W1 = f""", {SINGLE}, sized AS (SELECT s.*, CAST(1 + l_partkey % 1000 AS INTEGER)
 filtered AS (SELECT z.* FROM sized z JOIN bounds USING (marker) WHERE len BETWEEN lo AND hi), cut AS (SELECT greatest(1, round_even(0.1 * count(DISTINCT marker), 0)) AS c FROM filtered),
 after AS (SELECT genome_id, count(*) AS n FROM filtered GROUP BY genome_id), kept AS (SELECT genome_id FROM after WHERE n >= (SELECT c FROM cut)) """
 PLACE = "(l_linenumber * 10000000 + l_partkey) * 10000000 + CAST(round({} * 100) AS BIGINT) % 10000000"  # one of each line of an order
-GENES = f"genes AS (SELECT l_orderkey AS genome_id, {PLACE.format('l_extendedprice')} AS place, l_returnflag, CAST(l_partkey % 1000 AS INTEGER) AS letters, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {PLACE.format('l_extendedprice')}) AS VARCHAR) AS nth FROM lineitem)"
+GENES = f"genes AS (SELECT l_orderkey AS genome_id, {PLACE.format('l_extendedprice')} AS place, l_returnflag, l_linestatus, CAST(l_partkey % 1000 AS INTEGER) AS letters, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {PLACE.format('l_extendedprice')}) AS VARCHAR) AS nth FROM lineitem)"
+PROTEIN, DNA = "'M' || repeat(l_returnflag, letters)", "'ATG' || repeat(translate(l_linestatus, 'OF', 'AC'), 3 * letters)"
+
+
+def genes_of(t: Tables, nucleotides: bool = False) -> DataFrame:
+    """Lines as genes of the orders, as a gene caller writes them, in a store: proteins, or the nucleotides of the same genes."""
+    letters = (F.col("l_partkey") % 1000).cast("int")
+    protein = F.concat(F.lit("M*"), F.repeat(F.substring(F.col("l_returnflag"), 1, 1), letters))
+    dna = F.concat(F.lit("ATG"), F.repeat(F.translate("l_linestatus", "OF", "AC"), 3 * letters))
+    raw = t.table("lineitem").select(F.col("l_orderkey").alias("genome_id"), F.expr(PLACE.format("l_extendedprice")).alias("gene_ord"), (dna if nucleotides else protein).alias("seq"))
+    return pipelines.gene_store(raw)
+
+
+def hits_on(hit_rows: DataFrame, genes: DataFrame) -> DataFrame:
+    """Hits on the genes by the names that they get, as a search program reports them."""
+    return hit_rows.withColumn("gene_ord", F.expr(PLACE.format("-evalue"))).join(sequences.gene_names(genes).drop("len"), ["genome_id", "gene_ord"]).drop("gene_ord")
+
 
+FETCH = f", best AS (SELECT * FROM (SELECT *, {PLACE.format('-evalue')} AS place, row_number() OVER (PARTITION BY genome_id, marker ORDER BY evalue, l_partkey, l_suppkey, l_linenumber, l_quantity) AS p FROM hits) WHERE p = 1), {GENES} SELECT genome_id, marker, CAST(genome_id AS VARCHAR) || '_' || nth AS gene_id, md5({{}}) AS seq_md5 FROM best JOIN genes USING (genome_id, place)"
 
-def genes_of(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """Lines as genes of the orders: sequences as a gene caller writes them, and the hits on them by their later names."""
-    line = t.table("lineitem")
-    letters = F.concat(F.lit("M*"), F.repeat(F.substring(F.col("l_returnflag"), 1, 1), (F.col("l_partkey") % 1000).cast("int")))
-    raw = line.select(F.col("l_orderkey").alias("genome_id"), F.expr(PLACE.format("l_extendedprice")).alias("gene_ord"), F.lit("gene").alias("gene_id"), letters.alias("seq"))
-    named = sequences.rename_sequential(raw.drop("seq")).select("genome_id", "gene_ord", "gene_id")
-    return raw, t.hits().withColumn("gene_ord", F.expr(PLACE.format("-evalue"))).join(named, ["genome_id", "gene_ord"])
 
+def fetched(t: Tables, nucleotides: bool) -> DataFrame:
+    """The best hits' sequences: hits name proteins; either store has the genes at the same places."""
+    genes = genes_of(t, nucleotides)
+    best = hits.select_best_hit(hits_on(t.hits(), genes), HIT_ORDER).select("genome_id", "marker", "gene_id")
+    return hits.fetch_hit_seqs(hits.place_hits(best, sequences.gene_names(genes)), genes).select("genome_id", "marker", "gene_id", F.md5("seq").alias("seq_md5"))
 
-def w1(t: Tables) -> dict[str, DataFrame]:
-    raw, found = genes_of(t)
-    k = F.col("o_custkey")
+
+@query("j5_fetch_hit_seqs", FETCH.format(PROTEIN), "hits")
+def _(t):
+    return fetched(t, False)
+
+
+@query("j6_fetch_nucleotides", FETCH.format(DNA), "hits")
+def _(t):
+    return fetched(t, True)
+
+
+def w1(t: Tables, nucleotides: bool = False) -> dict[str, DataFrame]:
+    genes, k = genes_of(t), F.col("o_custkey")
     genomes = t.table("orders").select(F.col("o_orderkey").alias("genome_id"), F.when(k % 7 != 0, k.cast("string")).alias("taxid"))
-    return pipelines.marker_sets(found, raw, genomes, marker_names(t), 0.5, 0.1, order=HIT_ORDER)
+    dna = genes_of(t, True) if nucleotides else None
+    return pipelines.marker_sets(hits_on(t.split_hits(), genes), genes, genomes, [*marker_names(t), "Split"], 0.5, 0.1, order=HIT_ORDER, nucleotides=dna)
+
+
+SPLIT = ("split_hits", "split_markers", "genomes", "found", "counts", "quality")
 
 
-@query("w1_marker_sets", W1 + f", {GENES} SELECT genome_id, marker, CAST(genome_id AS VARCHAR) || '_' || nth AS gene_id, len, md5('M' || repeat(l_returnflag, letters)) AS seq_md5 FROM (SELECT *, {PLACE.format('-evalue')} AS place FROM filtered) JOIN genes USING (genome_id, place) WHERE genome_id IN (SELECT genome_id FROM kept)", "hits")
+@query("w1_marker_sets", W1 + f", {GENES} SELECT genome_id, marker, CAST(genome_id AS VARCHAR) || '_' || nth AS gene_id, len, md5({PROTEIN}) AS seq_md5 FROM (SELECT *, {PLACE.format('-evalue')} AS place FROM filtered) JOIN genes USING (genome_id, place) WHERE genome_id IN (SELECT genome_id FROM kept)", "split_hits")
 def _(t):
     return w1(t)["sequences"].select("genome_id", "marker", "gene_id", "len", F.md5("seq").alias("seq_md5"))
 
 
-@query("w1_summary", W1 + "SELECT q.genome_id AS assembly_id, CASE WHEN o_custkey % 7 <> 0 THEN CAST(o_custkey AS VARCHAR) ELSE 'NA' END AS taxid, num_hits, uniq_hits, perc_comp, perc_redund, coalesce(a.n, 0) AS num_hits_after_len_filt, CASE WHEN k.genome_id IS NULL THEN 'No' ELSE 'Yes' END AS in_final_tree FROM quality q JOIN orders ON q.genome_id = o_orderkey LEFT JOIN after a ON a.genome_id = q.genome_id LEFT JOIN kept k ON k.genome_id = q.genome_id", *QUALITY)
+@query("w1_nucleotides", W1.replace("1 + l_partkey % 1000", "3 + 3 * (l_partkey % 1000)") + f", {GENES} SELECT genome_id, marker, CAST(genome_id AS VARCHAR) || '_' || nth AS gene_id, len, md5({DNA}) AS seq_md5 FROM (SELECT *, {PLACE.format('-evalue')} AS place FROM filtered) JOIN genes USING (genome_id, place) WHERE genome_id IN (SELECT genome_id FROM kept)", "split_hits")
+def _(t):
+    return w1(t, True)["sequences"].select("genome_id", "marker", "gene_id", "len", F.md5("seq").alias("seq_md5"))
+
+
+@query("w1_summary", W1 + "SELECT q.genome_id AS assembly_id, CASE WHEN o_custkey % 7 <> 0 THEN CAST(o_custkey AS VARCHAR) ELSE 'NA' END AS taxid, num_hits, uniq_hits, perc_comp, perc_redund, coalesce(a.n, 0) AS num_hits_after_len_filt, CASE WHEN k.genome_id IS NULL THEN 'No' ELSE 'Yes' END AS in_final_tree FROM quality q JOIN orders ON q.genome_id = o_orderkey LEFT JOIN after a ON a.genome_id = q.genome_id LEFT JOIN kept k ON k.genome_id = q.genome_id", *SPLIT)
 def _(t):
     return w1(t)["summary"]
 
 
-@query("w1_markers", W1 + ", per AS (SELECT m.marker, count(z.marker) AS n FROM markers m LEFT JOIN sized z USING (marker) GROUP BY m.marker) SELECT marker, n, CASE WHEN n >= 2 THEN 'kept' WHEN n = 0 THEN 'no hits' ELSE 'too few hits' END AS reason FROM per", "hits", "markers")
+@query("w1_markers", W1 + ", per AS (SELECT m.marker, count(z.marker) AS n FROM markers m LEFT JOIN sized z USING (marker) GROUP BY m.marker) SELECT marker, n, CASE WHEN n = 0 THEN 'no hits' WHEN n < 2 THEN 'too few hits' WHEN marker NOT IN (SELECT marker FROM filtered) THEN 'all filtered by length' ELSE 'kept' END AS reason FROM per", "split_hits", "split_markers")
 def _(t):
     out = w1(t)
     return out["kept_markers"].withColumn("reason", F.lit("kept")).unionByName(out["removed_markers"])
@@ -887,11 +909,11 @@ def _(t):
 
 
 def w5(t: Tables) -> dict[str, DataFrame]:
-    raw, found = genes_of(t)
+    genes = genes_of(t)
     targets = t.spark.createDataFrame([("Brand#12.3",), ("Brand#3",), ("Brand#99",)], "target string")
     have = t.markers().withColumnRenamed("marker", "acc")
     labelled = t.genomes().select("genome_id", F.concat(F.lit("o"), F.col("genome_id").cast("string")).alias("label"))
-    return pipelines.target_presence(found, t.genomes(), targets, have, pipelines.gene_sequences(raw), labelled)
+    return pipelines.target_presence(hits_on(t.hits(), genes), t.genomes(), targets, have, genes, labelled, HIT_ORDER)
 
 
 @query("w5_target_presence", "SELECT g.genome_id, count(*) FILTER (marker = 'Brand#12') AS b12, count(*) FILTER (marker = 'Brand#3') AS b3, nullif(count(marker), 0) AS total_gene_count FROM genomes g LEFT JOIN hits USING (genome_id) GROUP BY g.genome_id", "hits", "genomes")
@@ -900,9 +922,9 @@ def _(t):
     return wide.select("genome_id", F.col("`Brand#12`").alias("b12"), F.col("`Brand#3`").alias("b3"), "total_gene_count")
 
 
-@query("w5_sequences", f", {GENES}, wanted AS (SELECT DISTINCT genome_id, place, nth, l_returnflag, letters FROM (SELECT *, {PLACE.format('-evalue')} AS place FROM hits) JOIN genes USING (genome_id, place) WHERE marker IN ('Brand#12', 'Brand#3')) SELECT genome_id, CAST(genome_id AS VARCHAR) || '_' || genome_id || '_' || nth || '_' || CAST(row_number() OVER (PARTITION BY genome_id ORDER BY place) AS VARCHAR) AS gene_id, md5('M' || repeat(l_returnflag, letters)) AS seq_md5 FROM wanted", "hits")
+@query("w5_sequences", f", {GENES}, wanted AS (SELECT *, {PLACE.format('-evalue')} AS place, row_number() OVER (PARTITION BY genome_id, marker ORDER BY evalue, l_partkey, l_suppkey, l_linenumber, l_quantity) AS n FROM hits WHERE marker IN ('Brand#12', 'Brand#3')) SELECT marker AS target, CAST(genome_id AS VARCHAR) || '_' || marker || '_' || CAST(genome_id AS VARCHAR) || '_' || nth || '_' || CAST(n AS VARCHAR) AS gene_id, md5({PROTEIN}) AS seq_md5 FROM wanted JOIN genes USING (genome_id, place)", "hits")
 def _(t):
-    return w5(t)["sequences"].select("genome_id", "gene_id", F.md5("seq").alias("seq_md5"))
+    return w5(t)["sequences"].select(F.col("marker").alias("target"), "gene_id", F.md5("seq").alias("seq_md5"))
 
 
 @query("w5_viewer_and_missing", "SELECT marker AS target, o AS ord, CASE o WHEN 0 THEN 'DATASET_STYLE' WHEN 1 THEN 'SEPARATOR SPACE' WHEN 2 THEN 'DATASET_LABEL ' || marker WHEN 3 THEN 'COLOR #0000ff' ELSE 'DATA' END AS line FROM markers, (SELECT unnest([0, 1, 2, 3, 4]) AS o) WHERE marker IN ('Brand#12', 'Brand#3') UNION ALL SELECT DISTINCT marker, 5, 'o' || CAST(genome_id AS VARCHAR) || ' branch node #0000ff 3 normal' FROM hits WHERE marker IN ('Brand#12', 'Brand#3') UNION ALL SELECT 'Brand#99', -1, 'missing'", "hits", "markers")

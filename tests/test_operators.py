@@ -221,18 +221,79 @@ def test_failures_of_groups_are_rows(spark):
     assert k == "b" and "ZeroDivisionError" in error
 
 
-def test_sequences_are_numbered_in_ranges(spark, monkeypatch):
-    monkeypatch.setattr(sequences, "ROWS_PER_BUCKET", 10)
-    given = [(g, o * o, f"x{o}") for g in ("a", "b", None) for o in range(95)] + [("a", None, "none"), ("one", 7, "y")]
+def test_sequences_are_numbered_in_ranges(spark):
+    given = [(g, (o % 7 << 33) + o * o, f"x{o}") for g in ("a", "b", None) for o in range(95)] + [("a", None, "none"), ("one", 7, "y")]
     df = spark.createDataFrame(given, "genome_id string, gene_ord long, gene_id string")
-    got = {(r.genome_id, r.gene_ord): r.gene_id for r in sequences.prefix_headers(df.withColumn("p", F.lit("p")), "p").collect()}
-    assert len(got) == len(given)
-    for g, o, name in given:
-        n = sum(x == g and (-1 if y is None else y) <= (-1 if o is None else o) for x, y, _ in given)
-        assert got[g, o] == f"p_{name}_{n}"
-    assert sequences.rename_sequential(df).columns == df.columns
-    plan = sequences.rename_sequential(df)._jdf.queryExecution().optimizedPlan().toString()
-    assert all("bucket" in line for line in plan.splitlines() if "row_number" in line and "Window" in line)
+    for table in (df, df.withColumn("seq", F.concat("gene_id", F.lit("ACGT")))):
+        got = {(r.genome_id, r.gene_ord): r.gene_id for r in sequences.prefix_headers(table.withColumn("p", F.lit("p")), "p").collect()}
+        assert len(got) == len(given)
+        for g, o, name in given:
+            n = sum(x == g and (-1 if y is None else y) <= (-1 if o is None else o) for x, y, _ in given)
+            assert got[g, o] == f"p_{name}_{n}"
+        assert sequences.rename_sequential(table).columns == table.columns
+        within = {r.gene_id for r in sequences.prefix_headers(table.withColumn("t", F.col("gene_ord") % 2), ["t"], ["genome_id", "t"]).where("genome_id = 'one'").collect()}
+        assert within == {"1_y_1"}
+    with pytest.raises(Exception, match="several sequences"):
+        sequences.rename_sequential(df.unionAll(df).withColumn("seq", F.lit("A"))).collect()
+
+
+def ranges_and_sizes(spark, rows):
+    from cladeframe.operators.sequences import numbers
+
+    df = numbers(spark.createDataFrame(rows, "genome_id string, gene_ord long").repartition(4), ["genome_id"], ["gene_ord"])
+    return {(r.genome_id, r.gene_ord): r.n for r in df.collect()}
+
+
+def test_numbers_of_a_large_genome_with_jumps(spark):
+    rows = [("big", (i // 1000 << 33) + i) for i in range(8000)] + [("small", 5), ("small", 9)]
+    got = ranges_and_sizes(spark, rows)
+    assert got["small", 5] == 1 and got["small", 9] == 2
+    assert all(got["big", (i // 1000 << 33) + i] == i + 1 for i in range(8000))
+
+
+def exchanged(df):
+    """Names of the columns that the plan's exchanges move."""
+    import re
+
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    below, out = plan.splitlines(), []
+    for k, line in enumerate(below):
+        if "Exchange" in line and "Broadcast" not in line:
+            depth = len(re.match(r"[\s:+\-|*()0-9]*", line)[0])
+            for under in below[k + 1 :]:
+                if len(re.match(r"[\s:+\-|*()0-9]*", under)[0]) <= depth:
+                    break
+                out.append(under)
+    return "\n".join(out)
+
+
+def test_a_store_is_read_in_place(spark):
+    from cladeframe.sources import store
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        seqs = store.write_store(spark.createDataFrame([(f"g{i % 5}", i, "ACGT" * i, 4 * i) for i in range(200)], "genome_id string, gene_ord long, seq string, len int"))
+        named = sequences.rename_sequential(seqs, stored=True)
+        assert named.count() == 200 and "seq#" not in exchanged(named)
+        chosen = sequences.gene_names(seqs).where("len % 3 = 0").withColumn("marker", F.lit("m"))
+        got = hits.fetch_hit_seqs(chosen, seqs)
+        assert "seq#" not in exchanged(got) and "Exchange" in got._jdf.queryExecution().executedPlan().toString()
+        assert got.where("len <> length(seq)").count() == 0 and got.count() == chosen.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    with pytest.raises(Exception, match="without gene_ord"):
+        store.write_store(spark.createDataFrame([("g", None, "A")], "genome_id string, gene_ord long, seq string"))
+
+
+def test_markers_emptied_by_their_lengths_go(spark):
+    genomes = spark.createDataFrame([(g,) for g in "abcd"], "genome_id string")
+    genes = spark.createDataFrame([(g, k, "A" * n, n) for g, sizes in (("a", (100, 10)), ("b", (104, 1000)), ("c", (96, 50)), ("d", (100, 3))) for k, n in enumerate(sizes)], "genome_id string, gene_ord long, seq string, len int")
+    found = [(g, f"{g}_1", "even") for g in "abcd"] + [("a", "a_2", "torn"), ("b", "b_2", "torn"), ("c", "c_2", "lone")]
+    hit_rows = spark.createDataFrame([(*h, 1.0, 1) for h in found], "genome_id string, gene_id string, marker string, evalue double, ord long")
+    out = pipelines.marker_sets(hit_rows, genes, genomes, ["even", "torn", "lone", "never"])
+    assert rows(out["kept_markers"]) == [("even", 4)]
+    assert sorted(rows(out["removed_markers"])) == [("lone", 1, "too few hits"), ("never", 0, "no hits"), ("torn", 2, "all filtered by length")]
+    assert {r.marker for r in out["sequences"].collect()} == {"even"} and out["sequences"].count() == 4
 
 
 def test_label_map_faults(spark):
