@@ -8,25 +8,36 @@ joint least squares of all of them.
 
 Codewords are fitted on a bounded sample of SAMPLE vectors (those with the smallest hash of their id); all vectors are
 coded. Codes, not vectors, are dealt in parts of about PART rows, and queries in blocks of about BLOCK; for each pair of a
-part and a block, one task group makes the tables of the queries (16 sums a pair of components), scans the part's codes
-and returns the best RERANK by estimated score. The best RERANK of all parts are joined with the original vectors and
-ranked by their distance in double precision. Equal vectors have equal codes, lengths and estimates; as ties go to the
-smaller vec_id, only the first k + 1 of them take a place among the candidates (one more, as a row never finds itself).
+part and a block, one task group makes the tables of the queries (16 sums a pair of components) and scans the part's codes.
+
+The scan gives the estimate d'^2 - e^2 of a squared distance, d' being that to the coded vector and e the length of the
+row's residual r; it is off by 2 (q - x).r. Two scans find the neighbours. The first returns the best RERANK by estimate,
+which are joined with the original vectors; the k-th of their distances, D, is an upper bound from then on. The second
+returns every row that may be as near as that: the estimate of a row within D is at most D^2 + 2 D e m. With m = 1 that
+holds always (Cauchy and Schwarz), and with m = MARGIN / sqrt(dimensions), the lesser of both, for a residual that is up
+to MARGIN deviations along q - x. So up to (MARGIN)^2 components no neighbour is missed; beyond, few. What the second scan
+returns is joined with the original vectors as well, and all are ranked by their distance in double precision; how many it
+returns depends on how many are near, without a cap. Equal vectors are told by a hash of their components: as ties go to
+the smaller vec_id, only the first k + 1 of them are candidates (one more, as a row never finds itself).
 
 Edge cases: vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do those whose
-length is not the most frequent one (the smaller of two); ties go to the smaller vec_id, as equal vectors have equal
-codes and are scanned in order of vec_id; a row never finds rows of its own vec_id; rows that repeat count once; rows
-without an id take no part; fewer candidates than asked for are all returned.
+length is not the most frequent one (the smaller of two); ties go to the smaller vec_id; a row never finds rows of its own
+vec_id; rows that repeat count once; rows without an id take no part; fewer candidates than asked for are all returned.
 """
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cladeframe.llm.shared import stash
+
 SAMPLE, PART, BLOCK, RERANK = 8192, 32768, 1024, 192
+MARGIN = 3.0
 CODES, ETA = 16, 3.0
 ROUNDS, SWEEPS, SEED = 6, 2, 11
 
@@ -117,32 +128,39 @@ def best(score: np.ndarray, n: int) -> np.ndarray:
     return np.concatenate([above, np.flatnonzero((score == least) & (score > -np.inf))[: n - len(above)]])
 
 
-def firsts(codes: np.ndarray, half: np.ndarray, most: int) -> np.ndarray:
-    """Rows without those that have `most` rows of the same code and length before them."""
-    keys = np.concatenate([codes, half[:, None].view(np.uint8)], axis=1)
-    _, group = np.unique(keys.view(f"V{keys.shape[1]}").ravel(), return_inverse=True)
+def firsts(same: np.ndarray, most: int) -> np.ndarray:
+    """Rows without those that have `most` rows of the same hash before them."""
+    _, group = np.unique(same, return_inverse=True)
     order = np.argsort(group, kind="stable")
     begin = np.flatnonzero(np.concatenate([[True], group[order][1:] != group[order][:-1]]))
     nth = np.arange(len(order)) - np.repeat(begin, np.diff(np.append(begin, len(order))))
     return np.sort(order[nth < most])
 
 
-def scan(ids: np.ndarray, half: np.ndarray, codes: np.ndarray, words: np.ndarray, q_ids: np.ndarray, q: np.ndarray, rerank: int, alike: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """The best rows of a part for each query by estimated score (query ids, row ids, estimates); half is |x|^2 / 2."""
-    order = np.argsort(ids, kind="stable")
-    order = order[np.concatenate([[True], ids[order][1:] != ids[order][:-1]])]  # rows that repeat an id count once
-    order = order[firsts(codes[order], half[order], alike)]
-    ids, half, codes, out, m = ids[order], half[order], np.ascontiguousarray(codes[order].T), [], len(words)
-    for at in range(0, len(q), 32):
-        some, some_ids = q[at : at + 32], q_ids[at : at + 32]
-        tables = np.einsum("qmd,mkd->qmk", some.reshape(len(some), m, 2), words).astype(np.float32)
-        score = np.repeat(-half.astype(np.float32)[None], len(some), axis=0)
+def scan(rows: dict[str, np.ndarray], words: np.ndarray, queries: dict[str, np.ndarray], rerank: int, alike: int, margin: float) -> list[tuple[np.ndarray, ...]]:
+    """Rows of a part for each query by estimate (query ids, row ids, hashes, estimates of -d^2 / 2 and more): the best
+    `rerank`, or, where a query has a reach, all that may be within it."""
+    order = np.argsort(rows["vec_id"], kind="stable")
+    order = order[np.concatenate([[True], rows["vec_id"][order][1:] != rows["vec_id"][order][:-1]])]  # rows that repeat an id count once
+    order = order[firsts(rows["same"][order], alike)]
+    ids, half, error, same = (rows[c][order] for c in ("vec_id", "half", "error", "same"))
+    codes, out, m = np.ascontiguousarray(rows["codes"][order].T), [], len(words)
+    for at in range(0, len(queries["q"]), 32):
+        q, q_ids = queries["q"][at : at + 32], queries["query_id"][at : at + 32]
+        tables = np.einsum("qmd,mkd->qmk", q.reshape(len(q), m, 2), words).astype(np.float32)
+        score = np.repeat(-half.astype(np.float32)[None], len(q), axis=0)
         for j in range(m):
             score += np.take(tables[:, j], codes[j], axis=1)
-        score[some_ids[:, None] == ids[None]] = -np.inf
-        for r in range(len(some)):
-            top = best(score[r], rerank)
-            out.append((np.full(len(top), some_ids[r]), ids[top], score[r, top].astype(float)))
+        score[q_ids[:, None] == ids[None]] = -np.inf
+        for r in range(len(q)):
+            reach = queries["reach"][at + r]
+            if np.isnan(reach):
+                top = best(score[r], rerank)
+            else:
+                square = q[r] @ q[r]
+                room = 1e-5 * (square + 2 * np.abs(half) + error**2)  # single precision of the tables
+                top = np.flatnonzero(square - 2 * score[r].astype(np.float64) <= reach**2 + 2 * reach * error * margin + room)
+            out.append((np.full(len(top), q_ids[r]), ids[top], same[top], score[r, top].astype(float)))
     return out
 
 
@@ -167,33 +185,54 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, part: int = PAR
     parts = max(1, -(-rows // part))
     blocks = max(1, -(-asked.count() // block))
 
+    margin = min(1.0, MARGIN / dim**0.5)
+
     def code(batches):
         for batch in batches:
             x = even(matrix(batch.column("embedding"), dim))
-            packed = [bytes(r) for r in pack(encode(x, words))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array((x**2).sum(axis=1) / 2), pa.array(packed, pa.binary())], names=["vec_id", "half", "codes"])
-
-    coded = good.mapInArrow(code, "vec_id long, half double, codes binary")
+            codes = encode(x, words)
+            coded = words[np.arange(len(words))[None], codes].reshape(x.shape)
+            error = np.linalg.norm(x - coded, axis=1)
+            same = [blake2b((r + 0.0).tobytes(), digest_size=16).digest() for r in x]  # -0.0 is 0.0
+            columns = [batch.column(0), pa.array(((coded**2).sum(axis=1) - error**2) / 2), pa.array(error), pa.array([bytes(r) for r in pack(codes)], pa.binary()), pa.array(same, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["vec_id", "half", "error", "codes", "same"])
+
+    coded = stash(good.mapInArrow(code, "vec_id long, half double, error double, codes binary, same binary"), "codes")
     coded = coded.withColumns({"part": F.pmod(F.xxhash64("vec_id"), F.lit(parts)), "block": F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))})
-    dealt = asked.withColumns({"block": F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int")})
-    dealt = dealt.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         found = []
         if len(left) and len(right):
             codes = unpack(np.frombuffer(b"".join(left["codes"].to_pylist()), dtype=np.uint8).reshape(len(left), -1), len(words))
-            found = scan(left["vec_id"].to_numpy(), left["half"].to_numpy(), codes, words, right["vec_id"].to_numpy(), even(matrix(right["embedding"], dim)), rerank, k + 1)
-        columns = [np.concatenate(c) for c in zip(*found, strict=True)] or [np.zeros(0)] * 3
-        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query_id", "vec_id", "estimate"])
+            rows = {c: left[c].to_numpy() for c in ("vec_id", "half", "error")} | {"codes": codes, "same": np.frombuffer(b"".join(left["same"].to_pylist()), dtype="V16")}
+            asks = {"query_id": right["vec_id"].to_numpy(), "q": even(matrix(right["embedding"], dim)), "reach": right["reach"].to_numpy()}
+            found = scan(rows, words, asks, rerank, k + 1, margin)
+        columns = [np.concatenate(c) for c in zip(*found, strict=True)] or [np.zeros(0, dtype=np.int64)] * 2 + [np.zeros(0, dtype="V16"), np.zeros(0)]
+        same = pa.array([bytes(h) for h in columns[2]], pa.binary())
+        return pa.table([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), same, pa.array(columns[3], pa.float64())], names=["query_id", "vec_id", "same", "estimate"])
+
+    def candidates(reach: DataFrame) -> DataFrame:
+        """query_id, vec_id of one scan. reach: vec_id, embedding, reach."""
+        dealt = reach.withColumns({"block": F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int")})
+        dealt = dealt.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+        met = coded.groupBy("part", "block").cogroup(dealt.groupBy("part", "block")).applyInArrow(meet, "query_id long, vec_id long, same binary, estimate double")
+        met = met.groupBy("query_id", "vec_id").agg(F.max("estimate").alias("estimate"), F.min("same").alias("same"))
+        equal = F.row_number().over(Window.partitionBy("query_id", "same").orderBy("vec_id"))
+        return met.withColumn("equal", equal).where(F.col("equal") <= k + 1).select("query_id", "vec_id", "estimate")
+
+    def scored(pairs: DataFrame) -> DataFrame:
+        pairs = pairs.select("query_id", "vec_id").join(good.withColumnRenamed("embedding", "x"), "vec_id").join(asked.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q")), "query_id")
+        squares = F.zip_with("q", "x", lambda a, b: (a - b) * (a - b))
+        made = pairs.select("query_id", "vec_id", F.sqrt(F.aggregate(squares, F.lit(0.0), lambda a, x: a + x)).alias("score"))
+        return made.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
 
-    met = coded.groupBy("part", "block").cogroup(dealt.groupBy("part", "block")).applyInArrow(meet, "query_id long, vec_id long, estimate double")
-    met = met.groupBy("query_id", "vec_id").agg(F.max("estimate").alias("estimate"))
-    equal = F.row_number().over(Window.partitionBy("query_id", "estimate").orderBy("vec_id"))
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("estimate"), "vec_id"))
-    candidates = met.withColumn("equal", equal).where(F.col("equal") <= k + 1).withColumn("place", place).where(F.col("place") <= rerank).select("query_id", "vec_id")
-    pairs = candidates.join(good.withColumnRenamed("embedding", "x"), "vec_id").join(asked.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q")), "query_id")
-    squares = F.zip_with("q", "x", lambda a, b: (a - b) * (a - b))
-    scored = pairs.select("query_id", "vec_id", F.sqrt(F.aggregate(squares, F.lit(0.0), lambda a, x: a + x)).alias("score"))
-    scored = scored.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return scored.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    first = candidates(asked.withColumn("reach", F.lit(float("nan"))))
+    first = stash(scored(first.withColumn("place", place).where(F.col("place") <= rerank)), "first-candidates")
+    nth = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
+    reach = first.withColumn("nth", nth).where(F.col("nth") == k).select("query_id", F.col("score").alias("reach"))
+    # a query with fewer candidates than k has them all
+    second = candidates(asked.join(reach, F.col("vec_id") == F.col("query_id")).select("vec_id", "embedding", "reach"))
+    more = second.join(first.select("query_id", "vec_id"), ["query_id", "vec_id"], "left_anti")
+    ranked = first.unionByName(scored(more)).withColumn("rank", nth)
+    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
