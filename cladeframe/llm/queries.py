@@ -154,17 +154,17 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)
 """
 
 DECONTAMINATION_SQL = r"""
-WITH item_words AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}_]+') AS w FROM benchmark),
-doc_words AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{M}\p{N}_]+') AS w FROM documents),
+WITH item_words AS (SELECT row_number() OVER () AS item, item_id, regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}_]+') AS w FROM benchmark),
+doc_words AS (SELECT row_number() OVER () AS doc, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{M}\p{N}_]+') AS w FROM documents),
 items AS (SELECT *, least(5, len(w)) AS n FROM item_words WHERE len(w) > 0),
-item_shingles AS (SELECT DISTINCT item_id, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS s FROM (SELECT item_id, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM items)),
+item_shingles AS (SELECT DISTINCT item, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS s FROM (SELECT item, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM items)),
 sizes AS (SELECT DISTINCT n FROM items),
-doc_shingles AS (SELECT DISTINCT doc_id, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS s
-  FROM (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM doc_words JOIN sizes ON len(w) >= n)),
-totals AS (SELECT item_id, count(*) AS n_shingles FROM item_shingles GROUP BY item_id),
-shared AS (SELECT d.doc_id, i.item_id, count(*) AS n_shared FROM item_shingles i JOIN doc_shingles d ON i.n = d.n AND i.s = d.s GROUP BY d.doc_id, i.item_id)
+doc_shingles AS (SELECT DISTINCT doc, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS s
+  FROM (SELECT doc, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM doc_words JOIN sizes ON len(w) >= n)),
+totals AS (SELECT item, count(*) AS n_shingles FROM item_shingles GROUP BY item),
+shared AS (SELECT d.doc, i.item, count(*) AS n_shared FROM item_shingles i JOIN doc_shingles d ON i.n = d.n AND i.s = d.s GROUP BY d.doc, i.item)
 SELECT doc_id, item_id, CAST(n_shingles AS BIGINT) AS n_shingles, CAST(n_shared AS BIGINT) AS n_shared, n_shared / n_shingles AS containment
-FROM shared JOIN totals USING (item_id) WHERE n_shared >= 0.8 * n_shingles - 1e-9
+FROM shared JOIN totals USING (item) JOIN items USING (item) JOIN doc_words USING (doc) WHERE n_shared >= 0.8 * n_shingles - 1e-9
 """
 
 NEGATIVES_SQL = """

@@ -51,6 +51,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from cladeframe.llm.decontamination import hashes_of
+from cladeframe.operators.sequences import numbers
 from cladeframe.llm.shared import components, remove, stash
 
 SEED = 42
@@ -309,13 +310,36 @@ def similar_groups(docs: DataFrame, shingle: int = SHINGLE, least: float = LEAST
     return named
 
 
+def keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """docs with s_key, and whether rows repeat a key: s_key is the doc_id, or, of ids that several texts share, a number of its
+    own for each text, beyond all ids."""
+    content = F.xxhash64("text")
+    several = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"), F.min(content).alias("low"), F.max(content).alias("high"))
+    several = stash(several.where("n > 1").select("doc_id", (F.col("low") < F.col("high")).alias("differ")), "repeated-ids")
+    repeats = not several.isEmpty()
+    if several.where("differ").isEmpty():
+        return docs.withColumn("s_key", F.col("doc_id").cast("long")), repeats
+    rows = docs.withColumn("s_text", F.sha2(F.coalesce("text", F.lit("")), 256))
+    texts = rows.join(several.where("differ").select("doc_id"), "doc_id", "left_semi").select("doc_id", "s_text").distinct()
+    top = docs.agg(F.max("doc_id")).first()[0]
+    own = numbers(texts.withColumn("s_all", F.lit(0)), ["s_all"], ["doc_id", "s_text"]).select("doc_id", "s_text", (F.col("n") + top).alias("s_own"))
+    own = stash(own, "keys-of-texts")
+    return rows.join(own, ["doc_id", "s_text"], "left").withColumn("s_key", F.coalesce("s_own", "doc_id")).drop("s_own", "s_text"), repeats
+
+
 def keep_first(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
-    """One document of each group (similar_groups, or other groups of docs): the one whose doc_id is the smallest. Rows
-    that repeat a doc_id stay once; a group without any doc_id keeps none of its rows apart, so rows with a null doc_id
-    all stay."""
-    groups = similar_groups(docs) if groups is None else groups
-    firsts = stash(groups.where("doc_id = component_id").select("doc_id").distinct(), "first-documents")
-    kept = docs.hint("merge").join(firsts, "doc_id", "left_semi").select(docs.columns)
-    if docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null").limit(1).count():
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+    """One document of each group (similar_groups, or other groups of docs by doc_id): the one whose doc_id is the smallest. Of
+    ids that several texts share, each text is a document of its own, behind those of unshared ids. Rows of one doc_id and
+    text stay once, the least by their other columns; rows with a null doc_id all stay."""
+    (whole, repeats), columns = keyed(docs), docs.columns
+    if groups is None:
+        groups = similar_groups(whole.select(F.col("s_key").alias("doc_id"), "text"))
+        firsts = groups.where("doc_id = component_id").select(F.col("doc_id").alias("s_key"))
+    else:
+        named = whole.select("doc_id", "s_key").distinct().join(groups.select("doc_id", "component_id"), "doc_id")
+        firsts = named.groupBy("component_id").agg(F.min(F.struct("doc_id", "s_key")).alias("f")).where("f.doc_id = component_id").select("f.s_key")
+    firsts = stash(firsts.distinct(), "first-documents")
+    kept = whole.hint("merge").join(firsts, "s_key", "left_semi")
+    if repeats:
+        kept = kept.groupBy("s_key").agg(F.min(F.struct(*columns)).alias("r")).select("r.*")
+    return kept.select(columns).unionByName(docs.where("doc_id is null"))

@@ -110,6 +110,32 @@ def test_simhash_keeps_the_first_of_each_group(odd, empty):
     assert simhash.keep_first(empty).count() == 0
 
 
+def test_texts_that_share_an_id_are_kept(spark):
+    a, b, c = (f"{w} and some more words about {w} that make it a text of its own" for w in ("one", "two", "three"))
+    table = [(5, a, "x"), (5, b, "x"), (7, a, "y"), (9, b, "y"), (9, c, "y"), (9, c, "x"), (11, None, "z"), (11, "", "z"), (None, a, "n"), (12, c, "w")]
+    df = spark.createDataFrame(table, "doc_id long, text string, source string")
+    got = [tuple(r) for r in simhash.keep_first(df).collect()]
+    assert sorted(t for _, t, _ in got if t) == sorted([a, a, b, c])  # a null id stays besides
+    assert {t: (d, s) for d, t, s in got if d is not None and t} == {a: (7, "y"), b: (5, "x"), c: (12, "w")}
+    assert len([t for _, t, _ in got if not t]) == 1
+    assert sorted(simhash.keep_first(df).collect(), key=str) == sorted(map(tuple, got), key=str)
+
+
+def test_repeated_and_unnamed_items(spark, small):
+    import duckdb
+
+    from cladeframe.llm.queries import DECONTAMINATION_SQL
+
+    items = spark.createDataFrame([(7, "alpha beta gamma delta epsilon zeta eta"), (7, "one two three four five six"), (None, "alpha beta gamma delta epsilon zeta eta"), (8, "")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "so alpha beta gamma delta epsilon zeta eta end"), (1, "so alpha beta gamma delta epsilon zeta eta end"), (None, "one two three four five six"), (3, None)], "doc_id long, text string")
+    con = duckdb.connect()
+    con.register("benchmark", items.toArrow())
+    con.register("documents", docs.toArrow())
+    want = sorted(con.execute(DECONTAMINATION_SQL).fetchall(), key=str)
+    got = sorted(rows(decontamination.contaminated(docs, items).select("doc_id", "item_id", "n_shingles", "n_shared", "containment")), key=str)
+    assert got == want and len(got) == 5
+
+
 def plain_similar(pairs):
     """{doc_id: smallest doc_id that similar texts reach}, by all pairs of texts."""
     sets = {}
@@ -527,6 +553,38 @@ def plain_nearest(vectors, k):
     return out
 
 
+def unit(x):
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+HARD_VECTORS = {
+    "unit vectors of few components": lambda rng: unit(rng.normal(size=(5000, 4))),
+    "tight clusters": lambda rng: np.repeat(rng.normal(size=(20, 64)), 250, axis=0) + rng.normal(size=(5000, 64)) * 0.02,
+    "whole numbers": lambda rng: rng.integers(0, 4, size=(5000, 6)),
+    "many rows": lambda rng: unit(rng.normal(size=(100_000, 64))),
+}
+
+
+@pytest.mark.parametrize("kind", HARD_VECTORS)
+def test_recall_of_hard_vectors(spark, tmp_path, kind):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    x = HARD_VECTORS[kind](np.random.default_rng(0)).astype(np.float32)
+    offsets = pa.array(np.arange(0, x.size + 1, x.shape[1]), pa.int32())
+    pq.write_table(pa.table({"vec_id": np.arange(len(x)), "embedding": pa.ListArray.from_arrays(offsets, pa.array(x.ravel()))}), tmp_path / "v.parquet")
+    table, x, step = spark.read.parquet(str(tmp_path / "v.parquet")), x.astype(np.float64), len(x) // 50
+    got = {}
+    for r in neighbours.nearest(table, table.where(f"vec_id % {step} = 0")).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for i in range(0, len(x), step):
+        far = ((x - x[i]) ** 2).sum(axis=1)
+        far[i] = np.inf
+        hits += len(got[i] & set(np.lexsort((np.arange(len(x)), far))[:10].tolist()))
+    assert hits >= 0.95 * 10 * len(got)
+
+
 def test_neighbours_recall(spark, small):
     v = spark.read.parquet(f"{small.replace('0.001', '0.1')}/embeddings.parquet")
     got = rows(neighbours.nearest(v, v.where("vec_id % 100 = 0")))
