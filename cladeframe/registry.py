@@ -15,7 +15,7 @@ from cladeframe.operators import alignment, discovery, filters, groups, hits, id
 from cladeframe.operators.names import names
 from cladeframe.plans import pipelines
 from cladeframe.scratch import new_path
-from cladeframe.sources import readers, store, writers
+from cladeframe.sources import named_files, readers, store, writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -332,14 +332,19 @@ def gene_name() -> Column:
     return F.concat(F.lit("g"), F.col("l_orderkey").cast("string"), F.lit("_"), F.col("l_linenumber").cast("string"))
 
 
-@query("s8_read_hits", f"SELECT {GENE} AS gene_id, p_brand AS marker, 'PF' || CAST(p_partkey AS VARCHAR) || '.1' AS marker_acc, l_extendedprice AS evalue, l_quantity AS score FROM lineitem JOIN part ON l_partkey = p_partkey")
+@query("s8_read_hits", f"SELECT 'n' || CAST(s_nationkey AS VARCHAR) AS genome_id, {GENE} AS gene_id, p_brand AS marker, 'PF' || CAST(p_partkey AS VARCHAR) || '.1' AS marker_acc, l_extendedprice AS evalue, l_quantity AS score, row_number() OVER (PARTITION BY s_nationkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) AS ord FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey")
 def _(t):
-    path = new_path(t.spark, "hits")
-    rows = t.table("lineitem").join(t.table("part"), F.col("l_partkey") == F.col("p_partkey"))
+    folder = new_path(t.spark, "hits")
+    rows = t.table("lineitem").join(t.table("part"), F.col("l_partkey") == F.col("p_partkey")).join(t.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     acc = F.concat(F.lit("PF"), F.col("p_partkey").cast("string"), F.lit(".1"))
-    rows.select(F.concat_ws("   ", gene_name(), F.lit("-"), "p_brand", acc, F.col("l_extendedprice").cast("string"), F.col("l_quantity").cast("string"), F.lit("0.0 1 some words")).alias("value")).write.text(path)
-    t.spark.createDataFrame([("# target name  accession  query name",), ("",), ("#",)], "value string").write.mode("append").text(path)
-    return readers.read_hits(t.spark, path).select("gene_id", "marker", "marker_acc", "evalue", "score")
+    line = F.concat_ws("   ", gene_name(), F.lit("-"), "p_brand", acc, F.col("l_extendedprice").cast("string"), F.col("l_quantity").cast("string"), F.lit("0.0 1 some words"))
+    genome = F.concat(F.lit("n"), F.col("s_nationkey").cast("string"))
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
+    found = rows.select(genome.alias("genome"), line.alias("line"), F.lit(1).alias("part"), *order)
+    heads = found.groupBy("genome").agg(F.lit("# target name  accession  query name").alias("line"), F.lit(0).alias("part"))
+    tails = found.groupBy("genome").agg(F.lit("#\n").alias("line"), F.lit(2).alias("part"))
+    named_files.write_named(found.unionByName(heads.unionByName(tails), allowMissingColumns=True), folder, "genome", "line", ["part", *order], ".tbl")
+    return readers.read_hits(t.spark, folder)
 
 
 @query("s9_read_ko_hits", f"SELECT {GENE} AS gene_id, p_brand AS marker FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber > 2")
@@ -363,11 +368,12 @@ def _(t):
     return readers.read_profiles(t.spark, path).select("marker", "acc", F.md5("body").alias("body"))
 
 
-@query("s10_profile_counts", "SELECT count(*) AS n FROM part")
+@query("s10_profile_counts", "SELECT replace(p_brand, '#', '_') AS profile_set, count(*) AS n FROM part GROUP BY p_brand")
 def _(t):
-    path = new_path(t.spark, "profiles-of")
-    t.table("part").select(F.concat(F.lit("NAME  "), F.translate("p_name", " ", "_")).alias("value")).write.option("lineSep", "\n//\n").text(path)
-    return readers.profile_counts(readers.read_profiles(t.spark, path)).agg(F.sum("n").alias("n"))
+    folder = new_path(t.spark, "profile-sets")
+    block = F.concat(F.lit("HMMER3/f\nNAME  "), F.translate("p_name", " ", "_"), F.lit("\nDESC  "), "p_type", F.lit("\n//"))
+    named_files.write_named(t.table("part").select(F.translate("p_brand", "#", "_").alias("file"), block.alias("line"), "p_partkey"), folder, "file", "line", ["p_partkey"], ".hmm")
+    return readers.profile_counts(readers.read_profiles(t.spark, folder))
 
 
 @query("s11_read_pfam_info", "SELECT 'PF' || CAST(p_partkey AS VARCHAR) AS accession, p_brand AS short_name, p_name AS name, CAST(p_size AS VARCHAR) AS version, p_retailprice AS coverage FROM part")
@@ -453,19 +459,22 @@ def plain_seqs(t: Tables) -> DataFrame:
     return t.table("documents").select(F.col("source").alias("genome_id"), F.col("doc_id").alias("gene_ord"), F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("gene_id"), F.regexp_replace("text", "[^A-Za-z]", "").alias("seq"))
 
 
-@query("s2_fasta_round_trip", f"SELECT 'd' || CAST(doc_id AS VARCHAR) AS gene_id, md5({PLAIN_SEQ}) AS seq_md5, CAST(length({PLAIN_SEQ}) AS INTEGER) AS len FROM documents WHERE {PLAIN_SEQ} <> ''")
+def source_files(t: Tables) -> str:
+    """A FASTA file for each source, its documents in order: the folder."""
+    folder = new_path(t.spark, "fasta-by")
+    writers.write_fasta_files(plain_seqs(t).where("seq <> ''"), folder, "genome_id", ["gene_ord"], suffix=".part.faa")
+    return folder
+
+
+@query("s2_fasta_round_trip", f"SELECT source || '.part' AS genome_id, CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS INTEGER) AS gene_ord, 'd' || CAST(doc_id AS VARCHAR) AS gene_id, md5({PLAIN_SEQ}) AS seq_md5, CAST(length({PLAIN_SEQ}) AS INTEGER) AS len FROM documents WHERE {PLAIN_SEQ} <> ''")
 def _(t):
-    path = new_path(t.spark, "fasta")
-    writers.write_fasta(plain_seqs(t).where("seq <> ''"), path)
-    return readers.read_fasta(t.spark, path).select("gene_id", F.md5("seq").alias("seq_md5"), "len")
+    return readers.read_fasta(t.spark, source_files(t)).select("genome_id", "gene_ord", "gene_id", F.md5("seq").alias("seq_md5"), "len")
 
 
-@query("k1_write_fasta", f"SELECT source, 'd' || CAST(doc_id AS VARCHAR) AS gene_id, md5({PLAIN_SEQ}) AS seq_md5 FROM documents")
+@query("k1_write_fasta", f"SELECT source || '.part.faa' AS file, md5(string_agg('>d' || CAST(doc_id AS VARCHAR) || chr(10) || {PLAIN_SEQ} || chr(10), '' ORDER BY doc_id)) AS text_md5 FROM documents WHERE {PLAIN_SEQ} <> '' GROUP BY source")
 def _(t):
-    path = new_path(t.spark, "fasta-by")
-    writers.write_fasta(plain_seqs(t).withColumn("source", F.col("genome_id")), path, by="source")
-    records = t.spark.read.option("lineSep", "\n>").text(path)
-    return records.select("source", F.regexp_extract("value", r"^>?(\S+)", 1).alias("gene_id"), F.md5(F.regexp_replace("value", r"^>?\S+\s*|\s+$", "")).alias("seq_md5"))
+    files = t.spark.read.text(source_files(t), wholetext=True)
+    return files.select(F.substring_index(F.input_file_name(), "/", -1).alias("file"), F.md5("value").alias("text_md5"))
 
 
 @query("k2_write_tsv", 'SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, coalesce(CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment END, \'NA\') AS segment FROM customer')
@@ -716,10 +725,12 @@ def _(t):
     return report.summary_with_taxonomy(summary_of(t), t.lineage(3), t.lineage(2), ["domain", "species"])
 
 
-@query("k4_itol_dataset", "SELECT marker AS target, o AS ord, CASE o WHEN 0 THEN 'DATASET_STYLE' WHEN 1 THEN 'SEPARATOR SPACE' WHEN 2 THEN 'DATASET_LABEL ' || marker WHEN 3 THEN 'COLOR #0000ff' ELSE 'DATA' END AS line FROM markers, (SELECT unnest([0, 1, 2, 3, 4]) AS o) UNION ALL SELECT marker, 5, CAST(genome_id AS VARCHAR) || ' branch node #0000ff 3 normal' FROM counts JOIN orders ON genome_id = o_orderkey WHERE n > 0", *HITS)
+@query("k4_itol_dataset", ", head AS (SELECT marker, unnest([0, 1, 2, 3, 4]) AS o FROM markers), lines AS (SELECT marker AS target, o AS ord, CASE o WHEN 0 THEN 'DATASET_STYLE' WHEN 1 THEN 'SEPARATOR SPACE' WHEN 2 THEN 'DATASET_LABEL ' || marker WHEN 3 THEN 'COLOR #0000ff' ELSE 'DATA' END AS line FROM head UNION ALL SELECT marker, 5, CAST(genome_id AS VARCHAR) || ' branch node #0000ff 3 normal' FROM counts JOIN orders ON genome_id = o_orderkey WHERE n > 0) SELECT target || '.txt' AS file, row_number() OVER (PARTITION BY target ORDER BY ord, line) AS place, line FROM lines", *HITS)
 def _(t):
     final = t.table("orders").select(F.col("o_orderkey").alias("genome_id"), F.col("o_orderkey").alias("label"))
-    return report.itol_dataset(counts_of(t), final)
+    folder = new_path(t.spark, "viewer")
+    writers.write_lines(report.itol_dataset(hits.found_counts(t.hits(), marker_names(t)), final), folder, by="target", suffix=".txt")
+    return readers.read_records(t.spark, folder).select(F.url_decode(F.substring_index("file", "/", -1)).alias("file"), (F.col("ord") + 1).alias("place"), F.col("value").alias("line"))
 
 
 @query("k5_itol_colors", "SELECT 5 AS ord, c_name || ' label #a30000 bold' AS line FROM customer UNION ALL SELECT 6, c_name || ' branch #a30000 normal 1.5' FROM customer UNION ALL VALUES (0, 'TREE_COLORS'), (1, 'SEPARATOR SPACE'), (2, 'DATA')")

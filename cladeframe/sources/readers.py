@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cladeframe.functions.text import basename, genome_name
+from cladeframe.scratch import stash
 
 ASSEMBLY = ["assembly_accession", "taxid", "organism_name", "infraspecific_name", "version_status", "assembly_level", "asm_name", "ftp_path"]
 ASSEMBLY_PLACES = [0, 5, 7, 8, 10, 11, 15, 19]  # where a table without a header has them
@@ -24,6 +25,31 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.trim("value").alias("id")).where("id <> ''")
 
 
+MOST_BLOCKS = 200_000  # of files: rows of some 200 bytes
+
+
+def read_records(spark: SparkSession, path: str | Sequence[str], separator: str = "\n", head: str = "") -> DataFrame:
+    """file, ord, value: the records of text files with their place in their file, from 0. Files are split as Spark splits them.
+    With head, what comes before the first record of a file that begins so is left out.
+
+    Each block of a file knows where it begins, and its records are in order within it. A first pass counts the records of each
+    block, the second adds the counts of the blocks before to a record's place in its own. Both passes see the same blocks; a
+    record beyond its block's count is an error. The counts, a row a block, go to all tasks while they are few."""
+    paths = [path] if isinstance(path, str) else list(path)
+    row = F.monotonically_increasing_id()
+    raw = spark.read.option("lineSep", separator).text(paths).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), row.alias("row"))
+    opens = F.min_by(F.col("value").startswith(head), "row").alias("opens")
+    blocks = stash(raw.groupBy("file", "start").agg(F.count("*").alias("rows"), F.min("row").alias("first"), opens), "blocks")
+    before = F.coalesce(F.sum("rows").over(Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    skipped = F.max(((F.col("start") == 0) & ~F.col("opens")).cast("long")).over(Window.partitionBy("file"))
+    blocks = blocks.select("file", "start", "rows", "first", (before - skipped).alias("before"))
+    if blocks.limit(MOST_BLOCKS + 1).count() <= MOST_BLOCKS:
+        blocks = F.broadcast(blocks)
+    within = F.col("row") - F.col("first")
+    ordinal = F.when((within >= 0) & (within < F.col("rows")), F.col("before") + within).otherwise(F.raise_error(F.lit("a file was split in another way")).cast("long"))
+    return raw.join(blocks, ["file", "start"], "left").select("file", ordinal.alias("ord"), "value").where("ord >= 0")
+
+
 def fasta_records(rows: DataFrame, text: str, ordinal: str | None) -> DataFrame:
     head = F.regexp_replace(F.regexp_extract(text, r"^>?([^\n]*)", 1), "\r$", "")
     seq = F.regexp_replace(F.regexp_replace(text, r"^>?[^\n]*\n?", ""), r"[\r\n]", "")
@@ -32,19 +58,19 @@ def fasta_records(rows: DataFrame, text: str, ordinal: str | None) -> DataFrame:
 
 
 def read_fasta(spark: SparkSession, path: str | Sequence[str], per_file_order: bool = True) -> DataFrame:
-    """genome_id (the file's name), gene_ord (from 0), gene_id, header, seq, len. Order in a file takes the file as one row; without it
-    files are split and gene_ord is null."""
+    """genome_id (the file's name), gene_ord (from 0 in the order of the file), gene_id, header, seq, len. Files are split; without
+    their order a pass is saved and gene_ord is null. What comes before the first header is left out."""
     paths = [path] if isinstance(path, str) else list(path)
-    if per_file_order:
-        whole = spark.read.text(paths, wholetext=True).select(genome_name(F.input_file_name()).alias("genome_id"), F.posexplode(F.split("value", r"(?:^|\n)>")).alias("ord", "record"))
-        return fasta_records(whole.where("ord > 0").withColumn("ord", F.col("ord") - 1), "record", "ord")
-    parts = spark.read.option("lineSep", "\n>").text(paths).select(genome_name(F.input_file_name()).alias("genome_id"), F.col("value").alias("record"))
-    return fasta_records(parts, "record", None)
+    if not per_file_order:
+        parts = spark.read.option("lineSep", "\n>").text(paths).select(genome_name(F.input_file_name()).alias("genome_id"), F.col("value").alias("record"))
+        return fasta_records(parts, "record", None)
+    records = read_records(spark, paths, "\n>", ">")
+    return fasta_records(records.select(genome_name("file").alias("genome_id"), "ord", F.col("value").alias("record")), "record", "ord")
 
 
 def genbank_records(spark: SparkSession, path: str) -> DataFrame:
-    """genome_id, ord, record: record blocks; ord grows along a file."""
-    raw = spark.read.option("lineSep", "\n//").text(path).select(genome_name(F.input_file_name()).alias("genome_id"), F.monotonically_increasing_id().alias("ord"), F.col("value").alias("record"))
+    """genome_id, ord, record: record blocks with their place in their file."""
+    raw = read_records(spark, path, "\n//").select(genome_name("file").alias("genome_id"), "ord", F.col("value").alias("record"))
     return raw.where(F.col("record").rlike(r"\S"))
 
 
@@ -130,10 +156,10 @@ def slim_assembly_summary(genbank: DataFrame, refseq: DataFrame) -> DataFrame:
 
 
 def read_hits(spark: SparkSession, path: str) -> DataFrame:
-    """gene_id, marker, marker_acc, evalue, score, ord of a hit table; ord grows along the file."""
-    rows = spark.read.text(path).withColumn("ord", F.monotonically_increasing_id()).where(~F.col("value").startswith("#") & (F.trim("value") != ""))
+    """gene_id, marker, marker_acc, evalue, score, ord of a hit table; ord is the line's place in its file."""
+    rows = read_records(spark, path).where(~F.col("value").startswith("#") & (F.trim("value") != ""))
     f = F.split(F.trim("value"), r"\s+")
-    return rows.select(genome_name(F.input_file_name()).alias("genome_id"), f[0].alias("gene_id"), f[2].alias("marker"), f[3].alias("marker_acc"), f[4].cast("double").alias("evalue"), f[5].cast("double").alias("score"), "ord")
+    return rows.select(genome_name("file").alias("genome_id"), f[0].alias("gene_id"), f[2].alias("marker"), f[3].alias("marker_acc"), f[4].cast("double").alias("evalue"), f[5].cast("double").alias("score"), "ord")
 
 
 def read_ko_hits(spark: SparkSession, path: str) -> DataFrame:
@@ -149,9 +175,9 @@ def ko_targets(ko_list: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def read_profiles(spark: SparkSession, path: str) -> DataFrame:
-    """profile_set (the file's name), marker, acc, body of profile blocks."""
-    raw = spark.read.option("lineSep", "\n//\n").text(path).where(F.col("value").rlike(r"(?m)^NAME\s"))
-    return raw.select(genome_name(F.input_file_name()).alias("profile_set"), F.regexp_extract("value", r"(?m)^NAME\s+(\S+)", 1).alias("marker"), F.regexp_extract("value", r"(?m)^ACC\s+(\S+)", 1).alias("acc"), F.col("value").alias("body"))
+    """profile_set (the file's name), ord (the block's place in it), marker, acc, body of profile blocks."""
+    raw = read_records(spark, path, "\n//\n").where(F.col("value").rlike(r"(?m)^NAME\s"))
+    return raw.select(genome_name("file").alias("profile_set"), "ord", F.regexp_extract("value", r"(?m)^NAME\s+(\S+)", 1).alias("marker"), F.regexp_extract("value", r"(?m)^ACC\s+(\S+)", 1).alias("acc"), F.col("value").alias("body"))
 
 
 def profile_counts(profiles: DataFrame) -> DataFrame:
@@ -167,7 +193,7 @@ def read_label_map(spark: SparkSession, path: str) -> DataFrame:
     """genome_id, label, suffix, ord; paths are cut to the file's name, and one extension after .gz goes from those with a folder."""
     f = F.split(F.regexp_replace("value", "\r$", ""), "\t")
     text = lambda k: F.nullif(F.trim(F.get(f, F.lit(k))), F.lit(""))
-    rows = spark.read.text(path).withColumn("ord", F.monotonically_increasing_id()).where(F.trim("value") != "")
+    rows = read_records(spark, path).where(F.trim("value") != "")
     return rows.select(F.when(f[0].contains("/"), genome_name(f[0])).otherwise(basename(f[0])).alias("genome_id"), text(1).alias("label"), text(2).alias("suffix"), "ord")
 
 
@@ -178,6 +204,3 @@ def read_taxdump(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame
     nodes = cut("nodes").select(f[0].cast("long").alias("taxid"), f[1].cast("long").alias("parent"), f[2].alias("rank"))
     return nodes, cut("names").where(f[3] == "scientific name").select(f[0].cast("long").alias("taxid"), f[1].alias("name"))
 
-
-def first_in_file(df: DataFrame, key: str, order: str = "ord") -> DataFrame:
-    return df.withColumn("place", F.row_number().over(Window.partitionBy(key).orderBy(order))).where("place = 1").drop("place")

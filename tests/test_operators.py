@@ -1,6 +1,8 @@
 """Operators and file formats on small tables made by hand."""
 
 import gzip
+import os
+from pathlib import Path
 
 import pandas as pd
 import pytest
@@ -320,3 +322,41 @@ def test_lineages_climb_from_the_wanted_ids(spark):
     known = spark.createDataFrame([(k, f"n{k}") for k in range(1, 7)], "taxid long, name string")
     got = taxonomy.resolve_lineage(spark.createDataFrame([(3,), (4,), (6,), (8,), (3,)], "taxid long"), nodes, known, ["class", "species"])
     assert sorted(rows(got)) == [(3, "n2", "n3"), (4, "NA", "n4"), (6, "n5", "n6"), (8, "NA", "NA")]
+
+
+def test_places_in_a_split_file(spark, tmp_path):
+    (tmp_path / "big.fa").write_text("; a comment\n" + "".join(f">g{i} x\n{'ACGT' * (i % 50)}\n" for i in range(4000)))
+    (tmp_path / "big.tbl").write_text("".join(f"# no\ng{i} - m PF1 1e-9 {i}\n" for i in range(4000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "30000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        seqs = readers.read_fasta(spark, f"{tmp_path}/big.fa")
+        assert seqs.rdd.getNumPartitions() > 5
+        assert {(r.gene_ord, r.gene_id, r.len) for r in seqs.collect()} == {(i, f"g{i}", 4 * (i % 50)) for i in range(4000)}
+        assert {(r.ord, r.gene_id) for r in readers.read_hits(spark, f"{tmp_path}/big.tbl").collect()} == {(2 * i + 1, f"g{i}") for i in range(4000)}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_one_named_file_has_many_writers(spark, tmp_path):
+    from cladeframe.sources import named_files
+
+    df = spark.range(20_000).selectExpr("if(id % 3 = 0, 'small', 'large') as name", "if(id % 100 = 7, null, concat('line ', id, if(id % 5 = 0, '\nmore é', ''))) as line", "-id as ord").repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    pieces = named_files.pieces_of(df.where("line is not null"), ["ord"], 4096)
+    try:
+        assert pieces.where("name = 'large'").select("span").distinct().count() > 2 and pieces.agg(F.max("size")).first()[0] < 4200
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    folder = f"{tmp_path}/files"
+    named_files.write_named(df, folder, "name", "line", ["ord"], ".txt", piece=4096)
+    named_files.write_named(df.where("name = 'small'"), folder, "name", "line", ["ord"], ".txt", piece=512)  # again, in the same folder
+    want = {n: [f"line {i}" + ("\nmore é" if i % 5 == 0 else "") for i in reversed(range(20_000)) if (i % 3 == 0) == (n == "small") and i % 100 != 7] for n in ("small", "large")}
+    assert sorted(os.listdir(folder)) == ["large.txt", "small.txt"]
+    for n, lines in want.items():
+        assert Path(folder, f"{n}.txt").read_text() == "\n".join(lines) + "\n"
+    with pytest.raises(Exception, match="no name of a file"):
+        named_files.write_named(df.withColumn("name", F.lit("a/b")), folder, "name", "line", ["ord"])
+    with pytest.raises(ValueError, match="shared"):
+        named_files.write_named(df, "hdfs://nowhere/x", "name", "line", ["ord"])
