@@ -1,7 +1,10 @@
-"""A user's function for each group, with failures as rows."""
+"""A user's function or program for each group, with failures as rows."""
 
 from __future__ import annotations
 
+import os
+import signal
+import subprocess
 import traceback
 from collections.abc import Callable, Sequence
 
@@ -25,8 +28,46 @@ def map_groups(df: DataFrame, keys: Sequence[str], fn: Callable[[pd.DataFrame],
         try:
             got, error = fn(rows), None
         except Exception:  # the failure becomes a row
-            got, error = pd.DataFrame([{f.name: None for f in own}]), traceback.format_exc(limit=-1)
+            got, error = pd.DataFrame([{f.name: None for f in own}], dtype=object), traceback.format_exc(limit=-1)
         return got.assign(**dict(zip(keys, key, strict=True)), **{ERROR: error}).reindex(columns=[f.name for f in out.fields])
 
     every = df.groupBy(*keys).applyInPandas(run, out).checkpoint()
     return every.where(f"{ERROR} is null").select(*[f.name for f in schema.fields]), every.where(f"{ERROR} is not null").select(*keys, ERROR)
+
+
+class ProgramError(RuntimeError):
+    """What a program left behind: its end and the last of what it said."""
+
+
+def run_program(command: Sequence[str], given: str, seconds: float, environment: dict[str, str] | None = None, said: int = 2000) -> str:
+    """What a program writes when it is given a text. It runs in a process group of its own, which is killed as a whole when
+    its time is up, children included; another end than 0, or none in time, is an error with the end of its error output."""
+    process = subprocess.Popen(command, stdin=subprocess.PIPE, stdout=subprocess.PIPE, stderr=subprocess.PIPE, text=True, encoding="utf-8", errors="replace", start_new_session=True, env=os.environ | (environment or {}))
+    try:
+        out, err = process.communicate(given, timeout=seconds)
+        ended = f"ended with {process.returncode}"
+    except subprocess.TimeoutExpired:
+        ended = f"killed after {seconds:g} s"
+    finally:
+        try:
+            os.killpg(process.pid, signal.SIGKILL)  # whatever it has left running
+        except ProcessLookupError:
+            pass
+    if ended.startswith("killed"):
+        _, err = process.communicate()
+    if ended != "ended with 0":
+        raise ProgramError(f"{command[0]} {ended}: {err[-said:].strip()}")
+    return out
+
+
+def map_programs(df: DataFrame, keys: Sequence[str], command: Sequence[str], text: Callable[[pd.DataFrame], str], read: Callable[[str], pd.DataFrame], schema: T.StructType, seconds: float = 3600.0) -> tuple[DataFrame, DataFrame]:
+    """An external program (an aligner, say) once for each group: text makes its input of the group's rows, read makes rows of its
+    output. Rows, and (keys, group_error) of the groups where it failed, was too slow, or could not be started; the keys are in its
+    environment as GROUP_<KEY>. The program must be on every executor. schema is that of read's rows."""
+    keys = list(keys)
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        named = {f"GROUP_{k.upper()}": str(rows[k].iloc[0]) for k in keys}
+        return read(run_program(command, text(rows), seconds, named))
+
+    return map_groups(df, keys, run, schema)

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 MOST = 50_000
 
@@ -13,3 +17,8 @@ def names(df: DataFrame, column: str, most: int = MOST) -> list[str]:
     if len(found) > most:
         raise ValueError(f"more than {most} distinct values of {column}")
     return sorted(found)
+
+
+def listed(values: Sequence[str]) -> Column:
+    """A list of names as a constant array: one literal in the plan, however many they are."""
+    return F.from_json(F.lit(json.dumps(list(values))), "array<string>")

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from cladeframe.scratch import stash
+
 COLORS = {"blue": "#0000ff", "green": "#00a33f", "red": "#a30000"}
 
 
@@ -37,11 +39,20 @@ def summary_with_taxonomy(summary: DataFrame, ncbi: DataFrame, gtdb: DataFrame,
     return out
 
 
-def run_totals(genomes: DataFrame, kept: DataFrame, flagged: DataFrame, missing: DataFrame) -> DataFrame:
-    """One row: genomes given, retained, removed, redundant, and ids not found."""
-    parts = [df.agg(F.count("*").alias("n")).select(F.lit(k).alias("what"), "n") for k, df in (("input", genomes), ("retained", kept), ("redundant", flagged), ("missing", missing))]
-    sums = union_all(parts).agg(*[F.sum(F.when(F.col("what") == k, F.col("n"))).alias(k) for k in ("input", "retained", "redundant", "missing")])
-    return sums.select(F.col("input").alias("n_input"), F.col("retained").alias("n_retained"), (F.col("input") - F.col("retained")).alias("n_removed"), F.col("redundant").alias("n_redundant"), F.col("missing").alias("n_not_found"))
+def run_totals(summary: DataFrame, missing: DataFrame, least: float = 10.0) -> tuple[DataFrame, DataFrame]:
+    """The run's summary, written, and one row of totals: genomes given, retained, removed, redundant, and ids not found.
+
+    The totals are observed while both tables are written, so nothing is read again to count it. summary: perc_redund and
+    in_final_tree, a row a genome; missing: a row for each id that was not found."""
+    seen, absent = Observation("genomes"), Observation("missing")
+    yes = F.col("in_final_tree") == "Yes"
+    count = lambda c: F.coalesce(F.sum(c.cast("long")), F.lit(0))
+    watched = summary.observe(seen, F.count(F.lit(1)).alias("n_input"), count(yes).alias("n_retained"), count(F.col("perc_redund") >= least).alias("n_redundant"))
+    written = stash(watched, "summary")
+    stash(missing.observe(absent, F.count(F.lit(1)).alias("n_not_found")), "missing")
+    got = seen.get | absent.get
+    row = (got["n_input"], got["n_retained"], got["n_input"] - got["n_retained"], got["n_redundant"], got["n_not_found"])
+    return written, summary.sparkSession.createDataFrame([row], "n_input long, n_retained long, n_removed long, n_redundant long, n_not_found long")
 
 
 def itol_dataset(counts: DataFrame, labels: DataFrame, color: str = "blue") -> DataFrame:

@@ -94,21 +94,23 @@ def downsample_classes(gtdb: DataFrame, cutoff: float = 0.0005, fraction: float
 
 
 def resolve_lineage(taxids: DataFrame, nodes: DataFrame, names: DataFrame, ranks: Sequence[str] = RANKS) -> DataFrame:
-    """taxid and one column a rank, NA where there is none: the wanted ids climb to the root, a step a round.
-
-    Only the wanted ids' own lines are made, none of the rest of the tree; a round is a join with the nodes and is written
-    to the shared folder, and there are as many as the deepest line has nodes (some thirty in the public tree). A parent
-    that is missing, one seen before, or the node itself ends a line."""
-    up = nodes.where("parent <> taxid").join(nodes.select(F.col("taxid").alias("parent")), "parent", "left_semi").select(F.col("taxid").alias("ancestor"), "parent")
-    at = stash(taxids.select("taxid").distinct().join(nodes.select("taxid"), "taxid", "left_semi").select("taxid", F.col("taxid").alias("ancestor"), F.array("taxid").alias("seen")), "ancestors")
-    line = at.select("taxid", "ancestor")
-    while True:
-        at = at.join(up, "ancestor").where(~F.array_contains("seen", F.col("parent"))).select("taxid", F.col("parent").alias("ancestor"), F.array_append("seen", F.col("parent")).alias("seen"))
-        at = stash(at, "ancestors")
-        if at.isEmpty():
+    """taxid and one column a rank, NA where there is none: for each rank the nearest ancestor's name, the node itself first.
+
+    Pointers are doubled: a node knows the ranks of its next 2^k ancestors and where they end; a round gives it those of that
+    node as well, so the written rounds are as many as the binary digits of the deepest line (five or six in the public
+    tree), each a join of the tree (a row a node) with itself. A parent that is missing, or the node itself, ends a line. In
+    a circle no line ends; its nodes are done when the lines are as long as the nodes that are left are many."""
+    tree = nodes.groupBy("taxid").agg(F.min(F.struct("parent", "rank")).alias("n")).select("taxid", "n.parent", "n.rank")
+    named = tree.join(names.groupBy("taxid").agg(F.min("name").alias("name")), "taxid", "left")
+    wanted = [f"r{k}" for k in range(len(ranks))]
+    own = [F.when(F.col("rank") == r, F.col("name")).alias(c) for c, r in zip(wanted, ranks, strict=True)]
+    at = stash(named.select("taxid", F.when(F.col("parent") != F.col("taxid"), F.col("parent")).alias("up"), *own), "lineages")
+    reach, left = 1, at.where("up is not null").count()
+    while left:
+        above = at.select(F.col("taxid").alias("up"), F.col("up").alias("next"), *[F.col(c).alias(f"up_{c}") for c in wanted])
+        at = stash(at.join(above, "up", "left").select("taxid", F.col("next").alias("up"), *[F.coalesce(c, f"up_{c}").alias(c) for c in wanted]), "lineages")
+        reach, before, left = 2 * reach, left, at.where("up is not null").count()
+        if left == before and reach >= left:
             break
-        line = line.unionByName(at.select("taxid", "ancestor"))
-    ranked = nodes.where(F.col("rank").isin(list(ranks))).select(F.col("taxid").alias("ancestor"), "rank").join(names.select(F.col("taxid").alias("ancestor"), "name"), "ancestor")
-    wanted = taxids.select("taxid").distinct()
-    wide = line.join(wanted, "taxid", "left_semi").join(ranked, "ancestor").groupBy("taxid").pivot("rank", list(ranks)).agg(F.first("name"))
-    return wanted.join(wide, "taxid", "left").na.fill("NA", list(ranks))
+    wide = at.select("taxid", *[F.col(c).alias(r) for c, r in zip(wanted, ranks, strict=True)])
+    return taxids.select("taxid").distinct().join(wide, "taxid", "left").na.fill("NA", list(ranks))

@@ -66,11 +66,11 @@ def supermatrix(aln: DataFrame, genomes: DataFrame, labelled: DataFrame | None =
     if uneven := alignment.check_widths(aln).limit(5).collect():
         raise ValueError("rows of different widths in " + ", ".join(r.marker for r in uneven))
     trimmed = alignment.trim_columns(aln, max_gap).where("seq <> ''")
-    complete = alignment.complete_with_gaps(trimmed, genomes)
-    joined = alignment.concat_alignments(complete, mode)
+    trimmed = stash(trimmed, "trimmed")
+    joined = alignment.concat_complete(trimmed, genomes, mode)
     if labelled is not None:
         joined = labels.apply_labels(joined, labelled)
-    return joined, alignment.partition_table(complete, mode)
+    return joined, alignment.partition_table(trimmed, mode)
 
 
 def write_supermatrix(matrix: DataFrame, partitions: DataFrame, folder: str, mode: str = "aa") -> None:

@@ -548,7 +548,12 @@ def _(t):
 
 @query("c1_concat_alignments", "SELECT genome_id, string_agg(seq, 'XXXXX' ORDER BY marker) AS seq FROM complete GROUP BY genome_id", "aln", "complete")
 def _(t):
-    return alignment.concat_alignments(alignment.complete_with_gaps(t.aln(), t.vectors()))
+    return alignment.concat_complete(t.aln(), t.vectors())
+
+
+@query("c1_concat_nucleotides", "SELECT genome_id, string_agg(seq, 'NNNNNN' ORDER BY marker) AS seq FROM complete GROUP BY genome_id", "aln", "complete")
+def _(t):
+    return alignment.concat_alignments(alignment.complete_with_gaps(t.aln(), t.vectors()), "nt")
 
 
 @query("c2_partition_table", "SELECT CAST(row_number() OVER (ORDER BY marker) AS INTEGER) AS ord, marker, CAST(1 + (row_number() OVER (ORDER BY marker) - 1) * 22 AS BIGINT) AS start, CAST(16 + (row_number() OVER (ORDER BY marker) - 1) * 22 AS BIGINT) AS stop FROM (SELECT DISTINCT marker FROM aln)", "aln")
@@ -716,8 +721,8 @@ def _(t):
 
 @query("a15_run_totals", ", w AS (SELECT count(*) AS missing FROM (SELECT key FROM (SELECT split_part(substr(id, 5), '.', 1) AS key FROM wanted) WHERE key NOT IN (SELECT split_part(substr(accession, 8), '.', 1) FROM gtdb))), k AS (SELECT count(*) AS kept FROM quality WHERE num_hits >= 5), f AS (SELECT count(*) AS red FROM quality WHERE perc_redund >= 10) SELECT (SELECT count(*) FROM genomes) AS n_input, kept AS n_retained, (SELECT count(*) FROM genomes) - kept AS n_removed, red AS n_redundant, missing AS n_not_found FROM w, k, f", *QUALITY, "wanted", "gtdb")
 def _(t):
-    q = quality_of(t)
-    return report.run_totals(t.genomes(), q.where("num_hits >= 5"), hits.flag_redundant(q), ids.match_gtdb(t.wanted(), t.gtdb(), RANKS)[2])
+    q = quality_of(t).withColumn("in_final_tree", F.when(F.col("num_hits") >= 5, "Yes").otherwise("No"))
+    return report.run_totals(q, ids.match_gtdb(t.wanted(), t.gtdb(), RANKS)[2])[1]
 
 
 @query("j10_summary_with_taxonomy", SUMMARY + "SELECT s.*, coalesce(n.\"domain\", 'NA') AS NCBI_domain, coalesce(n.species, 'NA') AS NCBI_species, coalesce(g.\"domain\", 'NA') AS GTDB_domain, coalesce(g.species, 'NA') AS GTDB_species FROM summary s LEFT JOIN ncbi_lineage n ON s.assembly_id = n.genome_id LEFT JOIN gtdb_lineage g ON s.assembly_id = g.genome_id", *QUALITY, "gtdb", "gtdb_lineage", "ncbi_lineage")
@@ -757,6 +762,27 @@ def _(t):
     return good.withColumn("failed", F.lit(False)).unionByName(bad.select("genome_id", none.alias("longest"), none.alias("words"), F.lit(True).alias("failed")))
 
 
+#: A program that counts the letters of a FASTA text; a document without letters makes it fail, one of few words too slow.
+COUNTER = r"""
+text=$(cat); letters=$(printf '%s' "$text" | sed 1d | tr -dc 'A-Za-z' | wc -c); words=$(printf '%s' "$text" | sed 1d | wc -w)
+if [ "$letters" -eq 0 ]; then echo "nothing in $GROUP_GENOME_ID" >&2; exit 3; fi
+if [ "$words" -lt 3 ]; then echo "waiting" >&2; sleep 60; fi
+echo "$letters $words"
+"""
+
+
+@query("u1_map_programs", r"WITH w AS (SELECT doc_id, CAST(length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS BIGINT) AS letters, CAST(len(regexp_extract_all(text, '[^ \t\n\r\x0b\f]+')) AS BIGINT) AS words FROM documents) SELECT doc_id AS genome_id, CASE WHEN letters > 0 AND words >= 3 THEN letters END AS letters, CASE WHEN letters > 0 AND words >= 3 THEN words END AS words, CASE WHEN letters = 0 THEN 'ended with 3: nothing in ' || CAST(doc_id AS VARCHAR) WHEN words < 3 THEN 'killed after 2 s: waiting' END AS failed FROM w")
+def _(t):
+    docs = t.table("documents").select(F.col("doc_id").alias("genome_id"), F.regexp_replace("text", r"[^A-Za-z \n\t\r\x0b\f]", "-").alias("seq"))
+    fasta = lambda rows: f">{rows['genome_id'].iloc[0]}\n{rows['seq'].iloc[0]}"
+    read = lambda out: pd.DataFrame([dict(zip(("letters", "words"), map(int, out.split()), strict=True))])
+    schema = T.StructType().add("genome_id", "long").add("letters", "long").add("words", "long")
+    good, bad = groups.map_programs(docs, ["genome_id"], ["/bin/sh", "-c", COUNTER], fasta, read, schema, 2.0)
+    none = F.lit(None).cast("long")
+    said = F.regexp_extract("group_error", r"ProgramError: \S+ ([^\n]*)", 1)
+    return good.withColumn("failed", F.lit(None).cast("string")).unionByName(bad.select("genome_id", none.alias("letters"), none.alias("words"), said.alias("failed")))
+
+
 # pipelines
 
 W1 = f""", {SINGLE}, sized AS (SELECT s.*, CAST(1 + l_partkey % 1000 AS INTEGER) AS len FROM single s), bounds AS (SELECT marker, round_even(median(len) - median(len) * 0.5, 0) AS lo, round_even(median(len) + median(len) * 0.5, 0) AS hi FROM sized GROUP BY marker HAVING count(*) >= 2),

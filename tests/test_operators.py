@@ -360,3 +360,67 @@ def test_one_named_file_has_many_writers(spark, tmp_path):
         named_files.write_named(df.withColumn("name", F.lit("a/b")), folder, "name", "line", ["ord"])
     with pytest.raises(ValueError, match="shared"):
         named_files.write_named(df, "hdfs://nowhere/x", "name", "line", ["ord"])
+
+
+def test_gaps_are_laid_out_in_one_aggregate(spark):
+    import random
+
+    rng = random.Random(4)
+    wide = {f"m{k:02d}": rng.randint(1, 9) for k in range(12)}
+    given = [(m, g, "".join(rng.choice("AC-") for _ in range(w))) for m, w in wide.items() for g in range(30) if rng.random() < 0.4]
+    aln = spark.createDataFrame(given, "marker string, genome_id int, seq string")
+    genomes = spark.createDataFrame([(g,) for g in range(2, 34)], "genome_id int")  # some have no row, and some rows no genome
+    for mode in ("aa", "nt"):
+        want = rows(alignment.concat_alignments(alignment.complete_with_gaps(aln, genomes), mode))
+        assert rows(alignment.concat_complete(aln, genomes, mode)) == want and len(want) == 32
+    have = {(m, g): s for m, g, s in given}
+    used = [m for m in sorted(wide) if any((m, g) in have for g in range(30))]
+    assert want == sorted(((g, "NNNNNN".join(have.get((m, g), "-" * wide[m]) for m in used)) for g in range(2, 34)), key=str)
+
+
+def test_trimming_counts_each_column(spark):
+    given = [("m", 1, "A-C-é"), ("m", 2, "A--T-"), ("m", 3, "AG"), ("n", 1, "---"), (None, 1, "A"), ("o", 1, "")]
+    aln = spark.createDataFrame(given, "marker string, genome_id int, seq string").repartition(4)
+    assert rows(alignment.trim_columns(aln, 0.5)) == sorted([("m", 1, "AC-é"), ("m", 2, "A-T-"), ("m", 3, "A"), ("n", 1, ""), (None, 1, ""), ("o", 1, "")], key=str)
+
+
+def test_counts_of_many_markers(spark):
+    markers = [f"m{k}" for k in range(5000)]
+    found = spark.range(4000).selectExpr("id % 50 as genome_id", "concat('m', id % 5000) as marker")
+    counts = hits.hit_counts(found, spark.range(60).withColumnRenamed("id", "genome_id"), markers)
+    assert counts.count() == 60 * 5000
+    assert rows(counts.groupBy().agg(F.sum("n"), F.count_if(F.col("n") > 0))) == [(4000, 4000)]
+    assert len(counts._jdf.queryExecution().analyzed().toString()) < 1_000_000
+
+
+def test_lineages_of_long_lines_take_few_rounds(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(taxonomy, "stash", lambda df, name, f=taxonomy.stash: made.append(name) or f(df, name))
+    chain = [(k, k - 1 if k > 1 else 1, "class" if k == 2 else "species" if k == 1000 else "no rank") for k in range(1, 1001)] + [(2000 + k, 2000 + (k + 1) % 37, "class" if k == 5 else "no rank") for k in range(37)] + [(3000, 2003, "species")]
+    nodes = spark.createDataFrame(chain, "taxid long, parent long, rank string")
+    known = nodes.selectExpr("taxid", "concat('n', taxid) as name")
+    got = taxonomy.resolve_lineage(spark.createDataFrame([(1000,), (3,), (2007,), (3000,)], "taxid long"), nodes, known, ["class", "species"])
+    assert rows(got) == sorted([(1000, "n2", "n1000"), (3, "n2", "NA"), (2007, "n2005", "NA"), (3000, "n2005", "n3000")], key=str)
+    assert len(made) <= 12
+
+
+def test_programs_that_fail_or_hang_are_rows(spark, tmp_path):
+    script = f"""read x; if [ $x = bad ]; then echo oh no >&2; exit 4; fi; if [ $x = slow ]; then (sleep 30; touch {tmp_path}/child) & echo hm >&2; wait; fi; echo "$GROUP_K $x"; sed 's/^/got /'"""
+    df = spark.createDataFrame([("a", "fine"), ("a", "more"), ("b", "bad"), ("c", "slow")], "k string, v string")
+    schema = T.StructType().add("k", "string").add("line", "string")
+    text, read = (lambda r: "\n".join(r["v"].sort_values()) + "\n"), (lambda out: pd.DataFrame({"line": out.splitlines()}))
+    out, errors = groups.map_programs(df, ["k"], ["/bin/sh", "-c", script], text, read, schema, 1.5)
+    assert rows(out) == [("a", "a fine"), ("a", "got more")]
+    bad = {r.k: r.group_error for r in errors.collect()}
+    assert set(bad) == {"b", "c"} and "ended with 4: oh no" in bad["b"] and "killed after 1.5 s: hm" in bad["c"]
+    _, errors = groups.map_programs(df.where("k = 'a'"), ["k"], [f"{tmp_path}/absent"], text, read, schema)
+    assert "absent" in errors.first().group_error
+    assert not (tmp_path / "child").exists()
+
+
+def test_totals_are_observed_in_one_write(spark):
+    summary = spark.createDataFrame([("a", 12.0, "Yes"), ("b", 0.0, "No"), ("c", 10.0, "Yes")], "assembly_id string, perc_redund double, in_final_tree string")
+    missing = spark.createDataFrame([("x",)], "id string")
+    written, totals = report.run_totals(summary, missing)
+    assert rows(written) == rows(summary) and rows(totals) == [(3, 2, 1, 2, 1)]
+    assert rows(report.run_totals(summary.limit(0), missing.limit(0))[1]) == [(0, 0, 0, 0, 0)]
