@@ -26,6 +26,11 @@ def basename(c: str | Column) -> Column:
     return F.substring_index(col(c), "/", -1)
 
 
+def plain_path(c: str | Column) -> Column:
+    """A path as Spark reports it, without the codes of blanks and other marks."""
+    return F.url_decode(F.replace(col(c), F.lit("+"), F.lit("%2B")))
+
+
 def genome_name(c: str | Column) -> Column:
     """The last part of a path, without .gz and one extension."""
     return F.regexp_replace(F.regexp_replace(basename(c), r"\.gz$", ""), r"\.[^.]+$", "")

@@ -48,8 +48,16 @@ def marker_sets(
     return {"quality": quality, "flagged": h.flag_redundant(quality), "sequences": final, "kept_markers": kept_markers, "removed_markers": removed_markers, "kept": kept, "removed": removed, "summary": summary}
 
 
-def genome_labels(genomes: DataFrame, user_map: DataFrame, gtdb: DataFrame | None = None, ncbi: DataFrame | None = None, ranks: Sequence[str] = labels.DEFAULT, infra: DataFrame | None = None) -> DataFrame:
-    """genome_id, label, label_source from the user's map and lineages (genome_id and ranks), with strains if they are given."""
+def genome_labels(
+    genomes: DataFrame, user_map: DataFrame, gtdb: DataFrame | None = None, ncbi: DataFrame | None = None, ranks: Sequence[str] = labels.DEFAULT, infra: DataFrame | None = None, tree: tuple[DataFrame, DataFrame] | None = None,
+) -> DataFrame:
+    """genome_id, label, label_source from the user's map and lineages (genome_id and ranks), with strains if they are given. With a
+    tree (nodes and names of a taxonomy dump), ncbi has genome_id and taxid, and its lineages are looked up there."""
+    if tree is not None:
+        wanted = [r for r in taxonomy.RANKS if r in {x.lower() for x in ranks}]
+        found = taxonomy.resolve_lineage(ncbi.where("taxid is not null").select("taxid"), *tree, wanted)
+        known = found.where(" or ".join(f"`{r}` <> 'NA'" for r in wanted))
+        ncbi = ncbi.select("genome_id", "taxid").join(known, "taxid").drop("taxid")
 
     def of(lineage: DataFrame | None) -> DataFrame | None:
         if lineage is None:
@@ -101,7 +109,7 @@ def discover_markers(hits: DataFrame, genomes: DataFrame, info: DataFrame, profi
 
 
 def target_presence(hits: DataFrame, genomes: DataFrame, targets: DataFrame, profiles: DataFrame, genes: DataFrame, labelled: DataFrame, order: Sequence[str] = ("evalue", "ord")) -> dict[str, DataFrame]:
-    """Wanted profiles (column target) in each genome: matrix of counts with all genes, hits, their sequences (marker, genome_id, gene_id,
+    """Wanted profiles (column target) in each genome: matrix of counts with all genes, hits, their sequences (marker, genome_id, gene_id, n,
     seq, named <genome>_<target>_<gene>_<n>, n in the order of a genome's hits of that target), viewer lines for the genomes in labelled
     (genome_id, label), and targets without a profile. hits: genome_id, gene_id (<genome>_<n>), marker; genes as in marker_sets."""
     found = stash(ids.resolve_targets(targets, profiles), "targets")
@@ -109,13 +117,19 @@ def target_presence(hits: DataFrame, genomes: DataFrame, targets: DataFrame, pro
     wanted = h.select_all(hits, found.where("pulled is not null").select(F.col("pulled").alias("marker")).distinct())
     counts = h.hit_counts(wanted, genomes, pulled)
     named = stash(sequences.gene_names(genes), "gene-names")
-    listed = wanted.select("genome_id", "marker", "gene_id", F.col("gene_id").alias("own"), *order)
-    listed = sequences.prefix_headers(listed, ["genome_id", "marker"], ["genome_id", "marker"], order)
-    placed = h.place_hits(listed.select("genome_id", "marker", F.col("own").alias("gene_id"), F.col("gene_id").alias("named")), named)
-    seqs = h.fetch_hit_seqs(placed, genes).select("marker", "genome_id", F.col("named").alias("gene_id"), "seq")
+    listed = wanted.select("genome_id", "marker", F.col("gene_id").alias("own"), *order)
+    listed = sequences.numbered(listed, ["genome_id", "marker"], order)
+    name = F.concat_ws("_", "genome_id", "marker", "own", "n").alias("named")
+    placed = h.place_hits(listed.select("genome_id", "marker", F.col("own").alias("gene_id"), name, "n"), named)
+    seqs = h.fetch_hit_seqs(placed, genes).select("marker", "genome_id", F.col("named").alias("gene_id"), "n", "seq")
     return {"matrix": h.hit_matrix(counts, pulled, h.gene_counts(named)), "hits": wanted, "sequences": seqs, "viewer": report.itol_dataset(counts, labelled), "missing": found.where("pulled is null").select("requested")}
 
 
+def write_target_sequences(seqs: DataFrame, folder: str) -> None:
+    """target_presence's sequences as one file <target>-hits.faa for each target, by genome and n."""
+    writers.write_fasta_files(seqs, folder, "marker", ["genome_id", "n"], suffix="-hits.faa")
+
+
 def accession_intake(wanted: DataFrame, catalog: DataFrame) -> dict[str, DataFrame]:
     """Faults of the list, its redundant groups, the catalog rows of what is kept, and what the catalog lacks."""
     repaired = ids.repair_ids(wanted)

@@ -735,7 +735,7 @@ def _(t):
     final = t.table("orders").select(F.col("o_orderkey").alias("genome_id"), F.col("o_orderkey").alias("label"))
     folder = new_path(t.spark, "viewer")
     writers.write_lines(report.itol_dataset(hits.found_counts(t.hits(), marker_names(t)), final), folder, by="target", suffix=".txt")
-    return readers.read_records(t.spark, folder).select(F.url_decode(F.substring_index("file", "/", -1)).alias("file"), (F.col("ord") + 1).alias("place"), F.col("value").alias("line"))
+    return readers.read_records(t.spark, folder).select(F.substring_index("file", "/", -1).alias("file"), (F.col("ord") + 1).alias("place"), F.col("value").alias("line"))
 
 
 @query("k5_itol_colors", "SELECT 5 AS ord, c_name || ' label #a30000 bold' AS line FROM customer UNION ALL SELECT 6, c_name || ' branch #a30000 normal 1.5' FROM customer UNION ALL VALUES (0, 'TREE_COLORS'), (1, 'SEPARATOR SPACE'), (2, 'DATA')")
@@ -762,16 +762,16 @@ def _(t):
     return good.withColumn("failed", F.lit(False)).unionByName(bad.select("genome_id", none.alias("longest"), none.alias("words"), F.lit(True).alias("failed")))
 
 
-#: A program that counts the letters of a FASTA text; a document without letters makes it fail, one of few words too slow.
+#: A program that counts the letters of a FASTA text; a document of few words makes it fail, one of next to none too slow.
 COUNTER = r"""
 text=$(cat); letters=$(printf '%s' "$text" | sed 1d | tr -dc 'A-Za-z' | wc -c); words=$(printf '%s' "$text" | sed 1d | wc -w)
-if [ "$letters" -eq 0 ]; then echo "nothing in $GROUP_GENOME_ID" >&2; exit 3; fi
 if [ "$words" -lt 3 ]; then echo "waiting" >&2; sleep 60; fi
+if [ "$words" -lt 12 ]; then echo "too few words in $GROUP_GENOME_ID" >&2; exit 3; fi
 echo "$letters $words"
 """
 
 
-@query("u1_map_programs", r"WITH w AS (SELECT doc_id, CAST(length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS BIGINT) AS letters, CAST(len(regexp_extract_all(text, '[^ \t\n\r\x0b\f]+')) AS BIGINT) AS words FROM documents) SELECT doc_id AS genome_id, CASE WHEN letters > 0 AND words >= 3 THEN letters END AS letters, CASE WHEN letters > 0 AND words >= 3 THEN words END AS words, CASE WHEN letters = 0 THEN 'ended with 3: nothing in ' || CAST(doc_id AS VARCHAR) WHEN words < 3 THEN 'killed after 2 s: waiting' END AS failed FROM w")
+@query("u1_map_programs", r"WITH w AS (SELECT doc_id, CAST(length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS BIGINT) AS letters, CAST(len(regexp_extract_all(text, '[^ \t\n\r\x0b\f]+')) AS BIGINT) AS words FROM documents) SELECT doc_id AS genome_id, CASE WHEN words >= 12 THEN letters END AS letters, CASE WHEN words >= 12 THEN words END AS words, CASE WHEN words < 3 THEN 'killed after 2 s: waiting' WHEN words < 12 THEN 'ended with 3: too few words in ' || CAST(doc_id AS VARCHAR) END AS failed FROM w")
 def _(t):
     docs = t.table("documents").select(F.col("doc_id").alias("genome_id"), F.regexp_replace("text", r"[^A-Za-z \n\t\r\x0b\f]", "-").alias("seq"))
     fasta = lambda rows: f">{rows['genome_id'].iloc[0]}\n{rows['seq'].iloc[0]}"
@@ -884,6 +884,18 @@ def _(t):
     return t.spark.read.text([f"{folder}/partitions-plain", f"{folder}/partitions-nexus"]).select(F.col("value").alias("line"))
 
 
+TREE_LABEL = "CAST(c_custkey AS VARCHAR) || '_' || " + " || '_' || ".join(TEXT.format(c, "." if c == "c_name" else "") for c in ("r_name", "n_name", "c_name"))
+
+
+@query("w2_labels", f"WITH own AS (SELECT c_custkey, {TREE_LABEL} AS label FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE c_custkey % 9 <> 0) SELECT c.c_custkey AS genome_id, {SCREEN.format('coalesce(o.label, CAST(c.c_custkey AS VARCHAR))')} AS label, CASE WHEN o.label IS NULL THEN 'input' ELSE 'NCBI' END AS label_source FROM customer c LEFT JOIN own o USING (c_custkey)")
+def _(t):
+    nodes, known = t.taxonomy()
+    k = F.col("genome_id")
+    taxids = t.customers().select("genome_id", F.when(k % 9 != 0, 1000 + k).when(k % 2 == 0, -k).alias("taxid"))  # some have none, some one that the tree lacks
+    nobody = t.user_map().where("false")
+    return pipelines.genome_labels(t.customers(), nobody, None, taxids, ["Domain", "phylum", "class", "species"], tree=(nodes, known))
+
+
 def w3(t: Tables, rank: str | None, **how) -> dict[str, DataFrame]:
     """The release table goes through its own format, lineage in one column."""
     path = new_path(t.spark, "release")
@@ -959,9 +971,11 @@ def _(t):
     return wide.select("genome_id", F.col("`Brand#12`").alias("b12"), F.col("`Brand#3`").alias("b3"), "total_gene_count")
 
 
-@query("w5_sequences", f", {GENES}, wanted AS (SELECT *, {PLACE.format('-evalue')} AS place, row_number() OVER (PARTITION BY genome_id, marker ORDER BY evalue, l_partkey, l_suppkey, l_linenumber, l_quantity) AS n FROM hits WHERE marker IN ('Brand#12', 'Brand#3')) SELECT marker AS target, CAST(genome_id AS VARCHAR) || '_' || marker || '_' || CAST(genome_id AS VARCHAR) || '_' || nth || '_' || CAST(n AS VARCHAR) AS gene_id, md5({PROTEIN}) AS seq_md5 FROM wanted JOIN genes USING (genome_id, place)", "hits")
+@query("w5_sequences", f", {GENES}, wanted AS (SELECT *, {PLACE.format('-evalue')} AS place, row_number() OVER (PARTITION BY genome_id, marker ORDER BY evalue, l_partkey, l_suppkey, l_linenumber, l_quantity) AS n FROM hits WHERE marker IN ('Brand#12', 'Brand#3')) SELECT marker || '-hits' AS file, CAST(row_number() OVER (PARTITION BY marker ORDER BY genome_id, n) - 1 AS INTEGER) AS gene_ord, CAST(genome_id AS VARCHAR) || '_' || marker || '_' || CAST(genome_id AS VARCHAR) || '_' || nth || '_' || CAST(n AS VARCHAR) AS gene_id, md5({PROTEIN}) AS seq_md5 FROM wanted JOIN genes USING (genome_id, place)", "hits")
 def _(t):
-    return w5(t)["sequences"].select(F.col("marker").alias("target"), "gene_id", F.md5("seq").alias("seq_md5"))
+    folder = new_path(t.spark, "target-sequences")
+    pipelines.write_target_sequences(w5(t)["sequences"], folder)
+    return readers.read_fasta(t.spark, folder).select(F.col("genome_id").alias("file"), "gene_ord", "gene_id", F.md5("seq").alias("seq_md5"))
 
 
 @query("w5_viewer_and_missing", "SELECT marker AS target, o AS ord, CASE o WHEN 0 THEN 'DATASET_STYLE' WHEN 1 THEN 'SEPARATOR SPACE' WHEN 2 THEN 'DATASET_LABEL ' || marker WHEN 3 THEN 'COLOR #0000ff' ELSE 'DATA' END AS line FROM markers, (SELECT unnest([0, 1, 2, 3, 4]) AS o) WHERE marker IN ('Brand#12', 'Brand#3') UNION ALL SELECT DISTINCT marker, 5, 'o' || CAST(genome_id AS VARCHAR) || ' branch node #0000ff 3 normal' FROM hits WHERE marker IN ('Brand#12', 'Brand#3') UNION ALL SELECT 'Brand#99', -1, 'missing'", "hits", "markers")

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cladeframe.functions.text import basename, genome_name
+from cladeframe.functions.text import basename, genome_name, plain_path
 from cladeframe.scratch import stash
 
 ASSEMBLY = ["assembly_accession", "taxid", "organism_name", "infraspecific_name", "version_status", "assembly_level", "asm_name", "ftp_path"]
@@ -47,7 +47,7 @@ def read_records(spark: SparkSession, path: str | Sequence[str], separator: str
         blocks = F.broadcast(blocks)
     within = F.col("row") - F.col("first")
     ordinal = F.when((within >= 0) & (within < F.col("rows")), F.col("before") + within).otherwise(F.raise_error(F.lit("a file was split in another way")).cast("long"))
-    return raw.join(blocks, ["file", "start"], "left").select("file", ordinal.alias("ord"), "value").where("ord >= 0")
+    return raw.join(blocks, ["file", "start"], "left").select(plain_path("file").alias("file"), ordinal.alias("ord"), "value").where("ord >= 0")
 
 
 def fasta_records(rows: DataFrame, text: str, ordinal: str | None) -> DataFrame:
@@ -62,7 +62,7 @@ def read_fasta(spark: SparkSession, path: str | Sequence[str], per_file_order: b
     their order a pass is saved and gene_ord is null. What comes before the first header is left out."""
     paths = [path] if isinstance(path, str) else list(path)
     if not per_file_order:
-        parts = spark.read.option("lineSep", "\n>").text(paths).select(genome_name(F.input_file_name()).alias("genome_id"), F.col("value").alias("record"))
+        parts = spark.read.option("lineSep", "\n>").text(paths).select(genome_name(plain_path(F.input_file_name())).alias("genome_id"), F.col("value").alias("record"))
         return fasta_records(parts, "record", None)
     records = read_records(spark, paths, "\n>", ">")
     return fasta_records(records.select(genome_name("file").alias("genome_id"), "ord", F.col("value").alias("record")), "record", "ord")
@@ -165,7 +165,7 @@ def read_hits(spark: SparkSession, path: str) -> DataFrame:
 def read_ko_hits(spark: SparkSession, path: str) -> DataFrame:
     """genome_id, gene_id, marker of a KO mapper's output; genes without a KO are left out."""
     f = F.split("value", "\t")
-    rows = spark.read.text(path).select(genome_name(F.input_file_name()).alias("genome_id"), f[0].alias("gene_id"), F.get(f, F.lit(1)).alias("marker"))
+    rows = spark.read.text(path).select(genome_name(plain_path(F.input_file_name())).alias("genome_id"), f[0].alias("gene_id"), F.get(f, F.lit(1)).alias("marker"))
     return rows.where("marker is not null and marker <> ''")
 
 
