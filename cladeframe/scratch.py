@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,10 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir, as a URI that every executor can open; a folder without a scheme is one of
-    the default file system. Only where it is unset (local tests) a temporary folder is made and set."""
+    the default file system. Where it is unset a temporary folder is made and set on a local master; on a cluster, where
+    executors would not share it, that is an error."""
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if path is None:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = f"file://{tempfile.mkdtemp(prefix='spark-')}"
         sc.setCheckpointDir(path)
     return qualified(spark, path)

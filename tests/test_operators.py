@@ -424,3 +424,14 @@ def test_totals_are_observed_in_one_write(spark):
     written, totals = report.run_totals(summary, missing)
     assert rows(written) == rows(summary) and rows(totals) == [(3, 2, 1, 2, 1)]
     assert rows(report.run_totals(summary.limit(0), missing.limit(0))[1]) == [(0, 0, 0, 0, 0)]
+
+
+def test_clusters_need_a_shared_folder():
+    from types import SimpleNamespace
+
+    from cladeframe.scratch import shared_dir
+
+    conf = SimpleNamespace(get=lambda key: None)
+    context = SimpleNamespace(getConf=lambda: conf, getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared_dir(SimpleNamespace(sparkContext=context))
