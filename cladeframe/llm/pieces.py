@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-KEPT_CUTS, LONGEST_CUT, KEPT_PAIRS = 400_000, 64, 2_000_000
+KEPT_CUTS, LONGEST_CUT, KEPT_PAIRS = 400_000, 64, 1_000_000
 
 
 def packed(ids: list[int]) -> bytes:
@@ -45,14 +45,23 @@ def packed(ids: list[int]) -> bytes:
     return made.tobytes()
 
 
+@lru_cache(maxsize=2)
+def processor(path: str):
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_file=path)
+
+
+def decoded(path: str, ids: bytes) -> str:
+    return processor(path).decode(np.frombuffer(ids, dtype="<u4").tolist())
+
+
 class Encoder(dict):
     """Ids (as bytes of unsigned 32-bit integers, little end first) by cut; the dict is the memory of short cuts."""
 
     def __init__(self, path: str):
         super().__init__()
-        import sentencepiece
-
-        self.model = model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.model = model = processor(path)
         size = model.get_piece_size()
         plain = [i for i in range(size) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))]
         if any(map(model.is_unused, range(size))) or sum(map(model.is_byte, range(size))) != 256:
@@ -143,9 +152,6 @@ class Encoder(dict):
         cuts = self.cuts.findall(self.model.normalize(text)) if text else []
         return b"".join([packed([self.model.bos_id()]), *map(self.__getitem__, cuts), packed([self.model.eos_id()])])
 
-    def decode(self, ids: bytes) -> str:
-        return self.model.decode(np.frombuffer(ids, dtype="<u4").tolist())
-
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
@@ -169,10 +175,9 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     """(doc_id, ids, decoded) for each row of (doc_id, ids); ids of no bytes, or null, decode to an empty text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = encoder(model)
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part = batch.slice(at, 256)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array([made.decode(i.as_py() or b"") for i in part.column(1)], pa.string())], names=["doc_id", "ids", "decoded"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array([decoded(model, i.as_py() or b"") for i in part.column(1)], pa.string())], names=["doc_id", "ids", "decoded"])
 
     return encoded.select(F.col("doc_id").cast("long"), "ids").mapInArrow(run, "doc_id long, ids binary, decoded string")
