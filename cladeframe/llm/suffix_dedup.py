@@ -7,7 +7,9 @@ judged on the input, and end with their document.
    of the GRAM-byte grams inside each string of MATCH bytes (a window) the one with the smallest hash, the first of
    equals. Equal windows have equal anchors, and consecutive windows mostly share theirs: about 1 anchor in 16 bytes.
 2. The hashes of each batch's anchors go to shards, 4 bytes each, with how often the batch has them (255 for more); a shard
-   answers which of them come from two batches, and which are in HOT places or more.
+   answers which of them come from two batches, and which are in HOT places or more. A task sends the anchors of GATHER
+   batches in one message to a shard, and these shards are MERGED times as large as those of the records, so that
+   messages are few beside what they hold; they and the answers name a batch by its number.
 3. Each batch is read again. Anchors that another batch has, or that it has twice, become records: the bytes of the
    windows that share the anchor. Equal records of a batch need one answer, that of their smallest doc_id; the others are
    covered. So a passage that very many documents share is one record for each batch, not for each document. Where it
@@ -33,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import pyarrow.parquet as pq
 from pyspark import TaskContext
@@ -48,6 +51,8 @@ BATCH_BYTES = 8 << 20
 BLOCK, PIECE = 1 << 20, 4 << 20
 WINDOWS = 1 << 17  # in a batch of the family
 HOT = 2048
+GATHER = 8  # batches whose anchors go to a shard in one message, at most 256
+MERGED = 4  # shards of records whose anchors are counted together
 PARTITIONS = 8192  # at most, of a shuffle
 RNG = np.random.default_rng(50)
 TABLE = RNG.integers(1 << 63, size=256, dtype=np.uint64)
@@ -241,25 +246,38 @@ def remove_repeats(docs: DataFrame, batch_bytes: int = BATCH_BYTES, with_text: b
     folder = new_path(spark, "suffix-batches")
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    shards = max(1, -(-total // batch_bytes))
+    counted = max(1, -(-total // (MERGED * batch_bytes)))
+    shards = MERGED * counted
+
+    def path(number: int) -> str:
+        return f"{folder}/{number >> 24:06d}-{number & 0xFFFFFF:05d}.parquet"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, chunk, ids, texts, n = TaskContext.get().partitionId(), 0, [], [], 0
+        number, ids, texts, n, waiting = TaskContext.get().partitionId() << 24, [], [], 0, []
 
-        def close() -> pa.RecordBatch:
+        def close() -> tuple[int, np.ndarray, np.ndarray]:
             # the name depends on the rows alone: a task that runs again writes the same file
-            name = f"{part:06d}-{chunk:05d}"
-            fs, place = pa.fs.FileSystem.from_uri(folder)
-            fs.create_dir(place, recursive=True)
-            draft = f"{place}/.{name}-{TaskContext.get().taskAttemptId()}"
+            fs, place = pa.fs.FileSystem.from_uri(path(number))
+            parent, _, name = place.rpartition("/")
+            fs.create_dir(parent, recursive=True)
+            draft = f"{parent}/.{name}-{TaskContext.get().taskAttemptId()}"
             with fs.open_output_stream(draft) as f:
                 pq.write_table(pa.table({"doc_id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.binary())}), f, compression="zstd")
-            fs.move(draft, f"{place}/{name}.parquet")
-            key, row, _, _ = all_anchors(texts, shards)
+            fs.move(draft, place)
+            key, row, _, _ = all_anchors(texts, counted)
             key, times = np.unique(key[np.array([i is not None for i in ids], dtype=bool)[row]] if len(key) else key, return_counts=True)
-            times = np.minimum(times, 255).astype("u1")
-            found = [(f"{folder}/{name}.parquet", s, key[x].astype("<u4").tobytes(), times[x].tobytes()) for s, x in by_shard(key)] or [(f"{folder}/{name}.parquet", 0, b"", b"")]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), (pa.string(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["file", "shard", "keys", "times"])
+            return number, key, np.minimum(times, 255).astype("u1")
+
+        def send() -> pa.RecordBatch:
+            key, times = (np.concatenate([w[k] for w in waiting]) for k in (1, 2))
+            source = np.repeat(np.arange(len(waiting), dtype="u1"), [len(w[1]) for w in waiting])
+            order = np.argsort(key, kind="stable")
+            key, source, times = key[order], source[order], times[order]
+            base = waiting[0][0]
+            found = [(base, s, key[x].astype("<u4").tobytes(), source[x].tobytes(), times[x].tobytes()) for s, x in by_shard(key)]
+            found += [(w[0], w[0] % counted, b"", b"", b"") for w in waiting]  # so that each batch has an answer
+            types = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), types, strict=True)], names=["file", "shard", "keys", "source", "times"])
 
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -267,26 +285,39 @@ def remove_repeats(docs: DataFrame, batch_bytes: int = BATCH_BYTES, with_text: b
                 texts.append(text.as_py())
                 n += len(texts[-1])
                 if n >= batch_bytes:
-                    yield close()
-                    chunk, ids, texts, n = chunk + 1, [], [], 0
+                    waiting.append(close())
+                    number, ids, texts, n = number + 1, [], [], 0
+                    if len(waiting) == GATHER:
+                        yield send()
+                        waiting = []
         if ids:
-            yield close()
+            waiting.append(close())
+        if waiting:
+            yield send()
 
     def shared(table: pa.Table) -> pa.Table:
-        keys = [np.frombuffer(x, dtype="<u4") for x in table["keys"].to_pylist()]
-        value, owner = np.concatenate(keys), np.repeat(np.arange(len(keys)), [len(k) for k in keys])
-        times = np.frombuffer(b"".join(table["times"].to_pylist()), dtype="u1")
+        shard = table["shard"][0].as_py()
+        value, source, times = (np.frombuffer(b"".join(table[c].to_pylist()), dtype=t) for c, t in (("keys", "<u4"), ("source", "u1"), ("times", "u1")))
+        bases = table["file"].to_numpy()
+        size = pc.binary_length(table["source"]).to_numpy()
+        file = np.repeat(bases, size) + source
         _, number, batches = np.unique(value, return_inverse=True, return_counts=True)
         twice, hot = (batches > 1)[number], (np.bincount(number, weights=times, minlength=len(batches)) >= HOT)[number]
-        edges = np.searchsorted(owner, np.arange(len(keys) + 1))
-        answers = lambda of: pa.array([value[a:b][of[a:b]].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)], pa.binary())
-        return pa.table({"file": table["file"], "shard": table["shard"], "keys": answers(twice), "hot": answers(hot)})
+        some = np.flatnonzero(twice | hot)
+        some = some[np.argsort(file[some], kind="stable")]
+        out = [(f, shard, b"", b"") for f in bases[size == 0].tolist()]
+        if len(some):
+            for x in np.split(some, np.flatnonzero(np.diff(file[some])) + 1):
+                out.append((int(file[x[0]]), shard, value[x[twice[x]]].tobytes(), value[x[hot[x]]].tobytes()))
+        types = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        columns = list(zip(*out, strict=True)) or [()] * 4
+        return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["file", "shard", "keys", "hot"])
 
     def record(table: pa.Table) -> pa.Table:
         file = table["file"][0].as_py()
-        ids, texts = load(file)
+        ids, texts = load(path(file))
         asked, hot = (np.sort(np.concatenate([(np.uint64(s) << np.uint64(32)) | np.frombuffer(k, dtype="<u4").astype(np.uint64) for s, k in zip(table["shard"].to_pylist(), table[c].to_pylist(), strict=True)])) for c in ("keys", "hot"))
-        key, row, at, n = all_anchors(texts, shards)
+        key, row, at, n = all_anchors(texts, counted)
         numbered = np.array([i is not None for i in ids], dtype=bool)
         order = np.argsort(key, kind="stable")
         key, row, at, n = key[order], row[order], at[order], n[order]
@@ -299,27 +330,28 @@ def remove_repeats(docs: DataFrame, batch_bytes: int = BATCH_BYTES, with_text: b
             wanted |= (asked[place] == key) & numbered[row]
         key, row, at, n = key[wanted], row[wanted], at[wanted], n[wanted]
         single = np.isin(key, hot)
+        shard = (key >> np.uint64(32)) * np.uint64(MERGED) + key % np.uint64(MERGED)
         if single.any():
             own = n[single]
             shift = np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
             rows_, places = np.repeat(row[single], own), np.repeat(at[single], own) + shift
             by_bytes = np.fromiter((xxh64_intdigest(texts[r][a : a + MATCH], 9) for r, a in zip(rows_.tolist(), places.tolist(), strict=True)), dtype=np.uint64, count=len(rows_))
-            key = np.concatenate([key[~single], (by_bytes % np.uint64(shards)) << np.uint64(32)])
+            shard = np.concatenate([shard[~single], by_bytes % np.uint64(shards)])
             row, at, n = np.concatenate([row[~single], rows_]), np.concatenate([at[~single], places]), np.concatenate([n[~single], np.ones(len(rows_), dtype=n.dtype)])
-            order = np.argsort(key, kind="stable")
-            key, row, at, n = key[order], row[order], at[order], n[order]
-        records = np.zeros(len(key), dtype=RECORD)
-        records["doc"] = np.array([i if i is not None else 0 for i in ids], dtype=np.int64)[row] if len(key) else []
+        order = np.argsort(shard, kind="stable")
+        shard, row, at, n = shard[order], row[order], at[order], n[order]
+        records = np.zeros(len(shard), dtype=RECORD)
+        records["doc"] = np.array([i if i is not None else 0 for i in ids], dtype=np.int64)[row] if len(shard) else []
         records["row"], records["at"], records["n"] = row, at, n
         contents = [texts[r][a : a + m + MATCH - 1] for r, a, m in zip(row.tolist(), at.tolist(), n.tolist(), strict=True)]
         covered = combine(records, contents)
         out = []
-        for s, x in by_shard(key):
+        for s, x in by_shard(shard << np.uint64(32)):
             left = ~covered[x]
             sent = [c for c, keep in zip(contents[x], left.tolist(), strict=True) if keep]
             out.append((s, file, records[x][left].tobytes(), b"".join(sent), whole(records[x][~left]).tobytes()))
         out = out or [(0, file, b"", b"", b"")]
-        types = (pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.binary())
+        types = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["shard", "file", "records", "content", "covers"])
 
     def scan(table: pa.Table) -> pa.Table:
@@ -342,21 +374,20 @@ def remove_repeats(docs: DataFrame, batch_bytes: int = BATCH_BYTES, with_text: b
         return pa.table({"file": table["file"], "covers": pa.array(answers, pa.binary())})
 
     def finish(table: pa.Table) -> pa.Table:
-        ids, texts = load(table["file"][0].as_py())
+        ids, texts = load(path(table["file"][0].as_py()))
         out = result(ids, texts, np.frombuffer(b"".join(table["covers"].to_pylist()), dtype=COVER))
         return out if with_text else out.drop_columns(["kept"])
 
-    parts = min(shards, PARTITIONS)
-
-    def by_shards(df: DataFrame) -> GroupedData:
+    def by_shards(df: DataFrame, n: int) -> GroupedData:
         """Shards dealt evenly, each to a task of its own while there are enough of them."""
+        parts = min(n, PARTITIONS)
         return df.withColumn("dealt", (F.col("shard") % parts).cast("int")).repartitionById(parts, "dealt").groupBy("dealt", "shard")
 
     def by_files(df: DataFrame) -> GroupedData:
-        return df.repartition(parts, "file").groupBy("file")  # by number: there is much work for each of the few bytes
+        return df.repartition(min(shards, PARTITIONS), "file").groupBy("file")  # by number: there is much work for each of the few bytes
 
-    answers = by_shards(rows.mapInArrow(cut, "file string, shard long, keys binary, times binary")).applyInArrow(shared, "file string, shard long, keys binary, hot binary")
+    answers = by_shards(rows.mapInArrow(cut, "file long, shard long, keys binary, source binary, times binary"), counted).applyInArrow(shared, "file long, shard long, keys binary, hot binary")
     answers = stash(answers, "shared-anchors")
-    records = by_files(answers).applyInArrow(record, "shard long, file string, records binary, content binary, covers binary")
-    covers = by_shards(records).applyInArrow(scan, "file string, covers binary")
+    records = by_files(answers).applyInArrow(record, "shard long, file long, records binary, content binary, covers binary")
+    covers = by_shards(records, shards).applyInArrow(scan, "file long, covers binary")
     return by_files(covers).applyInArrow(finish, RESULT + (", kept binary" if with_text else ""))

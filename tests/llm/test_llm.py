@@ -535,7 +535,10 @@ def test_suffix_dedup_of_edited_copies(spark, monkeypatch):
     table = spark.createDataFrame([(d, t.decode()) for d, t in texts], "doc_id long, text string")
     for size, hot in ((3000, 1 << 20), (1 << 20, 1 << 20), (3000, 30), (3000, 2)):
         monkeypatch.setattr(suffix_dedup, "HOT", hot)
-        assert sorted(rows(suffix_dedup.remove_repeats(table, batch_bytes=size)), key=str) == plain_removal(texts)
+        for together, merged in ((8, 4), (1, 1), (3, 2)):
+            monkeypatch.setattr(suffix_dedup, "GATHER", together)
+            monkeypatch.setattr(suffix_dedup, "MERGED", merged)
+            assert sorted(rows(suffix_dedup.remove_repeats(table, batch_bytes=size)), key=str) == plain_removal(texts)
     kept = {r.kept_sha256: r.kept for r in suffix_dedup.remove_repeats(table, with_text=True).collect()}
     assert all(hashlib.sha256(v).hexdigest() == k for k, v in kept.items())
 
