@@ -1,7 +1,8 @@
 """Token ids as Arrow files of equal-length sequences.
 
-Documents are range-partitioned and sorted by doc_id; each task encodes its range and writes one file in the Arrow IPC
-file format to the shared folder. A record batch has SEQUENCES rows of two fixed-size lists, `ids` (uint16 while the
+Documents are range-partitioned and sorted by doc_id, a task for each TASK_BYTES of text; each task encodes its range and
+writes it in the Arrow IPC file format to the shared folder. A file is closed once it has FILE_TOKENS ids, so that tasks
+and files grow in number with the input, and files not in size. A record batch has SEQUENCES rows of two fixed-size lists, `ids` (uint16 while the
 vocabulary fits, else uint32) and `mask` (true where there is a token; only the end of a file is padded). Every batch but
 the last has the same number of rows, so row r of a file is row r % SEQUENCES of batch r // SEQUENCES: a memory map gives
 it without a copy. A second file of the same kind beside it holds the documents (doc_id, start in the file, n_tokens).
@@ -41,6 +42,9 @@ from cladeframe.llm.shared import new_path, stash
 LENGTH = 2048
 SEQUENCES = 256
 GROUP_BYTES = 8 << 20  # of texts that are encoded together
+TASK_BYTES = 32 << 20  # of text in a task, while there are fewer than PARTITIONS
+FILE_TOKENS = 1 << 24  # ids that close a file
+PARTITIONS = 8192
 MEMORY = 200_000  # cuts whose ids a worker keeps: the first that occur twice in a group
 TOGETHER = 4096  # cuts in one string for the library
 WIDE = r"\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -178,44 +182,60 @@ class SequenceFile:
         self.writer.close()
 
 
-def write_tokens(docs: DataFrame, path: str, end_id: int, length: int = LENGTH, sequences: int = SEQUENCES, folder: str | None = None) -> DataFrame:
-    """Write the files and return the index: one row a document with its file, in ascending doc_id order by file name."""
+class TokenFiles:
+    """The ids of one file and the list of its documents beside them."""
+
+    def __init__(self, folder: str, name: str, dtype: np.dtype, length: int, sequences: int):
+        fs, place = pa.fs.FileSystem.from_uri(folder)
+        fs.create_dir(place, recursive=True)
+        self.sinks = [fs.open_output_stream(f"{place}/{name}{end}") for end in (".arrow", ".docs.arrow")]
+        self.ids = SequenceFile(self.sinks[0], dtype, length, sequences)
+        self.docs = pa.ipc.new_file(self.sinks[1], pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())]))
+        self.name, self.tokens = name, 0
+
+    def put(self, doc_ids: pa.Array, ids: np.ndarray, n: np.ndarray) -> None:
+        self.ids.put(ids)
+        start = self.tokens + np.cumsum(n) - n
+        self.docs.write_batch(pa.RecordBatch.from_arrays([doc_ids, pa.array(start), pa.array(n)], names=["doc_id", "start", "n_tokens"]))
+        self.tokens += int(n.sum())
+
+    def close(self) -> None:
+        for x in (self.ids, self.docs, *self.sinks):
+            x.close()
+
+
+def write_tokens(docs: DataFrame, path: str, end_id: int, length: int = LENGTH, sequences: int = SEQUENCES, folder: str | None = None, task_bytes: int = TASK_BYTES, file_tokens: int = FILE_TOKENS) -> DataFrame:
+    """Write the files and return their list: a row each (file, part, number, tokens, folder), in ascending doc_id order by
+    part and number."""
     spark = docs.sparkSession
     folder = folder or new_path(spark, "tokens")
-    spark_files = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     order = F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()  # the hash lets rows that share an id, or have none, be split
-    ordered = rows.repartitionByRange(spark_files, *order).sortWithinPartitions(*order)
+    ordered = rows.repartitionByRange(min(PARTITIONS, max(1, -(-total // task_bytes))), *order).sortWithinPartitions(*order)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get()
-        name = f"part-{task.partitionId():06d}-{task.taskAttemptId()}"
-        out = index = None
-        at = 0
+        task, out, number = TaskContext.get(), None, 0
         coder = encoder(path, end_id)
+
+        def close() -> pa.RecordBatch:
+            out.close()
+            types = (pa.string(), pa.int32(), pa.int32(), pa.int64())
+            values = (out.name, task.partitionId(), number, out.tokens)
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types, strict=True)], names=["file", "part", "number", "tokens"])
+
         for batch in batches:
-            for group in groups(batch):
+            for group in groups(batch, min(GROUP_BYTES, file_tokens)):  # a text has at most an id a byte
                 if out is None:
-                    fs, place = pa.fs.FileSystem.from_uri(folder)
-                    fs.create_dir(place, recursive=True)
-                    sink = fs.open_output_stream(f"{place}/{name}.arrow")
-                    out = SequenceFile(sink, coder.dtype, length, sequences)
-                    listing = fs.open_output_stream(f"{place}/{name}.docs.arrow")
-                    index = pa.ipc.new_file(listing, pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())]))
-                ids, n = coder.encode(group.column(1))
-                out.put(ids)
-                start = at + np.cumsum(n) - n
-                at += int(n.sum())
-                table = pa.RecordBatch.from_arrays([group.column(0), pa.array(start), pa.array(n)], names=["doc_id", "start", "n_tokens"])
-                index.write_batch(table)
+                    out = TokenFiles(folder, f"part-{task.partitionId():06d}-{number:05d}-{task.taskAttemptId()}", coder.dtype, length, sequences)
+                out.put(group.column(0), *coder.encode(group.column(1)))
+                if out.tokens >= file_tokens:
+                    yield close()
+                    out, number = None, number + 1
         if out is not None:
-            out.close()
-            index.close()
-            sink.close()
-            listing.close()
-            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([task.partitionId()], pa.int32()), pa.array([at], pa.int64())], names=["file", "part", "tokens"])
+            yield close()
 
-    files = ordered.mapInArrow(write, "file string, part int, tokens long")
+    files = ordered.mapInArrow(write, "file string, part int, number int, tokens long")
     return stash(files.withColumn("folder", F.lit(folder)), "token-files")
 
 
@@ -254,8 +274,11 @@ def read_tokens(files: DataFrame) -> DataFrame:
 
     files: as write_tokens returns it, one row a file; the running sum over files is on that small table.
     """
-    before = F.coalesce(F.sum("tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    listed = files.withColumn("before", before).select("folder", "file", "before")
+    in_order = Window.orderBy("part", "number")
+    before = F.coalesce(F.sum("tokens").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    n = min(PARTITIONS, max(1, files.count()))
+    dealt = (F.row_number().over(in_order) % n).cast("int")
+    listed = files.select("folder", "file", before.alias("before"), dealt.alias("dealt")).repartitionById(n, "dealt").select("folder", "file", "before")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -266,5 +289,4 @@ def read_tokens(files: DataFrame) -> DataFrame:
                 columns = [docs["doc_id"].combine_chunks(), pa.array(start), docs["n_tokens"].combine_chunks(), pa.array(crc, pa.int64()), pa.array([name] * len(crc), pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "n_tokens", "ids_crc32", "file"])
 
-    n = max(1, int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return listed.repartition(n, "file").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long, file string")
+    return listed.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long, file string")

@@ -404,6 +404,21 @@ def test_token_files_round_trip(docs, odd):
             assert sum(r[2] for r in got) == starts[-1] and sorted(r[3] for r in got) == sorted(zlib.crc32(np.array(x, "<u4").tobytes()) for x in ids)
 
 
+def test_token_files_grow_in_number(docs):
+    whole = rows(token_files.read_tokens(write(docs)).select("doc_id", "start", "n_tokens", "ids_crc32"))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    for task_bytes, file_tokens in ((size // 3, 1 << 24), (1 << 30, 2000), (size // 5, 2000), (size // 4, 1)):
+        files = write(docs, length=64, sequences=8, task_bytes=task_bytes, file_tokens=file_tokens)
+        listed = files.orderBy("part", "number").collect()
+        got = token_files.read_tokens(files)
+        assert sorted(rows(got.select("doc_id", "start", "n_tokens", "ids_crc32"))) == sorted(whole)
+        longest = got.agg(F.max("n_tokens")).first()[0]
+        assert all(f.tokens < 2 * file_tokens + longest for f in listed)
+        assert len({f.part for f in listed}) == min(-(-size // task_bytes), len(listed))
+        first = [r[0] for r in got.groupBy("file").agg(F.min("doc_id").alias("a")).join(files, "file").orderBy("part", "number").select("a").collect()]
+        assert first == sorted(first) and len(first) == len(listed)
+
+
 def test_sequences_are_read_at_random(docs):
     f = write(docs, length=64, sequences=8).first()
     reader = token_files.open_sequences(f"{f.folder}/{f.file}.arrow")
