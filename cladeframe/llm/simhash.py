@@ -120,7 +120,8 @@ def near_pairs(fps: DataFrame, bits: int = 2) -> DataFrame:
     left = fps.select(fp.alias("a"), F.explode(F.array(*as_is, *table)).alias("at")).select("a", "at.*")
     right = fps.select(fp.alias("b"), F.explode(F.concat(F.array(*as_is), *balls)).alias("at")).select("b", "at.*")
     near = (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= bits) & ((F.col("l.kind") >= 6) | (F.col("a") < F.col("b")))
-    joined = left.alias("l").join(right.alias("r"), (F.col("l.kind") == F.col("r.kind")) & (F.col("l.key") == F.col("r.key")) & near)
+    # never a broadcast: the planner sizes both sides as the table, but they have 8 and up to 70 rows for each of its rows
+    joined = left.alias("l").hint("merge").join(right.alias("r").hint("merge"), (F.col("l.kind") == F.col("r.kind")) & (F.col("l.key") == F.col("r.key")) & near)
     return joined.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 

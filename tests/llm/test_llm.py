@@ -11,7 +11,7 @@ from xxhash import xxh64_intdigest
 
 from cladeframe.llm import decontamination, labelled, mixing, neighbours, pseudo_likelihood, quality, simhash, suffix_dedup, token_counts, token_files, toxicity
 from cladeframe.llm.queries import vocabulary_file
-from cladeframe.llm.shared import components, words_of
+from cladeframe.llm.shared import components, stash, words_of
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp long, size long, file string, y int"
 ODD_TEXTS = [None, "", "   ", "a", "one two", "the same words twice over " * 3, "x" * 120, "é ß\t\nñ\x0b#2 <|endoftext|> 𝔘", "▁a  b▁ \n c "]
@@ -100,6 +100,12 @@ def test_near_pairs_are_complete(spark):
     assert set(rows(simhash.near_pairs(spark.createDataFrame([(f,) for f in fps], "fp long")))) == want
 
 
+def test_near_pairs_are_not_broadcast(spark):
+    fps = stash(spark.range(1000).select(F.xxhash64("id").alias("fp")), "fps")
+    plan = simhash.near_pairs(fps)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_simhash_keeps_the_first_of_each_group(odd, empty):
     for groups in (simhash.simhash_groups(odd), None):
         kept = simhash.keep_first(odd, groups)
