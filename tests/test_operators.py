@@ -435,3 +435,41 @@ def test_clusters_need_a_shared_folder():
     context = SimpleNamespace(getConf=lambda: conf, getCheckpointDir=lambda: None, master="spark://host:7077")
     with pytest.raises(ValueError, match="checkpoint"):
         shared_dir(SimpleNamespace(sparkContext=context))
+
+
+def test_groups_are_cut_out_of_batches(spark):
+    big = 2**60 + 1
+    df = spark.range(3000).selectExpr("if(id % 500 = 7, null, id div 2 * 3) as k", f"if(id % 10 = 0, null, {big} + id) as v", "id % 3 = 0 as b")
+
+    def fn(p):
+        assert list(p.index) == list(range(len(p))) and str(p["b"].dtype) == "bool"
+        if p["v"].isna().any():
+            raise ValueError("a null")
+        assert str(p["v"].dtype) == "int64"
+        return pd.DataFrame({"total": [int(p["v"].max())], "n": [len(p)]})
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        out, errors = groups.map_groups(df, ["k"], fn, T.StructType().add("k", "long").add("total", "long").add("n", "long"))
+        got, failed = rows(out), rows(errors, "k")
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = {}
+    for i in range(3000):
+        want.setdefault(None if i % 500 == 7 else i // 2 * 3, []).append(None if i % 10 == 0 else big + i)
+    assert got == sorted(((k, max(v), len(v)) for k, v in want.items() if None not in v), key=str)
+    assert failed == sorted(((k,) for k, v in want.items() if None in v), key=str)
+    assert "mapInPandas" in groups.map_groups.__code__.co_names  # a conversion for each batch, not for each group
+
+
+def test_programs_of_a_task_run_side_by_side(spark, tmp_path):
+    script = f"touch {tmp_path}/$GROUP_K; while [ ! -e {tmp_path}/$(cat) ]; do sleep 0.1; done; echo 1"
+    read = lambda out: pd.DataFrame({"n": [int(out)]})
+    df = spark.createDataFrame([("a", "b"), ("b", "a")], "k string, other string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")  # both in one task: each waits for the other
+    try:
+        out, errors = groups.map_programs(df, ["k"], ["/bin/sh", "-c", script], lambda p: p["other"].iloc[0], read, T.StructType().add("k", "string").add("n", "long"), 5.0)
+        assert rows(out) == [("a", 1), ("b", 1)] and not errors.count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
