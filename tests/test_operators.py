@@ -473,3 +473,38 @@ def test_programs_of_a_task_run_side_by_side(spark, tmp_path):
         assert rows(out) == [("a", 1), ("b", 1)] and not errors.count()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_hit_matrix_makes_no_row_for_a_zero(spark):
+    counts = spark.createDataFrame([(1, "a.b", 2), (1, "x", 9), (2, "c", 1), (4, "x", 1)], "genome_id long, marker string, n long")
+    genomes = spark.createDataFrame([(1,), (2,), (3,), (4,)], "genome_id long")
+    wide = hits.hit_matrix(counts, ["a.b", "c"], None, genomes)
+    assert wide.columns == ["genome_id", "a.b", "c"]
+    assert rows(wide) == [(1, 2, 0), (2, 0, 1), (3, 0, 0), (4, 0, 0)]
+    assert rows(hits.hit_matrix(counts, ["a.b", "c"])) == [(1, 2, 0), (2, 0, 1), (4, 0, 0)]
+    assert "pivotfirst" not in wide._jdf.queryExecution().toString()
+
+
+def test_small_groups_are_numbered_in_one_shuffle_and_large_ones_in_ranges(spark):
+    df = spark.range(400).selectExpr("if(id < 300, if(id % 2 = 0, null, 'big'), concat('g', id % 30)) as g", "(id * 7919) % 1009 as o")
+    want = sorted(rows(df), key=lambda r: (str(r[0]), r[1]))
+    places, last = [], {}
+    for g, o in want:
+        last[g] = last.get(g, 0) + 1
+        places.append((g, o, last[g]))
+    for large in (10, 1000):
+        got = sequences.numbers(df, ["g"], ["o"], large)
+        assert rows(got) == sorted(places, key=str) and dict(got.dtypes)["n"] == "bigint"
+    assert "rangepartitioning" not in got._jdf.queryExecution().executedPlan().toString() and "/ranges-" not in "".join(got.inputFiles())
+
+
+def test_plans_without_sequences_write_no_store(spark, small):
+    from cladeframe.registry import QUERIES
+
+    stores = lambda: {t.name for t in spark.catalog.listTables()}
+    before = stores()
+    for name in ("w1_markers", "w1_summary", "w5_target_presence", "w5_viewer_and_missing"):
+        assert QUERIES[name](spark, small).columns
+    assert stores() == before
+    QUERIES["w1_nucleotides"](spark, small)
+    assert len(stores() - before) == 1  # the nucleotides', not the proteins' as well
