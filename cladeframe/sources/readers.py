@@ -75,6 +75,7 @@ def genbank_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 QUALIFIER = re.compile(r'^\s{21}/(\w+)(?:=("(?:[^"]|"")*"|\S+))?', re.M)
+FEATURES = ["genome_id", "contig", "location", "qualifiers"]
 FEATURE = re.compile(r"^ {5}(\S+) +(\S[^/]*?)\n(?=\s{21}/|\s{5}\S|\S|$)((?:\s{21}.*\n?)*)", re.M)
 
 
@@ -92,15 +93,24 @@ def cds_of(record: str) -> Iterator[tuple[str, str, dict[str, list[str]]]]:
             yield locus[1] if locus else "", re.sub(r"\s", "", location), qualifiers
 
 
-def read_genbank(spark: SparkSession, path: str) -> DataFrame:
-    """genome_id, contig, location, qualifiers of coding features, a record block at a time."""
+MOST_FEATURES = 1000  # in a frame, give or take a record
+
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [(g, c, loc, q) for g, r in zip(batch["genome_id"], batch["record"], strict=True) for c, loc, q in cds_of(r)]
-            yield pd.DataFrame(rows, columns=["genome_id", "contig", "location", "qualifiers"])
+def features_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Frames of the coding features of records, each of a bounded number: those of a batch's 10,000 records are many."""
+    rows: list[tuple] = []
+    for batch in batches:
+        for g, r in zip(batch["genome_id"], batch["record"], strict=True):
+            rows += [(g, c, loc, q) for c, loc, q in cds_of(r)]
+            if len(rows) >= MOST_FEATURES:
+                yield pd.DataFrame(rows, columns=FEATURES)
+                rows = []
+    yield pd.DataFrame(rows, columns=FEATURES)
 
-    return genbank_records(spark, path).select("genome_id", "record").mapInPandas(parse, "genome_id string, contig string, location string, qualifiers map<string,array<string>>")
+
+def read_genbank(spark: SparkSession, path: str) -> DataFrame:
+    """genome_id, contig, location, qualifiers of coding features, a record block at a time."""
+    return genbank_records(spark, path).select("genome_id", "record").mapInPandas(features_of, "genome_id string, contig string, location string, qualifiers map<string,array<string>>")
 
 
 def read_genbank_contigs(spark: SparkSession, path: str) -> DataFrame:

@@ -508,3 +508,11 @@ def test_plans_without_sequences_write_no_store(spark, small):
     assert stores() == before
     QUERIES["w1_nucleotides"](spark, small)
     assert len(stores() - before) == 1  # the nucleotides', not the proteins' as well
+
+
+def test_features_come_in_frames_of_bounded_size():
+    batch = pd.DataFrame({"genome_id": [f"g{k}" for k in range(900)], "record": [GENBANK.partition("\n//")[0]] * 900})
+    frames = list(readers.features_of(iter([batch, batch])))
+    assert max(map(len, frames)) < readers.MOST_FEATURES + 10
+    assert sum(map(len, frames)) == 2 * 900 * len(list(readers.cds_of(batch["record"][0])))
+    assert list(pd.concat(frames)["genome_id"].drop_duplicates()) == list(batch["genome_id"])
