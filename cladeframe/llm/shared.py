@@ -27,8 +27,9 @@ def words_of(text: str | None) -> list[str]:
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of links (a, b): (node, root), root being the smallest node of its component.
 
-    Large-star and small-star steps in turn, each a join with a minimum per node, until the links stop changing; they
-    need about log(n) rounds, whatever the shape of a component. The links are cut from their lineage by checkpoint().
+    Large-star and small-star steps in turn, each a join with a minimum per node, until only stars are left; they need about
+    log(n) rounds, whatever the shape of a component, and none if the links are stars already, as those of roots are. The
+    links are cut from their lineage by checkpoint().
     """
 
     def largest(e: DataFrame, small: bool) -> DataFrame:
@@ -43,17 +44,17 @@ def components(edges: DataFrame) -> DataFrame:
             out = moved.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         return out.where("a <> b").distinct()
 
+    def stars(e: DataFrame) -> bool:
+        """Whether each node has one smaller neighbour, which has none itself, or none."""
+        ends = e.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(e.select("b", F.lit(0), F.lit(1)))
+        ups = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        return not ups.agg(F.max((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0)))).first()[0]
+
     shared_dir(edges.sparkSession)
-    state = None
-    edges = edges.select("a", "b").where("a <> b").checkpoint()
-    while True:
+    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct().checkpoint()
+    while not stars(edges):
         edges = largest(largest(edges, small=False), small=True).checkpoint()
-        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if now == state:
-            break
-        state = now
-    roots = edges.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node")
-    return roots.union(edges.select("b", "b").distinct())
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(edges.select("b", "b").distinct())
 
 
 def remove(table: DataFrame) -> None:

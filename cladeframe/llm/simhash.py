@@ -13,8 +13,8 @@ Every match found is verified by its full distance. All is done on distinct fing
 is one row here, and no pair within it is written out.
 
 Two bits find copies with next to no changes. Texts that share 0.8 of their shingles differ in 10 bits of 64 on average,
-and balls of that size hold most of the table; for them (`similar_links`) a fingerprint has, besides its 64 bits, keys
-that texts are looked up by as they are:
+and balls of that size hold most of the table. So `similar_links` first takes what the index finds (`close_texts`), and then
+looks for the others: for them a fingerprint has, besides its 64 bits, keys that texts are looked up by as they are:
 
 * texts of more than SHORT shingles have SEGMENTS segments, each made of a sample, the SAMPLED shingles that come first in
   an order of the segment's own. Two that share 0.8 of their shingles have a given segment in common with a chance of a
@@ -232,9 +232,25 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return shared.where(F.col("shared") >= least * (F.col("sizes") - F.col("shared")) - 1e-9).select("a", "b").distinct()
 
 
+def as_links(roots: DataFrame) -> DataFrame:
+    """Components as links (a, b) that give the same components."""
+    return roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+
+
+def close_texts(texts: DataFrame, bits: int = 2) -> DataFrame:
+    """Pairs (a, b), a < b, of texts (node, fp) whose fingerprints are near by the index of their halves, or equal. Of texts that
+    share a fingerprint, the first stands for all in the pairs with others, and is paired with each."""
+    firsts = stash(texts.groupBy("fp").agg(F.min("node").alias("first")), "distinct-fingerprints")
+    x, y = (firsts.select(F.col("fp").alias(k), F.col("first").alias(v)) for k, v in (("a", "x"), ("b", "y")))
+    near = near_pairs(firsts.select("fp"), bits).join(y, "b").join(x, "a").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    found = stash(near.union(texts.join(firsts, "fp").where("node > first").select("first", "node")).where("a < b"), "close-texts")
+    remove(firsts)
+    return found
+
+
 def similar_links(docs: DataFrame, texts: DataFrame, shingle: int = SHINGLE, least: float = LEAST) -> DataFrame:
-    """Links (a, b) between texts with a similarity of `least` or more (0.8 at least); what links reach from a text is
-    what similar texts reach. texts: node (a doc_id of docs), fp, n, keys, one row for each distinct set of shingles."""
+    """Links (a, b) whose components are those of the texts with a similarity of `least` or more (0.8 at least): what links
+    reach from a text is what similar texts reach. texts: node (a doc_id of docs), fp, n, keys, one row for each distinct set of shingles."""
     if least < LEAST:
         raise ValueError(f"keys are made for similarities of {LEAST} or more")
 
@@ -255,22 +271,24 @@ def similar_links(docs: DataFrame, texts: DataFrame, shingle: int = SHINGLE, lea
     def ordered(x, y):
         return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
 
-    def apart(members: DataFrame, links: DataFrame) -> DataFrame:
+    def apart(members: DataFrame, roots: DataFrame) -> DataFrame:
         """Members of the buckets that links have not put together as a whole, each with its root."""
-        roots = components(links).withColumnRenamed("node", "r_node")
-        placed = members.join(roots, F.col("m.node") == F.col("r_node"), "left").select("key", "m", F.coalesce("root", "m.node").alias("root"))
+        placed = members.join(roots.withColumnRenamed("node", "r_node"), F.col("m.node") == F.col("r_node"), "left").select("key", "m", F.coalesce("root", "m.node").alias("root"))
         several = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
         return placed.join(several, "key")
 
     each = texts.select(F.explode("keys").alias("key"), F.struct("node", "fp", "n").alias("m"))
     leads = each.groupBy("key").agg(F.min("m").alias("lead"), F.count("*").alias("size")).where("size > 1").drop("size")
     found = stash(each.join(leads, "key"), "buckets")
-    sets = stash(shingle_sets(docs, found.select("m.node").distinct(), shingle), "bucket-shingles")
+    close = close_texts(texts)
+    wanted = found.select("m.node").union(close.select("a")).union(close.select("b")).distinct()
+    sets = stash(shingle_sets(docs, wanted, shingle), "bucket-shingles")
 
     led = found.where((F.col("m.node") > F.col("lead.node")) & near("m", "lead"))
-    first = stash(verified(led.select(*ordered(F.col("m.node"), F.col("lead.node"))), sets, least), "links")
+    first = stash(verified(led.select(*ordered(F.col("m.node"), F.col("lead.node"))).union(close), sets, least), "links")
 
-    left_over = stash(apart(found.select("key", "m"), first), "left-over")
+    roots = components(first)
+    left_over = stash(apart(found.select("key", "m"), roots), "left-over")
     shingles = sets.join(left_over.select("m.node").distinct(), "node", "left_semi").select("node", F.explode("shingles").alias("s"))
     lone = shingles.groupBy("s").agg(F.count("*").alias("texts"), F.min("node").alias("o_node")).where("texts = 1").groupBy("o_node").agg(F.count("*").alias("own"))
     maps = sets.groupBy("node").agg(F.min("bits").alias("bits"), F.count("*").alias("rows")).select(F.col("node").alias("b_node"), F.when(F.col("rows") == 1, F.col("bits")).alias("bits"))  # not of an id with several texts
@@ -281,7 +299,8 @@ def similar_links(docs: DataFrame, texts: DataFrame, shingle: int = SHINGLE, lea
     around = counted.join(middle, "key").where((F.col("root") != F.col("c_root")) & possible("m", "c") & near("m", "c"))
     second = stash(verified(around.select(*ordered(F.col("m.node"), F.col("c.node"))), sets, least), "links")
 
-    last = stash(apart(counted.select("key", "m"), first.union(second)), "left-over")
+    roots = components(as_links(roots).union(second))
+    last = stash(apart(counted.select("key", "m"), roots), "left-over")
     # sizes in steps of a quarter: similar texts are of the same step or of neighbours
     step = F.floor(F.log(F.col("m.n")) / F.log(F.lit(1 / LEAST)) + 1e-9)
     left = last.select("key", step.alias("step"), F.col("m").alias("x"), F.col("root").alias("x_root"))
@@ -289,9 +308,9 @@ def similar_links(docs: DataFrame, texts: DataFrame, shingle: int = SHINGLE, lea
     in_order = F.struct("x.n", "x.node") < F.struct("y.n", "y.node")
     across = left.join(right, ["key", "step"]).where((F.col("x_root") != F.col("y_root")) & in_order & possible("x", "y") & near("x", "y"))
     third = stash(verified(across.select(*ordered(F.col("x.node"), F.col("y.node"))), sets, least), "links")
-    for table in (found, sets, left_over, counted, last):
+    for table in (found, close, sets, left_over, counted, last):
         remove(table)
-    return first.union(second).union(third)
+    return as_links(roots).union(third)
 
 
 def similar_groups(docs: DataFrame, shingle: int = SHINGLE, least: float = LEAST) -> DataFrame:

@@ -60,6 +60,17 @@ def test_components(spark):
     assert got == {x: find(x) for x in linked}
 
 
+def test_components_of_stars_take_no_rounds(spark, monkeypatch):
+    """The links of roots that are known already, and links to them that are new."""
+    stars = spark.createDataFrame([(1 + k % 3, 10 + k) for k in range(90)], "a long, b long")
+    written, kind = [], type(stars)
+    monkeypatch.setattr(kind, "checkpoint", lambda self, *a, f=kind.checkpoint: written.append(1) or f(self, *a))
+    roots = components(stars)
+    assert len(written) == 1 and dict(rows(roots)) == {1: 1, 2: 2, 3: 3} | {10 + k: 1 + k % 3 for k in range(90)}
+    more = simhash.as_links(roots).union(spark.createDataFrame([(12, 10), (7, 8)], "a long, b long"))
+    assert dict(rows(components(more))) == {1: 1, 2: 2, 3: 1, 7: 7, 8: 7} | {10 + k: 1 if k % 3 != 1 else 2 for k in range(90)}
+
+
 # SimHash
 
 
@@ -186,6 +197,24 @@ def test_similar_groups(spark, docs, odd):
         assert dict(rows(simhash.similar_groups(table))) == plain_similar(rows(table.select("doc_id", "text")))
 
 
+def test_similar_links_go_by_the_index_of_fingerprints(spark):
+    """Without any other key, texts within two bits are linked, and those alone whose shingles are similar."""
+    rng = np.random.default_rng(11)
+    made = []
+    for k in range(30):
+        words = [f"w{x}" for x in rng.integers(0, 500, size=300)]
+        made += [(3 * k, " ".join(words)), (3 * k + 1, " ".join([*words, "x"])), (3 * k + 2, " ".join([f"v{x}" for x in words]))]
+    table = spark.createDataFrame(made, "doc_id long, text string")
+    texts = simhash.sketches(table).select(F.col("doc_id").alias("node"), "fp", "n", F.slice("keys", 1, 0).alias("keys"))
+    fps = dict(rows(texts.select("node", "fp")))
+    near = {(a, a + 1) for a in range(0, 90, 3) if bin((fps[a] ^ fps[a + 1]) & (2**64 - 1)).count("1") <= 2}
+    assert len(near) > 20 and set(rows(simhash.close_texts(texts))) == near
+    roots = dict(rows(components(simhash.similar_links(table, texts))))
+    assert roots == {x: a for a, b in near for x in (a, b)}
+    false = texts.withColumn("fp", F.lit(5).cast("long"))  # of one fingerprint, but not alike
+    assert set(rows(components(simhash.similar_links(table, false)))) == {(0, 0), (1, 0)}
+
+
 def test_similar_groups_of_a_crowd(spark):
     """Hundreds of near copies of one text, each with a change of its own, and a passage that all others share."""
     rng = np.random.default_rng(9)
