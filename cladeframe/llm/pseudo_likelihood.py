@@ -26,6 +26,7 @@ from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, replace
 from functools import cached_property
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -181,7 +182,7 @@ class Network:
         """Hidden values at the places, and a last column of ones."""
         total = np.repeat(self.bias[None], len(at), axis=0)
         for k, o in enumerate(OFFSETS):
-            total += self.class_tables[k].take(flat[at + o], axis=0)
+            total += self.class_tables[k].take(flat.take(at + o), axis=0)
         out = np.ones((len(at), total.shape[1] + 1), np.float32)
         np.tanh(total, out=out[:, :-1])
         return out
@@ -205,10 +206,11 @@ class Network:
         outer = net.outer
         learned = [net.class_tables, net.bias, outer]
         past = [np.full(x.shape, 1e-6, np.float32) for x in learned]
-        tables, width = np.empty_like(net.class_tables), len(net.bias)
+        tables = np.empty_like(net.class_tables)
+        cells = np.arange(tables[0].size).reshape(tables[0].shape)
         done = 0
         for flat, places in streams:
-            first = 0
+            flat, first = flat.astype(np.intp), 0
             while first < len(places):
                 at = places[first : first + min(max(done // 64, BATCHES[0]), BATCHES[1])]
                 first += len(at)
@@ -219,9 +221,9 @@ class Network:
                 p *= 1 / (p.sum(axis=1, keepdims=True) * len(at))
                 p[np.arange(len(at)), flat[at]] -= np.float32(1 / len(at))
                 inner = (p @ outer[:-1].T) * (1 - h[:, :-1] ** 2)
+                weights = inner.ravel().astype(float)
                 for k, o in enumerate(OFFSETS):
-                    cells = flat[at + o].astype(np.int64)[:, None] * width + np.arange(width)
-                    tables[k] = np.bincount(cells.ravel(), weights=inner.ravel(), minlength=tables[k].size).reshape(-1, width)
+                    tables[k] = np.bincount(cells.take(flat.take(at + o), axis=0).ravel(), weights=weights, minlength=cells.size).reshape(cells.shape)
                 for x, g, s in zip(learned, (tables, inner.sum(axis=0), h.T @ p), past, strict=True):
                     s += g * g
                     x -= rate * g / np.sqrt(s)
@@ -238,7 +240,7 @@ def encoded(docs: DataFrame, known: dict[str, int], words: Words) -> DataFrame:
             lengths, within, packed = [], [], []
             for t in batch.column(1):
                 text = words_of(t.as_py())
-                ids = np.fromiter((known.get(w, OTHER) for w in text), dtype=np.int64, count=len(text))
+                ids = np.fromiter(map(known.get, text, repeat(OTHER)), dtype=np.int64, count=len(text))
                 rest = np.flatnonzero(ids == OTHER)
                 spelling = words.spelling[spelled([text[i] for i in rest])[0]].sum(dtype=float) if len(rest) else 0.0
                 lengths.append(len(ids))
@@ -320,7 +322,7 @@ def scores(table: DataFrame, net: Network) -> DataFrame:
             held: list[tuple[int, np.ndarray]] = []
 
             def flush(total=total, held=held) -> None:
-                flat, _ = joined([t for _, t in held])
+                flat = joined([t for _, t in held])[0].astype(np.intp)
                 places = np.flatnonzero(flat)
                 owner = np.repeat([d for d, _ in held], [len(t) for _, t in held])
                 for at in range(0, len(places), BLOCK):
