@@ -516,3 +516,34 @@ def test_features_come_in_frames_of_bounded_size():
     assert max(map(len, frames)) < readers.MOST_FEATURES + 10
     assert sum(map(len, frames)) == 2 * 900 * len(list(readers.cds_of(batch["record"][0])))
     assert list(pd.concat(frames)["genome_id"].drop_duplicates()) == list(batch["genome_id"])
+
+
+def test_large_groups_are_found_in_full_slots(spark, monkeypatch):
+    df = spark.range(60).selectExpr("if(id < 40, 'big', concat('g', id % 10)) as g", "(id * 7) % 61 as o")
+    whole = rows(sequences.numbers(df, ["g"], ["o"], 1000))
+    counted = []
+    real = sequences.stash
+    monkeypatch.setattr(sequences, "stash", lambda d, name: counted.append(name) or real(d, name))
+    for slots, large, want in ((1, 30, ["large-groups", "ranges"]), (1, 50, ["large-groups"]), (sequences.SLOTS, 50, [])):
+        monkeypatch.setattr(sequences, "SLOTS", slots)
+        counted.clear()
+        assert rows(sequences.numbers(df, ["g"], ["o"], large)) == whole
+        assert counted == want
+
+
+def test_stops_are_stripped_from_odd_sequences(spark):
+    df = spark.createDataFrame([(s,) for s in ("**", "*a*ü*", "", "ab", None, "M*RR")], "seq string")
+    assert [tuple(r) for r in sequences.strip_stops(df).collect()] == [("", 0), ("aü", 2), ("", 0), ("ab", 2), (None, None), ("MRR", 3)]
+
+
+def test_names_of_plans_without_lengths_read_no_sequence(spark, small, monkeypatch):
+    from cladeframe import registry
+
+    seen = []
+    real = registry.stash
+    monkeypatch.setattr(registry, "stash", lambda d, name: seen.append((name, d.columns, d._jdf.queryExecution().executedPlan().toString())) or real(d, name))
+    for name, lengths in (("w5_target_presence", False), ("j5_fetch_hit_seqs", False), ("w1_markers", True)):
+        seen.clear()
+        registry.QUERIES[name](spark, small)
+        names = [(columns, plan) for stashed, columns, plan in seen if stashed == "gene-names"]
+        assert len(names) == 1 and ("len" in names[0][0]) == lengths and ("l_returnflag" in names[0][1]) == lengths
