@@ -547,3 +547,32 @@ def test_names_of_plans_without_lengths_read_no_sequence(spark, small, monkeypat
         registry.QUERIES[name](spark, small)
         names = [(columns, plan) for stashed, columns, plan in seen if stashed == "gene-names"]
         assert len(names) == 1 and ("len" in names[0][0]) == lengths and ("l_returnflag" in names[0][1]) == lengths
+
+
+def test_marker_tables_go_to_all_tasks_and_quality_waits(spark, monkeypatch):
+    genomes = spark.createDataFrame([(g,) for g in "abcd"], "genome_id string")
+    genes = spark.createDataFrame([(g, k, "A" * n, n) for g in "abcd" for k, n in enumerate((100, 10))], "genome_id string, gene_ord long, seq string, len int")
+    found = spark.createDataFrame([(g, f"{g}_{k}", f"m{k}", 1.0, k) for g in "abcd" for k in (1, 2)], "genome_id string, gene_id string, marker string, evalue double, ord long")
+    seen = {}
+    real = pipelines.stash
+    monkeypatch.setattr(pipelines, "stash", lambda d, name: seen.setdefault(name, d._jdf.queryExecution().executedPlan().toString()) and real(d, name))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = pipelines.marker_sets(found, genes, genomes, ["m1", "m2", "m3"])
+        assert rows(out["kept_markers"]) == [("m1", 4), ("m2", 4)] and rows(out["removed_markers"], "marker", "reason") == [("m3", "no hits")]
+        assert out["sequences"].count() == 8 and out["quality"].count() == 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in seen["filtered"] and "quality" not in seen
+
+
+def test_stores_have_lengths_where_they_are_asked_for(spark, small):
+    from cladeframe.registry import QUERIES
+
+    raw = spark.createDataFrame([("a", 1, "M*AA"), ("a", 2, "M")], "genome_id string, gene_ord long, seq string")
+    assert rows(pipelines.gene_store(raw, 2)) == [("a", 1, "MAA", 3), ("a", 2, "M", 1)]
+    assert rows(pipelines.gene_store(raw, 2, lengths=False)) == [("a", 1, "MAA"), ("a", 2, "M")]
+    before = {t.name for t in spark.catalog.listTables()}
+    QUERIES["j5_fetch_hit_seqs"](spark, small)
+    made, = {t.name for t in spark.catalog.listTables()} - before
+    assert spark.table(made).columns == ["genome_id", "gene_ord", "seq"]
