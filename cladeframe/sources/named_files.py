@@ -27,6 +27,7 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 from cladeframe.scratch import qualified, stash
 
 PIECE = 4 << 20
+TASK = 64 << 20  # bytes that a task puts in place: Spark hands it up to 10,000 pieces at once
 HIDDEN = ".unfinished-"
 
 
@@ -121,6 +122,12 @@ def write_named(df: DataFrame, folder: str, name: str, line: str, order: Sequenc
     checked = F.when(named.rlike(r"[/\x00]|^\.\.?$") | (named == ""), F.raise_error(F.concat(F.lit("no name of a file: "), named)).cast("string")).otherwise(named)
     keyed = df.where(F.col(line).isNotNull() & F.col(name).isNotNull()).select(checked.alias("name"), F.col(line).alias("line"), *[F.col(c).alias(f"order_{k}") for k, c in enumerate(order)])
     pieces = stash(pieces_of(keyed, [f"order_{k}" for k in range(len(order))], piece), "pieces")
+    placed_pieces(pieces).write.format("named_files").option("folder", path).option("run", uuid.uuid4().hex).mode("append").save()
+
+
+def placed_pieces(pieces: DataFrame) -> DataFrame:
+    """name, start, data: pieces with the byte where each begins, dealt in turn to tasks of some TASK bytes."""
     before = Window.partitionBy("name").orderBy("span", "nth").rowsBetween(Window.unboundedPreceding, -1)
     starts = pieces.select("name", "span", "nth", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))  # a row for some megabytes
-    pieces.join(starts, ["name", "span", "nth"]).select("name", "start", "data").write.format("named_files").option("folder", path).option("run", uuid.uuid4().hex).mode("append").save()
+    total = pieces.agg(F.sum("size")).first()[0] or 0
+    return pieces.join(starts, ["name", "span", "nth"]).select("name", "start", "data").repartition(1 + total // TASK)

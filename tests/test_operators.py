@@ -576,3 +576,13 @@ def test_stores_have_lengths_where_they_are_asked_for(spark, small):
     QUERIES["j5_fetch_hit_seqs"](spark, small)
     made, = {t.name for t in spark.catalog.listTables()} - before
     assert spark.table(made).columns == ["genome_id", "gene_ord", "seq"]
+
+
+def test_tasks_put_a_bounded_number_of_bytes_in_place(spark, monkeypatch):
+    from cladeframe.sources import named_files
+
+    monkeypatch.setattr(named_files, "TASK", 20_000)
+    pieces = spark.range(100).selectExpr("'one' as name", "0L as span", "id as nth", "2000L as size", "cast(repeat('x', 2000) as binary) as data").coalesce(1)
+    parts = named_files.placed_pieces(pieces).rdd.glom().map(lambda p: [(r.start, len(r.data)) for r in p]).collect()
+    assert sorted(x for p in parts for x in p) == [(2000 * k, 2000) for k in range(100)]
+    assert len(parts) == 11 and max(sum(n for _, n in p) for p in parts) <= 2 * 20_000
