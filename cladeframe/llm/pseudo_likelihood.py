@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from cladeframe.llm.shared import stash, words_of
+from cladeframe.llm.shared import coded_words, stash
 
 TOKENS, CLASSES, HIDDEN, REACH, EVERY, ROUNDS = 1 << 18, 256, 24, 2, 1, 2
 EDGE, OTHER = 0, 1
@@ -78,11 +78,8 @@ def vocabulary(docs: DataFrame, tokens: int = TOKENS) -> tuple[dict[str, int], W
     """Tokens of the commonest words of all documents, what is known of them, and each class's share of all words; a bounded number of words comes to the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts: Counter[str] = Counter()
-            for t in batch.column(0):
-                counts.update(words_of(t.as_py()))
-            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+        for words, places, _ in coded_words(t.as_py() for batch in batches for t in batch.column(0)):
+            yield pa.RecordBatch.from_arrays([words, pa.array(np.bincount(places, minlength=len(words)), pa.int64())], names=["word", "n"])
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(CONTEXTS * 256)
@@ -237,16 +234,23 @@ def encoded(docs: DataFrame, known: dict[str, int], words: Words) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, words = shared.value
         for batch in batches:
-            lengths, within, packed = [], [], []
-            for t in batch.column(1):
-                text = words_of(t.as_py())
-                ids = np.fromiter(map(known.get, text, repeat(OTHER)), dtype=np.int64, count=len(text))
+            first = 0
+            for names, places, lengths in coded_words(t.as_py() for t in batch.column(1)):
+                names = names.to_pylist()
+                ids = np.fromiter(map(known.get, names, repeat(OTHER)), dtype=np.int64, count=len(names))
+                logs = words.within[ids].astype(float)
                 rest = np.flatnonzero(ids == OTHER)
-                spelling = words.spelling[spelled([text[i] for i in rest])[0]].sum(dtype=float) if len(rest) else 0.0
-                lengths.append(len(ids))
-                within.append(words.within[ids].sum(dtype=float) + spelling)
-                packed.append(words.classes[ids].astype("<u2").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lengths, pa.int64()), pa.array(within, pa.float64()), pa.array(packed, pa.binary())], names=["doc_id", "n_tokens", "within", "classes"])
+                if len(rest):
+                    spelling, owner = spelled([names[i] for i in rest])
+                    logs[rest] += np.bincount(owner, weights=words.spelling[spelling])
+                ends = np.cumsum(lengths)
+                within, some = np.zeros(len(lengths)), np.flatnonzero(lengths)
+                if len(some):
+                    within[some] = np.add.reduceat(logs[places], (ends - lengths)[some])
+                offsets = np.concatenate([[0], 2 * ends]).astype(np.int32)
+                packed = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(words.classes[ids].astype("<u2")[places])])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(ends)), pa.array(lengths, pa.int64()), pa.array(within), packed], names=["doc_id", "n_tokens", "within", "classes"])
+                first += len(ends)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(encode, "doc_id long, n_tokens long, within double, classes binary")
 

@@ -5,13 +5,16 @@ from __future__ import annotations
 import re
 import sys
 import unicodedata
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cladeframe.scratch import new_path, shared_dir, stash
 
-__all__ = ["components", "new_path", "remove", "shared_dir", "stash", "words_of"]
+__all__ = ["coded_words", "components", "new_path", "remove", "shared_dir", "stash", "words_of"]
 
 MARKS = "".join(re.escape(chr(c)) for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c))[0] == "M")
 REST = rf"(?![\x00-\x7f])[{MARKS}][\w{MARKS}]*"
@@ -24,6 +27,45 @@ def words_of(text: str | None) -> list[str]:
     return (MARKED if WIDE.search(text) else PLAIN).findall(text)
 
 
+CODED = 1 << 24
+GAP = ord(" ")
+BYTES = bytes(ord(chr(c).lower()) if PLAIN.match(chr(c)) else GAP for c in range(128)) + bytes(range(128, 256))
+NARROW = np.array([bool(PLAIN.match(chr(c))) for c in range(0x300)])
+
+
+def coded_words(texts: Iterable[str | None]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """The words of the texts, as words_of gives them, of some CODED bytes of texts at a time: each word once, the place among
+    these of every word, and each text's number of words."""
+
+    def coded(parts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        data = np.frombuffer(bytearray(b" ").join([b"", *parts, b""]).translate(BYTES), np.uint8)
+        two = np.flatnonzero((data >= 0xC2) & (data < 0xCC))  # first bytes of the characters from U+0080 to U+02FF
+        two = two[~NARROW[(data[two] & 0x1F).astype(np.intp) << 6 | data[two + 1] & 0x3F]]
+        data[two] = data[two + 1] = GAP
+        inside = data != GAP
+        edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+        starts, ends = edges[::2], edges[1::2]
+        offsets = np.zeros(len(starts) + 1, np.int32)
+        np.cumsum(ends - starts, out=offsets[1:])
+        words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(data[inside])).dictionary_encode()
+        bounds = np.cumsum([0, *(len(p) + 1 for p in parts)])
+        return words.dictionary, words.indices.to_numpy(), np.diff(np.searchsorted(starts, bounds))
+
+    parts: list[bytes] = []
+    waiting = 0
+    for text in texts:
+        text = text or ""
+        lower = text if text.isascii() else text.lower()  # BYTES does so for ASCII
+        part = (" ".join(words_of(text)) if not lower.isascii() and WIDE.search(lower) else lower).encode()
+        if parts and waiting + len(part) > CODED:
+            yield coded(parts)
+            parts, waiting = [], 0
+        parts.append(part)
+        waiting += len(part) + 1
+    if parts:
+        yield coded(parts)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of links (a, b): (node, root), root being the smallest node of its component.
 

@@ -2,16 +2,18 @@
 
 import hashlib
 import re
+import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from cladeframe.llm import decontamination, labelled, mixing, neighbours, pseudo_likelihood, quality, simhash, suffix_dedup, token_counts, token_files, toxicity
+from cladeframe.llm import decontamination, labelled, mixing, neighbours, pseudo_likelihood, quality, shared, simhash, suffix_dedup, token_counts, token_files, toxicity
 from cladeframe.llm.queries import vocabulary_file
-from cladeframe.llm.shared import components, stash, words_of
+from cladeframe.llm.shared import coded_words, components, stash, words_of
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp long, size long, file string, y int"
 ODD_TEXTS = [None, "", "   ", "a", "one two", "the same words twice over " * 3, "x" * 120, "é ß\t\nñ\x0b#2 <|endoftext|> 𝔘", "▁a  b▁ \n c "]
@@ -540,6 +542,33 @@ def test_words_have_their_marks(spark):
     assert got == [(1, 7, 6, 6, 1.0)]
 
 
+def test_coded_words_are_those_of_words_of(monkeypatch):
+    texts = [f"A{chr(c)}B {chr(c)}" for c in range(0x3000)] + [*ODD_TEXTS, "İstanbul ȺB «é» ª²½×÷", "A\u0301b हिन्दी \u0301c", "\0a\0", "\x1c𝔘\x1f"]
+    assert list(coded_words([])) == []
+    for size in (1, 1000, shared.CODED):
+        monkeypatch.setattr(shared, "CODED", size)
+        got = []
+        for words, places, lengths in coded_words(texts):
+            names, ends = words.to_pylist(), np.cumsum(lengths)
+            assert len(set(names)) == len(names)
+            got += [[names[i] for i in places[end - n : end]] for end, n in zip(ends, lengths)]
+        assert got == [words_of(t) for t in texts]
+
+
+def test_counting_words_costs_less_than_finding_each():
+    rng = np.random.default_rng(0)
+    texts = [" ".join(f"w{i}" for i in rng.zipf(1.3, 500) % 50_000) for _ in range(400)]
+
+    def seconds(count) -> float:
+        start = time.process_time()
+        count()
+        return time.process_time() - start
+
+    plain = min(seconds(lambda: Counter(w for t in texts for w in words_of(t))) for _ in range(3))
+    coded = min(seconds(lambda: [np.bincount(places) for _, places, _ in coded_words(texts)]) for _ in range(3))
+    assert coded < 0.7 * plain
+
+
 # suffix arrays
 
 
