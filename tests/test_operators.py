@@ -2,6 +2,7 @@
 
 import gzip
 import os
+import time
 from pathlib import Path
 
 import pandas as pd
@@ -586,3 +587,53 @@ def test_tasks_put_a_bounded_number_of_bytes_in_place(spark, monkeypatch):
     parts = named_files.placed_pieces(pieces).rdd.glom().map(lambda p: [(r.start, len(r.data)) for r in p]).collect()
     assert sorted(x for p in parts for x in p) == [(2000 * k, 2000) for k in range(100)]
     assert len(parts) == 11 and max(sum(n for _, n in p) for p in parts) <= 2 * 20_000
+
+
+def shuffle_files(spark, but=frozenset()):
+    """Shuffle files other than some, given 20 s to be removed."""
+    deadline = time.monotonic() + 20
+    while True:
+        found = {str(f) for f in Path(spark.conf.get("spark.local.dir")).rglob("shuffle_*")} - but
+        if not but or not found or time.monotonic() > deadline:
+            return found
+        time.sleep(0.2)
+
+
+def test_stores_lie_in_buckets_of_bounded_size_and_leave_no_shuffles(spark, monkeypatch):
+    from cladeframe.sources import store
+
+    monkeypatch.setattr(store, "BUCKET", 1_000_000, raising=False)
+    seqs = spark.range(40_000).selectExpr("id % 7 as genome_id", "id as gene_ord", "repeat('ACGT', 250) as seq")
+    before = shuffle_files(spark) | {""}
+    made = store.write_store(seqs)
+    files = made.inputFiles()
+    assert 30 < len(files) < 50 and all(f.endswith(".zstd.parquet") for f in files)  # 40 MB; not one file for each of 8 shuffle partitions
+    assert not shuffle_files(spark, before)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = hits.fetch_hit_seqs(seqs.where("gene_ord % 3 = 0").drop("seq"), made)
+        assert "seq#" not in exchanged(got) and got.count() == 13_334 and made.count() == 40_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    monkeypatch.setattr(store, "MOST", 20)
+    assert store.bucket_count(seqs) == 20 and store.bucket_count(seqs.where("false")) == 8
+
+
+@pytest.mark.parametrize("name", ["j5_fetch_hit_seqs", "j6_fetch_nucleotides"])
+def test_fetched_hits_are_joined_once_and_leave_no_shuffles(spark, small, monkeypatch, name):
+    from cladeframe import registry
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    left = []
+    real = registry.genes_of
+    monkeypatch.setattr(registry, "genes_of", lambda *a, **k: left.append(shuffle_files(spark, before)) or real(*a, **k))
+    try:
+        before = shuffle_files(spark) | {""}
+        got = registry.QUERIES[name](spark, small)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        moved = exchanged(got)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not left[0]  # the sequences are written when the shuffles of hits and names are gone
+    assert "seq#" not in moved and "l_partkey" not in moved
+    assert plan.count("Exchange hashpartitioning") == 2  # hits by their place, names by theirs
